@@ -169,3 +169,251 @@ SELECT channel_id, monthname(make_date(2000, month(published_date), 1)) AS month
 FROM recent GROUP BY channel_id, month(published_date)""")
 def q_trend_month(spark, sf):
     return reports.uploads_per_month(_recent(spark, sf))
+
+
+# ---- sources, cleaning, flattening ----------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from snapmart import schemas  # noqa: E402
+from snapmart.functions import duration_part, split_list, url_tail  # noqa: E402
+from snapmart.operators import clean, flatten  # noqa: E402
+from snapmart.session import scratch_path  # noqa: E402
+from snapmart.sources import read_csv, read_day, write_csv, write_days  # noqa: E402
+
+# Fixed parameter: the five channels (customers) of the allow-list checks.
+FIVE_CHANNELS = ["7", "42", "99", "256", "1000"]
+_FIVE_SQL = ", ".join(f"'{c}'" for c in FIVE_CHANNELS)
+# Allowed channels for curation: customers outside one market segment.
+EXCLUDED_SEGMENT = "HOUSEHOLD"
+
+
+@register("csv_roundtrip", "SELECT doc_id, text FROM documents")
+def q_csv_roundtrip(spark, sf):
+    """Whole documents written as CSV and read back with the declared schema;
+    quotes, commas and newlines inside the text survive."""
+    path = scratch_path(spark, "csv_roundtrip")
+    write_csv(td.load(spark, sf, "documents").select("doc_id", "text"), path)
+    schema = schemas._struct(("doc_id", schemas.L), ("text", schemas.S))
+    return read_csv(spark, path, schema)
+
+
+@register("allow_split", f"""
+SELECT CASE WHEN cast(o_custkey AS VARCHAR) IN ({_FIVE_SQL}) THEN 'clean' ELSE 'corrupt' END AS part,
+       cast(o_orderkey AS VARCHAR) AS video_id, cast(o_custkey AS VARCHAR) AS channel_id
+FROM orders""")
+def q_allow_split(spark, sf):
+    raw = td.raw_video(td.load(spark, sf, "orders"))
+    ok, bad = clean.split_allowed(raw, "channel_id", FIVE_CHANNELS)
+    cols = ["video_id", "channel_id"]
+    return (ok.select(F.lit("clean").alias("part"), *cols)
+            .unionByName(bad.select(F.lit("corrupt").alias("part"), *cols)))
+
+
+def _profile_input(raw):
+    # some values null and some holding the text NULL
+    return (raw.withColumn("hashtags", F.when(F.col("privacy_status") != "P", F.col("hashtags")))
+               .withColumn("description", F.when(F.col("quality_definition") == "5-LOW", F.lit("NULL"))
+                           .otherwise(F.col("description"))))
+
+
+_RAW_VIDEO_SQL = """raw AS (
+  SELECT cast(o_orderkey AS VARCHAR) AS video_id, cast(o_custkey AS VARCHAR) AS channel_id,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+         'order-' || cast(o_orderkey AS VARCHAR) AS title,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'NULL'
+              ELSE 'status ' || o_orderstatus || ', priority ' || o_orderpriority END AS description,
+         CASE WHEN o_orderstatus <> 'P' THEN concat_ws(',', o_orderpriority, o_orderstatus) END AS hashtags,
+         'en' AS audio_language, 'PT' AS content_duration, '2d' AS virtual_dimension,
+         o_orderpriority AS quality_definition, o_orderstatus AS privacy_status,
+         'Lifestyle' AS topic_category, cast(floor(o_totalprice) AS BIGINT) AS views_count,
+         0 AS likes_count, 0 AS dislikes_count, 0 AS favorites_count, 0 AS comments_count
+  FROM orders)"""
+
+
+def _profile_sql():
+    cols = [f.name for f in schemas.RAW_VIDEO.fields]
+    ok = f"channel_id IN ({_FIVE_SQL})"
+    parts = [f"count(*) FILTER (WHERE {ok} AND ({c} IS NULL OR cast({c} AS VARCHAR) LIKE '%NULL%')) AS {c}"
+             for c in cols]
+    parts.append(f"count(*) FILTER (WHERE NOT coalesce({ok}, false)) AS corrupt_records")
+    return f"WITH {_RAW_VIDEO_SQL}\nSELECT " + ",\n  ".join(parts) + "\nFROM raw"
+
+
+@register("null_profile", _profile_sql())
+def q_null_profile(spark, sf):
+    raw = _profile_input(td.raw_video(td.load(spark, sf, "orders")))
+    return clean.profile(raw, "channel_id", FIVE_CHANNELS)
+
+
+_DURATION_VARIANTS_SQL = """
+  ['PT' || cast(p_size AS VARCHAR) || 'M',
+   'PT' || cast(p_size // 10 AS VARCHAR) || 'H' || cast(p_size % 10 AS VARCHAR) || 'S',
+   'P' || cast(p_size AS VARCHAR) || 'DT' || cast(p_size AS VARCHAR) || 'H',
+   'PT' || cast(p_size AS VARCHAR) || 'H' || lpad(cast(p_size AS VARCHAR), 2, '0') || 'M' || cast(p_size AS VARCHAR) || 'S',
+   CASE WHEN p_size > 40 THEN '' ELSE 'P0D' END]"""
+
+
+def _duration_variants():
+    s = F.col("p_size").cast("string")
+    return F.array(
+        F.concat(F.lit("PT"), s, F.lit("M")),
+        F.concat(F.lit("PT"), (F.col("p_size") / 10).cast("int").cast("string"), F.lit("H"),
+                 (F.col("p_size") % 10).cast("string"), F.lit("S")),
+        F.concat(F.lit("P"), s, F.lit("DT"), s, F.lit("H")),
+        F.concat(F.lit("PT"), s, F.lit("H"), F.lpad(s, 2, "0"), F.lit("M"), s, F.lit("S")),
+        F.when(F.col("p_size") > 40, F.lit("")).otherwise(F.lit("P0D")),
+    )
+
+
+@register("iso_duration", f"""
+WITH d AS (SELECT p_partkey, {_DURATION_VARIANTS_SQL} AS l FROM part),
+e AS (SELECT p_partkey, unnest(range(5)) AS variant, unnest(l) AS duration FROM d)
+SELECT p_partkey, variant, duration,
+  coalesce(try_cast(nullif(regexp_extract(duration, 'PT((\\d+)H)?((\\d+)M)?((\\d+)S)?', 2), '') AS INTEGER), 0) AS content_duration_hour,
+  coalesce(try_cast(nullif(regexp_extract(duration, 'PT((\\d+)H)?((\\d+)M)?((\\d+)S)?', 4), '') AS INTEGER), 0) AS content_duration_minutes,
+  coalesce(try_cast(nullif(regexp_extract(duration, 'PT((\\d+)H)?((\\d+)M)?((\\d+)S)?', 6), '') AS INTEGER), 0) AS content_duration_seconds
+FROM e""")
+def q_iso_duration(spark, sf):
+    from snapmart.functions import iso_duration
+    e = td.load(spark, sf, "part").select(
+        "p_partkey", F.posexplode(_duration_variants()).alias("variant", "duration"))
+    return e.select("p_partkey", F.col("variant").cast("bigint").alias("variant"), "duration",
+                    *iso_duration("duration"))
+
+
+@register("distinct_ids", "SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS video_id FROM lineitem")
+def q_distinct_ids(spark, sf):
+    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"))
+    return flatten.distinct_ids(li, "video_id")
+
+
+@register("duplicate_keys", """
+SELECT cast(l_orderkey AS VARCHAR) AS video_id, count(*) AS key_count
+FROM lineitem GROUP BY 1 HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf):
+    from snapmart.operators.dims import duplicate_keys
+    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"))
+    return duplicate_keys(li, ["video_id"])
+
+
+# JSON records built from the events table (a missing key for some rows).
+def _channel_json(events):
+    k = F.get_json_object("props", "$.k")
+    rec = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.struct(F.col("event_type").alias("title"), F.col("props").alias("description"),
+                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+                 F.when(F.col("event_type") != "view", F.lit("fr")).alias("defaultLanguage"),
+                 F.when(F.col("value") > 20, F.lit("SG")).alias("country")).alias("snippet"),
+        F.struct(k.alias("viewCount"), F.col("user_id").cast("string").alias("subscriberCount"),
+                 F.floor("value").cast("string").alias("videoCount")).alias("statistics"),
+    )
+    return events.select(F.to_json(rec).alias("value"))
+
+
+@register("flatten_channels", """
+SELECT cast(event_id AS VARCHAR) AS channel_id, event_type AS title, props AS description,
+       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+       CASE WHEN event_type <> 'view' THEN 'fr' ELSE 'en' END AS default_language,
+       CASE WHEN value > 20 THEN 'SG' ELSE 'global' END AS country,
+       try_cast(json_extract_string(props, '$.k') AS BIGINT) AS views_count,
+       user_id AS subscribers_count, cast(floor(value) AS BIGINT) AS videos_count
+FROM events""")
+def q_flatten_channels(spark, sf):
+    return flatten.flatten_channels(_channel_json(td.load(spark, sf, "events")))
+
+
+def _video_json(part):
+    words = F.split("p_name", " ")
+    rec = F.struct(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.struct(F.col("p_brand").alias("channelId"), F.lit("2001-08-01T00:00:00Z").alias("publishedAt"),
+                 F.col("p_name").alias("title"), F.col("p_type").alias("description"),
+                 F.when(F.col("p_size") > 10, words).alias("tags"),
+                 F.struct(F.when(F.col("p_size") <= 25, F.lit("de")).alias("defaultAudioLanguage"))
+                  .alias("localized")).alias("snippet"),
+        F.struct(F.concat(F.lit("PT"), F.col("p_size").cast("string"), F.lit("M")).alias("duration"),
+                 F.lit("2d").alias("dimension"), F.lit("hd").alias("definition")).alias("contentDetails"),
+        F.struct(F.lit("public").alias("privacyStatus")).alias("status"),
+        F.when(F.col("p_size") > 5, F.struct(F.array(
+            F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.col("p_brand")),
+            F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.regexp_replace("p_type", " ", "_")))
+            .alias("topicCategories"))).alias("topicDetails"),
+        F.struct(F.floor("p_retailprice").cast("string").alias("viewCount"),
+                 F.col("p_size").cast("string").alias("likeCount"),
+                 F.when(F.col("p_size") > 30, F.col("p_size").cast("string")).alias("dislikeCount"),
+                 F.lit("0").alias("favoriteCount"),
+                 F.when(F.col("p_size") < 45, F.lit("3")).alias("commentCount")).alias("statistics"),
+    )
+    return part.select(F.to_json(rec).alias("value"))
+
+
+@register("flatten_videos", """
+SELECT cast(p_partkey AS VARCHAR) AS video_id, p_brand AS channel_id,
+       '2001-08-01T00:00:00Z' AS published_at, p_name AS title, p_type AS description,
+       CASE WHEN p_size > 10 THEN array_to_string(string_split(p_name, ' '), ',') ELSE '' END AS hashtags,
+       CASE WHEN p_size <= 25 THEN 'de' ELSE 'en' END AS audio_language,
+       'PT' || cast(p_size AS VARCHAR) || 'M' AS content_duration, '2d' AS virtual_dimension,
+       'hd' AS quality_definition, 'public' AS privacy_status,
+       CASE WHEN p_size > 5 THEN p_brand || ',' || replace(p_type, ' ', '_') ELSE '' END AS topic_category,
+       cast(floor(p_retailprice) AS BIGINT) AS views_count, cast(p_size AS BIGINT) AS likes_count,
+       CASE WHEN p_size > 30 THEN cast(p_size AS BIGINT) ELSE 0 END AS dislikes_count,
+       cast(0 AS BIGINT) AS favorites_count,
+       CASE WHEN p_size < 45 THEN 3 ELSE 0 END AS comments_count
+FROM part""")
+def q_flatten_videos(spark, sf):
+    return flatten.flatten_videos(_video_json(td.load(spark, sf, "part")))
+
+
+@register("topic_tail", """
+SELECT page_id, string_split(url, '/')[-1] AS topic_category FROM pages""")
+def q_topic_tail(spark, sf):
+    return td.load(spark, sf, "pages").select("page_id", url_tail("url").alias("topic_category"))
+
+
+@register("tags_split", """
+SELECT p_partkey, array_to_string(string_split(array_to_string(string_split(p_name, ' '), ','), ','), '|') AS tags,
+       len(string_split(array_to_string(string_split(p_name, ' '), ','), ',')) AS tag_count
+FROM part""")
+def q_tags_split(spark, sf):
+    joined = F.array_join(F.split("p_name", " "), ",")
+    tags = split_list(joined)
+    return td.load(spark, sf, "part").select(
+        "p_partkey", F.array_join(tags, "|").alias("tags"), F.size(tags).cast("bigint").alias("tag_count"))
+
+
+# Response pages built from conversation turns: one page per turn, one item
+# per non-empty line of its text (a turn of blank text gives an empty page).
+def _conversation_pages(conv):
+    lines = F.filter(F.split("text", "\n"), lambda x: x != "")
+    items = F.transform(lines, lambda x, i: F.struct(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"),
+                    i.cast("string")).alias("id"),
+        F.struct(x.alias("title"), F.col("role").alias("description")).alias("snippet")))
+    return conv.select(F.to_json(F.struct(items.alias("items"))).alias("value"))
+
+
+_CONV_LINES_SQL = """l AS (SELECT conv_id, turn, role,
+    list_filter(string_split(text, chr(10)), lambda x: x <> '') AS lines FROM conversations)"""
+
+
+@register("page_items", f"""
+WITH {_CONV_LINES_SQL},
+e AS (SELECT conv_id, turn, role, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM l)
+SELECT cast(conv_id AS VARCHAR) || '-' || cast(turn AS VARCHAR) || '-' || cast(i AS VARCHAR) AS channel_id,
+       line AS title, role AS description
+FROM e""")
+def q_page_items(spark, sf):
+    pages = _conversation_pages(td.load(spark, sf, "conversations"))
+    return flatten.channel_pages(pages, first_only=False).select("channel_id", "title", "description")
+
+
+@register("first_items", f"""
+WITH {_CONV_LINES_SQL}
+SELECT cast(conv_id AS VARCHAR) || '-' || cast(turn AS VARCHAR) || '-0' AS channel_id,
+       lines[1] AS title, role AS description
+FROM l WHERE len(lines) > 0""")
+def q_first_items(spark, sf):
+    pages = _conversation_pages(td.load(spark, sf, "conversations"))
+    return flatten.channel_pages(pages, first_only=True).select("channel_id", "title", "description")
