@@ -1,13 +1,168 @@
-"""Dimensions: the date dimension and type-1 (overwrite) merges."""
+"""Dimensions: the date dimension and type-1 (overwrite) merges.
+
+Type-1 merge semantics (as a Delta ``MERGE`` with update-set and insert-values):
+
+* matched row: the update columns take the source value, null included;
+  every other column keeps the target value;
+* source row without match: inserted with the insert columns (others null);
+* target row without match: kept;
+* a null key never matches: such source rows are inserted, such target
+  rows kept;
+* two source rows for one matched target row are an error
+  (``on_duplicate="error"``), or the newest wins (``"latest"``).
+
+Plan: null-key rows are split off before the join, so they can not pile up
+in one shuffle partition; the rest is one full outer join on the key, with
+match flags (never ``coalesce(src, tgt)``, which would drop a null update).
+The duplicate guard is a window count over the source partitioned by the
+key, which is the join's own partitioning, so it adds no shuffle; it fails
+inside the job, nothing is collected.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from snapmart.functions import datekey
+from snapmart.sources.tables import (
+    read_latest_version, stored_versions, version_key, write_version,
+)
+
+
+# ---- date dimension --------------------------------------------------------
 
+def date_attributes(d: Column) -> list[Column]:
+    """The date dimension's columns for a date column."""
+    wd = F.weekday(d)  # Monday = 0
+    return [
+        d.alias("date"),
+        F.dayofmonth(d).alias("day"), F.month(d).alias("month"), F.year(d).alias("year"),
+        (wd + 1).alias("day_of_week"),            # ISO: Monday = 1 ... Sunday = 7
+        F.weekofyear(d).alias("week_of_year"),    # ISO week
+        F.quarter(d).alias("quarter"),
+        (wd >= 5).cast("int").alias("is_weekend"),
+        F.date_format(d, "EEEE").alias("day_name"),
+        F.date_format(d, "MMMM").alias("month_name"),
+        F.dayofyear(d).alias("day_of_year"),
+        datekey(d).alias("datekey"),
+    ]
+
+
+def date_dim(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """One row per day of ``[start, end]``, generated in parallel by
+    ``spark.range`` (no driver-side list of rows)."""
+    n = (end - start).days + 1
+    d = F.date_add(F.lit(start), F.col("id").cast("int"))
+    return spark.range(0, max(n, 0)).select(*date_attributes(d))
+
+
+def date_dim_covering(df: DataFrame, column: str) -> DataFrame:
+    """Date dimension spanning the min..max date of a column: one global
+    min/max aggregation, then one row per day of that span."""
+    span = df.agg(F.min(F.to_date(column)).alias("s"), F.max(F.to_date(column)).alias("e"))
+    days = span.select(F.explode(F.sequence("s", "e", F.expr("INTERVAL 1 DAY"))).alias("d"))
+    return days.select(*date_attributes(F.col("d")))
+
+
+# ---- type-1 merge ----------------------------------------------------------
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with their row count (partial counts
     per task first, so a hot key costs one row per task in the shuffle)."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_count"))
             .filter(F.col("key_count") > 1))
+
+
+def _all_keys_set(keys) -> Column:
+    c = F.lit(True)
+    for k in keys:
+        c = c & F.col(k).isNotNull()
+    return c
+
+
+def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
+               insert: list[str] | None = None, on_duplicate: str = "error",
+               newest_first: list | None = None) -> DataFrame:
+    """The target after a type-1 merge of the source (see module doc).
+
+    ``update``: columns overwritten on a match; ``insert``: columns written
+    for a new row (default: all target columns). ``newest_first`` orders
+    source duplicates for ``on_duplicate="latest"``.
+    """
+    if on_duplicate not in ("error", "latest"):
+        raise ValueError("on_duplicate must be 'error' or 'latest'")
+    columns = target.columns
+    types = {f.name: f.dataType for f in target.schema.fields}
+    insert = list(insert or columns)
+    src_cols = [c for c in columns if c in insert or c in update]
+
+    has_key = _all_keys_set(keys)
+    src_ok, src_null = source.filter(has_key), source.filter(~has_key)
+    tgt_ok, tgt_null = target.filter(has_key), target.filter(~has_key)
+
+    by_key = Window.partitionBy(*keys)
+    if on_duplicate == "latest":
+        order = newest_first or [F.col("updated_date").desc_nulls_last()]
+        src_ok = (src_ok.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
+                  .filter(F.col("_rn") == 1).drop("_rn"))
+        dup = None
+    else:
+        src_ok = src_ok.withColumn("_n", F.count(F.lit(1)).over(by_key))
+        dup = F.col("_n")
+
+    s = src_ok.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
+                      *([dup.alias("_s_n")] if dup is not None else []),
+                      F.lit(True).alias("_s"))
+    t = tgt_ok.select(*columns, F.lit(True).alias("_t"))
+    cond = [t[k] == s[f"_s_{k}"] for k in keys]
+    j = t.join(s, cond, "full_outer")
+
+    new = F.col("_t").isNull()
+    matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
+    if dup is not None:
+        j = j.filter(F.when(matched & (F.col("_s_n") > 1), F.raise_error(F.lit(
+            "merge: several source rows match one target row; "
+            "deduplicate the source or use on_duplicate='latest'"))).otherwise(F.lit(True)))
+
+    out = []
+    for c in columns:
+        src_val = F.col(f"_s_{c}") if c in insert else F.lit(None).cast(types[c])
+        if c in keys:
+            v = F.when(new, F.col(f"_s_{c}")).otherwise(F.col(c))
+        elif c in update:
+            v = F.when(new, src_val).when(matched, F.col(f"_s_{c}")).otherwise(F.col(c))
+        else:
+            v = F.when(new, src_val).otherwise(F.col(c))
+        out.append(v.alias(c))
+    merged = j.select(*out)
+
+    inserted_null = src_null.select(*[
+        (F.col(c).cast(types[c]) if c in insert else F.lit(None).cast(types[c])).alias(c)
+        for c in columns])
+    return merged.unionByName(tgt_null.select(*columns)).unionByName(inserted_null)
+
+
+def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,
+                   keys: list[str], update: list[str], insert: list[str] | None,
+                   as_of: dt.date, on_duplicate: str = "error") -> DataFrame:
+    """Merge ``source`` into the dimension stored at ``path`` as of a day.
+
+    The newest version older than ``as_of`` is the merge target; the result
+    is stored as version ``as_of`` (a rerun of the same day replaces it and
+    never reads it). Without an older version this is the first load: the
+    source projected to the dimension's columns.
+    """
+    v = version_key(as_of)
+    columns = [f.name for f in schema.fields]
+    src = source.select(*[F.col(c).cast(f.dataType) for c, f in zip(columns, schema.fields)])
+    if any(x < v for x in stored_versions(spark, path)):
+        target = read_latest_version(spark, path, schema, below=v)
+        result = scd1_merge(target, src, keys, update, insert, on_duplicate)
+    else:
+        result = src
+    write_version(result, path, v)
+    return read_latest_version(spark, path, schema)

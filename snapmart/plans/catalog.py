@@ -417,3 +417,184 @@ FROM l WHERE len(lines) > 0""")
 def q_first_items(spark, sf):
     pages = _conversation_pages(td.load(spark, sf, "conversations"))
     return flatten.channel_pages(pages, first_only=True).select("channel_id", "title", "description")
+
+
+# ---- dimensions, facts, quality ------------------------------------------
+
+from snapmart.operators import dims, facts, quality  # noqa: E402
+from snapmart.sources import read_table  # noqa: E402
+
+DAY1 = dt.date(2000, 1, 1)
+DAY1_SQL = "DATE '2000-01-01'"
+
+
+def _joined_tags(df):
+    return df.withColumn("hashtags", F.array_join("hashtags", ","))
+
+
+@register("date_dim", """
+WITH span AS (SELECT min(cast(o_orderdate AS DATE)) AS s, max(cast(o_orderdate AS DATE)) AS e FROM orders),
+days AS (SELECT cast(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date FROM span)
+SELECT date, cast(day(date) AS INTEGER) AS day, cast(month(date) AS INTEGER) AS month,
+       cast(year(date) AS INTEGER) AS year, cast(isodow(date) AS INTEGER) AS day_of_week,
+       cast(weekofyear(date) AS INTEGER) AS week_of_year, cast(quarter(date) AS INTEGER) AS quarter,
+       cast(isodow(date) >= 6 AS INTEGER) AS is_weekend, dayname(date) AS day_name,
+       monthname(date) AS month_name, cast(dayofyear(date) AS INTEGER) AS day_of_year,
+       strftime(date, '%Y%m%d') AS datekey
+FROM days""")
+def q_date_dim(spark, sf):
+    """Date dimension over the span of order dates, stored by year and month
+    and read back."""
+    d = dims.date_dim_covering(td.load(spark, sf, "orders"), "o_orderdate")
+    path = scratch_path(spark, "date_dim")
+    d.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    return read_table(spark, path, schemas.DATE_DIM).select(*schemas.DATE_DIM.fieldNames())
+
+
+def _video_slices(spark, sf):
+    dim = td.video_dim(td.load(spark, sf, "orders"), AS_OF)
+    day1 = (dim.filter(F.col("published_date") < F.lit(DAY1))
+            .withColumn("updated_date", F.lit(DAY1)))
+    day2 = (dim.filter(F.col("published_date") >= F.lit(dt.date(1999, 1, 1)))
+            .withColumn("channel_id", F.concat(F.lit("moved-"), "channel_id"))
+            .withColumn("title", F.concat("title", F.lit("-v2")))
+            .withColumn("privacy_status", F.when(F.col("privacy_status") != "P", F.col("privacy_status"))))
+    return day1, day2
+
+
+@register("scd1_merge_video", f"""
+WITH {VIDEO_DIM_SQL},
+t AS (SELECT * REPLACE ({DAY1_SQL} AS updated_date) FROM video_dim WHERE published_date < {DAY1_SQL}),
+s AS (SELECT * REPLACE ('moved-' || channel_id AS channel_id, title || '-v2' AS title,
+        CASE WHEN privacy_status <> 'P' THEN privacy_status END AS privacy_status)
+      FROM video_dim WHERE published_date >= DATE '1999-01-01')
+SELECT CASE WHEN t.video_id IS NULL THEN s.video_id ELSE t.video_id END AS video_id,
+""" + ",\n".join(
+    (f"CASE WHEN s.video_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+     if c in schemas.VIDEO_DIM_UPDATE else
+     f"CASE WHEN t.video_id IS NULL THEN s.{c} ELSE t.{c} END AS {c}")
+    for c in schemas.VIDEO_DIM_COLUMNS[1:]) + """
+FROM t FULL OUTER JOIN s ON t.video_id = s.video_id""")
+def q_scd1_merge_video(spark, sf):
+    day1, day2 = _video_slices(spark, sf)
+    path = scratch_path(spark, "video_dim")
+    args = dict(schema=schemas.VIDEO_DIM, keys=["video_id"], update=schemas.VIDEO_DIM_UPDATE,
+                insert=schemas.VIDEO_DIM_COLUMNS)
+    dims.load_dimension(spark, path, day1, as_of=DAY1, **args)
+    return _joined_tags(dims.load_dimension(spark, path, day2, as_of=AS_OF, **args))
+
+
+@register("scd1_merge_channel", f"""
+WITH {CHANNEL_DIM_SQL},
+cn AS (SELECT c.*, c_nationkey AS nk FROM channel_dim c JOIN customer ON channel_id = cast(c_custkey AS VARCHAR)),
+t AS (SELECT * EXCLUDE (nk) REPLACE ({DAY1_SQL} AS updated_date) FROM cn WHERE nk < 15),
+s AS (SELECT * EXCLUDE (nk) REPLACE (title || '-v2' AS title, DATE '2001-01-01' AS published_date,
+        CASE WHEN nk <> 20 THEN country END AS country) FROM cn WHERE nk >= 10)
+SELECT CASE WHEN t.channel_id IS NULL THEN s.channel_id ELSE t.channel_id END AS channel_id,
+""" + ",\n".join(
+    (f"CASE WHEN s.channel_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+     if c in schemas.CHANNEL_DIM_UPDATE else
+     f"CASE WHEN t.channel_id IS NULL THEN s.{c} ELSE t.{c} END AS {c}")
+    for c in schemas.CHANNEL_DIM_COLUMNS[1:]) + """
+FROM t FULL OUTER JOIN s ON t.channel_id = s.channel_id""")
+def q_scd1_merge_channel(spark, sf):
+    cust = td.load(spark, sf, "customer")
+    dim = td.channel_dim(cust, td.load(spark, sf, "nation"), AS_OF)
+    nk = cust.select(F.col("c_custkey").cast("string").alias("channel_id"), F.col("c_nationkey").alias("nk"))
+    dim = dim.join(nk, "channel_id")
+    day1 = dim.filter(F.col("nk") < 15).withColumn("updated_date", F.lit(DAY1)).drop("nk")
+    day2 = (dim.filter(F.col("nk") >= 10)
+            .withColumn("title", F.concat("title", F.lit("-v2")))
+            .withColumn("published_date", F.lit(dt.date(2001, 1, 1)))
+            .withColumn("country", F.when(F.col("nk") != 20, F.col("country"))).drop("nk"))
+    path = scratch_path(spark, "channel_dim")
+    args = dict(schema=schemas.CHANNEL_DIM, keys=["channel_id"], update=schemas.CHANNEL_DIM_UPDATE,
+                insert=schemas.CHANNEL_DIM_COLUMNS)
+    dims.load_dimension(spark, path, day1, as_of=DAY1, **args)
+    return dims.load_dimension(spark, path, day2, as_of=AS_OF, **args)
+
+
+@register("scd1_first_load", f"WITH {CHANNEL_DIM_SQL} SELECT * FROM channel_dim")
+def q_scd1_first_load(spark, sf):
+    dim = td.channel_dim(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"), AS_OF)
+    path = scratch_path(spark, "channel_dim_first")
+    return dims.load_dimension(spark, path, dim, schemas.CHANNEL_DIM, ["channel_id"],
+                               schemas.CHANNEL_DIM_UPDATE, schemas.CHANNEL_DIM_COLUMNS, AS_OF)
+
+
+@register("fact_snapshot", f"""
+WITH {VIDEO_FACT_SQL}
+SELECT f.video_id, cast(o_custkey AS VARCHAR) AS channel_id, views_count, likes_count,
+       dislikes_count, favorites_count, comments_count, snapshot_date
+FROM video_fact f LEFT JOIN orders ON f.video_id = cast(o_orderkey AS VARCHAR)""")
+def q_fact_snapshot(spark, sf):
+    """Every yearly snapshot written at once, the newest written again (a
+    rerun), and the table read back: each day holds one copy."""
+    fact = td.video_fact(td.load(spark, sf, "lineitem"), td.load(spark, sf, "orders"))
+    fact = fact.select(*schemas.VIDEO_FACT_COLUMNS)
+    path = scratch_path(spark, "video_fact")
+    facts.write_snapshot(fact, path)
+    facts.write_snapshot(reports.latest(fact), path)
+    return facts.read_snapshots(spark, path, schemas.VIDEO_FACT).select(*schemas.VIDEO_FACT_COLUMNS)
+
+
+_CURATED_CHANNEL_SQL = f"""curated AS (
+  SELECT cast(c_custkey AS VARCHAR) AS channel_id, c_name AS title, c_mktsegment AS description,
+         make_date(c_nationkey + 1990, 1, 1) AS published_date, 'en' AS default_language,
+         n_name AS country, cast(floor(c_acctbal) AS BIGINT) AS views_count,
+         cast(c_nationkey AS BIGINT) AS subscribers_count, cast(0 AS BIGINT) AS videos_count,
+         {AS_OF_SQL} AS updated_date
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+
+_CURATED_VIDEO_SQL = f"""curated AS (
+  SELECT cast(o_orderkey AS VARCHAR) AS video_id, cast(o_custkey AS VARCHAR) AS channel_id,
+         cast(o_orderdate AS DATE) AS published_date
+  FROM orders)"""
+
+
+def _dq_sql(cte: str, rules, ncols: int, as_of_sql: str) -> str:
+    cols = sorted({r.column for r in rules if r.column})
+    m = ["count(*) AS total"]
+    for c in cols:
+        m += [f"count({c}) AS nn_{c}", f"count(DISTINCT {c}) AS d_{c}"]
+    sel = []
+    for r in rules:
+        c = r.column
+        if r.kind == "ColumnCount":
+            actual, ok = f"{ncols}.0", f"{ncols} = {r.value}"
+        elif r.kind == "Completeness":
+            actual = f"nn_{c} * 1.0 / nullif(total, 0)"
+            ok = f"coalesce({actual} = {float(r.value)}, false)"
+        elif r.kind == "DistinctValuesCount":
+            actual, ok = f"d_{c} * 1.0", f"d_{c} = {r.value}"
+        elif r.kind == "IsComplete":
+            actual, ok = f"nn_{c} * 1.0 / nullif(total, 0)", f"nn_{c} = total"
+        else:  # IsPrimaryKey
+            actual, ok = f"d_{c} * 1.0 / nullif(total, 0)", f"nn_{c} = total AND d_{c} = total"
+        exp = "NULL" if r.expected() is None else f"{r.expected()}"
+        col = "NULL" if c is None else f"'{c}'"
+        sel.append(
+            f"SELECT '{r.text()}' AS rule, '{r.kind}' AS rule_type, cast({col} AS VARCHAR) AS \"column\", "
+            f"cast({exp} AS DOUBLE) AS expected, cast({actual} AS DOUBLE) AS actual, "
+            f"CASE WHEN {ok} THEN 'Passed' ELSE 'Failed' END AS outcome, "
+            f"CASE WHEN {ok} THEN NULL ELSE '{r.reason()}' END AS failure_reason, "
+            f"{as_of_sql} AS updated_at, strftime({as_of_sql}, '%Y%m%d') AS datekey FROM m")
+    return f"WITH {cte}, m AS (SELECT {', '.join(m)} FROM curated)\n" + "\nUNION ALL\n".join(sel)
+
+
+@register("dq_channel", _dq_sql(_CURATED_CHANNEL_SQL, quality.CHANNEL_RULES, 10, AS_OF_SQL))
+def q_dq_channel(spark, sf):
+    raw = td.raw_channel(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"))
+    return quality.evaluate(clean.curate_channel(raw, AS_OF), quality.CHANNEL_RULES, AS_OF)
+
+
+@register("dq_video", _dq_sql(_CURATED_VIDEO_SQL, quality.VIDEO_RULES, 20, AS_OF_SQL))
+def q_dq_video(spark, sf):
+    """Curated videos stored for two days; the rules see only the run day."""
+    curated = clean.curate_video(td.raw_video(td.load(spark, sf, "orders")), AS_OF)
+    path = scratch_path(spark, "curated_video")
+    old = curated.filter(F.col("published_date") < F.lit(DAY1)).withColumn("updated_date", F.lit(DAY1))
+    write_days(old, path, "updated_date")
+    write_days(curated, path, "updated_date")
+    today = read_day(spark, path, schemas.CURATED_VIDEO, AS_OF)
+    return quality.evaluate(today, quality.VIDEO_RULES, AS_OF)

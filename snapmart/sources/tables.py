@@ -80,3 +80,16 @@ def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
     versions = full if below is None else full.filter(F.col(VERSION) < F.lit(int(below)))
     top = versions.select(F.max(VERSION)).scalar()
     return full.filter(F.col(VERSION) == top).drop(VERSION)
+
+
+def stored_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions present under ``path`` (a folder listing on the driver)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(VERSION + "="):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
