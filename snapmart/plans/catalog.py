@@ -598,3 +598,42 @@ def q_dq_video(spark, sf):
     write_days(curated, path, "updated_date")
     today = read_day(spark, path, schemas.CURATED_VIDEO, AS_OF)
     return quality.evaluate(today, quality.VIDEO_RULES, AS_OF)
+
+
+# ---- the cleaning job over CSV --------------------------------------------
+
+def _allowed_channels(spark, sf):
+    cust = td.load(spark, sf, "customer")
+    return (cust.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT)
+            .select(F.col("c_custkey").cast("string").alias("channel_id")))
+
+
+@register("curate_video", f"""
+WITH {VIDEO_DIM_SQL}
+SELECT video_id, channel_id, published_date, title, description, hashtags, audio_language,
+       content_duration_hour, content_duration_minutes, content_duration_seconds,
+       virtual_dimension, quality_definition, privacy_status, topic_category,
+       cast(floor(o_totalprice) AS BIGINT) AS views_count, cast(0 AS BIGINT) AS likes_count,
+       cast(0 AS BIGINT) AS dislikes_count, cast(0 AS BIGINT) AS favorites_count,
+       cast(0 AS BIGINT) AS comments_count, updated_date
+FROM video_dim JOIN orders ON video_id = cast(o_orderkey AS VARCHAR)
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}')""")
+def q_curate_video(spark, sf):
+    """Raw listing as CSV -> allow-list split -> curated day -> read back."""
+    root = scratch_path(spark, "clean_video")
+    write_csv(td.raw_video(td.load(spark, sf, "orders")), f"{root}/raw")
+    raw = read_csv(spark, f"{root}/raw", schemas.RAW_VIDEO)
+    ok, _ = clean.split_allowed(raw, "channel_id", _allowed_channels(spark, sf))
+    write_days(clean.curate_video(ok, AS_OF), f"{root}/curated", "updated_date")
+    return _joined_tags(read_day(spark, f"{root}/curated", schemas.CURATED_VIDEO, AS_OF)
+                        .select(*schemas.CURATED_VIDEO.fieldNames()))
+
+
+@register("curate_channel", f"WITH {_CURATED_CHANNEL_SQL} SELECT * FROM curated")
+def q_curate_channel(spark, sf):
+    root = scratch_path(spark, "clean_channel")
+    write_csv(td.raw_channel(td.load(spark, sf, "customer"), td.load(spark, sf, "nation")), f"{root}/raw")
+    raw = read_csv(spark, f"{root}/raw", schemas.RAW_CHANNEL)
+    write_days(clean.curate_channel(raw, AS_OF), f"{root}/curated", "updated_date")
+    return (read_day(spark, f"{root}/curated", schemas.CURATED_CHANNEL, AS_OF)
+            .select(*schemas.CURATED_CHANNEL.fieldNames()))
