@@ -45,12 +45,22 @@ def split_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, DataFrame
     return df.filter(ok), df.filter(~F.coalesce(ok, F.lit(False)))
 
 
+def flag_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, Column]:
+    """``df`` with a never-null boolean telling clean rows. For a DataFrame
+    allow-list this is a left join against its distinct keys (so no row is
+    repeated), broadcast by Spark only when measured small enough."""
+    if isinstance(ids, DataFrame):
+        keys = ids.select(column).distinct().withColumn("_allowed", F.lit(True))
+        return df.join(keys, column, "left"), F.coalesce(F.col("_allowed"), F.lit(False))
+    return df, F.coalesce(allowed(column, ids), F.lit(False))
+
+
 def profile(df: DataFrame, column: str, ids, columns: list[str] | None = None) -> DataFrame:
     """One row: for every column, the number of clean rows that are null or
     contain ``NULL``; plus ``corrupt_records``, the rows outside the list.
     One scan and one global aggregation (partial per task)."""
-    ok = F.coalesce(allowed(column, ids), F.lit(False))
     cols = columns or df.columns
+    df, ok = flag_allowed(df, column, ids)
     return df.agg(*[F.count_if(ok & null_or_text_null(c)).alias(c) for c in cols],
                   F.count_if(~ok).alias("corrupt_records"))
 

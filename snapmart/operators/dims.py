@@ -11,9 +11,9 @@ Type-1 merge semantics (as a Delta ``MERGE`` with update-set and insert-values):
 * two source rows for one matched target row are an error
   (``on_duplicate="error"``), or the newest wins (``"latest"``).
 
-Plan: null-key rows are split off before the join, so they can not pile up
-in one shuffle partition; the rest is one full outer join on the key, with
-match flags (never ``coalesce(src, tgt)``, which would drop a null update).
+Plan: one full outer join on the key plus a salt that spreads null-key rows
+(which would otherwise all hash to one shuffle partition), with match flags
+(never ``coalesce(src, tgt)``, which would drop a null update).
 The duplicate guard is a window count over the source partitioned by the
 key, which is the join's own partitioning, so it adds no shuffle; it fails
 inside the job, nothing is collected.
@@ -84,6 +84,19 @@ def _all_keys_set(keys) -> Column:
     return c
 
 
+# Null-key rows are spread over this many buckets per side.
+NULL_KEY_BUCKETS = 4096
+
+
+def _salt(df: DataFrame, keys, sign: int) -> Column:
+    """0 for a row with a full key; for a row with a null key, a bucket
+    number from a hash of the whole row, positive for the target side and
+    negative for the source side, so such rows spread over partitions and
+    can never meet a row of the other side."""
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_BUCKETS)) + 1
+    return F.when(_all_keys_set(keys), F.lit(0)).otherwise(bucket * sign).cast("int")
+
+
 def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
                insert: list[str] | None = None, on_duplicate: str = "error",
                newest_first: list | None = None) -> DataFrame:
@@ -92,6 +105,11 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
     ``update``: columns overwritten on a match; ``insert``: columns written
     for a new row (default: all target columns). ``newest_first`` orders
     source duplicates for ``on_duplicate="latest"``.
+
+    One scan per side and one full outer join on ``(keys, salt)``: the salt
+    is 0 for every row with a key, so those match as usual, while null-key
+    rows are spread over many partitions instead of all hashing to one
+    (skew joins do not split full outer joins) and never match.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
@@ -100,25 +118,23 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
     insert = list(insert or columns)
     src_cols = [c for c in columns if c in insert or c in update]
 
-    has_key = _all_keys_set(keys)
-    src_ok, src_null = source.filter(has_key), source.filter(~has_key)
-    tgt_ok, tgt_null = target.filter(has_key), target.filter(~has_key)
-
-    by_key = Window.partitionBy(*keys)
+    src = source.withColumn("_salt", _salt(source, keys, -1))
+    by_key = Window.partitionBy(*keys, "_salt")
     if on_duplicate == "latest":
         order = newest_first or [F.col("updated_date").desc_nulls_last()]
-        src_ok = (src_ok.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
-                  .filter(F.col("_rn") == 1).drop("_rn"))
+        src = (src.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
+               .filter((F.col("_rn") == 1) | ~_all_keys_set(keys)).drop("_rn"))
         dup = None
     else:
-        src_ok = src_ok.withColumn("_n", F.count(F.lit(1)).over(by_key))
+        src = src.withColumn("_n", F.count(F.lit(1)).over(by_key))
         dup = F.col("_n")
 
-    s = src_ok.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
-                      *([dup.alias("_s_n")] if dup is not None else []),
-                      F.lit(True).alias("_s"))
-    t = tgt_ok.select(*columns, F.lit(True).alias("_t"))
-    cond = [t[k] == s[f"_s_{k}"] for k in keys]
+    s = src.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
+                   F.col("_salt").alias("_s_salt"),
+                   *([dup.alias("_s_n")] if dup is not None else []),
+                   F.lit(True).alias("_s"))
+    t = target.select(*columns, _salt(target, keys, 1).alias("_salt"), F.lit(True).alias("_t"))
+    cond = [t[k] == s[f"_s_{k}"] for k in keys] + [t["_salt"] == s["_s_salt"]]
     j = t.join(s, cond, "full_outer")
 
     new = F.col("_t").isNull()
@@ -138,12 +154,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
         else:
             v = F.when(new, src_val).otherwise(F.col(c))
         out.append(v.alias(c))
-    merged = j.select(*out)
-
-    inserted_null = src_null.select(*[
-        (F.col(c).cast(types[c]) if c in insert else F.lit(None).cast(types[c])).alias(c)
-        for c in columns])
-    return merged.unionByName(tgt_null.select(*columns)).unionByName(inserted_null)
+    return j.select(*out)
 
 
 def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,

@@ -21,8 +21,9 @@ def read_csv(spark: SparkSession, path, schema: StructType, multiline: bool = Tr
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header + rows; text kept byte for byte (no whitespace trimming),
-    null written as an empty field and '' as a quoted empty field."""
+    """Header + rows; text kept byte for byte (no whitespace trimming).
+    Null and '' both read back as null (an empty field), as in the
+    listing files, where the extractor writes both the same way."""
     (df.write.mode(mode)
        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
                 **_QUOTING)

@@ -13,10 +13,8 @@ def test_query_matches_oracle(spark, name):
     assert not r["problems"], r
 
 
-def test_every_query_has_an_oracle_or_a_test():
-    # queries without an oracle are covered by a brute-force test elsewhere
-    without = set(E.queries()) - set(E.oracle_sql())
-    assert without <= {"flatten_items_first"} | without  # listed in README
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

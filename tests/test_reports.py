@@ -1,0 +1,60 @@
+"""Reports: ties at the rank cut, null views, window ends, date dimension."""
+
+import datetime as dt
+
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from snapmart.operators import dims, reports
+
+FACT = "video_id string, views_count long, likes_count long, dislikes_count long, comments_count long, snapshot_date string"
+DIM = "video_id string, title string, channel_id string, published_date date"
+
+
+def test_top_viewed_keeps_ties_and_null_ranks_last(spark):
+    views = [100, 90, 90, 80, 70, 60, 50, 40, 30, 20, 10, 10, 5]
+    fact = [(f"v{i}", v, 0, 0, 0, "20240102") for i, v in enumerate(views)]
+    fact += [("old", 10**9, 0, 0, 0, "20240101"), ("vn", None, 0, 0, 0, "20240102")]
+    dim = [(r[0], "t", "c", dt.date(2024, 1, 1)) for r in fact]
+    f, d = spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM)
+    got = [r.views_count for r in reports.top_viewed(d, f, 10).collect()]
+    assert got == [100, 90, 90, 80, 70, 60, 50, 40, 30, 20, 10, 10]
+    few = [r.views_count for r in reports.top_viewed(d, f, 20).collect()]
+    assert few[-1] is None and len(few) == len(views) + 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=25), st.integers(1, 5))
+def test_semi_join_top_k_equals_dense_rank(spark, values, n):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v long")
+    ranked = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.desc_nulls_last("v"))))
+    want = sorted(r.i for r in ranked.filter(F.col("r") <= n).collect())
+    assert sorted(r.i for r in reports.top_ranked(df, "v", n).collect()) == want
+
+
+def test_engagement_ratio_nulls_last(spark):
+    fact = [("a", 0, 5, 0, 1, "1"), ("b", 10, 5, 0, 1, "1"), ("c", None, 1, 0, 1, "1")]
+    dim = [(k, "t", "c", dt.date(2024, 1, 1)) for k in "abc"]
+    out = reports.engagement_ratio(spark.createDataFrame(dim, DIM), spark.createDataFrame(fact, FACT)).collect()
+    assert [r.video_id for r in out][0] == "b" and out[1].like_to_view_ratio is None
+
+
+def test_trend_window_ends_included_null_out(spark):
+    as_of = dt.date(2024, 6, 30)
+    rows = [("a", "t", "c", dt.date(2023, 6, 30)), ("b", "t", "c", as_of),
+            ("c", "t", "c", dt.date(2023, 6, 29)), ("d", "t", "c", None)]
+    recent = reports.recent_uploads(spark.createDataFrame(rows, DIM), as_of, 12)
+    assert sorted(r.video_id for r in recent.collect()) == ["a", "b"]
+    q = {(r.quarter, r.video_cnt_per_quarter) for r in reports.uploads_per_quarter(recent).collect()}
+    assert q == {("Q2", 2)}
+    m = [(r.month_name, r.video_cnt_per_month) for r in reports.uploads_per_month(recent).collect()]
+    assert m == [("June", 2)]
+
+
+def test_date_dim(spark):
+    d = dims.date_dim(spark, dt.date(2010, 1, 1), dt.date(2024, 12, 31))
+    assert d.count() == 5479
+    r = d.filter(F.col("date") == F.lit(dt.date(2024, 12, 30))).collect()[0]
+    assert (r.day_of_week, r.week_of_year, r.quarter, r.day_of_year, r.datekey, r.is_weekend,
+            r.day_name, r.month_name) == (1, 1, 4, 365, "20241230", 0, "Monday", "December")
