@@ -637,3 +637,30 @@ def q_curate_channel(spark, sf):
     write_days(clean.curate_channel(raw, AS_OF), f"{root}/curated", "updated_date")
     return (read_day(spark, f"{root}/curated", schemas.CURATED_CHANNEL, AS_OF)
             .select(*schemas.CURATED_CHANNEL.fieldNames()))
+
+
+# ---- the same reports as Spark SQL text over named tables -----------------
+
+from snapmart.plans import sql_reports  # noqa: E402
+
+
+def _sql_report(name, channel=False):
+    def fn(spark, sf):
+        if channel:
+            d, f = _channel(spark, sf)
+            sql_reports.register_tables(channel_dim=d, channel_fact=f)
+        else:
+            d, f = _video(spark, sf)
+            sql_reports.register_tables(video_dim=d, video_fact=f)
+        return sql_reports.run(spark, name, AS_OF, 12)
+    return fn
+
+
+for _name, _same, _ch in (("top_viewed", "top_viewed", False),
+                          ("likes_to_view_ratio", "engagement_ratio", False),
+                          ("channel_video_counts", "channel_video_counts", True),
+                          ("channel_subscriber_counts", "channel_subscriber_counts", True),
+                          ("uploads_per_channel", "trend_channel", False),
+                          ("uploads_per_quarter", "trend_quarter", False),
+                          ("uploads_per_month", "trend_month", False)):
+    register(f"sql_{_name}", ORACLE[_same])(_sql_report(_name, _ch))
