@@ -360,7 +360,7 @@ SELECT cast(p_partkey AS VARCHAR) AS video_id, p_brand AS channel_id,
        cast(floor(p_retailprice) AS BIGINT) AS views_count, cast(p_size AS BIGINT) AS likes_count,
        CASE WHEN p_size > 30 THEN cast(p_size AS BIGINT) ELSE 0 END AS dislikes_count,
        cast(0 AS BIGINT) AS favorites_count,
-       CASE WHEN p_size < 45 THEN 3 ELSE 0 END AS comments_count
+       cast(CASE WHEN p_size < 45 THEN 3 ELSE 0 END AS BIGINT) AS comments_count
 FROM part""")
 def q_flatten_videos(spark, sf):
     return flatten.flatten_videos(_video_json(td.load(spark, sf, "part")))
