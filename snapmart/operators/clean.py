@@ -45,6 +45,13 @@ def split_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, DataFrame
     return df.filter(ok), df.filter(~F.coalesce(ok, F.lit(False)))
 
 
+def label_allowed(df: DataFrame, column: str, ids, label: str = "part") -> DataFrame:
+    """Both parts of the split in one pass: ``label`` is 'clean' or 'corrupt'."""
+    df, ok = flag_allowed(df, column, ids)
+    return df.select(F.when(ok, F.lit("clean")).otherwise(F.lit("corrupt")).alias(label),
+                     *[c for c in df.columns if c != "_allowed"])
+
+
 def flag_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, Column]:
     """``df`` with a never-null boolean telling clean rows. For a DataFrame
     allow-list this is a left join against its distinct keys (so no row is

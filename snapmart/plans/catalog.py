@@ -203,11 +203,8 @@ SELECT CASE WHEN cast(o_custkey AS VARCHAR) IN ({_FIVE_SQL}) THEN 'clean' ELSE '
        cast(o_orderkey AS VARCHAR) AS video_id, cast(o_custkey AS VARCHAR) AS channel_id
 FROM orders""")
 def q_allow_split(spark, sf):
-    raw = td.raw_video(td.load(spark, sf, "orders"))
-    ok, bad = clean.split_allowed(raw, "channel_id", FIVE_CHANNELS)
-    cols = ["video_id", "channel_id"]
-    return (ok.select(F.lit("clean").alias("part"), *cols)
-            .unionByName(bad.select(F.lit("corrupt").alias("part"), *cols)))
+    raw = td.raw_video(td.load(spark, sf, "orders")).select("video_id", "channel_id")
+    return clean.label_allowed(raw, "channel_id", FIVE_CHANNELS)
 
 
 def _profile_input(raw):

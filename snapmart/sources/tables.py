@@ -3,9 +3,9 @@
 * Curated and fact tables are partitioned by a day column; a write replaces
   only the days it holds (dynamic partition overwrite), so a rerun of the
   same day gives the same table instead of doubling it.
-* A dimension is rewritten by a merge; it is stored as ``version=<n>``
-  partitions and readers take the highest version. The merge never
-  overwrites the folder it reads from.
+* A dimension is rewritten by a merge; each result is stored in its own
+  ``version=<n>`` folder and readers take the highest committed version.
+  The merge never overwrites the folder it reads from.
 """
 
 from __future__ import annotations
@@ -62,34 +62,41 @@ def version_key(as_of: dt.date | str) -> int:
     return int(str(as_of).replace("-", ""))
 
 
+def version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{VERSION}={int(version)}"
+
+
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Store a whole new version of a table beside the older ones."""
-    (df.withColumn(VERSION, F.lit(int(version)))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(VERSION).parquet(path))
+    """Store a whole new version of a table in its own folder beside the
+    older ones. Spark's commit protocol marks the folder ``_SUCCESS`` only
+    when the job commits, so a write cut short (lost executor or driver) is
+    never read: readers fall back to the newest committed version."""
+    df.write.mode("overwrite").parquet(version_path(path, version))
 
 
 def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
                         below: int | None = None) -> DataFrame:
-    """The highest stored version (below ``below`` when given, so that a
-    same-day rerun merges against the previous day and never reads the
-    folder it replaces). The max is taken over the partition column only
-    (no data columns are read) and then prunes the scan."""
-    full = spark.read.schema(
-        T.StructType(schema.fields + [T.StructField(VERSION, T.IntegerType())])).parquet(path)
-    versions = full if below is None else full.filter(F.col(VERSION) < F.lit(int(below)))
-    top = versions.select(F.max(VERSION)).scalar()
-    return full.filter(F.col(VERSION) == top).drop(VERSION)
+    """The newest committed version (older than ``below`` when given, so that
+    a same-day rerun merges against the previous day and never reads the
+    folder it replaces). Picking it is a folder listing on the driver; the
+    scan then reads only that version's files."""
+    versions = [v for v in stored_versions(spark, path) if below is None or v < int(below)]
+    if not versions:
+        raise FileNotFoundError(f"no committed version under {path}")
+    return read_table(spark, version_path(path, max(versions)), schema)
 
 
 def stored_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions present under ``path`` (a folder listing on the driver)."""
+    """Committed versions under ``path`` (folders with a ``_SUCCESS`` marker;
+    a listing on the driver, no data read)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
+    jvm = spark.sparkContext._jvm
     out = []
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if s.isDirectory() and name.startswith(VERSION + "="):
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if (st.isDirectory() and name.startswith(VERSION + "=")
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(name.split("=", 1)[1]))
     return sorted(out)

@@ -86,3 +86,14 @@ def test_merge_twice_equals_once(spark, tgt, src):
     twice = scd1_merge(once, s, ["id"], update=["title", "updated_date"])
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted(map(tuple, once.collect()), key=key) == sorted(map(tuple, twice.collect()), key=key)
+
+
+def test_uncommitted_version_is_ignored(spark, tmp_path):
+    from snapmart.sources.tables import read_latest_version, version_path, write_version
+    path = str(tmp_path / "dim")
+    good = spark.createDataFrame([("a", "t", "k", D1)], SCHEMA)
+    write_version(good, path, 20240101)
+    # a later version whose job never committed: files but no _SUCCESS marker
+    spark.createDataFrame([("z", "bad", "k", D2)], SCHEMA).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version_path(path, 20240102))
+    assert [r.id for r in read_latest_version(spark, path, SCHEMA).collect()] == ["a"]
