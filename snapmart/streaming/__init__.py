@@ -1,0 +1,9 @@
+"""No streaming operators, on purpose.
+
+The source pipeline is a daily batch keyed on the run date: it has no
+stream source, watermark, event-time window, state or late-data handling
+(SURVEY §2.12), so nothing here re-expresses one. The daily run in
+``snapmart.plans.daily`` is idempotent per day (day partitions are
+replaced, dimensions versioned), which is what a scheduler retrying or
+backfilling days needs.
+"""
