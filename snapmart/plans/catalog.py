@@ -11,8 +11,14 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from snapmart.operators import reports
+from pyspark.sql import functions as F
+
+from snapmart import schemas
+from snapmart.functions import iso_duration, split_list, url_tail
+from snapmart.operators import clean, dims, facts, flatten, quality, reports
+from snapmart.plans import sql_reports
+from snapmart.session import scratch_path
+from snapmart.sources import read_csv, read_day, read_table, write_csv, write_days
 from snapmart.sources import testdata as td
 
 # The run date of the test data: the last order date.
@@ -173,13 +179,7 @@ def q_trend_month(spark, sf):
 
 # ---- sources, cleaning, flattening ----------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from snapmart import schemas  # noqa: E402
-from snapmart.functions import duration_part, split_list, url_tail  # noqa: E402
-from snapmart.operators import clean, flatten  # noqa: E402
-from snapmart.session import scratch_path  # noqa: E402
-from snapmart.sources import read_csv, read_day, write_csv, write_days  # noqa: E402
 
 # Fixed parameter: the five channels (customers) of the allow-list checks.
 FIVE_CHANNELS = ["7", "42", "99", "256", "1000"]
@@ -272,7 +272,6 @@ SELECT p_partkey, variant, duration,
   coalesce(try_cast(nullif(regexp_extract(duration, 'PT((\\d+)H)?((\\d+)M)?((\\d+)S)?', 6), '') AS INTEGER), 0) AS content_duration_seconds
 FROM e""")
 def q_iso_duration(spark, sf):
-    from snapmart.functions import iso_duration
     e = td.load(spark, sf, "part").select(
         "p_partkey", F.posexplode(_duration_variants()).alias("variant", "duration"))
     return e.select("p_partkey", F.col("variant").cast("bigint").alias("variant"), "duration",
@@ -289,9 +288,8 @@ def q_distinct_ids(spark, sf):
 SELECT cast(l_orderkey AS VARCHAR) AS video_id, count(*) AS key_count
 FROM lineitem GROUP BY 1 HAVING count(*) > 1""")
 def q_duplicate_keys(spark, sf):
-    from snapmart.operators.dims import duplicate_keys
     li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"))
-    return duplicate_keys(li, ["video_id"])
+    return dims.duplicate_keys(li, ["video_id"])
 
 
 # JSON records built from the events table (a missing key for some rows).
@@ -418,8 +416,6 @@ def q_first_items(spark, sf):
 
 # ---- dimensions, facts, quality ------------------------------------------
 
-from snapmart.operators import dims, facts, quality  # noqa: E402
-from snapmart.sources import read_table  # noqa: E402
 
 DAY1 = dt.date(2000, 1, 1)
 DAY1_SQL = "DATE '2000-01-01'"
@@ -448,11 +444,21 @@ def q_date_dim(spark, sf):
     return read_table(spark, path, schemas.DATE_DIM).select(*schemas.DATE_DIM.fieldNames())
 
 
+def _null_id_when(priority):
+    # a listing whose id went missing: pending videos of one priority
+    lost = (F.col("privacy_status") == "P") & (F.col("quality_definition") == priority)
+    return F.when(~lost, F.col("video_id"))
+
+
 def _video_slices(spark, sf):
+    """Day 1: videos published before 2000; day 2: from 1999 on, with new
+    titles, a changed kept column, null statuses; some ids null on each day."""
     dim = td.video_dim(td.load(spark, sf, "orders"), AS_OF)
     day1 = (dim.filter(F.col("published_date") < F.lit(DAY1))
-            .withColumn("updated_date", F.lit(DAY1)))
+            .withColumn("updated_date", F.lit(DAY1))
+            .withColumn("video_id", _null_id_when("1-URGENT")))
     day2 = (dim.filter(F.col("published_date") >= F.lit(dt.date(1999, 1, 1)))
+            .withColumn("video_id", _null_id_when("2-HIGH"))
             .withColumn("channel_id", F.concat(F.lit("moved-"), "channel_id"))
             .withColumn("title", F.concat("title", F.lit("-v2")))
             .withColumn("privacy_status", F.when(F.col("privacy_status") != "P", F.col("privacy_status"))))
@@ -461,15 +467,20 @@ def _video_slices(spark, sf):
 
 @register("scd1_merge_video", f"""
 WITH {VIDEO_DIM_SQL},
-t AS (SELECT * REPLACE ({DAY1_SQL} AS updated_date) FROM video_dim WHERE published_date < {DAY1_SQL}),
+t AS (SELECT * REPLACE ({DAY1_SQL} AS updated_date,
+        CASE WHEN privacy_status = 'P' AND quality_definition = '1-URGENT' THEN NULL ELSE video_id END AS video_id),
+        true AS _t
+      FROM video_dim WHERE published_date < {DAY1_SQL}),
 s AS (SELECT * REPLACE ('moved-' || channel_id AS channel_id, title || '-v2' AS title,
-        CASE WHEN privacy_status <> 'P' THEN privacy_status END AS privacy_status)
+        CASE WHEN privacy_status <> 'P' THEN privacy_status END AS privacy_status,
+        CASE WHEN privacy_status = 'P' AND quality_definition = '2-HIGH' THEN NULL ELSE video_id END AS video_id),
+        true AS _s
       FROM video_dim WHERE published_date >= DATE '1999-01-01')
-SELECT CASE WHEN t.video_id IS NULL THEN s.video_id ELSE t.video_id END AS video_id,
+SELECT CASE WHEN t._t IS NULL THEN s.video_id ELSE t.video_id END AS video_id,
 """ + ",\n".join(
-    (f"CASE WHEN s.video_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+    (f"CASE WHEN s._s IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
      if c in schemas.VIDEO_DIM_UPDATE else
-     f"CASE WHEN t.video_id IS NULL THEN s.{c} ELSE t.{c} END AS {c}")
+     f"CASE WHEN t._t IS NULL THEN s.{c} ELSE t.{c} END AS {c}")
     for c in schemas.VIDEO_DIM_COLUMNS[1:]) + """
 FROM t FULL OUTER JOIN s ON t.video_id = s.video_id""")
 def q_scd1_merge_video(spark, sf):
@@ -638,7 +649,6 @@ def q_curate_channel(spark, sf):
 
 # ---- the same reports as Spark SQL text over named tables -----------------
 
-from snapmart.plans import sql_reports  # noqa: E402
 
 
 def _sql_report(name, channel=False):
