@@ -30,9 +30,9 @@ def iso_duration(c, prefix: str = "content_duration") -> list[Column]:
 
 
 def to_date_safe(c) -> Column:
-    """String or timestamp to date; text that is no date gives null."""
-    c = _c(c)
-    return F.try_to_date(c) if c is not None else c
+    """String (date or ISO timestamp text, cut as written) or timestamp to
+    date; text that is no date gives null instead of failing the job."""
+    return F.try_to_date(_c(c))
 
 
 def datekey(c) -> Column:

@@ -71,3 +71,18 @@ def test_channel_record_defaults_and_pages(spark):
     assert [(r.channel_id, r.default_language, r.country, r.views_count) for r in first] == \
         [("c1", "en", "global", 5_000_000_000)]
     assert flatten.channel_pages(df, first_only=False).count() == 2
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.sampled_from(list("abcde"))), max_size=20),
+       st.lists(st.sampled_from(list("abcxyz")), max_size=4))
+def test_split_parts_partition_the_input(spark, values, allow):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, c string")
+    ok, bad = clean.split_allowed(df, "c", allow)
+    a, b = {r.i for r in ok.collect()}, {r.i for r in bad.collect()}
+    assert a.isdisjoint(b) and a | b == set(range(len(values)))
+    labelled = {r.i: r.part for r in clean.label_allowed(df, "c", allow).collect()}
+    assert {i for i, p in labelled.items() if p == "clean"} == a
