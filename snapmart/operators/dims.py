@@ -35,6 +35,10 @@ from snapmart.sources.tables import (
 
 # ---- date dimension --------------------------------------------------------
 
+# The default range of the date dimension generator.
+DATE_DIM_START = dt.date(2010, 1, 1)
+DATE_DIM_END = dt.date(2024, 12, 31)
+
 def date_attributes(d: Column) -> list[Column]:
     """The date dimension's columns for a date column."""
     wd = F.weekday(d)  # Monday = 0
@@ -52,7 +56,8 @@ def date_attributes(d: Column) -> list[Column]:
     ]
 
 
-def date_dim(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+def date_dim(spark: SparkSession, start: dt.date = DATE_DIM_START,
+             end: dt.date = DATE_DIM_END) -> DataFrame:
     """One row per day of ``[start, end]``, generated in parallel by
     ``spark.range`` (no driver-side list of rows)."""
     n = (end - start).days + 1
@@ -68,6 +73,11 @@ def date_dim_covering(df: DataFrame, column: str) -> DataFrame:
     return days.select(*date_attributes(F.col("d")))
 
 
+def write_date_dim(df: DataFrame, path: str) -> None:
+    """Store the date dimension as Parquet partitioned by year and month."""
+    df.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+
+
 # ---- type-1 merge ----------------------------------------------------------
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

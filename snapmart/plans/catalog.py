@@ -440,7 +440,7 @@ def q_date_dim(spark, sf):
     and read back."""
     d = dims.date_dim_covering(td.load(spark, sf, "orders"), "o_orderdate")
     path = scratch_path(spark, "date_dim")
-    d.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    dims.write_date_dim(d, path)
     return read_table(spark, path, schemas.DATE_DIM).select(*schemas.DATE_DIM.fieldNames())
 
 

@@ -71,3 +71,29 @@ def run_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str, roo
     consume_day(spark, out, as_of)
     check_day(spark, out, as_of)
     return profile
+
+
+def main(argv=None) -> None:
+    """``python -m snapmart.plans.daily --raw-channel P --raw-video P --out P
+    --as-of YYYY-MM-DD [--allow id,id,...]``"""
+    import argparse
+
+    from snapmart.session import build_session
+    ap = argparse.ArgumentParser(description="run one day of the pipeline")
+    ap.add_argument("--raw-channel", required=True)
+    ap.add_argument("--raw-video", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
+    ap.add_argument("--allow", default=",".join(clean.CHANNEL_ALLOW_LIST),
+                    help="comma list of allowed channel ids")
+    a = ap.parse_args(argv)
+    spark = build_session()
+    try:
+        profile = run_day(spark, a.raw_channel, a.raw_video, a.out, a.as_of, a.allow.split(","))
+        profile.show(truncate=False)
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()
