@@ -188,6 +188,12 @@ _FIVE_SQL = ", ".join(f"'{c}'" for c in FIVE_CHANNELS)
 EXCLUDED_SEGMENT = "HOUSEHOLD"
 
 
+def _allowed_channels(spark, sf):
+    cust = td.load(spark, sf, "customer")
+    return (cust.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT)
+            .select(F.col("c_custkey").cast("string").alias("channel_id")))
+
+
 @register("csv_roundtrip", "SELECT doc_id, text FROM documents")
 def q_csv_roundtrip(spark, sf):
     """Whole documents written as CSV and read back with the declared schema;
@@ -230,7 +236,8 @@ _RAW_VIDEO_SQL = """raw AS (
 
 def _profile_sql():
     cols = [f.name for f in schemas.RAW_VIDEO.fields]
-    ok = f"channel_id IN ({_FIVE_SQL})"
+    ok = (f"channel_id IN (SELECT cast(c_custkey AS VARCHAR) FROM customer "
+          f"WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}')")
     parts = [f"count(*) FILTER (WHERE {ok} AND ({c} IS NULL OR cast({c} AS VARCHAR) LIKE '%NULL%')) AS {c}"
              for c in cols]
     parts.append(f"count(*) FILTER (WHERE NOT coalesce({ok}, false)) AS corrupt_records")
@@ -239,8 +246,10 @@ def _profile_sql():
 
 @register("null_profile", _profile_sql())
 def q_null_profile(spark, sf):
+    """Null / ``NULL`` counts over the clean rows and the corrupt count, one
+    pass; the allow-list is a table (channels outside one segment)."""
     raw = _profile_input(td.raw_video(td.load(spark, sf, "orders")))
-    return clean.profile(raw, "channel_id", FIVE_CHANNELS)
+    return clean.profile(raw, "channel_id", _allowed_channels(spark, sf))
 
 
 _DURATION_VARIANTS_SQL = """
@@ -610,12 +619,6 @@ def q_dq_video(spark, sf):
 
 # ---- the cleaning job over CSV --------------------------------------------
 
-def _allowed_channels(spark, sf):
-    cust = td.load(spark, sf, "customer")
-    return (cust.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT)
-            .select(F.col("c_custkey").cast("string").alias("channel_id")))
-
-
 @register("curate_video", f"""
 WITH {VIDEO_DIM_SQL}
 SELECT video_id, channel_id, published_date, title, description, hashtags, audio_language,
