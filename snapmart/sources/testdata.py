@@ -99,9 +99,10 @@ def video_dim(orders: DataFrame, as_of) -> DataFrame:
 
 def video_fact(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Video snapshots: one row per (order, ship year). ``channel_id`` needs
-    the orders table; reports that do not read it pass none and skip the join."""
+    the orders table; reports that do not read it pass none and skip the join.
+    Grouping and joining use the 64-bit order key; ids become text last."""
     agg = lineitem.groupBy(
-        _s("l_orderkey").alias("video_id"), _year_key("l_shipdate").alias("snapshot_date"),
+        "l_orderkey", _year_key("l_shipdate").alias("snapshot_date"),
     ).agg(
         F.sum(F.when(F.col("l_discount") != 0, F.col("l_quantity")).otherwise(F.lit(0.0)))
          .cast("bigint").alias("views_count"),
@@ -111,9 +112,14 @@ def video_fact(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFram
         F.count(F.lit(1)).alias("comments_count"),
     )
     if orders is None:
-        return agg.withColumn("channel_id", F.lit(None).cast("string"))
-    o = orders.select(_s("o_orderkey").alias("video_id"), _s("o_custkey").alias("channel_id"))
-    return agg.join(o, "video_id", "left")
+        channel = F.lit(None).cast("string")
+    else:
+        o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        agg = agg.join(o, "l_orderkey", "left")
+        channel = _s("o_custkey")
+    return agg.select(_s("l_orderkey").alias("video_id"), channel.alias("channel_id"),
+                      "views_count", "likes_count", "dislikes_count", "favorites_count",
+                      "comments_count", "snapshot_date")
 
 
 def channel_dim(customer: DataFrame, nation: DataFrame, as_of) -> DataFrame:
@@ -125,9 +131,10 @@ def channel_dim(customer: DataFrame, nation: DataFrame, as_of) -> DataFrame:
 
 def channel_fact(orders: DataFrame) -> DataFrame:
     return orders.groupBy(
-        _s("o_custkey").alias("channel_id"), _year_key("o_orderdate").alias("snapshot_date"),
+        "o_custkey", _year_key("o_orderdate").alias("snapshot_date"),
     ).agg(
         F.sum(F.floor("o_totalprice").cast("bigint")).alias("views_count"),
         F.count_if(F.col("o_orderstatus") == "F").alias("subscribers_count"),
         F.count(F.lit(1)).alias("videos_count"),
-    )
+    ).select(_s("o_custkey").alias("channel_id"), "views_count", "subscribers_count",
+             "videos_count", "snapshot_date")
