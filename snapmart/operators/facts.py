@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from snapmart.functions import datekey
 from snapmart.schemas import CHANNEL_FACT_COLUMNS, VIDEO_FACT_COLUMNS
-from snapmart.sources.tables import write_days
+from snapmart.sources.tables import partition_values, read_partition, write_days
 
 SNAPSHOT = "snapshot_date"
 
@@ -45,3 +45,14 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def read_snapshots(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+def read_latest_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest stored snapshot day. The day is picked from the partition
+    folder names on the driver, so with years of daily partitions (and many
+    files each) no job scans every file to find the max; only that day's
+    files are read. ``yyyyMMdd`` keys order as text."""
+    days = partition_values(spark, path, SNAPSHOT)
+    if not days:
+        raise FileNotFoundError(f"no snapshot under {path}")
+    return read_partition(spark, path, schema, SNAPSHOT, max(days))

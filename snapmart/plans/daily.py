@@ -64,6 +64,29 @@ def check_day(spark: SparkSession, out: Layout, as_of: dt.date) -> None:
         quality.write_outcomes(outcomes, dest)
 
 
+def stored_reports(spark: SparkSession, root: str, as_of: dt.date,
+                   months: int = 12, n: int = 10) -> dict[str, DataFrame]:
+    """The report queries over the stored tables of ``root``: newest committed
+    dimension versions and newest snapshot days (picked from folder names)."""
+    from snapmart.operators import reports
+    from snapmart.sources import read_latest_version
+    out = Layout(root)
+    vdim = read_latest_version(spark, out.video_dim, schemas.VIDEO_DIM)
+    cdim = read_latest_version(spark, out.channel_dim, schemas.CHANNEL_DIM)
+    vfact = facts.read_latest_snapshot(spark, out.video_fact, schemas.VIDEO_FACT)
+    cfact = facts.read_latest_snapshot(spark, out.channel_fact, schemas.CHANNEL_FACT)
+    recent = reports.recent_uploads(vdim, as_of, months)
+    return {
+        "top_viewed": reports.top_viewed(vdim, vfact, n),
+        "engagement_ratio": reports.engagement_ratio(vdim, vfact),
+        "channel_video_counts": reports.channel_video_counts(cdim, cfact),
+        "channel_subscriber_counts": reports.channel_subscriber_counts(cdim, cfact),
+        "uploads_per_channel": reports.uploads_per_channel(recent),
+        "uploads_per_quarter": reports.uploads_per_quarter(recent),
+        "uploads_per_month": reports.uploads_per_month(recent),
+    }
+
+
 def run_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str, root: str,
             as_of: dt.date, allow=clean.CHANNEL_ALLOW_LIST) -> DataFrame:
     out = Layout(root)

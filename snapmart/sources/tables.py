@@ -100,3 +100,22 @@ def stored_versions(spark: SparkSession, path: str) -> list[int]:
                 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(name.split("=", 1)[1]))
     return sorted(out)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a top-level partition column, from the folder names only
+    (``column=value``); no file is opened. Dynamic partition writes move a
+    partition folder into place only when their job commits."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = column + "="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
+def read_partition(spark: SparkSession, path: str, schema: T.StructType, column: str,
+                   value: str) -> DataFrame:
+    """One partition folder, keeping the partition column (``basePath``)."""
+    return (spark.read.schema(schema).option("basePath", path)
+            .parquet(f"{path.rstrip('/')}/{column}={value}"))

@@ -45,3 +45,9 @@ def test_two_days_and_rerun(spark, tmp_path):
         assert dq.filter(F.col("updated_at") == D2).count() == len(__import__(
             "snapmart.operators.quality", fromlist=["VIDEO_RULES"]).VIDEO_RULES)
     assert {r.datekey for r in dq.collect()} == {"20240101", "20240102"}
+    from snapmart.plans.daily import stored_reports
+    rep = stored_reports(spark, out.root, D2)
+    assert set(rep) >= {"top_viewed", "engagement_ratio", "uploads_per_month"}
+    assert rep["engagement_ratio"].count() == n_videos
+    assert rep["top_viewed"].count() >= 10
+    assert rep["channel_video_counts"].count() > 0

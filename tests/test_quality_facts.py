@@ -47,3 +47,16 @@ def test_snapshot_latest_and_string_key(spark, tmp_path):
     assert dict(stored.dtypes)["snapshot_date"] == "string"
     assert stored.count() == 2
     assert [r.snapshot_date for r in reports.latest(stored).collect()] == ["20240102"]
+
+
+def test_latest_snapshot_from_folder_names_equals_max_filter(spark, tmp_path):
+    cur = spark.createDataFrame([("v", "c", 1, 2, 0, 0, 3), ("w", "c", 5, 2, 0, 0, 3)],
+                                "video_id string, channel_id string, views_count long, likes_count long, "
+                                "dislikes_count long, favorites_count long, comments_count long")
+    path = str(tmp_path / "f")
+    for day in (dt.date(2023, 12, 31), dt.date(2024, 1, 1), AS_OF):
+        facts.write_snapshot(facts.video_snapshot(cur, day), path)
+    a = facts.read_latest_snapshot(spark, path, schemas.VIDEO_FACT)
+    b = reports.latest(facts.read_snapshots(spark, path, schemas.VIDEO_FACT))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert {r.snapshot_date for r in a.collect()} == {"20240102"}
