@@ -87,7 +87,7 @@ def curate_video(raw: DataFrame, as_of: dt.date) -> DataFrame:
     written, comma hashtags to an array, ISO durations to int parts."""
     return raw.select(
         "video_id", "channel_id",
-        to_date_safe(F.substring("published_at", 1, 10)).alias("published_date"),
+        to_date_safe("published_at").alias("published_date"),
         "title", "description",
         split_list("hashtags").alias("hashtags"),
         "audio_language",

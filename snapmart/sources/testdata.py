@@ -86,10 +86,10 @@ def raw_channel(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 def video_dim(orders: DataFrame, as_of) -> DataFrame:
     """The video dimension (15 columns) as the curation step would give it."""
-    from snapmart.functions import iso_duration, split_list
+    from snapmart.functions import iso_duration, split_list, to_date_safe
     r = raw_video(orders)
     return r.select(
-        "video_id", "channel_id", F.to_date(F.substring("published_at", 1, 10)).alias("published_date"),
+        "video_id", "channel_id", to_date_safe("published_at").alias("published_date"),
         "virtual_dimension", "quality_definition", "title", "description", "audio_language",
         *iso_duration("content_duration"),
         split_list("hashtags").alias("hashtags"), "privacy_status", "topic_category",
