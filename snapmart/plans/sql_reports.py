@@ -55,17 +55,18 @@ _RECENT = """WITH cte AS (
 
 UPLOADS_PER_CHANNEL = _RECENT + """
 SELECT channel_id, count(*) AS video_cnt_in_year FROM cte GROUP BY channel_id
-ORDER BY 2 DESC, 1"""
+ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS LAST"""
 
 UPLOADS_PER_QUARTER = _RECENT + """
 SELECT channel_id, concat('Q', CAST(quarter(published_date) AS STRING)) AS quarter,
        count(*) AS video_cnt_per_quarter
-FROM cte GROUP BY quarter(published_date), channel_id ORDER BY 1, 2"""
+FROM cte GROUP BY quarter(published_date), channel_id ORDER BY 1 ASC NULLS LAST, 2 ASC NULLS LAST"""
 
 UPLOADS_PER_MONTH = _RECENT + """
 SELECT channel_id, date_format(make_date(2000, month(published_date), 1), 'MMMM') AS month_name,
        count(*) AS video_cnt_per_month
-FROM cte GROUP BY channel_id, month(published_date) ORDER BY 1, month(published_date)"""
+FROM cte GROUP BY channel_id, month(published_date)
+ORDER BY 1 ASC NULLS LAST, month(published_date) ASC NULLS LAST"""
 
 
 def register_tables(video_dim: DataFrame | None = None, video_fact: DataFrame | None = None,
