@@ -132,6 +132,9 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
     by_key = Window.partitionBy(*keys, "_salt")
     if on_duplicate == "latest":
         order = newest_first or [F.col("updated_date").desc_nulls_last()]
+        # the row's own values break ties, so a retried task picks the same row
+        order = order + [F.col(f.name).asc_nulls_last() for f in source.schema.fields
+                         if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         src = (src.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
                .filter((F.col("_rn") == 1) | ~_all_keys_set(keys)).drop("_rn"))
         dup = None

@@ -97,3 +97,9 @@ def test_uncommitted_version_is_ignored(spark, tmp_path):
     spark.createDataFrame([("z", "bad", "k", D2)], SCHEMA).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version_path(path, 20240102))
     assert [r.id for r in read_latest_version(spark, path, SCHEMA).collect()] == ["a"]
+
+
+def test_latest_tie_is_decided_by_row_values(spark):
+    got = merge(spark, [("a", "t", "k", D1)], [("a", "s2", "y", D2), ("a", "s1", "x", D2)],
+                on_duplicate="latest")
+    assert got == [("a", "s1", "k", D2)]
