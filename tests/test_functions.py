@@ -86,3 +86,15 @@ def test_split_parts_partition_the_input(spark, values, allow):
     assert a.isdisjoint(b) and a | b == set(range(len(values)))
     labelled = {r.i: r.part for r in clean.label_allowed(df, "c", allow).collect()}
     assert {i for i, p in labelled.items() if p == "clean"} == a
+
+
+def test_pages_from_json_lines_files(spark, tmp_path):
+    from snapmart.sources import read_json_lines
+    ch = {"id": "c1", "snippet": {"title": "t", "description": "line\nbreak", "publishedAt": "p"},
+          "statistics": {"viewCount": "1", "subscriberCount": "2", "videoCount": "3"}}
+    for i in range(3):
+        (tmp_path / f"page-{i}.jsonl").write_text(
+            json.dumps({"items": [dict(ch, id=f"c{i}")]}) + "\n" + json.dumps({"items": []}) + "\n")
+    rows = flatten.channel_pages(read_json_lines(spark, str(tmp_path)), first_only=False).collect()
+    assert sorted(r.channel_id for r in rows) == ["c0", "c1", "c2"]
+    assert rows[0].description == "line\nbreak"
