@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapmart.functions import iso_duration, null_or_text_null, split_list, to_date_safe
@@ -62,14 +62,32 @@ def flag_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, Column]:
     return df, F.coalesce(allowed(column, ids), F.lit(False))
 
 
+def profile_exprs(columns: list[str], ok: Column) -> list[Column]:
+    """The profile as aggregate expressions (for ``agg`` or ``observe``)."""
+    return ([F.count_if(ok & null_or_text_null(c)).alias(c) for c in columns]
+            + [F.count_if(~ok).alias("corrupt_records")])
+
+
 def profile(df: DataFrame, column: str, ids, columns: list[str] | None = None) -> DataFrame:
     """One row: for every column, the number of clean rows that are null or
     contain ``NULL``; plus ``corrupt_records``, the rows outside the list.
     One scan and one global aggregation (partial per task)."""
     cols = columns or df.columns
     df, ok = flag_allowed(df, column, ids)
-    return df.agg(*[F.count_if(ok & null_or_text_null(c)).alias(c) for c in cols],
-                  F.count_if(~ok).alias("corrupt_records"))
+    return df.agg(*profile_exprs(cols, ok))
+
+
+def curate_video_profiled(raw: DataFrame, column: str, ids, as_of: dt.date,
+                          observation: Observation) -> DataFrame:
+    """Curated clean video rows, with the profile of the whole raw listing
+    gathered as observed metrics while those rows are produced: one pass over
+    the raw file serves both the curated write and the profile
+    (``observation.get`` after the write). The metrics are taken in the same
+    stage as the rows that feed the write, so each task counts once."""
+    cols = raw.columns
+    flagged, ok = flag_allowed(raw, column, ids)
+    observed = flagged.observe(observation, *profile_exprs(cols, ok))
+    return curate_video(observed.filter(ok).select(*cols), as_of)
 
 
 def curate_channel(raw: DataFrame, as_of: dt.date) -> DataFrame:

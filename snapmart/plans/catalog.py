@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart import schemas
@@ -630,12 +630,14 @@ SELECT video_id, channel_id, published_date, title, description, hashtags, audio
 FROM video_dim JOIN orders ON video_id = cast(o_orderkey AS VARCHAR)
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}')""")
 def q_curate_video(spark, sf):
-    """Raw listing as CSV -> allow-list split -> curated day -> read back."""
+    """Raw listing as CSV -> allow-list split (profile observed on the way)
+    -> curated day -> read back."""
     root = scratch_path(spark, "clean_video")
     write_csv(td.raw_video(td.load(spark, sf, "orders")), f"{root}/raw")
     raw = read_csv(spark, f"{root}/raw", schemas.RAW_VIDEO)
-    ok, _ = clean.split_allowed(raw, "channel_id", _allowed_channels(spark, sf))
-    write_days(clean.curate_video(ok, AS_OF), f"{root}/curated", "updated_date")
+    curated = clean.curate_video_profiled(raw, "channel_id", _allowed_channels(spark, sf), AS_OF,
+                                          Observation("curate_video"))
+    write_days(curated, f"{root}/curated", "updated_date")
     return _joined_tags(read_day(spark, f"{root}/curated", schemas.CURATED_VIDEO, AS_OF)
                         .select(*schemas.CURATED_VIDEO.fieldNames()))
 

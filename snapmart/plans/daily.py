@@ -12,7 +12,7 @@ import datetime as dt
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from snapmart import schemas
 from snapmart.operators import clean, dims, facts, quality
@@ -31,15 +31,17 @@ class Layout:
 
 
 def clean_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str,
-              out: Layout, as_of: dt.date, allow=clean.CHANNEL_ALLOW_LIST) -> DataFrame:
-    """Cleaning job: curated channel and video days; returns the null profile
-    of the video listing (one row, computed in one pass)."""
+              out: Layout, as_of: dt.date, allow=clean.CHANNEL_ALLOW_LIST) -> dict:
+    """Cleaning job: curated channel and video days. Returns the null profile
+    of the video listing and its corrupt-row count, gathered during the
+    curated write (the raw file is parsed once)."""
     ch = read_csv(spark, raw_channel_path, schemas.RAW_CHANNEL)
     write_days(clean.curate_channel(ch, as_of), out.curated_channel, "updated_date")
     vid = read_csv(spark, raw_video_path, schemas.RAW_VIDEO)
-    ok, _ = clean.split_allowed(vid, "channel_id", allow)
-    write_days(clean.curate_video(ok, as_of), out.curated_video, "updated_date")
-    return clean.profile(vid, "channel_id", allow)
+    obs = Observation("video_profile")
+    write_days(clean.curate_video_profiled(vid, "channel_id", allow, as_of, obs),
+               out.curated_video, "updated_date")
+    return obs.get
 
 
 def consume_day(spark: SparkSession, out: Layout, as_of: dt.date,
@@ -88,7 +90,7 @@ def stored_reports(spark: SparkSession, root: str, as_of: dt.date,
 
 
 def run_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str, root: str,
-            as_of: dt.date, allow=clean.CHANNEL_ALLOW_LIST) -> DataFrame:
+            as_of: dt.date, allow=clean.CHANNEL_ALLOW_LIST) -> dict:
     out = Layout(root)
     profile = clean_day(spark, raw_channel_path, raw_video_path, out, as_of, allow)
     consume_day(spark, out, as_of)
@@ -113,7 +115,7 @@ def main(argv=None) -> None:
     spark = build_session()
     try:
         profile = run_day(spark, a.raw_channel, a.raw_video, a.out, a.as_of, a.allow.split(","))
-        profile.show(truncate=False)
+        print(profile)
     finally:
         spark.stop()
 

@@ -31,8 +31,8 @@ def test_two_days_and_rerun(spark, tmp_path):
     n_videos = orders.count()
     ch1, v1 = _raw(spark, tmp, "d1", "")
     ch2, v2 = _raw(spark, tmp, "d2", "-new")
-    profile = run_day(spark, ch1, v1, out.root, D1, allow).collect()[0]
-    assert profile.corrupt_records == 0
+    profile = run_day(spark, ch1, v1, out.root, D1, allow)
+    assert profile["corrupt_records"] == 0 and profile["video_id"] == 0
     for _ in range(2):  # second day, then its rerun
         run_day(spark, ch2, v2, out.root, D2, allow)
         dim = read_latest_version(spark, out.video_dim, schemas.VIDEO_DIM)

@@ -98,3 +98,18 @@ def test_pages_from_json_lines_files(spark, tmp_path):
     rows = flatten.channel_pages(read_json_lines(spark, str(tmp_path)), first_only=False).collect()
     assert sorted(r.channel_id for r in rows) == ["c0", "c1", "c2"]
     assert rows[0].description == "line\nbreak"
+
+
+def test_profile_observed_during_curation_equals_profile(spark):
+    import datetime as dt
+
+    from pyspark.sql import Observation
+    from snapmart import schemas
+    rows = [("v1", "a", "2024-01-01", None, "xNULLx", None, "en", "PT1M", "2d", "hd", "p", "m", 1, 2, 3, 4, 5),
+            ("v2", "z", "2024-01-01", "t", "d", "h", "en", "PT1M", "2d", "hd", "p", "m", 1, None, 3, 4, 5),
+            ("v3", None, "bad", "t", "d", "h", None, "", "2d", "hd", "p", "m", 1, 2, 3, 4, 5)]
+    raw = spark.createDataFrame(rows, schemas.RAW_VIDEO)
+    obs = Observation("p")
+    cur = clean.curate_video_profiled(raw, "channel_id", ["a"], dt.date(2024, 1, 2), obs)
+    assert [r.video_id for r in cur.collect()] == ["v1"]
+    assert obs.get == clean.profile(raw, "channel_id", ["a"]).collect()[0].asDict()
