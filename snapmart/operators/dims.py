@@ -98,12 +98,18 @@ def _all_keys_set(keys) -> Column:
 NULL_KEY_BUCKETS = 4096
 
 
+def _comparable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and ordered (all but maps and variants)."""
+    return [f.name for f in df.schema.fields
+            if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def _salt(df: DataFrame, keys, sign: int) -> Column:
     """0 for a row with a full key; for a row with a null key, a bucket
-    number from a hash of the whole row, positive for the target side and
+    number from a hash of the row, positive for the target side and
     negative for the source side, so such rows spread over partitions and
     can never meet a row of the other side."""
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_BUCKETS)) + 1
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in _comparable(df)]), F.lit(NULL_KEY_BUCKETS)) + 1
     return F.when(_all_keys_set(keys), F.lit(0)).otherwise(bucket * sign).cast("int")
 
 
@@ -131,10 +137,10 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
     src = source.withColumn("_salt", _salt(source, keys, -1))
     by_key = Window.partitionBy(*keys, "_salt")
     if on_duplicate == "latest":
-        order = newest_first or [F.col("updated_date").desc_nulls_last()]
+        order = ([F.col("updated_date").desc_nulls_last()] if newest_first is None
+                 else list(newest_first))
         # the row's own values break ties, so a retried task picks the same row
-        order = order + [F.col(f.name).asc_nulls_last() for f in source.schema.fields
-                         if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        order = order + [F.col(c).asc_nulls_last() for c in _comparable(source)]
         src = (src.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
                .filter((F.col("_rn") == 1) | ~_all_keys_set(keys)).drop("_rn"))
         dup = None

@@ -103,3 +103,13 @@ def test_latest_tie_is_decided_by_row_values(spark):
     got = merge(spark, [("a", "t", "k", D1)], [("a", "s2", "y", D2), ("a", "s1", "x", D2)],
                 on_duplicate="latest")
     assert got == [("a", "s1", "k", D2)]
+
+
+def test_map_columns_and_null_keys(spark):
+    schema = "id string, props map<string,string>, title string"
+    t = spark.createDataFrame([("a", {"k": "1"}, "t"), (None, {"k": "2"}, "n")], schema)
+    s = spark.createDataFrame([("a", {"k": "9"}, "s"), (None, None, "m")], schema)
+    out = scd1_merge(t, s, ["id"], update=["props", "title"], on_duplicate="latest",
+                     newest_first=[])
+    got = sorted((r.id or "-", r.title, dict(r.props or {})) for r in out.collect())
+    assert got == [("-", "m", {}), ("-", "n", {"k": "2"}), ("a", "s", {"k": "9"})]
