@@ -38,9 +38,10 @@ def channel_snapshot(curated_channel: DataFrame, as_of: dt.date) -> DataFrame:
     return snapshot(curated_channel, CHANNEL_FACT_COLUMNS[:-1], as_of)
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the snapshot days present in ``df``; other days stay."""
-    write_days(df, path, SNAPSHOT)
+def write_snapshot(df: DataFrame, path: str, files_per_day: int | None = None) -> None:
+    """Replace the snapshot days present in ``df``; other days stay.
+    ``files_per_day`` bounds the files of each day in a many-day backfill."""
+    write_days(df, path, SNAPSHOT, files_per_day)
 
 
 def read_snapshots(spark: SparkSession, path: str, schema) -> DataFrame:

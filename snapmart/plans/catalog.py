@@ -550,7 +550,7 @@ def q_fact_snapshot(spark, sf):
     fact = td.video_fact(td.load(spark, sf, "lineitem"), td.load(spark, sf, "orders"))
     fact = fact.select(*schemas.VIDEO_FACT_COLUMNS)
     path = scratch_path(spark, "video_fact")
-    facts.write_snapshot(fact, path)
+    facts.write_snapshot(fact, path, files_per_day=4)  # a backfill of every year
     facts.write_snapshot(reports.latest(fact), path)
     return facts.read_snapshots(spark, path, schemas.VIDEO_FACT).select(*schemas.VIDEO_FACT_COLUMNS)
 

@@ -51,9 +51,22 @@ def read_day(spark: SparkSession, path: str, schema: T.StructType, as_of,
     return read_table(spark, path, schema).filter(day_filter(column, as_of))
 
 
-def write_days(df: DataFrame, path: str, partition_cols) -> None:
-    """Write, replacing only the partitions present in ``df``."""
+def write_days(df: DataFrame, path: str, partition_cols,
+               files_per_partition: int | None = None) -> None:
+    """Write, replacing only the partitions present in ``df``.
+
+    Each task writes one file per partition it holds, which is right for a
+    daily write (one day). A backfill of many days at once would give tasks x
+    days files; ``files_per_partition=k`` first shuffles rows by (day, one of
+    k hash buckets of the row), so each day gets at most k files and a large
+    day still spreads over k tasks.
+    """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    if files_per_partition:
+        hashable = [f.name for f in df.schema.fields
+                    if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(int(files_per_partition)))
+        df = df.repartition(*[F.col(c) for c in cols], bucket)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*cols).parquet(path))
 

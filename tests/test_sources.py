@@ -49,3 +49,14 @@ def test_same_day_written_twice_keeps_second_write(spark, tmp_path):
     write_days(spark.createDataFrame([("c", d2)], schema), path, "d")
     assert sorted(r.k for r in spark.read.schema(schema).parquet(path).collect()) == ["a", "c"]
     assert [r.k for r in read_day(spark, path, schema, d2, "d").collect()] == ["c"]
+
+
+def test_backfill_bounds_files_per_day(spark, tmp_path):
+    import os
+    df = spark.range(0, 2000).selectExpr("id", "cast(id % 3 as string) as d").repartition(8)
+    path = str(tmp_path / "t")
+    write_days(df, path, "d", files_per_partition=2)
+    for day in ("0", "1", "2"):
+        files = [f for f in os.listdir(f"{path}/d={day}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert spark.read.parquet(path).count() == 2000
