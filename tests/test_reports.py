@@ -58,3 +58,16 @@ def test_date_dim(spark):
     r = d.filter(F.col("date") == F.lit(dt.date(2024, 12, 30))).collect()[0]
     assert (r.day_of_week, r.week_of_year, r.quarter, r.day_of_year, r.datekey, r.is_weekend,
             r.day_name, r.month_name) == (1, 1, 4, 365, "20241230", 0, "Monday", "December")
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=20), st.integers(1, 4))
+def test_sql_top_viewed_equals_dataframe_version(spark, views, n):
+    from snapmart.plans import sql_reports
+    fact = [(f"v{i}", v, 0, 0, 0, "20240102") for i, v in enumerate(views)] + [("o", 99, 0, 0, 0, "20240101")]
+    dim = [(r[0], "t", "c", dt.date(2024, 1, 1)) for r in fact]
+    f, d = spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM)
+    sql_reports.register_tables(video_dim=d, video_fact=f)
+    a = sorted(r.video_id for r in sql_reports.run(spark, "top_viewed", n=n).collect())
+    b = sorted(r.video_id for r in reports.top_viewed(d, f, n).collect())
+    assert a == b
