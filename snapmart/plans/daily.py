@@ -103,7 +103,7 @@ def main(argv=None) -> None:
     --as-of YYYY-MM-DD [--allow id,id,...]``"""
     import argparse
 
-    from snapmart.session import build_session
+    from snapmart.session import build_session, size_shuffle_partitions
     ap = argparse.ArgumentParser(description="run one day of the pipeline")
     ap.add_argument("--raw-channel", required=True)
     ap.add_argument("--raw-video", required=True)
@@ -114,6 +114,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     try:
+        size_shuffle_partitions(spark, a.raw_channel, a.raw_video, a.out)
         profile = run_day(spark, a.raw_channel, a.raw_video, a.out, a.as_of, a.allow.split(","))
         print(profile)
     finally:

@@ -63,3 +63,27 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared work dir for one run."""
     return os.path.join(work_dir(spark), "snapmart", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (a metadata call per path)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, *paths: str,
+                            bytes_per_partition: int = 128 << 20, minimum: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about one partition per
+    ``bytes_per_partition`` of input (never fewer than the cluster's
+    parallelism); AQE then coalesces the partitions a stage does not need."""
+    floor = minimum or spark.sparkContext.defaultParallelism
+    n = max(floor, -(-input_bytes(spark, *paths) // bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -60,3 +60,14 @@ def test_backfill_bounds_files_per_day(spark, tmp_path):
         files = [f for f in os.listdir(f"{path}/d={day}") if f.endswith(".parquet")]
         assert 1 <= len(files) <= 2
     assert spark.read.parquet(path).count() == 2000
+
+
+def test_size_shuffle_partitions(spark):
+    from snapmart.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_shuffle_partitions(spark, "/root/testdata/sf0.01", bytes_per_partition=1 << 20)
+        assert n >= spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
