@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "version"
+COMMITTED = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -81,10 +82,15 @@ def version_path(path: str, version: int) -> str:
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
     """Store a whole new version of a table in its own folder beside the
-    older ones. Spark's commit protocol marks the folder ``_SUCCESS`` only
-    when the job commits, so a write cut short (lost executor or driver) is
-    never read: readers fall back to the newest committed version."""
-    df.write.mode("overwrite").parquet(version_path(path, version))
+    older ones, then mark it committed. The marker is written by the driver
+    after the write job has committed, so a write cut short (lost executor
+    or driver) is never read: readers fall back to the newest committed
+    version. (Spark's own ``_SUCCESS`` file can be switched off on a
+    cluster, so it is not relied on.)"""
+    target = version_path(path, version)
+    df.write.mode("overwrite").parquet(target)
+    fs, p = _fs(df.sparkSession, target)
+    fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMITTED), True).close()
 
 
 def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
@@ -100,7 +106,7 @@ def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def stored_versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions under ``path`` (folders with a ``_SUCCESS`` marker;
+    """Committed versions under ``path`` (folders with the commit marker;
     a listing on the driver, no data read)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -110,7 +116,7 @@ def stored_versions(spark: SparkSession, path: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if (st.isDirectory() and name.startswith(VERSION + "=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMITTED))):
             out.append(int(name.split("=", 1)[1]))
     return sorted(out)
 

@@ -93,9 +93,8 @@ def test_uncommitted_version_is_ignored(spark, tmp_path):
     path = str(tmp_path / "dim")
     good = spark.createDataFrame([("a", "t", "k", D1)], SCHEMA)
     write_version(good, path, 20240101)
-    # a later version whose job never committed: files but no _SUCCESS marker
-    spark.createDataFrame([("z", "bad", "k", D2)], SCHEMA).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version_path(path, 20240102))
+    # a later version whose write never finished: files but no commit marker
+    spark.createDataFrame([("z", "bad", "k", D2)], SCHEMA).write.parquet(version_path(path, 20240102))
     assert [r.id for r in read_latest_version(spark, path, SCHEMA).collect()] == ["a"]
 
 
