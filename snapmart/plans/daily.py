@@ -19,15 +19,23 @@ from snapmart.operators import clean, dims, facts, quality
 from snapmart.sources import read_csv, read_day, write_days
 
 
+TABLES = ("curated_channel", "curated_video", "channel_dim", "video_dim",
+          "channel_fact", "video_fact", "dq_channel", "dq_video")
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Table locations under one root folder."""
+    """Table locations under one root folder (one attribute per table)."""
     root: str
 
-    def __getattr__(self, name):  # curated_video, video_dim, ...
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return os.path.join(self.root, name)
+    def path(self, table: str) -> str:
+        if table not in TABLES:
+            raise KeyError(f"unknown table {table!r}")
+        return os.path.join(self.root, table)
+
+
+for _t in TABLES:
+    setattr(Layout, _t, property(lambda self, _t=_t: self.path(_t)))
 
 
 def clean_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str,
