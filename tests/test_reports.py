@@ -71,3 +71,18 @@ def test_sql_top_viewed_equals_dataframe_version(spark, views, n):
     a = sorted(r.video_id for r in sql_reports.run(spark, "top_viewed", n=n).collect())
     b = sorted(r.video_id for r in reports.top_viewed(d, f, n).collect())
     assert a == b
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.dates(dt.date(1990, 1, 1), dt.date(2030, 12, 31)), st.integers(0, 400))
+def test_date_dim_matches_python_calendar(spark, start, days):
+    end = start + dt.timedelta(days=days)
+    rows = dims.date_dim(spark, start, end).collect()
+    assert len(rows) == days + 1
+    for r in rows:
+        d = r.date
+        assert (r.day, r.month, r.year) == (d.day, d.month, d.year)
+        assert r.day_of_week == d.isoweekday() and r.week_of_year == d.isocalendar()[1]
+        assert r.quarter == (d.month - 1) // 3 + 1 and r.is_weekend == int(d.weekday() >= 5)
+        assert (r.day_name, r.month_name) == (d.strftime("%A"), d.strftime("%B"))
+        assert r.day_of_year == d.timetuple().tm_yday and r.datekey == d.strftime("%Y%m%d")
