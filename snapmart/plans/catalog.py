@@ -633,7 +633,10 @@ def q_curate_video(spark, sf):
     """Raw listing as CSV -> allow-list split (profile observed on the way)
     -> curated day -> read back."""
     root = scratch_path(spark, "clean_video")
-    write_csv(td.raw_video(td.load(spark, sf, "orders")), f"{root}/raw")
+    # the listing lands as several files (one per extractor batch), since a
+    # multi-line CSV file is read by one task
+    raw_rows = td.raw_video(td.load(spark, sf, "orders"))
+    write_csv(raw_rows.repartition(spark.sparkContext.defaultParallelism), f"{root}/raw")
     raw = read_csv(spark, f"{root}/raw", schemas.RAW_VIDEO)
     curated = clean.curate_video_profiled(raw, "channel_id", _allowed_channels(spark, sf), AS_OF,
                                           Observation("curate_video"))
