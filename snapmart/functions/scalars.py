@@ -45,14 +45,21 @@ def safe_ratio(num, den) -> Column:
     return _c(num).cast("double") / F.nullif(_c(den), F.lit(0))
 
 
-def quarter_label(d) -> Column:
-    return F.concat(F.lit("Q"), F.quarter(_c(d)).cast("string"))
+def quarter_label(q) -> Column:
+    """Quarter number (1-4) to its label, ``Q1`` ... ``Q4``."""
+    return F.concat(F.lit("Q"), _c(q).cast("string"))
 
 
 def month_name(d) -> Column:
+    """English month name of a date."""
     return F.date_format(_c(d), "MMMM")
 
 
+def month_name_of(m) -> Column:
+    """English month name of a month number (1-12)."""
+    return month_name(F.make_date(F.lit(2000), _c(m), F.lit(1)))
+
+
 def split_list(c, sep: str = ",") -> Column:
     """Comma list to array: null stays null, '' gives ['']."""
     return F.split(_c(c), sep)

@@ -91,10 +91,11 @@ def curate_video_profiled(raw: DataFrame, column: str, ids, as_of: dt.date,
 
 
 def curate_channel(raw: DataFrame, as_of: dt.date) -> DataFrame:
-    """Raw channel rows (published_at a timestamp) to the 10 curated columns."""
+    """Raw channel rows to the 10 curated columns; published_at may be a
+    timestamp (CSV) or text (flattened JSON), bad text gives a null date."""
     return raw.select(
         "channel_id", "title", "description",
-        F.to_date("published_at").alias("published_date"),
+        to_date_safe("published_at").alias("published_date"),
         "default_language", "country", "views_count", "subscribers_count", "videos_count",
         F.lit(as_of).cast("date").alias("updated_date"),
     )

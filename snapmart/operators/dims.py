@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.functions import datekey
+from snapmart.functions import datekey, month_name
+from snapmart.schemas import comparable_columns
 from snapmart.sources.tables import (
-    read_latest_version, stored_versions, version_key, write_version,
+    read_latest_version, read_table, stored_versions, version_key, version_path, write_version,
 )
 
 
@@ -50,7 +51,7 @@ def date_attributes(d: Column) -> list[Column]:
         F.quarter(d).alias("quarter"),
         (wd >= 5).cast("int").alias("is_weekend"),
         F.date_format(d, "EEEE").alias("day_name"),
-        F.date_format(d, "MMMM").alias("month_name"),
+        month_name(d).alias("month_name"),
         F.dayofyear(d).alias("day_of_year"),
         datekey(d).alias("datekey"),
     ]
@@ -74,8 +75,10 @@ def date_dim_covering(df: DataFrame, column: str) -> DataFrame:
 
 
 def write_date_dim(df: DataFrame, path: str) -> None:
-    """Store the date dimension as Parquet partitioned by year and month."""
-    df.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    """Store the date dimension as Parquet partitioned by year and month,
+    replacing the whole table (a narrower range leaves no old months)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy("year", "month").parquet(path))
 
 
 # ---- type-1 merge ----------------------------------------------------------
@@ -98,18 +101,12 @@ def _all_keys_set(keys) -> Column:
 NULL_KEY_BUCKETS = 4096
 
 
-def _comparable(df: DataFrame) -> list[str]:
-    """Columns that can be hashed and ordered (all but maps and variants)."""
-    return [f.name for f in df.schema.fields
-            if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-
-
 def _salt(df: DataFrame, keys, sign: int) -> Column:
     """0 for a row with a full key; for a row with a null key, a bucket
     number from a hash of the row, positive for the target side and
     negative for the source side, so such rows spread over partitions and
     can never meet a row of the other side."""
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in _comparable(df)]), F.lit(NULL_KEY_BUCKETS)) + 1
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in comparable_columns(df.schema)]), F.lit(NULL_KEY_BUCKETS)) + 1
     return F.when(_all_keys_set(keys), F.lit(0)).otherwise(bucket * sign).cast("int")
 
 
@@ -140,7 +137,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
         order = ([F.col("updated_date").desc_nulls_last()] if newest_first is None
                  else list(newest_first))
         # the row's own values break ties, so a retried task picks the same row
-        order = order + [F.col(c).asc_nulls_last() for c in _comparable(source)]
+        order = order + [F.col(c).asc_nulls_last() for c in comparable_columns(source.schema)]
         src = (src.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
                .filter((F.col("_rn") == 1) | ~_all_keys_set(keys)).drop("_rn"))
         dup = None
@@ -179,20 +176,22 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
 def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,
                    keys: list[str], update: list[str], insert: list[str] | None,
                    as_of: dt.date, on_duplicate: str = "error") -> DataFrame:
-    """Merge ``source`` into the dimension stored at ``path`` as of a day.
+    """Merge ``source`` into the dimension stored at ``path`` as of a day and
+    return the version written.
 
     The newest version older than ``as_of`` is the merge target; the result
     is stored as version ``as_of`` (a rerun of the same day replaces it and
-    never reads it). Without an older version this is the first load: the
-    source projected to the dimension's columns.
+    never reads it). Without an older version this is the first load: a
+    merge into an empty target, so ``on_duplicate`` applies to it too.
+    Versions are snapshots: backfilling a day older than the newest version
+    means running the later days again, in order.
     """
     v = version_key(as_of)
     columns = [f.name for f in schema.fields]
     src = source.select(*[F.col(c).cast(f.dataType) for c, f in zip(columns, schema.fields)])
     if any(x < v for x in stored_versions(spark, path)):
         target = read_latest_version(spark, path, schema, below=v)
-        result = scd1_merge(target, src, keys, update, insert, on_duplicate)
     else:
-        result = src
-    write_version(result, path, v)
-    return read_latest_version(spark, path, schema)
+        target = spark.createDataFrame([], schema)
+    write_version(scd1_merge(target, src, keys, update, insert, on_duplicate), path, v)
+    return read_table(spark, version_path(path, v), schema)

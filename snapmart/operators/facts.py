@@ -53,7 +53,8 @@ def read_latest_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
     folder names on the driver, so with years of daily partitions (and many
     files each) no job scans every file to find the max; only that day's
     files are read. ``yyyyMMdd`` keys order as text."""
-    days = partition_values(spark, path, SNAPSHOT)
+    # a null key is stored as a default-partition folder: never the newest day
+    days = [d for d in partition_values(spark, path, SNAPSHOT) if d.isdigit() and len(d) == 8]
     if not days:
         raise FileNotFoundError(f"no snapshot under {path}")
     return read_partition(spark, path, schema, SNAPSHOT, max(days))

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import month_name, safe_ratio
+from snapmart.functions import month_name_of, quarter_label, safe_ratio
 
 SNAPSHOT = "snapshot_date"
 
@@ -108,7 +108,7 @@ def uploads_per_quarter(recent: DataFrame) -> DataFrame:
     q = F.quarter("published_date")
     return (recent.groupBy("channel_id", q.alias("_q"))
             .agg(F.count(F.lit(1)).alias("video_cnt_per_quarter"))
-            .select("channel_id", F.concat(F.lit("Q"), F.col("_q").cast("string")).alias("quarter"), "video_cnt_per_quarter", "_q")
+            .select("channel_id", quarter_label("_q").alias("quarter"), "video_cnt_per_quarter", "_q")
             .orderBy(F.asc_nulls_last("channel_id"), F.asc_nulls_last("_q"))
             .drop("_q"))
 
@@ -118,7 +118,6 @@ def uploads_per_month(recent: DataFrame) -> DataFrame:
     m = F.month("published_date")
     return (recent.groupBy("channel_id", m.alias("_m"))
             .agg(F.count(F.lit(1)).alias("video_cnt_per_month"))
-            .select("channel_id", month_name(F.make_date(F.lit(2000), F.col("_m"), F.lit(1)))
-                    .alias("month_name"), "video_cnt_per_month", "_m")
+            .select("channel_id", month_name_of("_m").alias("month_name"), "video_cnt_per_month", "_m")
             .orderBy(F.asc_nulls_last("channel_id"), F.asc_nulls_last("_m"))
             .drop("_m"))

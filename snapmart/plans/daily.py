@@ -122,7 +122,8 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     try:
-        size_shuffle_partitions(spark, a.raw_channel, a.raw_video, a.out)
+        # the day's raw listings are what grows; stored tables are read pruned
+        size_shuffle_partitions(spark, a.raw_channel, a.raw_video)
         profile = run_day(spark, a.raw_channel, a.raw_video, a.out, a.as_of, a.allow.split(","))
         print(profile)
     finally:

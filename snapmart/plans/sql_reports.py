@@ -90,6 +90,8 @@ def run(spark: SparkSession, name: str, as_of: dt.date | None = None, months: in
         "uploads_per_quarter": UPLOADS_PER_QUARTER,
         "uploads_per_month": UPLOADS_PER_MONTH,
     }[name]
-    if as_of is not None:
+    if name.startswith("uploads_"):
+        if as_of is None:
+            raise ValueError(f"{name} needs as_of")
         text = text.format(as_of=as_of.isoformat(), months=int(months))
     return spark.sql(text)

@@ -74,6 +74,12 @@ CHANNEL_FACT_COLUMNS = [
 ]
 
 
+def comparable_columns(schema: T.StructType) -> list[str]:
+    """Columns that can be hashed and ordered (all but maps and variants)."""
+    return [f.name for f in schema.fields
+            if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def select_schema(schema: T.StructType, names) -> T.StructType:
     by_name = {f.name: f for f in schema.fields}
     return T.StructType([by_name[n] for n in names])

@@ -73,8 +73,8 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
+        for st in fs.globStatus(path) or []:  # plain paths and globs alike
+            total += fs.getContentSummary(st.getPath()).getLength()
     return total
 
 

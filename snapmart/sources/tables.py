@@ -64,8 +64,8 @@ def write_days(df: DataFrame, path: str, partition_cols,
     """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     if files_per_partition:
-        hashable = [f.name for f in df.schema.fields
-                    if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        from snapmart.schemas import comparable_columns
+        hashable = comparable_columns(df.schema)
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(int(files_per_partition)))
         df = df.repartition(*[F.col(c) for c in cols], bucket)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

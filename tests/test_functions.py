@@ -113,3 +113,20 @@ def test_profile_observed_during_curation_equals_profile(spark):
     cur = clean.curate_video_profiled(raw, "channel_id", ["a"], dt.date(2024, 1, 2), obs)
     assert [r.video_id for r in cur.collect()] == ["v1"]
     assert obs.get == clean.profile(raw, "channel_id", ["a"]).collect()[0].asDict()
+
+
+def test_curate_channel_bad_date_text_is_null(spark):
+    import datetime as dt
+    raw = spark.createDataFrame([("c", "t", "d", "unknown", "en", "SG", 1, 2, 3),
+                                 ("d", "t", "d", "2024-01-01T23:30:00Z", "en", "SG", 1, 2, 3)],
+                                "channel_id string, title string, description string, published_at string, "
+                                "default_language string, country string, views_count long, "
+                                "subscribers_count long, videos_count long")
+    got = {r.channel_id: r.published_date for r in clean.curate_channel(raw, dt.date(2024, 1, 2)).collect()}
+    assert got == {"c": None, "d": dt.date(2024, 1, 1)}
+
+
+def test_input_bytes_with_glob(spark):
+    from snapmart.session import input_bytes
+    whole = input_bytes(spark, "/root/testdata/sf0.001")
+    assert 0 < input_bytes(spark, "/root/testdata/sf0.001/*.parquet") == whole

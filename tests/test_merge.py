@@ -112,3 +112,15 @@ def test_map_columns_and_null_keys(spark):
                      newest_first=[])
     got = sorted((r.id or "-", r.title, dict(r.props or {})) for r in out.collect())
     assert got == [("-", "m", {}), ("-", "n", {"k": "2"}), ("a", "s", {"k": "9"})]
+
+
+def test_load_returns_written_version_and_first_load_dedupes(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    args = dict(schema=SCHEMA, keys=["id"], update=["title", "updated_date"], insert=None)
+    D3 = dt.date(2024, 1, 3)
+    first = spark.createDataFrame([("a", "x", "k", D1), ("a", "y", "k", D1)], SCHEMA)
+    got = load_dimension(spark, path, first, as_of=D1, on_duplicate="latest", **args).collect()
+    assert [r.title for r in got] == ["x"]  # one row per key, ties broken by the row's values
+    load_dimension(spark, path, spark.createDataFrame([("a", "t3", "k", D3)], SCHEMA), as_of=D3, **args)
+    back = load_dimension(spark, path, spark.createDataFrame([("b", "t2", "k", D2)], SCHEMA), as_of=D2, **args)
+    assert sorted(r.id for r in back.collect()) == ["a", "b"]  # the backfilled day, not day 3

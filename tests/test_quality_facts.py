@@ -60,3 +60,15 @@ def test_latest_snapshot_from_folder_names_equals_max_filter(spark, tmp_path):
     b = reports.latest(facts.read_snapshots(spark, path, schemas.VIDEO_FACT))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert {r.snapshot_date for r in a.collect()} == {"20240102"}
+
+
+def test_latest_snapshot_ignores_null_key_partition(spark, tmp_path):
+    cur = spark.createDataFrame([("v", "c", 1, 2, 0, 0, 3)],
+                                "video_id string, channel_id string, views_count long, likes_count long, "
+                                "dislikes_count long, favorites_count long, comments_count long")
+    path = str(tmp_path / "f")
+    facts.write_snapshot(facts.video_snapshot(cur, AS_OF), path)
+    facts.write_snapshot(cur.withColumn("snapshot_date", __import__("pyspark.sql.functions", fromlist=["lit"])
+                                        .lit(None).cast("string")), path)
+    got = facts.read_latest_snapshot(spark, path, schemas.VIDEO_FACT).collect()
+    assert [r.snapshot_date for r in got] == ["20240102"]

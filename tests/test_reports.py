@@ -86,3 +86,17 @@ def test_date_dim_matches_python_calendar(spark, start, days):
         assert r.quarter == (d.month - 1) // 3 + 1 and r.is_weekend == int(d.weekday() >= 5)
         assert (r.day_name, r.month_name) == (d.strftime("%A"), d.strftime("%B"))
         assert r.day_of_year == d.timetuple().tm_yday and r.datekey == d.strftime("%Y%m%d")
+
+
+def test_date_dim_rewrite_replaces_whole_table(spark, tmp_path):
+    path = str(tmp_path / "dd")
+    dims.write_date_dim(dims.date_dim(spark, dt.date(2020, 1, 1), dt.date(2020, 12, 31)), path)
+    dims.write_date_dim(dims.date_dim(spark, dt.date(2020, 6, 1), dt.date(2020, 6, 30)), path)
+    assert spark.read.parquet(path).count() == 30
+
+
+def test_sql_trend_needs_as_of(spark):
+    import pytest
+    from snapmart.plans import sql_reports
+    with pytest.raises(ValueError):
+        sql_reports.run(spark, "uploads_per_channel")
