@@ -170,6 +170,8 @@ def _rows(agg: DataFrame, rules: list[Rule], metrics) -> DataFrame:
 def evaluate(df: DataFrame, rules: list[Rule], as_of: dt.date | None = None) -> DataFrame:
     """Outcome rows ``rule, rule_type, column, expected, actual, outcome,
     failure_reason`` (+ ``updated_at``, ``datekey`` when ``as_of`` is given)."""
+    if not rules:
+        raise ValueError("no rules to evaluate")
     ncols = len(df.columns)
     parts = []
     plain = [r for r in rules if not r.needs_distinct]
