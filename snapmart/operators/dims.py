@@ -191,7 +191,14 @@ def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.
     src = source.select(*[F.col(c).cast(f.dataType) for c, f in zip(columns, schema.fields)])
     if any(x < v for x in stored_versions(spark, path)):
         target = read_latest_version(spark, path, schema, below=v)
+        result = scd1_merge(target, src, keys, update, insert, on_duplicate)
+    elif on_duplicate == "latest":
+        result = scd1_merge(spark.createDataFrame([], schema), src, keys, update, insert, on_duplicate)
     else:
-        target = spark.createDataFrame([], schema)
-    write_version(scd1_merge(target, src, keys, update, insert, on_duplicate), path, v)
+        # into an empty dimension nothing matches, so nothing can fail: every
+        # row is inserted with the insert columns (a plain projection)
+        keep = set(insert or columns)
+        result = src.select(*[F.col(c) if c in keep else F.lit(None).cast(f.dataType).alias(c)
+                              for c, f in zip(columns, schema.fields)])
+    write_version(result, path, v)
     return read_table(spark, version_path(path, v), schema)
