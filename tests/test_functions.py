@@ -130,3 +130,18 @@ def test_input_bytes_with_glob(spark):
     from snapmart.session import input_bytes
     whole = input_bytes(spark, "/root/testdata/sf0.001")
     assert 0 < input_bytes(spark, "/root/testdata/sf0.001/*.parquet") == whole
+
+
+def test_video_pages_explode_every_item(spark):
+    v = {"id": "v1", "snippet": {"channelId": "c", "publishedAt": "2024-01-01T00:00:00Z", "title": "t",
+                                 "description": "d", "localized": {}},
+         "contentDetails": {"duration": "PT1M", "dimension": "2d", "definition": "hd"},
+         "status": {"privacyStatus": "public"},
+         "statistics": {"viewCount": "10", "likeCount": "2", "favoriteCount": "0"}}
+    pages = [{"items": [v, dict(v, id="v2")]}, {"items": []}, {"items": [dict(v, id="v3")]}]
+    df = spark.createDataFrame([(json.dumps(p),) for p in pages], "value string")
+    got = flatten.video_pages(df).collect()
+    assert sorted(r.video_id for r in got) == ["v1", "v2", "v3"]
+    assert len(got[0]) == 17
+    ids = flatten.distinct_ids(flatten.video_pages(df.union(df)), "video_id")
+    assert ids.count() == 3
