@@ -51,3 +51,35 @@ def test_two_days_and_rerun(spark, tmp_path):
     assert rep["engagement_ratio"].count() == n_videos
     assert rep["top_viewed"].count() >= 10
     assert rep["channel_video_counts"].count() > 0
+
+
+def test_json_pages_to_daily_tables(spark, tmp_path):
+    import json
+
+    from snapmart.operators import flatten
+    from snapmart.sources import read_json_lines
+    tmp = str(tmp_path)
+    ch = lambda i: {"id": f"UC{i}", "snippet": {"title": f"ch{i}", "description": "d",
+                                                "publishedAt": "2020-05-01T10:00:00Z"},
+                    "statistics": {"viewCount": "5000000000", "subscriberCount": "3", "videoCount": "2"}}
+    vid = lambda i, c: {"id": f"v{i}", "snippet": {"channelId": c, "publishedAt": "2023-12-31T23:59:59Z",
+                                                   "title": f"t{i}", "description": 'say "hi",\nok',
+                                                   "tags": ["a", "b"], "localized": {}},
+                        "contentDetails": {"duration": "PT1H2M3S", "dimension": "2d", "definition": "hd"},
+                        "status": {"privacyStatus": "public"},
+                        "statistics": {"viewCount": "10", "likeCount": "2", "favoriteCount": "0"}}
+    (tmp_path / "ch.jsonl").write_text("\n".join(json.dumps({"items": [ch(i)]}) for i in range(2)) + "\n")
+    (tmp_path / "v.jsonl").write_text(json.dumps({"items": [vid(0, "UC0"), vid(1, "UC1"), vid(2, "X")]}) + "\n")
+    write_csv(flatten.channel_pages(read_json_lines(spark, f"{tmp}/ch.jsonl")), f"{tmp}/raw/channel")
+    write_csv(flatten.video_pages(read_json_lines(spark, f"{tmp}/v.jsonl")), f"{tmp}/raw/video")
+    out = Layout(f"{tmp}/out")
+    profile = run_day(spark, f"{tmp}/raw/channel", f"{tmp}/raw/video", out.root, D1, ["UC0", "UC1"])
+    assert profile["corrupt_records"] == 1
+    vdim = read_latest_version(spark, out.video_dim, schemas.VIDEO_DIM).orderBy("video_id").collect()
+    assert [r.video_id for r in vdim] == ["v0", "v1"]
+    r = vdim[0]
+    assert (r.description, r.hashtags, r.published_date) == ('say "hi",\nok', ["a", "b"], dt.date(2023, 12, 31))
+    assert (r.content_duration_hour, r.content_duration_minutes, r.content_duration_seconds) == (1, 2, 3)
+    cfact = read_table(spark, out.channel_fact, schemas.CHANNEL_FACT).collect()
+    assert {(c.channel_id, c.views_count, c.snapshot_date) for c in cfact} == \
+        {("UC0", 5_000_000_000, "20240101"), ("UC1", 5_000_000_000, "20240101")}
