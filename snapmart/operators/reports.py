@@ -54,7 +54,9 @@ def engagement_ratio(video_dim: DataFrame, video_fact: DataFrame) -> DataFrame:
                     "views_count", "likes_count", "dislikes_count",
                     safe_ratio("likes_count", "views_count").alias("like_to_view_ratio"),
                     safe_ratio("comments_count", "views_count").alias("comment_to_view_ratio"))
-            .orderBy(F.desc_nulls_last("like_to_view_ratio")))
+            # video_id breaks ties so a range partition never holds all rows of one
+            # ratio (every zero-view video has a null ratio)
+            .orderBy(F.desc_nulls_last("like_to_view_ratio"), F.asc_nulls_last("video_id")))
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -86,7 +88,7 @@ def top_viewed(video_dim: DataFrame, video_fact: DataFrame, n: int = 10) -> Data
     d = video_dim.select("title", "video_id", "channel_id")
     return (d.join(top, "video_id")
             .select("title", "video_id", "channel_id", "views_count")
-            .orderBy(F.desc_nulls_last("views_count")))
+            .orderBy(F.desc_nulls_last("views_count"), F.asc_nulls_last("video_id")))
 
 
 def recent_uploads(video_dim: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:

@@ -3,9 +3,11 @@
 For users who run the reports as SQL text against catalog tables: register
 the dimension and fact tables as views (``register_tables``), then run
 ``REPORTS[name]``. Catalyst plans these exactly like the DataFrame reports;
-the two differences from the original scripts are deliberate: the trend
+the differences from the original scripts are deliberate: the trend
 window is ``:months`` months back from ``:as_of`` (the original subtracted
-365 years), and month names are spelled from the calendar.
+365 years), month names are spelled from the calendar, sorts name their
+null order and break ties by id (so tied rows spread over range
+partitions), and top-k is a bounded semi join.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ c AS (
   FROM latest l LEFT SEMI JOIN top t ON l.views_count <=> t.top_views)
 SELECT vid_dim.title, vid_dim.video_id, vid_dim.channel_id, c.views_count
 FROM video_data_dim vid_dim JOIN c ON vid_dim.video_id = c.video_id
-ORDER BY 4 DESC NULLS LAST"""
+ORDER BY 4 DESC NULLS LAST, 2 ASC NULLS LAST"""
 
 LIKES_TO_VIEW_RATIO = """
 SELECT v.video_id, v.title, v.channel_id, v.published_date, vs.views_count, vs.likes_count,
@@ -40,7 +42,7 @@ FROM video_data_dim v
 JOIN video_data_fact vs
   ON v.video_id = vs.video_id
  AND vs.snapshot_date = (SELECT max(snapshot_date) FROM video_data_fact)
-ORDER BY like_to_view_ratio DESC NULLS LAST"""
+ORDER BY like_to_view_ratio DESC NULLS LAST, v.video_id ASC NULLS LAST"""
 
 CHANNEL_METRIC = """
 SELECT chnl_dim.channel_id, chnl_dim.title, chnl_fact.{metric}
