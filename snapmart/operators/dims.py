@@ -11,19 +11,17 @@ Type-1 merge semantics (as a Delta ``MERGE`` with update-set and insert-values):
 * two source rows for one matched target row are an error
   (``on_duplicate="error"``), or the newest wins (``"latest"``).
 
-Plan: one full outer join on the key plus a salt that spreads null-key rows
-(which would otherwise all hash to one shuffle partition), with match flags
-(never ``coalesce(src, tgt)``, which would drop a null update).
-The duplicate guard is a window count over the source partitioned by the
-key, which is the join's own partitioning, so it adds no shuffle; it fails
-inside the job, nothing is collected.
+Plan: see ``scd1_merge``. No step groups all rows of one key in one task:
+null keys and repeated keys are salted across partitions, duplicates are
+reduced by partial aggregations, and the duplicate guard fails inside the
+job (nothing is collected).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,32 +95,55 @@ def _all_keys_set(keys) -> Column:
     return c
 
 
-# Null-key rows are spread over this many buckets per side.
-NULL_KEY_BUCKETS = 4096
+# Null-key target rows and repeated source rows are spread over this many
+# buckets, so neither can pile up in one shuffle partition.
+SPREAD_BUCKETS = 4096
 
 
-def _salt(df: DataFrame, keys, sign: int) -> Column:
-    """0 for a row with a full key; for a row with a null key, a bucket
-    number from a hash of the row, positive for the target side and
-    negative for the source side, so such rows spread over partitions and
-    can never meet a row of the other side."""
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in comparable_columns(df.schema)]), F.lit(NULL_KEY_BUCKETS)) + 1
-    return F.when(_all_keys_set(keys), F.lit(0)).otherwise(bucket * sign).cast("int")
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in comparable_columns(df.schema)])
+
+
+def _bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(SPREAD_BUCKETS)) + 1
+
+
+def latest_per_key(source: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
+    """One row per key: the row with the largest ``newest_by`` values (a null
+    counts as oldest), ties going to the largest remaining values, so every
+    task attempt picks the same row. A ``max_by`` aggregation: each task
+    first keeps its best row per key, so a key holding a third of all rows
+    sends one row per task to the shuffle."""
+    rest = [c for c in comparable_columns(source.schema) if c not in newest_by]
+    order = F.struct(*[F.col(c) for c in list(newest_by) + rest])
+    best = F.max_by(F.struct(*[F.col(c) for c in source.columns]), order)
+    return source.groupBy(*keys).agg(best.alias("_r")).select("_r.*")
 
 
 def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
                insert: list[str] | None = None, on_duplicate: str = "error",
-               newest_first: list | None = None) -> DataFrame:
+               newest_by: list[str] | None = None) -> DataFrame:
     """The target after a type-1 merge of the source (see module doc).
 
     ``update``: columns overwritten on a match; ``insert``: columns written
-    for a new row (default: all target columns). ``newest_first`` orders
-    source duplicates for ``on_duplicate="latest"``.
-
-    One scan per side and one full outer join on ``(keys, salt)``: the salt
-    is 0 for every row with a key, so those match as usual, while null-key
-    rows are spread over many partitions instead of all hashing to one
-    (skew joins do not split full outer joins) and never match.
+    for a new row (default: all target columns). With
+    ``on_duplicate="latest"``, repeated source keys keep the row with the
+    largest ``newest_by`` values (default ``["updated_date"]``).
+
+    Plan, safe for a key that holds a third of all rows on either side:
+
+    * source rows with a null key never match: they are split off (a
+      filter, pushed into the scan) and inserted as they are;
+    * ``latest``: one row per key by a partial-aggregating ``max_by``;
+      ``error``: per key a partial-aggregating count and the smallest row
+      hash; that one representative row per key takes part in matching
+      (salt 0) while the key's other rows get a negative salt bucket, so a
+      hot key is spread over many partitions yet still detected when it
+      matches (then the job fails in flight);
+    * target rows with a null key get a positive salt bucket (they never
+      match and must not all hash to one partition);
+    * one full outer join on ``(keys, salt)``; match flags, never
+      ``coalesce(src, tgt)``, so a matched null overwrites.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
@@ -131,34 +152,31 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
     insert = list(insert or columns)
     src_cols = [c for c in columns if c in insert or c in update]
 
-    src = source.withColumn("_salt", _salt(source, keys, -1))
-    by_key = Window.partitionBy(*keys, "_salt")
+    has_key = _all_keys_set(keys)
+    src_ok, src_null = source.filter(has_key), source.filter(~has_key)
     if on_duplicate == "latest":
-        order = ([F.col("updated_date").desc_nulls_last()] if newest_first is None
-                 else list(newest_first))
-        # the row's own values break ties, so a retried task picks the same row
-        order = order + [F.col(c).asc_nulls_last() for c in comparable_columns(source.schema)]
-        src = (src.withColumn("_rn", F.row_number().over(by_key.orderBy(*order)))
-               .filter((F.col("_rn") == 1) | ~_all_keys_set(keys)).drop("_rn"))
-        dup = None
+        src_ok = latest_per_key(src_ok, keys, ["updated_date"] if newest_by is None else newest_by)
+        src_ok = src_ok.withColumn("_salt", F.lit(0)).withColumn("_n", F.lit(1).cast("bigint"))
     else:
-        src = src.withColumn("_n", F.count(F.lit(1)).over(by_key))
-        dup = F.col("_n")
-
-    s = src.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
-                   F.col("_salt").alias("_s_salt"),
-                   *([dup.alias("_s_n")] if dup is not None else []),
-                   F.lit(True).alias("_s"))
-    t = target.select(*columns, _salt(target, keys, 1).alias("_salt"), F.lit(True).alias("_t"))
+        src_ok = src_ok.withColumn("_rh", _row_hash(src_ok))
+        per_key = src_ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_rh").alias("_min"))
+        src_ok = (src_ok.join(per_key, keys)  # a skewed key is split by AQE (inner join)
+                  .withColumn("_salt", F.when((F.col("_n") == 1) | (F.col("_rh") == F.col("_min")),
+                                              F.lit(0)).otherwise(-_bucket(F.col("_rh")))))
+
+    s = src_ok.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
+                      F.col("_salt").cast("int").alias("_s_salt"), F.col("_n").alias("_s_n"),
+                      F.lit(True).alias("_s"))
+    t_salt = F.when(has_key, F.lit(0)).otherwise(_bucket(_row_hash(target))).cast("int")
+    t = target.select(*columns, t_salt.alias("_salt"), F.lit(True).alias("_t"))
     cond = [t[k] == s[f"_s_{k}"] for k in keys] + [t["_salt"] == s["_s_salt"]]
     j = t.join(s, cond, "full_outer")
 
     new = F.col("_t").isNull()
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    if dup is not None:
-        j = j.filter(F.when(matched & (F.col("_s_n") > 1), F.raise_error(F.lit(
-            "merge: several source rows match one target row; "
-            "deduplicate the source or use on_duplicate='latest'"))).otherwise(F.lit(True)))
+    j = j.filter(F.when(matched & (F.col("_s_n") > 1), F.raise_error(F.lit(
+        "merge: several source rows match one target row; "
+        "deduplicate the source or use on_duplicate='latest'"))).otherwise(F.lit(True)))
 
     out = []
     for c in columns:
@@ -170,7 +188,10 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
         else:
             v = F.when(new, src_val).otherwise(F.col(c))
         out.append(v.alias(c))
-    return j.select(*out)
+    inserted_null = src_null.select(*[
+        (F.col(c).cast(types[c]) if c in insert else F.lit(None).cast(types[c])).alias(c)
+        for c in columns])
+    return j.select(*out).unionByName(inserted_null)
 
 
 def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,

@@ -99,9 +99,10 @@ def test_uncommitted_version_is_ignored(spark, tmp_path):
 
 
 def test_latest_tie_is_decided_by_row_values(spark):
-    got = merge(spark, [("a", "t", "k", D1)], [("a", "s2", "y", D2), ("a", "s1", "x", D2)],
+    # equal dates: the row with the largest remaining values wins, on every attempt
+    got = merge(spark, [("a", "t", "k", D1)], [("a", "s1", "x", D2), ("a", "s2", "y", D2)],
                 on_duplicate="latest")
-    assert got == [("a", "s1", "k", D2)]
+    assert got == [("a", "s2", "k", D2)]
 
 
 def test_map_columns_and_null_keys(spark):
@@ -109,7 +110,7 @@ def test_map_columns_and_null_keys(spark):
     t = spark.createDataFrame([("a", {"k": "1"}, "t"), (None, {"k": "2"}, "n")], schema)
     s = spark.createDataFrame([("a", {"k": "9"}, "s"), (None, None, "m")], schema)
     out = scd1_merge(t, s, ["id"], update=["props", "title"], on_duplicate="latest",
-                     newest_first=[])
+                     newest_by=[])
     got = sorted((r.id or "-", r.title, dict(r.props or {})) for r in out.collect())
     assert got == [("-", "m", {}), ("-", "n", {"k": "2"}), ("a", "s", {"k": "9"})]
 
@@ -120,7 +121,30 @@ def test_load_returns_written_version_and_first_load_dedupes(spark, tmp_path):
     D3 = dt.date(2024, 1, 3)
     first = spark.createDataFrame([("a", "x", "k", D1), ("a", "y", "k", D1)], SCHEMA)
     got = load_dimension(spark, path, first, as_of=D1, on_duplicate="latest", **args).collect()
-    assert [r.title for r in got] == ["x"]  # one row per key, ties broken by the row's values
+    assert [r.title for r in got] == ["y"]  # one row per key, ties broken by the row's values
     load_dimension(spark, path, spark.createDataFrame([("a", "t3", "k", D3)], SCHEMA), as_of=D3, **args)
     back = load_dimension(spark, path, spark.createDataFrame([("b", "t2", "k", D2)], SCHEMA), as_of=D2, **args)
     assert sorted(r.id for r in back.collect()) == ["a", "b"]  # the backfilled day, not day 3
+
+
+def test_hot_source_key_is_inserted_whole_or_fails_when_matched(spark):
+    hot = [("h", f"r{i}", "x", D2) for i in range(300)]
+    got = merge(spark, [("a", "t", "k", D1)], hot + [("a", "new", "y", D2)])
+    assert len(got) == 301 and ("a", "new", "k", D2) in got
+    with pytest.raises(PySparkException, match="several source rows"):
+        merge(spark, [("h", "t", "k", D1)], hot)
+    latest = merge(spark, [("h", "t", "k", D1)], hot, on_duplicate="latest")
+    assert latest == [("h", "r99", "k", D2)]
+
+
+def test_hot_key_rows_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+    t = spark.createDataFrame([("a", "t", "k", D1)], SCHEMA)
+    s = spark.createDataFrame([("h", f"r{i}", "x", D2) for i in range(2000)], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = scd1_merge(t, s, ["id"], update=["title"]).filter(F.col("id") == "h")
+        sizes = [n for n in out.rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 2000 and max(sizes) < 2000  # not all in one task
