@@ -18,7 +18,7 @@ from snapmart.functions import iso_duration, split_list, url_tail
 from snapmart.operators import clean, dims, facts, flatten, quality, reports
 from snapmart.plans import sql_reports
 from snapmart.session import scratch_path
-from snapmart.sources import read_csv, read_day, read_table, write_csv, write_days
+from snapmart.sources import read_csv, read_day, read_latest_version, read_table, write_csv, write_days
 from snapmart.sources import testdata as td
 
 # The run date of the test data: the last order date.
@@ -679,3 +679,20 @@ for _name, _same, _ch in (("top_viewed", "top_viewed", False),
                           ("uploads_per_quarter", "trend_quarter", False),
                           ("uploads_per_month", "trend_month", False)):
     register(f"sql_{_name}", ORACLE[_same])(_sql_report(_name, _ch))
+
+
+# ---- a report over stored tables (the production read path) ---------------
+
+@register("stored_top_viewed", ORACLE["top_viewed"])
+def q_stored_top_viewed(spark, sf):
+    """The video dimension stored as a committed version and the snapshots as
+    day partitions; top-k then reads the newest version (picked by listing)
+    and only the newest snapshot day (picked from the folder names)."""
+    root = scratch_path(spark, "stored_reports")
+    dim, fact = _video(spark, sf)
+    dims.load_dimension(spark, f"{root}/video_dim", dim, schemas.VIDEO_DIM, ["video_id"],
+                        schemas.VIDEO_DIM_UPDATE, schemas.VIDEO_DIM_COLUMNS, AS_OF)
+    facts.write_snapshot(fact.select(*schemas.VIDEO_FACT_COLUMNS), f"{root}/video_fact", files_per_day=4)
+    vdim = read_latest_version(spark, f"{root}/video_dim", schemas.VIDEO_DIM)
+    vfact = facts.read_latest_snapshot(spark, f"{root}/video_fact", schemas.VIDEO_FACT)
+    return reports.top_viewed(vdim, vfact, 10)
