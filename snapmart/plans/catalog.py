@@ -474,6 +474,20 @@ def _video_slices(spark, sf):
     return day1, day2
 
 
+def _merge_stored_days(spark, name, day1, day2, schema, keys, update, insert):
+    """As the consumption job does: each day lands as a curated day partition,
+    then each stored day is merged into the dimension in turn."""
+    root = scratch_path(spark, name)
+    cols = [f.name for f in schema.fields]
+    write_days(day1.select(*cols), f"{root}/curated", "updated_date")
+    write_days(day2.select(*cols).withColumn("updated_date", F.lit(AS_OF)), f"{root}/curated", "updated_date")
+    out = None
+    for day in (DAY1, AS_OF):
+        src = read_day(spark, f"{root}/curated", schema, day)
+        out = dims.load_dimension(spark, f"{root}/dim", src, schema, keys, update, insert, day)
+    return out
+
+
 @register("scd1_merge_video", f"""
 WITH {VIDEO_DIM_SQL},
 t AS (SELECT * REPLACE ({DAY1_SQL} AS updated_date,
@@ -494,11 +508,9 @@ SELECT CASE WHEN t._t IS NULL THEN s.video_id ELSE t.video_id END AS video_id,
 FROM t FULL OUTER JOIN s ON t.video_id = s.video_id""")
 def q_scd1_merge_video(spark, sf):
     day1, day2 = _video_slices(spark, sf)
-    path = scratch_path(spark, "video_dim")
-    args = dict(schema=schemas.VIDEO_DIM, keys=["video_id"], update=schemas.VIDEO_DIM_UPDATE,
-                insert=schemas.VIDEO_DIM_COLUMNS)
-    dims.load_dimension(spark, path, day1, as_of=DAY1, **args)
-    return _joined_tags(dims.load_dimension(spark, path, day2, as_of=AS_OF, **args))
+    return _joined_tags(_merge_stored_days(
+        spark, "video_dim", day1, day2, schemas.VIDEO_DIM, ["video_id"],
+        schemas.VIDEO_DIM_UPDATE, schemas.VIDEO_DIM_COLUMNS))
 
 
 @register("scd1_merge_channel", f"""
@@ -524,11 +536,8 @@ def q_scd1_merge_channel(spark, sf):
             .withColumn("title", F.concat("title", F.lit("-v2")))
             .withColumn("published_date", F.lit(dt.date(2001, 1, 1)))
             .withColumn("country", F.when(F.col("nk") != 20, F.col("country"))).drop("nk"))
-    path = scratch_path(spark, "channel_dim")
-    args = dict(schema=schemas.CHANNEL_DIM, keys=["channel_id"], update=schemas.CHANNEL_DIM_UPDATE,
-                insert=schemas.CHANNEL_DIM_COLUMNS)
-    dims.load_dimension(spark, path, day1, as_of=DAY1, **args)
-    return dims.load_dimension(spark, path, day2, as_of=AS_OF, **args)
+    return _merge_stored_days(spark, "channel_dim", day1, day2, schemas.CHANNEL_DIM, ["channel_id"],
+                              schemas.CHANNEL_DIM_UPDATE, schemas.CHANNEL_DIM_COLUMNS)
 
 
 @register("scd1_first_load", f"WITH {CHANNEL_DIM_SQL} SELECT * FROM channel_dim")
