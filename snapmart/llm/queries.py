@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from snapmart.llm import secrets
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from snapmart.llm import packing, secrets
 from snapmart.llm.common import table
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                          keep=[F.crc32("ids").alias("ids_crc32")])
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
 }
 
