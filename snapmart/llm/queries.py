@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import packing, secrets
+from snapmart.llm import jaccard, packing, secrets
 from snapmart.llm.common import table
 
 
@@ -15,12 +15,18 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_parity_jaccard(spark, sf_dir):
+    found = jaccard.join(table(spark, sf_dir, "documents"), n=3, num=9, den=10)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_parity_jaccard": op4_parity_jaccard,
     "op10_secret_scan": op10_secret_scan,
 }
 
