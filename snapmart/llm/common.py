@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.session import scratch_path
 
-TOKENIZER_DIR_HELP = "path of a public tokenizer file; a parameter, never copied"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,12 +24,14 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files whose results are stored: Spark drops them when
+    the driver's garbage is collected, which a roomy driver seldom does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id`` and whole text, null text as the empty one. Every other
     column is left behind, so no extra column can clash."""
     return docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-
-def partitions_for(df: DataFrame) -> int:
-    """The session's shuffle partitions, for explicit repartitioning."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard, packing, secrets
+from snapmart.llm import jaccard, packing, secrets, suffixes
 from snapmart.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_parity_jaccard(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_radix_suffix_dedup(spark, sf_dir):
+    return suffixes.digests(suffixes.remove(table(spark, sf_dir, "documents")))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -27,6 +31,7 @@ def op10_secret_scan(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_parity_jaccard": op4_parity_jaccard,
+    "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
