@@ -55,8 +55,10 @@ WORDS, LONG = Base(1), Base(2)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
+INK = np.ones(256, bool)  # all but ASCII white space
+INK[[9, 10, 11, 12, 13, 32]] = False
+LETTERS = np.arange(256) >= 128  # letters, digits and bytes of longer characters
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
 def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -76,11 +78,11 @@ def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, np.n
         lo = hi
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs without ASCII white space, A-Z lower-cased) of
-    the rows in ``data``, and the word number at which each row starts."""
+def word_hashes(data: np.ndarray, off: np.ndarray, of: np.ndarray = INK) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (runs of the bytes ``of``, A-Z lower-cased) of the
+    rows in ``data``, and the word number at which each row starts."""
     low = LOWER[data]
-    ink = ~SPACE[low]
+    ink = of[low]
     first = np.zeros(len(low) + 1, bool)
     first[off] = True  # a row's first byte starts a word anew
     cut = first[:-1].copy()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard, packing, secrets, suffixes
+from snapmart.llm import jaccard, packing, secrets, suffixes, toxicity
 from snapmart.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_ftrl_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
 def op4_parity_jaccard(spark, sf_dir):
     found = jaccard.join(table(spark, sf_dir, "documents"), n=3, num=9, den=10)
     return found.select("doc_id", "n_shingles", "component_id")
@@ -30,6 +35,7 @@ def op10_secret_scan(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_ftrl_toxicity": op3_ftrl_toxicity,
     "op4_parity_jaccard": op4_parity_jaccard,
     "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
