@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard, packing, secrets, suffixes, toxicity
+from snapmart.llm import bpe, jaccard, packing, secrets, suffixes, toxicity
 from snapmart.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op5_radix_suffix_dedup(spark, sf_dir):
     return suffixes.digests(suffixes.remove(table(spark, sf_dir, "documents")))
 
 
+def op7_tree_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -38,6 +43,7 @@ QUERIES = {
     "op3_ftrl_toxicity": op3_ftrl_toxicity,
     "op4_parity_jaccard": op4_parity_jaccard,
     "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
+    "op7_tree_bpe": op7_tree_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
 
