@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, jaccard, packing, secrets, suffixes, toxicity
+from snapmart.llm import bpe, jaccard, packing, secrets, suffixes, toxicity, warc
 from snapmart.llm.common import table
 
 
@@ -29,6 +29,20 @@ def op5_radix_suffix_dedup(spark, sf_dir):
     return suffixes.digests(suffixes.remove(table(spark, sf_dir, "documents")))
 
 
+def op6_chunked_warc(spark, sf_dir):
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+OP6_SQL = """
+SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN newest END AS refers_to
+FROM (SELECT *, strlen(payload) >= 1000 AND page_id < newest AS again
+      FROM (SELECT page_id, payload, max(page_id) OVER (PARTITION BY payload) AS newest
+            FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages)))
+"""
+
+
 def op7_tree_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
@@ -43,8 +57,11 @@ QUERIES = {
     "op3_ftrl_toxicity": op3_ftrl_toxicity,
     "op4_parity_jaccard": op4_parity_jaccard,
     "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
+    "op6_chunked_warc": op6_chunked_warc,
     "op7_tree_bpe": op7_tree_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_chunked_warc": OP6_SQL,
+}
