@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, jaccard, packing, secrets, suffixes, toxicity, warc
+from snapmart.llm import bpe, impact, jaccard, packing, secrets, suffixes, toxicity, warc
 from snapmart.llm.common import table
 
 
@@ -15,6 +15,24 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_impact_topk(spark, sf_dir):
+    return impact.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= 10
+"""
+
+
 def op3_ftrl_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.train(docs, labels))
@@ -54,6 +72,7 @@ def op10_secret_scan(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_impact_topk": op2_impact_topk,
     "op3_ftrl_toxicity": op3_ftrl_toxicity,
     "op4_parity_jaccard": op4_parity_jaccard,
     "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
@@ -63,5 +82,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_impact_topk": OP2_SQL,
     "op6_chunked_warc": OP6_SQL,
 }
