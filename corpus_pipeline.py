@@ -1,20 +1,53 @@
-"""Corpus cleaning pipeline: each stage's rows are written and reread as the next one's input."""
+"""Corpus cleaning: documents without toxic ones and near copies, without repeated
+passages and live secrets, packed into training sequences.
+
+Every stage takes all rows its predecessor kept; its rows are written as Parquet
+and read again as the next one's documents. All stages but the last return the
+columns of ``documents``; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapmart.llm import secrets
+from snapmart.llm import jaccard, packing, secrets, suffixes, toxicity
 from snapmart.llm.common import stored, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five words, 0.8)."""
+    return jaccard.keep_one(docs, n=5, num=8, den=10)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes or more that occur twice go; every document stays."""
+    return suffixes.clean(docs, length=200)
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask live-looking secrets; every document stays."""
+    """Live-looking secrets are masked; every document stays."""
     return secrets.redact(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in the sequences."""
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=[F.crc32("ids").alias("ids_crc32")])
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
     ("secret scans", hide_secrets),
+    ("best-fit packing", pack),
 ]
 
 #: No SQL says the trained filter or the packing; tests hold the stages against brute force.
@@ -22,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the last one's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -35,3 +35,11 @@ def texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id`` and whole text, null text as the empty one. Every other
     column is left behind, so no extra column can clash."""
     return docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars``, if there, as the length of the text as it is now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.length("text").cast(kind))

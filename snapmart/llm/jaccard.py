@@ -298,3 +298,12 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     return told.select(known(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                        known(F.coalesce("class_id", "doc_id")).alias("class_id"),
                        known(F.coalesce("component_id", "class_id", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """One row of each component stays, the one with the smallest id, columns
+    as they were. A row without id cannot be told apart and stays."""
+    found = join(docs, n, num, den)
+    stay = stored(found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "jaccard-stay")
+    one = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.union(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, forest, impact, jaccard, packing, secrets, suffixes, toxicity, warc
+from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, secrets, suffixes, toxicity, warc
 from snapmart.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op7_tree_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def op8_patience_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_projection_forest(spark, sf_dir):
     return forest.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES = {
     "op5_radix_suffix_dedup": op5_radix_suffix_dedup,
     "op6_chunked_warc": op6_chunked_warc,
     "op7_tree_bpe": op7_tree_bpe,
+    "op8_patience_licenses": op8_patience_licenses,
     "op9_projection_forest": op9_projection_forest,
     "op10_secret_scan": op10_secret_scan,
 }

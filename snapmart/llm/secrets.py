@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import stored
+from snapmart.llm.common import recounted, stored
 
 # Span kinds in order of listing and their patterns.
 KINDS = ("assign", "access", "hex", "opaque")
@@ -153,4 +153,4 @@ def redact(docs: DataFrame, **options) -> DataFrame:
         F.first("hit").alias("hit")).select("hit_id", "hit_hash", merged.alias("hit"))
     joined = docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]) & (F.xxhash64(docs["text"]) == hits["hit_hash"]),
                        "left").select(*[docs[c] for c in docs.columns], hits["hit"])
-    return joined.mapInArrow(partial(_redact, at=docs.columns.index("text")), docs.schema)
+    return recounted(joined.mapInArrow(partial(_redact, at=docs.columns.index("text")), docs.schema))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm import hashing
-from snapmart.llm.common import release, stored, texts
+from snapmart.llm.common import recounted, release, stored, texts
 
 ANCHOR = 50
 GROUP = 4096
@@ -288,3 +288,12 @@ def digests(removed: DataFrame) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+
+
+def clean(docs: DataFrame, length: int = 200) -> DataFrame:
+    """The same rows and columns, repeated passages cut out of ``text`` and, if
+    there, n_chars counted anew. A character that a cut leaves broken goes too."""
+    cut = remove(docs, length, docs.columns)
+    whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    text = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("text"))
+    return recounted(cut.withColumn("text", text).select(*docs.columns))
