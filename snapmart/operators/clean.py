@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapmart.functions import iso_duration, null_or_text_null, split_list, to_date_safe
+from snapmart.session import scratch_path
 
 # The allow-list of channel ids used by the original cleaning job.
 CHANNEL_ALLOW_LIST = [
@@ -35,12 +36,14 @@ def allowed(column: str, ids: Iterable) -> Column:
 
 def split_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, DataFrame]:
     """(clean, corrupt). ``ids`` is a list (an ``isin`` predicate, evaluated
-    in the scan's codegen stage) or a DataFrame with one column named like
-    ``column`` (semi/anti joins; Spark broadcasts it only when its measured
-    size is under the broadcast threshold)."""
+    in the scan's codegen stage) or a DataFrame with a column named like
+    ``column``. A table is joined as it is (semi and anti joins repeat no
+    row): both inputs are then plain shuffle reads, so AQE splits a key that
+    holds very many rows; rows without a key take no part in the joins."""
     if isinstance(ids, DataFrame):
-        keys = ids.select(column).distinct()
-        return df.join(keys, column, "left_semi"), df.join(keys, column, "left_anti")
+        keys = ids.select(column).filter(F.col(column).isNotNull())
+        keyed, unkeyed = df.filter(F.col(column).isNotNull()), df.filter(F.col(column).isNull())
+        return keyed.join(keys, column, "left_semi"), keyed.join(keys, column, "left_anti").unionByName(unkeyed)
     ok = allowed(column, ids)
     return df.filter(ok), df.filter(~F.coalesce(ok, F.lit(False)))
 
@@ -53,11 +56,14 @@ def label_allowed(df: DataFrame, column: str, ids, label: str = "part") -> DataF
 
 
 def flag_allowed(df: DataFrame, column: str, ids) -> tuple[DataFrame, Column]:
-    """``df`` with a never-null boolean telling clean rows. For a DataFrame
-    allow-list this is a left join against its distinct keys (so no row is
-    repeated), broadcast by Spark only when measured small enough."""
+    """``df`` with a never-null boolean telling clean rows, in one pass over
+    ``df``. A DataFrame allow-list is reduced to its distinct keys and stored
+    first: its size is then known to the planner, and in a shuffled join both
+    inputs are plain reads, so AQE splits a hot key and the null keys."""
     if isinstance(ids, DataFrame):
-        keys = ids.select(column).distinct().withColumn("_allowed", F.lit(True))
+        path = scratch_path(df.sparkSession, "allow_list")
+        ids.select(column).filter(F.col(column).isNotNull()).distinct().write.parquet(path)
+        keys = df.sparkSession.read.schema(ids.select(column).schema).parquet(path).withColumn("_allowed", F.lit(True))
         return df.join(keys, column, "left"), F.coalesce(F.col("_allowed"), F.lit(False))
     return df, F.coalesce(allowed(column, ids), F.lit(False))
 

@@ -11,10 +11,10 @@ Type-1 merge semantics (as a Delta ``MERGE`` with update-set and insert-values):
 * two source rows for one matched target row are an error
   (``on_duplicate="error"``), or the newest wins (``"latest"``).
 
-Plan: see ``scd1_merge``. No step groups all rows of one key in one task:
-null keys and repeated keys are salted across partitions, duplicates are
-reduced by partial aggregations, and the duplicate guard fails inside the
-job (nothing is collected).
+Plan: see ``scd1_merge``. Null keys take no part in a join, repeated source
+keys are reduced by partial aggregations before a shuffle, and the joins'
+inputs are plain shuffle reads, so AQE splits a key that holds very many rows.
+The duplicate guard fails inside the job (nothing is collected).
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from snapmart.functions import datekey, month_name
 from snapmart.schemas import comparable_columns
+from snapmart.session import scratch_path
 from snapmart.sources.tables import (
     read_latest_version, read_table, stored_versions, version_key, version_path, write_version,
 )
@@ -95,19 +96,6 @@ def _all_keys_set(keys) -> Column:
     return c
 
 
-# Null-key target rows and repeated source rows are spread over this many
-# buckets, so neither can pile up in one shuffle partition.
-SPREAD_BUCKETS = 4096
-
-
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in comparable_columns(df.schema)])
-
-
-def _bucket(h: Column) -> Column:
-    return F.pmod(h, F.lit(SPREAD_BUCKETS)) + 1
-
-
 def latest_per_key(source: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
     """One row per key: the row with the largest ``newest_by`` values (a null
     counts as oldest), ties going to the largest remaining values, so every
@@ -132,66 +120,63 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update: li
 
     Plan, safe for a key that holds a third of all rows on either side:
 
-    * source rows with a null key never match: they are split off (a
-      filter, pushed into the scan) and inserted as they are;
-    * ``latest``: one row per key by a partial-aggregating ``max_by``;
-      ``error``: per key a partial-aggregating count and the smallest row
-      hash; that one representative row per key takes part in matching
-      (salt 0) while the key's other rows get a negative salt bucket, so a
-      hot key is spread over many partitions yet still detected when it
-      matches (then the job fails in flight);
-    * target rows with a null key get a positive salt bucket (they never
-      match and must not all hash to one partition);
-    * one full outer join on ``(keys, salt)``; match flags, never
-      ``coalesce(src, tgt)``, so a matched null overwrites.
+    * rows with a null key never match: on both sides they are split off (a
+      filter, pushed into the scan) and kept or inserted as they are;
+    * the source is reduced to one row per key (``latest``: a ``max_by``;
+      ``error``: any row and the count), partially aggregated before its
+      shuffle, and stored under the work folder. Its size is then known, so
+      Spark broadcasts it where it is small, and otherwise both join inputs
+      are plain shuffle reads, whose skewed partitions AQE can split;
+    * matched and kept rows: target left join the stored rows. A source key
+      with several rows fails the job in flight once it matches;
+    * inserted rows: source left anti join the target's keys.
+
+    A matched row takes the source's value even when it is null.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
     insert = list(insert or columns)
-    src_cols = [c for c in columns if c in insert or c in update]
-
+    update_cols = [c for c in columns if c in update and c not in keys]
     has_key = _all_keys_set(keys)
     src_ok, src_null = source.filter(has_key), source.filter(~has_key)
+
     if on_duplicate == "latest":
-        src_ok = latest_per_key(src_ok, keys, ["updated_date"] if newest_by is None else newest_by)
-        src_ok = src_ok.withColumn("_salt", F.lit(0)).withColumn("_n", F.lit(1).cast("bigint"))
+        one = latest_per_key(src_ok, keys, ["updated_date"] if newest_by is None else newest_by)
+        rows_in, one = None, one.withColumn("_n", F.lit(1).cast("bigint"))
     else:
-        src_ok = src_ok.withColumn("_rh", _row_hash(src_ok))
-        per_key = src_ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_rh").alias("_min"))
-        src_ok = (src_ok.join(per_key, keys)  # a skewed key is split by AQE (inner join)
-                  .withColumn("_salt", F.when((F.col("_n") == 1) | (F.col("_rh") == F.col("_min")),
-                                              F.lit(0)).otherwise(-_bucket(F.col("_rh")))))
-
-    s = src_ok.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in src_cols],
-                      F.col("_salt").cast("int").alias("_s_salt"), F.col("_n").alias("_s_n"),
-                      F.lit(True).alias("_s"))
-    t_salt = F.when(has_key, F.lit(0)).otherwise(_bucket(_row_hash(target))).cast("int")
-    t = target.select(*columns, t_salt.alias("_salt"), F.lit(True).alias("_t"))
-    cond = [t[k] == s[f"_s_{k}"] for k in keys] + [t["_salt"] == s["_s_salt"]]
-    j = t.join(s, cond, "full_outer")
-
-    new = F.col("_t").isNull()
-    matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    j = j.filter(F.when(matched & (F.col("_s_n") > 1), F.raise_error(F.lit(
+        whole = F.struct(*[F.col(c) for c in source.columns])
+        one = src_ok.groupBy(*keys).agg(F.first(whole).alias("_r"), F.count(F.lit(1)).alias("_n"))
+        rows_in, one = src_ok, one.select("_r.*", "_n")
+    one = _stored(one)
+    rows_in = one if rows_in is None else rows_in
+
+    s = one.select(*[F.col(k).cast(types[k]).alias(f"_k_{k}") for k in keys],
+                   *[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in update_cols], "_n")
+    t = target.filter(has_key)
+    j = t.join(s, [t[k] == s[f"_k_{k}"] for k in keys], "left")
+    matched = F.col("_n").isNotNull()
+    j = j.filter(F.when(F.col("_n") > 1, F.raise_error(F.lit(
         "merge: several source rows match one target row; "
         "deduplicate the source or use on_duplicate='latest'"))).otherwise(F.lit(True)))
+    kept = j.select(*[(F.when(matched, F.col(f"_s_{c}")).otherwise(t[c]) if c in update_cols else t[c]).alias(c)
+                      for c in columns])
+
+    known = target.filter(has_key).select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    new = rows_in.join(known, [rows_in[k].cast(types[k]) == known[f"_t_{k}"] for k in keys], "left_anti")
+
+    def inserted(df: DataFrame) -> DataFrame:
+        return df.select(*[(F.col(c).cast(types[c]) if c in insert or c in keys else F.lit(None).cast(types[c])).alias(c)
+                           for c in columns])
+    return (kept.unionByName(inserted(new)).unionByName(inserted(src_null))
+            .unionByName(target.filter(~has_key)))
+
 
-    out = []
-    for c in columns:
-        src_val = F.col(f"_s_{c}") if c in insert else F.lit(None).cast(types[c])
-        if c in keys:
-            v = F.when(new, F.col(f"_s_{c}")).otherwise(F.col(c))
-        elif c in update:
-            v = F.when(new, src_val).when(matched, F.col(f"_s_{c}")).otherwise(F.col(c))
-        else:
-            v = F.when(new, src_val).otherwise(F.col(c))
-        out.append(v.alias(c))
-    inserted_null = src_null.select(*[
-        (F.col(c).cast(types[c]) if c in insert else F.lit(None).cast(types[c])).alias(c)
-        for c in columns])
-    return j.select(*out).unionByName(inserted_null)
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "merge_source")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,

@@ -137,14 +137,58 @@ def test_hot_source_key_is_inserted_whole_or_fails_when_matched(spark):
     assert latest == [("h", "r99", "k", D2)]
 
 
-def test_hot_key_rows_spread_over_partitions(spark):
+@pytest.fixture
+def shuffled(spark):
+    """Every join shuffles, and AQE calls a partition of a few kB skewed."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+ROWS = 24_000
+
+
+def stage_reads(spark, df):
+    """Records each task of the last run's join stages gave, largest first."""
+    return sorted(df.rdd.glom().map(len).collect(), reverse=True)
+
+
+@pytest.mark.parametrize("same_payload", [False, True])
+def test_no_task_holds_a_hot_key(shuffled, same_payload):
+    from pyspark.sql import functions as F
+    spark = shuffled
+    # every third row has the hot key (source), every other third no key (target)
+    payload = F.lit("p") if same_payload else F.sha2(F.col("i").cast("string"), 256)
+    rows = spark.range(0, ROWS, 1, 8).withColumnRenamed("id", "i").withColumn("p", payload)
+    src = rows.select(F.when(F.col("i") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), "i")).alias("id"),
+                      F.col("p").alias("title"), F.lit("k").alias("kept"), F.lit(D2).alias("updated_date"))
+    tgt = rows.select(F.when(F.col("i") % 3 != 0, F.concat(F.lit("s"), "i")).alias("id"),
+                      F.col("p").alias("title"), F.lit("k").alias("kept"), F.lit(D1).alias("updated_date"))
+    out = scd1_merge(tgt, src, ["id"], update=["title", "updated_date"])
+    sizes = stage_reads(spark, out)
+    assert sum(sizes) == ROWS + ROWS // 3  # matched, inserted copies of the hot key, rows without a key
+    assert sizes[0] <= 2 * ROWS / 8
+
+
+def test_allow_list_splits_a_hot_key(shuffled):
     from pyspark.sql import functions as F
-    t = spark.createDataFrame([("a", "t", "k", D1)], SCHEMA)
-    s = spark.createDataFrame([("h", f"r{i}", "x", D2) for i in range(2000)], SCHEMA)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        out = scd1_merge(t, s, ["id"], update=["title"]).filter(F.col("id") == "h")
-        sizes = [n for n in out.rdd.glom().map(len).collect() if n]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 2000 and max(sizes) < 2000  # not all in one task
+    from snapmart.operators import clean
+    spark = shuffled
+    df = spark.range(0, ROWS, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("c"), "id")).alias("c"),
+        F.sha2(F.col("id").cast("string"), 256).alias("p"))
+    ids = spark.createDataFrame([("hot",), ("hot",), ("c1",), (None,)], "c string")
+    ok, bad = clean.split_allowed(df, "c", ids)
+    assert (ok.count(), bad.count()) == (ROWS // 3 + 1, 2 * ROWS // 3 - 1)
+    flagged, flag = clean.flag_allowed(df, "c", ids)
+    for part in (ok, bad, flagged.select("p", flag.alias("f"))):
+        assert stage_reads(spark, part)[0] <= 2 * ROWS / 8
+    assert flagged.filter(flag).count() == ROWS // 3 + 1
