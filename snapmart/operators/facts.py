@@ -2,8 +2,7 @@
 
 A snapshot is the day's curated rows projected to the fact columns and
 stamped with the day's ``yyyyMMdd`` key. It is written into its own
-``snapshot_date`` partition with dynamic overwrite, so writing the same day
-twice leaves one copy.
+``snapshot_date`` partition, so writing the same day twice leaves one copy.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from snapmart.functions import datekey
 from snapmart.schemas import CHANNEL_FACT_COLUMNS, VIDEO_FACT_COLUMNS
-from snapmart.sources.tables import partition_values, read_partition, write_days
+from snapmart.sources.tables import partition_values, read_partition, write_day, write_days
 
 SNAPSHOT = "snapshot_date"
 
@@ -38,10 +37,15 @@ def channel_snapshot(curated_channel: DataFrame, as_of: dt.date) -> DataFrame:
     return snapshot(curated_channel, CHANNEL_FACT_COLUMNS[:-1], as_of)
 
 
-def write_snapshot(df: DataFrame, path: str, files_per_day: int | None = None) -> None:
+def write_snapshot(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """Replace the snapshot days present in ``df``; other days stay.
-    ``files_per_day`` bounds the files of each day in a many-day backfill."""
-    write_days(df, path, SNAPSHOT, files_per_day)
+    ``rebalance`` for a backfill of many days (see ``write_days``)."""
+    write_days(df, path, SNAPSHOT, rebalance)
+
+
+def write_snapshot_day(df: DataFrame, path: str, as_of: dt.date) -> None:
+    """Replace the snapshot of one day, also by nothing."""
+    write_day(df, path, SNAPSHOT, as_of.strftime("%Y%m%d"))
 
 
 def read_snapshots(spark: SparkSession, path: str, schema) -> DataFrame:

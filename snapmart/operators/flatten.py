@@ -4,13 +4,16 @@ The records are read as a JSON text column (or JSON-lines files) and parsed
 with a declared schema by ``from_json``; nested fields become columns and
 missing keys take the extractor's defaults. A key the extractor requires
 but the record lacks gives null here (and fails a quality rule later)
-instead of failing the whole run.
+instead of failing the whole run. Text that is not a JSON object of the schema
+(a line or page cut short) gives no row; ``split_readable`` hands it back so
+that it can be counted and kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart.functions import topic_names
 from snapmart.schemas import CHANNEL_API, CHANNEL_PAGE, VIDEO_API, VIDEO_PAGE
@@ -27,8 +30,24 @@ def _count(c: Column, default: bool = False) -> Column:
     return F.coalesce(v, F.lit(DEFAULT_COUNT).cast("bigint")) if default else v
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(json_col: str, schema: T.StructType) -> Column:
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(F.col(json_col), whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
 def _parse(df: DataFrame, json_col: str, schema) -> DataFrame:
-    return df.select(F.from_json(F.col(json_col), schema).alias("r"))
+    return (df.select(_parsed(json_col, schema).alias("r"))
+            .filter(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()))
+
+
+def split_readable(df: DataFrame, json_col: str, schema) -> tuple[DataFrame, DataFrame]:
+    """(rows whose JSON text can be read, the rest: broken, cut short, null)."""
+    parsed = _parsed(json_col, schema)
+    ok = parsed.isNotNull() & parsed[CORRUPT].isNull()
+    return df.filter(ok), df.filter(~ok)
 
 
 def channel_rows(rec: Column) -> list[Column]:
@@ -86,7 +105,8 @@ def page_items(df: DataFrame, json_col: str, page_schema) -> DataFrame:
 
 
 def first_items(df: DataFrame, json_col: str, page_schema) -> DataFrame:
-    """The first item of each page; pages without items are skipped."""
+    """The first item of each page; pages without items are skipped (the
+    extractor gave an empty row for them)."""
     return (_parse(df, json_col, page_schema)
             .select(F.try_element_at(F.col("r")["items"], F.lit(1)).alias("item"))
             .filter(F.col("item").isNotNull()))

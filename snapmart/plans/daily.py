@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from snapmart import schemas
 from snapmart.operators import clean, dims, facts, quality
-from snapmart.sources import read_csv, read_day, write_days
+from snapmart.sources import read_csv, read_day, write_day
+from snapmart.sources.tables import stored_versions, version_path
 
 
 TABLES = ("curated_channel", "curated_video", "channel_dim", "video_dim",
@@ -44,11 +45,11 @@ def clean_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str,
     of the video listing and its corrupt-row count, gathered during the
     curated write (the raw file is parsed once)."""
     ch = read_csv(spark, raw_channel_path, schemas.RAW_CHANNEL)
-    write_days(clean.curate_channel(ch, as_of), out.curated_channel, "updated_date")
+    write_day(clean.curate_channel(ch, as_of), out.curated_channel, "updated_date", as_of)
     vid = read_csv(spark, raw_video_path, schemas.RAW_VIDEO)
     obs = Observation("video_profile")
-    write_days(clean.curate_video_profiled(vid, "channel_id", allow, as_of, obs),
-               out.curated_video, "updated_date")
+    write_day(clean.curate_video_profiled(vid, "channel_id", allow, as_of, obs),
+              out.curated_video, "updated_date", as_of)
     return obs.get
 
 
@@ -61,8 +62,8 @@ def consume_day(spark: SparkSession, out: Layout, as_of: dt.date,
                         schemas.VIDEO_DIM_UPDATE, schemas.VIDEO_DIM_COLUMNS, as_of, on_duplicate)
     dims.load_dimension(spark, out.channel_dim, ch, schemas.CHANNEL_DIM, ["channel_id"],
                         schemas.CHANNEL_DIM_UPDATE, schemas.CHANNEL_DIM_COLUMNS, as_of, on_duplicate)
-    facts.write_snapshot(facts.channel_snapshot(ch, as_of), out.channel_fact)
-    facts.write_snapshot(facts.video_snapshot(vid, as_of), out.video_fact)
+    facts.write_snapshot_day(facts.channel_snapshot(ch, as_of), out.channel_fact, as_of)
+    facts.write_snapshot_day(facts.video_snapshot(vid, as_of), out.video_fact, as_of)
 
 
 def check_day(spark: SparkSession, out: Layout, as_of: dt.date) -> None:
@@ -106,6 +107,12 @@ def run_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str, roo
     return profile
 
 
+def newest_versions(spark: SparkSession, out: Layout) -> list[str]:
+    """Folders of the dimensions' newest committed versions."""
+    found = ((p, stored_versions(spark, p)) for p in (out.video_dim, out.channel_dim))
+    return [version_path(p, v[-1]) for p, v in found if v]
+
+
 def main(argv=None) -> None:
     """``python -m snapmart.plans.daily --raw-channel P --raw-video P --out P
     --as-of YYYY-MM-DD [--allow id,id,...]``"""
@@ -122,8 +129,9 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     try:
-        # the day's raw listings are what grows; stored tables are read pruned
-        size_shuffle_partitions(spark, a.raw_channel, a.raw_video)
+        # the merges shuffle the whole stored dimensions besides the day's listings
+        out = Layout(a.out)
+        size_shuffle_partitions(spark, a.raw_channel, a.raw_video, *newest_versions(spark, out))
         profile = run_day(spark, a.raw_channel, a.raw_video, a.out, a.as_of, a.allow.split(","))
         print(profile)
     finally:

@@ -1,8 +1,8 @@
 """Columnar tables: day-partitioned Parquet and versioned dimensions.
 
 * Curated and fact tables are partitioned by a day column; a write replaces
-  only the days it holds (dynamic partition overwrite), so a rerun of the
-  same day gives the same table instead of doubling it.
+  its day, also by nothing, so a rerun of the same day gives the same table
+  instead of doubling it.
 * A dimension is rewritten by a merge; each result is stored in its own
   ``version=<n>`` folder and readers take the highest committed version.
   The merge never overwrites the folder it reads from.
@@ -26,16 +26,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a written table (a commit marker or any
-    partition folder); a metadata check on the driver, no data is read."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(not s.getPath().getName().startswith((".", "_")) or
-               s.getPath().getName() == "_SUCCESS" for s in fs.listStatus(p))
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet with an explicit schema, partition columns included; a
     ``yyyyMMdd`` partition value then stays a string."""
@@ -52,26 +42,29 @@ def read_day(spark: SparkSession, path: str, schema: T.StructType, as_of,
     return read_table(spark, path, schema).filter(day_filter(column, as_of))
 
 
-def write_days(df: DataFrame, path: str, partition_cols,
-               files_per_partition: int | None = None) -> None:
+def write_days(df: DataFrame, path: str, partition_cols, rebalance: bool = False) -> None:
     """Write, replacing only the partitions present in ``df``.
 
     Each task writes one file per partition it holds, which is right for a
-    daily write (one day). A backfill of many days at once would give tasks x
-    days files; ``files_per_partition=k`` first shuffles rows by (day, one of
-    k hash buckets of the row), so each day gets at most k files and a large
-    day still spreads over k tasks.
+    daily write (one day). ``rebalance=True``, for a backfill of many days at
+    once, first gathers the rows of each day; Spark then cuts a large day into
+    tasks of the advisory partition size and merges small ones, so the number
+    of files follows the bytes of a day.
     """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    if files_per_partition:
-        from snapmart.schemas import comparable_columns
-        hashable = comparable_columns(df.schema)
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(int(files_per_partition)))
-        df = df.repartition(*[F.col(c) for c in cols], bucket)
+    if rebalance:
+        df = df.hint("rebalance", *cols)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*cols).parquet(path))
 
 
+def write_day(df: DataFrame, path: str, column: str, day) -> None:
+    """Replace one known day, also by nothing: the day's own folder is
+    overwritten, so a rerun without rows leaves the day empty rather than
+    keeping what an earlier run wrote. ``column`` is implied by the folder."""
+    df.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
+
+
 def version_key(as_of: dt.date | str) -> int:
     return int(str(as_of).replace("-", ""))
 
@@ -121,6 +114,16 @@ def stored_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 7) -> list[int]:
+    """Delete all but the newest ``keep`` committed versions and return those
+    deleted. Not called by the daily run: a reader may still hold a version."""
+    old = stored_versions(spark, path)[:-keep] if keep > 0 else []
+    for v in old:
+        fs, p = _fs(spark, version_path(path, v))
+        fs.delete(p, True)
+    return old
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a top-level partition column, from the folder names only
     (``column=value``); no file is opened. Dynamic partition writes move a

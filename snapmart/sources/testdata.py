@@ -43,7 +43,7 @@ def _duration_text(price: str) -> Column:
                     F.lit("M"), s.cast("string"), F.lit("S"))
 
 
-def raw_video(orders: DataFrame) -> DataFrame:
+def raw_video(orders: DataFrame, *more: Column) -> DataFrame:
     """Raw video listing rows (the CSV shape, strings and counts)."""
     return orders.select(
         _s("o_orderkey").alias("video_id"),
@@ -64,6 +64,7 @@ def raw_video(orders: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("dislikes_count"),
         F.lit(0).cast("bigint").alias("favorites_count"),
         F.lit(0).cast("bigint").alias("comments_count"),
+        *more,
     )
 
 
@@ -86,10 +87,11 @@ def raw_channel(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 def video_dim(orders: DataFrame, as_of) -> DataFrame:
     """The video dimension (15 columns) as the curation step would give it."""
-    from snapmart.functions import iso_duration, split_list, to_date_safe
-    r = raw_video(orders)
+    from snapmart.functions import iso_duration, split_list
+    # the stored date itself, so that a filter on it reaches the scan
+    r = raw_video(orders, F.col("o_orderdate").cast("date").alias("published_date"))
     return r.select(
-        "video_id", "channel_id", to_date_safe("published_at").alias("published_date"),
+        "video_id", "channel_id", F.col("published_date"),
         "virtual_dimension", "quality_definition", "title", "description", "audio_language",
         *iso_duration("content_duration"),
         split_list("hashtags").alias("hashtags"), "privacy_status", "topic_category",

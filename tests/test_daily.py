@@ -83,3 +83,26 @@ def test_json_pages_to_daily_tables(spark, tmp_path):
     cfact = read_table(spark, out.channel_fact, schemas.CHANNEL_FACT).collect()
     assert {(c.channel_id, c.views_count, c.snapshot_date) for c in cfact} == \
         {("UC0", 5_000_000_000, "20240101"), ("UC1", 5_000_000_000, "20240101")}
+
+
+def test_rerun_without_rows_leaves_the_day_empty(spark, tmp_path):
+    from pyspark.sql import functions as F  # noqa: F811
+    tmp = str(tmp_path)
+    ch, v = _raw(spark, tmp, "d", "")
+    out = Layout(f"{tmp}/out")
+    allow = td.load(spark, SF0001, "orders").select(F.col("o_custkey").cast("string").alias("channel_id"))
+    run_day(spark, ch, v, out.root, D1, allow)
+    run_day(spark, ch, v, out.root, D2, allow)
+    run_day(spark, ch, v, out.root, D2, ["none"])  # every video rejected this time
+    for table, schema in ((out.curated_video, schemas.CURATED_VIDEO), (out.video_fact, schemas.VIDEO_FACT)):
+        stored = read_table(spark, table, schema)
+        day = "updated_date" if "updated_date" in stored.columns else "snapshot_date"
+        assert stored.select(day).distinct().count() == 1
+
+
+def test_broken_lines_never_reach_a_dimension(spark, tmp_path):
+    from snapmart.operators import flatten
+    lines = spark.createDataFrame([('{"id":"a","snippet":{"title":"t"}}',), ("{bad",), ('{"items":',), (None,)], "value string")
+    assert [r.channel_id for r in flatten.flatten_channels(lines).collect()] == ["a"]
+    good, bad = flatten.split_readable(lines, "value", schemas.CHANNEL_API)
+    assert (good.count(), bad.count()) == (1, 3)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.operators import clean
-from snapmart.sources import read_csv, read_day, write_csv, write_days
+from snapmart.sources import read_csv, read_day, read_table, write_csv, write_day, write_days
 
 HEADER = ",".join(f.name for f in schemas.RAW_VIDEO.fields)
 
@@ -51,15 +51,39 @@ def test_same_day_written_twice_keeps_second_write(spark, tmp_path):
     assert [r.k for r in read_day(spark, path, schema, d2, "d").collect()] == ["c"]
 
 
-def test_backfill_bounds_files_per_day(spark, tmp_path):
+def test_backfill_files_follow_the_bytes_of_a_day(spark, tmp_path):
     import os
-    df = spark.range(0, 2000).selectExpr("id", "cast(id % 3 as string) as d").repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        files = []
+        for n in (2_000, 80_000):
+            big = "cast(if(id % 10 < 8, 0, id % 3) as string) as d"
+            df = spark.range(0, n, 1, 8).selectExpr("id", "sha2(cast(id as string), 256) as t", big)
+            path = str(tmp_path / f"t{n}")
+            write_days(df, path, "d", rebalance=True)
+            files.append(len([f for f in os.listdir(f"{path}/d=0") if f.endswith(".parquet")]))
+            assert spark.read.parquet(path).count() == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert files[0] <= 8 and files[1] > 2 * files[0]  # a large day is written by more tasks
+
+
+def test_a_day_can_be_replaced_by_nothing(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("d", T.DateType())])
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     path = str(tmp_path / "t")
-    write_days(df, path, "d", files_per_partition=2)
-    for day in ("0", "1", "2"):
-        files = [f for f in os.listdir(f"{path}/d={day}") if f.endswith(".parquet")]
-        assert 1 <= len(files) <= 2
-    assert spark.read.parquet(path).count() == 2000
+    for day, rows in ((d1, [("a", d1)]), (d2, [("b", d2)]), (d2, [])):
+        write_day(spark.createDataFrame(rows, schema), path, "d", day)
+    assert [tuple(r) for r in read_table(spark, path, schema).collect()] == [("a", d1)]
+
+
+def test_old_versions_expire(spark, tmp_path):
+    from snapmart.sources.tables import expire_versions, stored_versions, write_version
+    path = str(tmp_path / "dim")
+    for v in (20240101, 20240102, 20240103):
+        write_version(spark.range(1), path, v)
+    assert expire_versions(spark, path, keep=2) == [20240101]
+    assert stored_versions(spark, path) == [20240102, 20240103]
 
 
 def test_size_shuffle_partitions(spark):
