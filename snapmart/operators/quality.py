@@ -174,7 +174,9 @@ def evaluate(df: DataFrame, rules: list[Rule], as_of: dt.date | None = None) ->
         raise ValueError("no rules to evaluate")
     ncols = len(df.columns)
     parts = []
-    plain = [r for r in rules if not r.needs_distinct]
+    # a column whose values are grouped anyway gets all its counts from there
+    grouped = sorted({r.column for r in rules if r.needs_distinct})
+    plain = [r for r in rules if r.column not in grouped and (r.column or not grouped)]
     if plain:
         cols = sorted({r.column for r in plain if r.column})
         agg = df.agg(F.count(F.lit(1)).alias("_total"),
@@ -185,8 +187,8 @@ def evaluate(df: DataFrame, rules: list[Rule], as_of: dt.date | None = None) ->
             return {"total": F.col("_total"), "columns": F.lit(ncols),
                     "nonnull": F.col(f"_nn_{idx[r.column]}") if r.column else None}
         parts.append(_rows(agg, plain, plain_metrics))
-    for c in sorted({r.column for r in rules if r.needs_distinct}):
-        mine = [r for r in rules if r.needs_distinct and r.column == c]
+    for c in grouped:
+        mine = [r for r in rules if r.column == c or r.column is None and c == grouped[0]]
         per_value = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
         agg = per_value.agg(F.sum("_n").alias("_total"),
                             F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))).alias("_nonnull"),

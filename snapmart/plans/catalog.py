@@ -18,7 +18,9 @@ from snapmart.functions import iso_duration, split_list, url_tail
 from snapmart.operators import clean, dims, facts, flatten, quality, reports
 from snapmart.plans import sql_reports
 from snapmart.session import scratch_path
-from snapmart.sources import read_csv, read_day, read_latest_version, read_table, write_csv, write_days
+from snapmart.sources import (
+    read_csv, read_day, read_json_lines, read_latest_version, read_table, write_csv, write_day, write_days, write_json_lines,
+)
 from snapmart.sources import testdata as td
 
 # The run date of the test data: the last order date.
@@ -96,40 +98,41 @@ def _channel(spark, sf):
 
 # ---- reports ---------------------------------------------------------------
 
+# Counts of the newest snapshot; every oracle below starts from these rows.
+_NEWEST_SQL = """newest AS (
+  SELECT * FROM {fact} WHERE snapshot_date IN (SELECT snapshot_date FROM {fact} ORDER BY snapshot_date DESC LIMIT 1))"""
+
+
+# A row is among the first n when fewer than n distinct larger counts exist.
 @register("top_viewed", f"""
-WITH {VIDEO_DIM_SQL}, {VIDEO_FACT_SQL},
-cte AS (SELECT *, dense_rank() OVER (ORDER BY views_count DESC) AS views_rank
-        FROM video_fact WHERE snapshot_date = (SELECT max(snapshot_date) FROM video_fact))
-SELECT d.title, d.video_id, d.channel_id, c.views_count
-FROM video_dim d JOIN (SELECT video_id, views_count FROM cte WHERE views_rank <= 10) c
-  ON d.video_id = c.video_id
-ORDER BY 4 DESC""")
+WITH {VIDEO_DIM_SQL}, {VIDEO_FACT_SQL}, {_NEWEST_SQL.format(fact="video_fact")},
+bar AS (SELECT min(views_count) AS least FROM (SELECT DISTINCT views_count FROM newest ORDER BY ALL DESC LIMIT 10))
+SELECT title, video_id, channel_id, newest.views_count
+FROM newest JOIN video_dim USING (video_id) CROSS JOIN bar
+WHERE newest.views_count >= least
+ORDER BY views_count DESC NULLS LAST, video_id""")
 def q_top_viewed(spark, sf):
     dim, fact = _video(spark, sf)
     return reports.top_viewed(dim, fact, 10)
 
 
 @register("engagement_ratio", f"""
-WITH {VIDEO_DIM_SQL}, {VIDEO_FACT_SQL}
-SELECT v.video_id, v.title, v.channel_id, v.published_date, vs.views_count,
-       vs.likes_count, vs.dislikes_count,
-       vs.likes_count * 1.0 / nullif(vs.views_count, 0) AS like_to_view_ratio,
-       vs.comments_count * 1.0 / nullif(vs.views_count, 0) AS comment_to_view_ratio
-FROM video_dim v JOIN video_fact vs
-  ON v.video_id = vs.video_id
- AND vs.snapshot_date = (SELECT max(snapshot_date) FROM video_fact)
-ORDER BY like_to_view_ratio DESC NULLS LAST""")
+WITH {VIDEO_DIM_SQL}, {VIDEO_FACT_SQL}, {_NEWEST_SQL.format(fact="video_fact")}
+SELECT video_id, title, channel_id, published_date, newest.views_count, newest.likes_count, newest.dislikes_count,
+       CASE WHEN newest.views_count <> 0 THEN newest.likes_count::DOUBLE / newest.views_count END AS like_to_view_ratio,
+       CASE WHEN newest.views_count <> 0 THEN newest.comments_count::DOUBLE / newest.views_count END AS comment_to_view_ratio
+FROM video_dim JOIN newest USING (video_id)
+ORDER BY like_to_view_ratio DESC NULLS LAST, video_id""")
 def q_engagement_ratio(spark, sf):
     dim, fact = _video(spark, sf)
     return reports.engagement_ratio(dim, fact)
 
 
 _CHANNEL_METRIC_SQL = """
-WITH {dim}, {fact}
-SELECT d.channel_id, d.title, f.{metric}
-FROM channel_dim d JOIN channel_fact f
-  ON d.channel_id = f.channel_id
- AND f.snapshot_date = (SELECT max(snapshot_date) FROM channel_fact)"""
+WITH {dim}, {fact}, newest AS (
+  SELECT channel_id, {metric} FROM channel_fact
+  QUALIFY snapshot_date = max(snapshot_date) OVER ())
+SELECT channel_id, title, {metric} FROM newest JOIN channel_dim USING (channel_id)"""
 
 
 @register("channel_video_counts", _CHANNEL_METRIC_SQL.format(
@@ -154,7 +157,8 @@ def _recent(spark, sf):
 
 @register("trend_channel", f"""
 WITH {VIDEO_DIM_SQL}, {_RECENT_SQL}
-SELECT channel_id, count(*) AS video_cnt_in_year FROM recent GROUP BY channel_id""")
+SELECT channel_id, count(*) AS video_cnt_in_year FROM recent GROUP BY channel_id
+ORDER BY video_cnt_in_year DESC, channel_id""")
 def q_trend_channel(spark, sf):
     return reports.uploads_per_channel(_recent(spark, sf))
 
@@ -163,7 +167,8 @@ def q_trend_channel(spark, sf):
 WITH {VIDEO_DIM_SQL}, {_RECENT_SQL}
 SELECT channel_id, 'Q' || cast(quarter(published_date) AS VARCHAR) AS quarter,
        count(*) AS video_cnt_per_quarter
-FROM recent GROUP BY quarter(published_date), channel_id""")
+FROM recent GROUP BY quarter(published_date), channel_id
+ORDER BY channel_id, quarter""")
 def q_trend_quarter(spark, sf):
     return reports.uploads_per_quarter(_recent(spark, sf))
 
@@ -172,7 +177,8 @@ def q_trend_quarter(spark, sf):
 WITH {VIDEO_DIM_SQL}, {_RECENT_SQL}
 SELECT channel_id, monthname(make_date(2000, month(published_date), 1)) AS month_name,
        count(*) AS video_cnt_per_month
-FROM recent GROUP BY channel_id, month(published_date)""")
+FROM recent GROUP BY channel_id, month(published_date)
+ORDER BY channel_id, month(published_date)""")
 def q_trend_month(spark, sf):
     return reports.uploads_per_month(_recent(spark, sf))
 
@@ -194,6 +200,19 @@ def _allowed_channels(spark, sf):
             .select(F.col("c_custkey").cast("string").alias("channel_id")))
 
 
+@register("split_allowed", f"""
+SELECT cast(o_orderkey AS VARCHAR) AS video_id, channel_id,
+       CASE WHEN channel_id IN (SELECT cast(c_custkey AS VARCHAR) FROM customer
+                                WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}') THEN 'clean' ELSE 'corrupt' END AS part
+FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN cast(o_custkey AS VARCHAR) END AS channel_id FROM orders)""")
+def q_split_allowed(spark, sf):
+    """Both parts of a split by a table of channels; some rows lack a channel."""
+    raw = td.raw_video(td.load(spark, sf, "orders")).select(
+        "video_id", F.when(F.col("privacy_status") != "P", F.col("channel_id")).alias("channel_id"))
+    ok, bad = clean.split_allowed(raw, "channel_id", _allowed_channels(spark, sf))
+    return ok.withColumn("part", F.lit("clean")).unionByName(bad.withColumn("part", F.lit("corrupt")))
+
+
 @register("csv_roundtrip", "SELECT doc_id, text FROM documents")
 def q_csv_roundtrip(spark, sf):
     """Whole documents written as CSV and read back with the declared schema;
@@ -289,16 +308,17 @@ def q_iso_duration(spark, sf):
 
 @register("distinct_ids", "SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS video_id FROM lineitem")
 def q_distinct_ids(spark, sf):
-    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"))
-    return flatten.distinct_ids(li, "video_id")
+    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("video_id"))
+    return flatten.distinct_ids(li, "video_id").select(F.col("video_id").cast("string").alias("video_id"))
 
 
 @register("duplicate_keys", """
 SELECT cast(l_orderkey AS VARCHAR) AS video_id, count(*) AS key_count
 FROM lineitem GROUP BY 1 HAVING count(*) > 1""")
 def q_duplicate_keys(spark, sf):
-    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"))
-    return dims.duplicate_keys(li, ["video_id"])
+    li = td.load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("video_id"))
+    found = dims.duplicate_keys(li, ["video_id"])
+    return found.select(F.col("video_id").cast("string").alias("video_id"), "key_count")
 
 
 # JSON records built from the events table (a missing key for some rows).
@@ -370,6 +390,31 @@ def q_flatten_videos(spark, sf):
     return flatten.flatten_videos(_video_json(td.load(spark, sf, "part")))
 
 
+# Stored responses: a page for each part, some cut short on the way.
+def _stored_video_pages(spark, sf):
+    one = _video_json(td.load(spark, sf, "part"))
+    size = F.try_element_at(F.split(F.get_json_object("value", "$.contentDetails.duration"), "[TM]"), F.lit(2))
+    page = F.concat(F.lit('{"items":['), F.col("value"), F.lit("]}"))
+    path = scratch_path(spark, "video_pages")
+    write_json_lines(one.select(F.when(size % 7 == 0, F.substring(page, 1, 60)).otherwise(page).alias("value")), path)
+    return read_json_lines(spark, path)
+
+
+@register("video_pages", ORACLE["flatten_videos"] + " WHERE p_size % 7 <> 0")
+def q_video_pages(spark, sf):
+    """Every item of every readable page of a folder of JSON-lines files."""
+    return flatten.video_pages(_stored_video_pages(spark, sf))
+
+
+@register("broken_pages", """
+SELECT count(*) FILTER (WHERE p_size % 7 <> 0) AS readable, count(*) FILTER (WHERE p_size % 7 = 0) AS broken FROM part""")
+def q_broken_pages(spark, sf):
+    """Pages that can be read and pages that were cut short, counted."""
+    good, bad = flatten.split_readable(_stored_video_pages(spark, sf), "value", schemas.VIDEO_PAGE)
+    told = good.select(F.lit(1).alias("r"), F.lit(0).alias("b")).unionAll(bad.select(F.lit(0), F.lit(1)))
+    return told.agg(F.sum("r").alias("readable"), F.sum("b").alias("broken"))
+
+
 @register("topic_tail", """
 SELECT page_id, string_split(url, '/')[-1] AS topic_category FROM pages""")
 def q_topic_tail(spark, sf):
@@ -527,10 +572,8 @@ SELECT CASE WHEN t.channel_id IS NULL THEN s.channel_id ELSE t.channel_id END AS
     for c in schemas.CHANNEL_DIM_COLUMNS[1:]) + """
 FROM t FULL OUTER JOIN s ON t.channel_id = s.channel_id""")
 def q_scd1_merge_channel(spark, sf):
-    cust = td.load(spark, sf, "customer")
-    dim = td.channel_dim(cust, td.load(spark, sf, "nation"), AS_OF)
-    nk = cust.select(F.col("c_custkey").cast("string").alias("channel_id"), F.col("c_nationkey").alias("nk"))
-    dim = dim.join(nk, "channel_id")
+    dim = td.channel_dim(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"), AS_OF)
+    dim = dim.withColumn("nk", F.year("published_date") - 1990)
     day1 = dim.filter(F.col("nk") < 15).withColumn("updated_date", F.lit(DAY1)).drop("nk")
     day2 = (dim.filter(F.col("nk") >= 10)
             .withColumn("title", F.concat("title", F.lit("-v2")))
@@ -548,6 +591,34 @@ def q_scd1_first_load(spark, sf):
                                schemas.CHANNEL_DIM_UPDATE, schemas.CHANNEL_DIM_COLUMNS, AS_OF)
 
 
+@register("scd1_first_load_video", f"""
+WITH {VIDEO_DIM_SQL} SELECT {", ".join(schemas.VIDEO_DIM_COLUMNS)} FROM video_dim""")
+def q_scd1_first_load_video(spark, sf):
+    """The video dimension's first load, stored and read back."""
+    dim = td.video_dim(td.load(spark, sf, "orders"), AS_OF)
+    return _joined_tags(dims.load_dimension(
+        spark, scratch_path(spark, "video_dim_first"), dim, schemas.VIDEO_DIM, ["video_id"],
+        schemas.VIDEO_DIM_UPDATE, schemas.VIDEO_DIM_COLUMNS, AS_OF))
+
+
+@register("scd1_merge_latest", f"""
+WITH {CHANNEL_DIM_SQL}, numbered AS (SELECT *, year(published_date) - 1990 AS nk FROM channel_dim)
+SELECT channel_id, CASE WHEN nk >= 10 THEN title || '-v3' ELSE title END AS title, description, published_date,
+       default_language, country, CASE WHEN nk >= 10 THEN DATE '2001-08-03' ELSE {DAY1_SQL} END AS updated_date
+FROM numbered""")
+def q_scd1_merge_latest(spark, sf):
+    """A source with three rows for each key; the newest of them is merged."""
+    dim = td.channel_dim(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"), AS_OF)
+    nk = F.year("published_date") - 1990
+    day1 = dim.filter(nk < 15).withColumn("updated_date", F.lit(DAY1))
+    turn = F.explode(F.array(F.lit(2), F.lit(3), F.lit(1)))
+    source = (dim.filter(nk >= 10).withColumn("turn", turn)
+              .withColumn("title", F.concat("title", F.lit("-v"), "turn"))
+              .withColumn("updated_date", F.date_add("updated_date", F.col("turn") - 1)).drop("turn"))
+    return dims.scd1_merge(day1, source, ["channel_id"], schemas.CHANNEL_DIM_COLUMNS[1:],
+                           schemas.CHANNEL_DIM_COLUMNS, on_duplicate="latest")
+
+
 @register("fact_snapshot", f"""
 WITH {VIDEO_FACT_SQL}
 SELECT f.video_id, cast(o_custkey AS VARCHAR) AS channel_id, views_count, likes_count,
@@ -559,7 +630,7 @@ def q_fact_snapshot(spark, sf):
     fact = td.video_fact(td.load(spark, sf, "lineitem"), td.load(spark, sf, "orders"))
     fact = fact.select(*schemas.VIDEO_FACT_COLUMNS)
     path = scratch_path(spark, "video_fact")
-    facts.write_snapshot(fact, path, files_per_day=4)  # a backfill of every year
+    facts.write_snapshot(fact, path, rebalance=True)  # a backfill of every year
     facts.write_snapshot(reports.latest(fact), path)
     return facts.read_snapshots(spark, path, schemas.VIDEO_FACT).select(*schemas.VIDEO_FACT_COLUMNS)
 
@@ -578,6 +649,50 @@ _CURATED_VIDEO_SQL = f"""curated AS (
   FROM orders)"""
 
 
+@register("fact_from_curated_video", f"""
+WITH {VIDEO_DIM_SQL}
+SELECT video_id, channel_id, cast(floor(o_totalprice) AS BIGINT) AS views_count, cast(0 AS BIGINT) AS likes_count,
+       cast(0 AS BIGINT) AS dislikes_count, cast(0 AS BIGINT) AS favorites_count, cast(0 AS BIGINT) AS comments_count,
+       strftime({AS_OF_SQL}, '%Y%m%d') AS snapshot_date
+FROM video_dim JOIN orders ON video_id = cast(o_orderkey AS VARCHAR)""")
+def q_fact_from_curated_video(spark, sf):
+    """As the consumption job: the stored curated day becomes the day's facts."""
+    root = scratch_path(spark, "video_facts")
+    curated = clean.curate_video(td.raw_video(td.load(spark, sf, "orders")), AS_OF)
+    write_day(curated, f"{root}/curated", "updated_date", AS_OF)
+    day = read_day(spark, f"{root}/curated", schemas.CURATED_VIDEO, AS_OF)
+    facts.write_snapshot_day(facts.video_snapshot(day, AS_OF), f"{root}/fact", AS_OF)
+    return facts.read_latest_snapshot(spark, f"{root}/fact", schemas.VIDEO_FACT).select(*schemas.VIDEO_FACT_COLUMNS)
+
+
+@register("fact_from_curated_channel", f"""
+WITH {_CURATED_CHANNEL_SQL}
+SELECT {", ".join(schemas.CHANNEL_FACT_COLUMNS[:-1])}, strftime({AS_OF_SQL}, '%Y%m%d') AS snapshot_date FROM curated""")
+def q_fact_from_curated_channel(spark, sf):
+    root = scratch_path(spark, "channel_facts")
+    raw = td.raw_channel(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"))
+    write_day(clean.curate_channel(raw, AS_OF), f"{root}/curated", "updated_date", AS_OF)
+    day = read_day(spark, f"{root}/curated", schemas.CURATED_CHANNEL, AS_OF)
+    facts.write_snapshot_day(facts.channel_snapshot(day, AS_OF), f"{root}/fact", AS_OF)
+    return facts.read_latest_snapshot(spark, f"{root}/fact", schemas.CHANNEL_FACT).select(*schemas.CHANNEL_FACT_COLUMNS)
+
+
+@register("rerun_day", f"""
+SELECT {DAY1_SQL} AS updated_date, count(*) AS videos FROM orders
+UNION ALL SELECT {AS_OF_SQL}, count(*) FROM orders WHERE o_custkey % 2 = 0""")
+def q_rerun_day(spark, sf):
+    """Two stored days, the second one run again with fewer channels, and a
+    third run again with none: each day holds its last run."""
+    path = scratch_path(spark, "rerun")
+    curated = clean.curate_video(td.raw_video(td.load(spark, sf, "orders")), AS_OF)
+    later = AS_OF + dt.timedelta(days=1)
+    for day, rows in ((DAY1, curated), (AS_OF, curated), (later, curated),
+                      (AS_OF, curated.filter(F.col("channel_id").cast("bigint") % 2 == 0)), (later, curated.limit(0))):
+        write_day(rows, path, "updated_date", day)
+    stored = read_table(spark, path, schemas.CURATED_VIDEO)
+    return stored.groupBy("updated_date").agg(F.count(F.lit(1)).alias("videos"))
+
+
 def _dq_sql(cte: str, rules, ncols: int, as_of_sql: str) -> str:
     cols = sorted({r.column for r in rules if r.column})
     m = ["count(*) AS total"]
@@ -626,6 +741,23 @@ def q_dq_video(spark, sf):
     return quality.evaluate(today, quality.VIDEO_RULES, AS_OF)
 
 
+def _stored_outcomes(spark, name, outcomes):
+    path = scratch_path(spark, name)
+    quality.write_outcomes(outcomes, path)
+    return read_table(spark, path, schemas.RULE_OUTCOME).select(*schemas.RULE_OUTCOME.fieldNames())
+
+
+@register("dq_channel_stored", ORACLE["dq_channel"])
+def q_dq_channel_stored(spark, sf):
+    """Outcomes written as the quality job does, and read back."""
+    return _stored_outcomes(spark, "dq_channel", q_dq_channel(spark, sf))
+
+
+@register("dq_video_stored", ORACLE["dq_video"])
+def q_dq_video_stored(spark, sf):
+    return _stored_outcomes(spark, "dq_video", q_dq_video(spark, sf))
+
+
 # ---- the cleaning job over CSV --------------------------------------------
 
 @register("curate_video", f"""
@@ -642,10 +774,9 @@ def q_curate_video(spark, sf):
     """Raw listing as CSV -> allow-list split (profile observed on the way)
     -> curated day -> read back."""
     root = scratch_path(spark, "clean_video")
-    # the listing lands as several files (one per extractor batch), since a
-    # multi-line CSV file is read by one task
-    raw_rows = td.raw_video(td.load(spark, sf, "orders"))
-    write_csv(raw_rows.repartition(spark.sparkContext.defaultParallelism), f"{root}/raw")
+    # the listing lands as one file for each part of the table that is read: a
+    # multi-line CSV file is read by one task, and so its files follow the bytes
+    write_csv(td.raw_video(td.load(spark, sf, "orders")), f"{root}/raw")
     raw = read_csv(spark, f"{root}/raw", schemas.RAW_VIDEO)
     curated = clean.curate_video_profiled(raw, "channel_id", _allowed_channels(spark, sf), AS_OF,
                                           Observation("curate_video"))
@@ -701,7 +832,7 @@ def q_stored_top_viewed(spark, sf):
     dim, fact = _video(spark, sf)
     dims.load_dimension(spark, f"{root}/video_dim", dim, schemas.VIDEO_DIM, ["video_id"],
                         schemas.VIDEO_DIM_UPDATE, schemas.VIDEO_DIM_COLUMNS, AS_OF)
-    facts.write_snapshot(fact.select(*schemas.VIDEO_FACT_COLUMNS), f"{root}/video_fact", files_per_day=4)
+    facts.write_snapshot(fact.select(*schemas.VIDEO_FACT_COLUMNS), f"{root}/video_fact", rebalance=True)
     vdim = read_latest_version(spark, f"{root}/video_dim", schemas.VIDEO_DIM)
     vfact = facts.read_latest_snapshot(spark, f"{root}/video_fact", schemas.VIDEO_FACT)
     return reports.top_viewed(vdim, vfact, 10)

@@ -16,59 +16,58 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-# ``dense_rank() over (order by views_count desc) <= n`` written as a semi
-# join against the n largest distinct values (at most n rows, so the
-# broadcast is bounded): tied rows never meet in a single window task.
+# Tied rows never meet in one window task: the n largest distinct counts (at
+# most n rows, the only broadcast) select the rows.
 TOP_VIEWED = """
-WITH latest AS (
-  SELECT video_id, views_count FROM video_data_fact
-  WHERE snapshot_date = (SELECT max(snapshot_date) FROM video_data_fact)),
-top AS (
-  SELECT DISTINCT views_count AS top_views FROM latest
-  ORDER BY top_views DESC NULLS LAST LIMIT {n}),
-c AS (
-  SELECT /*+ BROADCAST(t) */ l.video_id, l.views_count
-  FROM latest l LEFT SEMI JOIN top t ON l.views_count <=> t.top_views)
-SELECT vid_dim.title, vid_dim.video_id, vid_dim.channel_id, c.views_count
-FROM video_data_dim vid_dim JOIN c ON vid_dim.video_id = c.video_id
-ORDER BY 4 DESC NULLS LAST, 2 ASC NULLS LAST"""
+WITH newest AS (
+  FROM video_data_fact |> WHERE snapshot_date = (SELECT max(f.snapshot_date) FROM video_data_fact AS f)
+  |> SELECT video_id, views_count),
+heights AS (
+  SELECT views_count AS height FROM newest GROUP BY views_count ORDER BY height DESC NULLS LAST LIMIT {n})
+SELECT /*+ BROADCAST(heights) */ d.title, d.video_id, d.channel_id, newest.views_count
+FROM newest
+LEFT SEMI JOIN heights ON newest.views_count <=> heights.height
+JOIN video_data_dim AS d USING (video_id)
+ORDER BY views_count DESC NULLS LAST, video_id NULLS LAST"""
 
 LIKES_TO_VIEW_RATIO = """
-SELECT v.video_id, v.title, v.channel_id, v.published_date, vs.views_count, vs.likes_count,
-       vs.dislikes_count,
-       CAST(vs.likes_count AS DOUBLE) / nullif(vs.views_count, 0) AS like_to_view_ratio,
-       CAST(vs.comments_count AS DOUBLE) / nullif(vs.views_count, 0) AS comment_to_view_ratio
-FROM video_data_dim v
-JOIN video_data_fact vs
-  ON v.video_id = vs.video_id
- AND vs.snapshot_date = (SELECT max(snapshot_date) FROM video_data_fact)
-ORDER BY like_to_view_ratio DESC NULLS LAST, v.video_id ASC NULLS LAST"""
+WITH counts AS (
+  SELECT *, nullif(views_count, 0) AS seen FROM video_data_fact
+  WHERE snapshot_date IN (SELECT max(f.snapshot_date) FROM video_data_fact AS f))
+SELECT counts.video_id, d.title, d.channel_id, d.published_date,
+       views_count, likes_count, dislikes_count,
+       try_divide(CAST(likes_count AS DOUBLE), seen) AS like_to_view_ratio,
+       try_divide(CAST(comments_count AS DOUBLE), seen) AS comment_to_view_ratio
+FROM counts INNER JOIN video_data_dim AS d ON d.video_id = counts.video_id
+ORDER BY like_to_view_ratio DESC NULLS LAST, video_id NULLS LAST"""
 
 CHANNEL_METRIC = """
-SELECT chnl_dim.channel_id, chnl_dim.title, chnl_fact.{metric}
-FROM channel_data_dim chnl_dim
-JOIN channel_data_fact chnl_fact
-  ON chnl_dim.channel_id = chnl_fact.channel_id
- AND chnl_fact.snapshot_date = (SELECT max(snapshot_date) FROM channel_data_fact)"""
+WITH day AS (SELECT max(snapshot_date) AS snapshot_date FROM channel_data_fact),
+counts AS (SELECT channel_id, {metric} FROM channel_data_fact LEFT SEMI JOIN day USING (snapshot_date))
+SELECT channel_id, channel_data_dim.title, counts.{metric}
+FROM counts JOIN channel_data_dim USING (channel_id)"""
 
-_RECENT = """WITH cte AS (
-  SELECT * FROM video_data_dim vd
-  WHERE vd.published_date BETWEEN add_months(DATE '{as_of}', -{months}) AND DATE '{as_of}')"""
+# Uploads of the window, counted by channel and a part of the date.
+_UPLOADS = """
+FROM video_data_dim
+|> WHERE published_date >= add_months(DATE '{as_of}', -{months}) AND published_date <= DATE '{as_of}'
+"""
 
-UPLOADS_PER_CHANNEL = _RECENT + """
-SELECT channel_id, count(*) AS video_cnt_in_year FROM cte GROUP BY channel_id
-ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS LAST"""
+UPLOADS_PER_CHANNEL = _UPLOADS + """|> AGGREGATE count(*) AS video_cnt_in_year GROUP BY channel_id
+|> ORDER BY video_cnt_in_year DESC NULLS LAST, channel_id NULLS LAST
+"""
 
-UPLOADS_PER_QUARTER = _RECENT + """
-SELECT channel_id, concat('Q', CAST(quarter(published_date) AS STRING)) AS quarter,
-       count(*) AS video_cnt_per_quarter
-FROM cte GROUP BY quarter(published_date), channel_id ORDER BY 1 ASC NULLS LAST, 2 ASC NULLS LAST"""
+UPLOADS_PER_QUARTER = _UPLOADS + """|> EXTEND 'Q' || quarter(published_date) AS quarter
+|> AGGREGATE count(*) AS video_cnt_per_quarter GROUP BY channel_id, quarter
+|> ORDER BY channel_id NULLS LAST, quarter NULLS LAST
+"""
 
-UPLOADS_PER_MONTH = _RECENT + """
-SELECT channel_id, date_format(make_date(2000, month(published_date), 1), 'MMMM') AS month_name,
-       count(*) AS video_cnt_per_month
-FROM cte GROUP BY channel_id, month(published_date)
-ORDER BY 1 ASC NULLS LAST, month(published_date) ASC NULLS LAST"""
+# Months in the order of the calendar.
+UPLOADS_PER_MONTH = _UPLOADS + """|> EXTEND month(published_date) AS m
+|> AGGREGATE count(*) AS video_cnt_per_month GROUP BY channel_id, m
+|> ORDER BY channel_id NULLS LAST, m NULLS LAST
+|> SELECT channel_id, date_format(make_date(2000, m, 1), 'MMMM') AS month_name, video_cnt_per_month
+"""
 
 
 def register_tables(video_dim: DataFrame | None = None, video_fact: DataFrame | None = None,

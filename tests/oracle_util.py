@@ -44,9 +44,20 @@ def _norm(v):
     return v
 
 
-def _rows(cols, rows):
+def _ordered(sql: str) -> bool:
+    """Whether the SQL's last clause, outside any bracket, sorts its rows."""
+    flat, depth = "", 0
+    for ch in sql.upper():
+        depth += (ch == "(") - (ch == ")")
+        flat += ch if not depth else " "
+    return "ORDER BY" in flat
+
+
+def _rows(cols, rows, keep_order=False):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    if keep_order:
+        return out
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
@@ -70,7 +81,7 @@ def compare(spark, name: str, sf_dir: str, fn=None, sql=None):
     if len(s_rows) != len(d_rows):
         problems.append(f"row counts differ: spark={len(s_rows)} duck={len(d_rows)}")
     if not problems:
-        a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+        a, b = _rows(s_cols, s_rows, _ordered(sql)), _rows(d_cols, d_rows, _ordered(sql))
         diff = [(x, y) for x, y in zip(a, b) if x != y]
         if diff:
             problems.append(f"{len(diff)} rows differ, first: spark={diff[0][0]} duck={diff[0][1]}")
