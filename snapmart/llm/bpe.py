@@ -233,7 +233,10 @@ def encode(docs: DataFrame, path: str, unsplit: int = UNSPLIT, leaf: int = LEAF,
         partial(_split, path=path, unsplit=unsplit, leaf=leaf), "row long, seq int, kind int, unit int, text string")
     done = parts.repartition("row", "seq").mapInArrow(
         partial(_encode_parts, path=path), "row long, seq int, unit int, leaf string, ids binary, counts array<int>")
-    joined = done.groupBy("row").applyInPandas(partial(_gather, path=path), "row long, ids binary")
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        return _gather(rows, path)
+    joined = done.groupBy("row").applyInPandas(gather, "row long, ids binary")
     return short.union(rest.select("row", "doc_id").join(joined, "row", "left").select(
         "doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")))
 

@@ -269,15 +269,16 @@ def _kept(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch
             names=[*b.schema.names[:-1], "kept", "n_bytes", "n_removed", "n_spans", "removed"])
 
 
-def remove(docs: DataFrame, length: int = 200, columns: list[str] = ()) -> DataFrame:
-    """One row per input row: doc_id, text, ``columns``, and kept (the remaining
-    bytes), n_bytes, n_removed, n_spans, removed (the merged byte ranges)."""
+def remove(docs: DataFrame, length: int = 200, whole_row: bool = False) -> DataFrame:
+    """One row per input row: doc_id, text, if asked for ``row`` (all of the
+    input's columns), kept (the remaining bytes), n_bytes, n_removed, n_spans,
+    removed (the merged byte ranges)."""
     src = texts(docs).withColumn("text_hash", F.hash("text"))
     spans = repeated_spans(src, length)
     hits = spans.groupBy(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_hash")).agg(
         F.collect_set(F.struct("lo", "hi")).alias("found"))
-    own = [c for c in columns if c not in ("doc_id", "text")]
-    row = docs.select("doc_id", "text", *own)
+    more = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole_row else []
+    row = docs.select("doc_id", "text", *more)
     joined = row.join(hits, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.hash(F.coalesce("text", F.lit(""))) == F.col("b_hash")),
                       "left").select(*row.columns, "found")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row.schema)
@@ -293,7 +294,7 @@ def digests(removed: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, length: int = 200) -> DataFrame:
     """The same rows and columns, repeated passages cut out of ``text`` and, if
     there, n_chars counted anew. A character that a cut leaves broken goes too."""
-    cut = remove(docs, length, docs.columns)
+    cut = remove(docs, length, whole_row=True)
     whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
     text = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("text"))
-    return recounted(cut.withColumn("text", text).select(*docs.columns))
+    return recounted(cut.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]))

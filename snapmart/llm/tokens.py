@@ -42,8 +42,7 @@ def tokenizer(path: str):
 
 def words(text: str) -> list[str]:
     """Pieces for tokenizers that lower-case, and drop white space before they split."""
-    if "\u03a3" not in text:  # lower-case sigma depends on its place; left to the library
-        text = text.lower()
+    text = text.replace("\u03a3", "\u03c3").lower()  # a capital sigma's small form never depends on its place
     return text.replace("\n", " ").split(" ")
 
 
