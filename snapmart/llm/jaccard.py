@@ -6,19 +6,21 @@ Similarity of at least num/den bounds the symmetric difference of two sets by
 their sizes. In a band of sizes each set is therefore XOR-hashed, n-gram by
 n-gram, into more sketch blocks than the band's bound on differences: whatever
 differs between two similar sets can touch only that many blocks, so some
-blocks agree, and a join on (band, block, content) finds the pair. Blocks come
-in two widths: a 64-bit XOR of the n-grams' hashes to join on, and 64 single
-parity bits, whose Hamming distance between two sketches bounds the difference
-from below and sorts out candidates. What is left is verified on the sets.
+blocks agree, and a join on (band, block, content) finds the pair. A second
+sketch of single parity bits, at least two for each n-gram, travels with each
+class: the Hamming distance of two such sketches bounds the difference from
+below and sorts out candidates. What is left is verified on the sets.
 
-Buckets never give all their pairs: first each member is verified against the
+Buckets never give all their pairs: first each member is held against the
 bucket's smallest id only; components follow; only buckets that still hold
-several components are compared again, in chunks of bounded size, across
-components, each pair in its first agreeing block alone.
+several components are compared again, in chunks of bounded size and across
+components, and give the pairs that their sketches leave open.
 
-Blocks without content say nothing, so ``SLACK`` blocks are added: two similar
-sets agree on more than ``SLACK`` blocks, and either one of those has content,
-or both lack it in ``SLACK`` + 1 places, which are joined on as a combination.
+Blocks without content say nothing, so a slack of blocks is added: two similar
+sets agree on more blocks than the slack. If one of the sets leaves no more
+void than that, some agreeing block has content. Sets that leave more void are
+dealt out anew with other blocks, where the same holds; a set that does so
+``TURNS`` times is joined on combinations of its void blocks.
 
 Cases: null text is empty; an empty set links with nothing and is its own
 component; a text with fewer words than n is one n-gram; repeated rows and
@@ -28,6 +30,7 @@ gets its component's smallest id; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import combinations
@@ -38,9 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm import graph, hashing
-from snapmart.llm.common import stored, texts
+from snapmart.llm.common import release, stored, texts
 
-SLACK = 2
+TURNS = 8
 CHUNK = 1024  # members of a large bucket compared at a time
 GROWTH = 1.5  # width of a band of sizes
 U = np.uint64
@@ -72,8 +75,24 @@ def most_different(total: int, num: int, den: int) -> int:
 
 
 @lru_cache(maxsize=None)
-def bands(size: int, num: int, den: int) -> tuple[tuple[int, int], ...]:
-    """(band, number of blocks) of the bands that a set of this size is in: its
+def layout(lo: int, hi: int, num: int, den: int) -> tuple[int, int]:
+    """(blocks, slack) of the band of sizes from lo to hi - 1. The slack is meant
+    to exceed the blocks that the smallest set in the band leaves void, without
+    adding more than a part of the blocks that the differences need."""
+    apart, least, slack = most_different(2 * (hi - 1), num, den), lo * num / den, 2
+    for _ in range(64):
+        blocks = apart + 1 + slack
+        void = blocks * math.exp(-least / blocks)
+        need = int(void + 4 * math.sqrt(void)) + 2
+        if need <= slack:
+            break
+        slack = min(need, 2 + (apart + 1) // 4)
+    return apart + 1 + slack, slack
+
+
+@lru_cache(maxsize=None)
+def bands(size: int, num: int, den: int) -> tuple[tuple[int, int, int], ...]:
+    """(band, blocks, slack) of the bands that a set of this size is in: its
     own, and the next one if a similar set can lie there. Sets so small that
     no two different ones are similar are in none."""
     lo, k = 1, 0
@@ -83,38 +102,60 @@ def bands(size: int, num: int, den: int) -> tuple[tuple[int, int], ...]:
     while lo * num <= size * den:  # a similar set has at most size * den / num members
         hi = max(lo + 1, int(lo * GROWTH))
         if size < hi:
-            found.append((k, most_different(2 * (hi - 1), num, den) + 1 + SLACK))
+            found.append((k, *layout(lo, hi, num, den)))
         lo, k = hi, k + 1
     return tuple(found)
 
 
-def sketch(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per block: the XOR of its members' hashes, and their 64 parity bits."""
-    block = (h >> U(20)) % U(blocks)
+def block_xor(h: np.ndarray, blocks: int, turn: int) -> np.ndarray:
+    """Per block of the ``turn``-th dealing: the XOR of its members' hashes."""
+    dealt = hashing.mix(h + U(turn)) if turn else h
+    block = (dealt >> U(20)) % U(blocks)
     order = np.argsort(block, kind="stable")
     block, h = block[order].astype(np.int64), h[order]
     first = np.flatnonzero(np.diff(block, prepend=-1))
-    wide, bits = np.zeros(blocks, np.uint64), np.zeros(blocks, np.uint64)
+    wide = np.zeros(blocks, np.uint64)
     if len(h):
         wide[block[first]] = np.bitwise_xor.reduceat(h, first)
-        bits[block[first]] = np.bitwise_xor.reduceat(U(1) << (h & U(63)), first)
-    return wide, bits
-
-
-def block_keys(wide: np.ndarray, band: int) -> np.ndarray:
-    """What to join on, one value for each block with content and one for each
-    combination of SLACK + 1 blocks without."""
-    seed = hashing.mix(np.array([band + 1], np.uint64))[0]
-    full = np.flatnonzero(wide)
-    keys = hashing.mix(wide[full] + hashing.mix(full.astype(np.uint64) + seed))
-    void = np.flatnonzero(wide == 0)
-    if len(void) > SLACK:
-        more = np.array(list(combinations(void.tolist(), SLACK + 1)), dtype=np.uint64)
-        acc = np.full(len(more), ~seed)
-        for k in range(more.shape[1]):
-            acc = hashing.mix(acc + more[:, k])
-        keys = np.concatenate([keys, acc])
-    return keys
+    return wide
+
+
+def block_keys(h: np.ndarray, band: int, blocks: int, slack: int) -> np.ndarray:
+    """What to join on: one value for each block with content. A set that leaves
+    more blocks void than the slack is dealt out anew, up to TURNS times, and
+    the last time has a value for each combination of slack + 1 void blocks."""
+    keys = []
+    for turn in range(TURNS):
+        seed = hashing.mix(np.array([band * TURNS + turn + 1], np.uint64))[0]
+        wide = block_xor(h, blocks, turn)
+        full = np.flatnonzero(wide)
+        keys.append(hashing.mix(wide[full] + hashing.mix(full.astype(np.uint64) + seed)))
+        void = np.flatnonzero(wide == 0)
+        if len(void) <= slack:
+            return np.concatenate(keys)
+    for some in combinations(void.tolist(), slack + 1):
+        acc = np.full(1, ~seed)
+        for v in some:
+            acc = hashing.mix(acc + U(v))
+        keys.append(acc)
+    return np.concatenate(keys)
+
+
+def parity(h: np.ndarray) -> np.ndarray:
+    """A sketch of 64-bit words: every member flips one bit. A power of two in
+    length, so a longer sketch folds by XOR into the shorter one's length."""
+    words = 4
+    while words * 32 < len(h):
+        words *= 2
+    bits = np.bincount((h & U(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
 NO_ID = (1 << 63) - 1  # stands for a missing id; larger than any other
@@ -140,14 +181,15 @@ def _prints(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         fp = [fingerprint(h) for h in sets]
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array([len(h) for h in sets], pa.int32()), pa.array([f[0] for f in fp], pa.int64()),
-             pa.array([f[1] for f in fp], pa.int64())], names=["doc_id", "n", "fp1", "fp2"])
+             pa.array([f[1] for f in fp], pa.int64()), pa.array([parity(h).tobytes() for h in sets], pa.binary())],
+            names=["doc_id", "n", "fp1", "fp2", "bits"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     for _, sets in _each(batches, n):
         keys, fps = [], []
         for h in sets:
-            mine = [block_keys(sketch(h, blocks)[0], band) for band, blocks in bands(len(h), num, den)]
+            mine = [block_keys(h, *band) for band in bands(len(h), num, den)]
             keys += mine
             fps += [fingerprint(h)] * sum(map(len, mine)) if mine else []
         yield pa.RecordBatch.from_arrays(
@@ -164,22 +206,21 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
              pa.array([h.tobytes() for h in sets], pa.binary())], names=["fp1", "fp2", "members"])
 
 
-SKETCHES = "id long, n int, keys array<bigint>, bits binary"
+def open_pair(n: int, bits: np.ndarray, m: int, other: np.ndarray, num: int, den: int) -> bool:
+    """Whether sizes and sketches leave a pair open."""
+    if min(n, m) * den < max(n, m) * num:
+        return False
+    words = min(len(bits), len(other))
+    far = int(np.bitwise_count(folded(bits, words) ^ folded(other, words)).sum())
+    return far <= most_different(n + m, num, den)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """One row for each (node, band) from rows (node, members)."""
+def _open(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Keep the rows (a, b, n and bits of a, n and bits of b) that are not ruled out."""
     for b in batches:
-        ids, size, keys, bits = [], [], [], []
-        for node, members in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            h = np.frombuffer(members.as_buffer(), np.uint64)
-            for band, blocks in bands(len(h), num, den):
-                wide, parity = sketch(h, blocks)
-                ids.append(node), size.append(len(h)), bits.append(parity.tobytes())
-                keys.append(block_keys(wide, band).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
-             pa.array(bits, pa.binary())], names=["id", "n", "keys", "bits"])
+        keep = [open_pair(n, np.frombuffer(x, np.uint64), m, np.frombuffer(y, np.uint64), num, den)
+                for n, x, m, y in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verified(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -195,41 +236,41 @@ def _verified(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The similar ones among candidate pairs (a, b), by their whole sets."""
+def links(pairs: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The similar ones among candidate pairs (a, b) of nodes, by their whole sets."""
+    wanted = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+                    .select("node", "class_id", "fp1", "fp2"), "jaccard-wanted")
+    sets = (src.join(wanted.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+            .mapInArrow(partial(_sets, n=n), "fp1 long, fp2 long, members binary").join(wanted, ["fp1", "fp2"]))
+    sets = stored(sets.select("node", "members"), "jaccard-members-of")
+    release(src.sparkSession)
     x = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     full = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return full.mapInArrow(partial(_verified, num=num, den=den), "a long, b long")
+    return stored(full.mapInArrow(partial(_verified, num=num, den=den), "a long, b long").distinct(), "jaccard-links")
 
 
 def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs across components in each (key, chunk, chunk) group of sorted rows."""
-    def told(group: list) -> list[tuple[int, int]]:
+    """Open pairs across components in each (key, chunk, chunk) group of sorted rows."""
+    def told(group: list[dict]) -> list[tuple[int, int]]:
         left = [r for r in group if r["own"] == r["lo"]]
         right = left if group[0]["lo"] == group[0]["hi"] else [r for r in group if r["own"] == r["hi"]]
-        if not left or not right:
-            return []
-        bits = np.stack([np.frombuffer(r["bits"], np.uint64) for r in right])
-        keys = np.stack([np.array(r["keys"]) for r in right]) if len({len(r["keys"]) for r in right}) == 1 else None
-        ids, comp, size = (np.array([r[c] for r in right]) for c in ("id", "comp", "n"))
+        by_length: dict[int, list[dict]] = {}
+        for r in right:
+            by_length.setdefault(len(r["bits"]) // 8, []).append(r)
+        tables = [(words, np.stack([np.frombuffer(r["bits"], np.uint64) for r in rs]),
+                   *(np.array([r[c] for r in rs]) for c in ("id", "comp", "n"))) for words, rs in by_length.items()]
         found = []
         for r in left:
-            far = np.bitwise_count(bits ^ np.frombuffer(r["bits"], np.uint64)).sum(axis=1)
-            ok = (comp != r["comp"]) & (ids != r["id"]) & (far <= (size + r["n"]) * (den - num) // (den + num))
-            if left is right:
-                ok &= ids > r["id"]
-            for j in np.flatnonzero(ok).tolist():
-                theirs = set(right[j]["keys"]) if keys is None else None
-                mine = r["keys"]
-                if theirs is not None or len(mine) != keys.shape[1]:
-                    first = next(k for k in mine if k in (theirs or set(right[j]["keys"])))
-                else:
-                    same = np.flatnonzero(keys[j] == np.array(mine))
-                    first = mine[same[0]] if len(same) else next(k for k in mine if k in set(right[j]["keys"]))
-                if first == r["key"]:
-                    a, b = sorted((r["id"], int(ids[j])))
-                    found.append((a, b))
+            mine = np.frombuffer(r["bits"], np.uint64)
+            for words, bits, ids, comp, size in tables:
+                near = np.flatnonzero((comp != r["comp"]) & (np.minimum(size, r["n"]) * den >= np.maximum(size, r["n"]) * num)
+                                      & ((ids > r["id"]) | (left is not right)))
+                if len(near):
+                    least = min(words, len(mine))
+                    far = np.bitwise_count(folded(bits[near], least) ^ folded(mine, least)).sum(axis=1)
+                    near = near[far <= (size[near] + r["n"]) * (den - num) // (den + num)]
+                    found += [(min(r["id"], i), max(r["id"], i)) for i in ids[near].tolist()]
         return found
 
     group, at = [], None
@@ -241,59 +282,70 @@ def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
                     out += told(group)
                 group, at = [], now
             group.append(r)
-        yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
-    out = told(group) if group else []
-    yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+        yield _pairs(out)
+    yield _pairs(told(group) if group else [])
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
 
 
-def across(member: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidates among members of buckets (key, id) that hold several components."""
+def across(member: DataFrame, label: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Open pairs among members of buckets (key, id) that hold several components."""
     placed = stored(member.join(label.select(F.col("node").alias("id"), "label"), "id", "left").select(
         "key", "id", F.coalesce("label", "id").alias("comp")), "jaccard-placed")
     mixed = stored(placed.groupBy("key").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                    .filter((F.col("many") > 2) & (F.col("c0") != F.col("c1")))
                    .select("key", F.ceil(F.col("many") / CHUNK).cast("int").alias("chunks")), "jaccard-mixed")
-    at = stored(placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")), "jaccard-at")
-    drawn = sets.join(at.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select(
-        "node", "members").mapInArrow(partial(_sketches, num=num, den=den), SKETCHES)
-    dealt = (at.join(drawn, "id").filter(F.array_contains("keys", F.col("key")))
+    at = placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    dealt = (at.join(classes.select(F.col("node").alias("id"), "n", "bits"), "id")
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("key", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"),
-                     "own", "id", "comp", "n", "keys", "bits"))
-    return (dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
-            .mapInArrow(partial(_across, num=num, den=den), "a long, b long").distinct())
+                     "own", "id", "comp", "n", "bits"))
+    return stored(dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
+                  .mapInArrow(partial(_across, num=num, den=den), "a long, b long").distinct(), "jaccard-across")
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (smallest id with the
     same set), component_id (smallest id reachable by links). Two documents
-    link when den * intersection >= num * union."""
+    link when den * intersection >= num * union, a similarity of 0.8 or more:
+    below, sets would need more blocks than they have members to fill them."""
+    if 5 * num < 4 * den or num > den:
+        raise ValueError("the similarity must be from 0.8 to 1")
+    spark = docs.sparkSession
     src = texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    every = stored(src.mapInArrow(partial(_prints, n=n), "doc_id long, n int, fp1 long, fp2 long"), "jaccard-sets")
-    classes = stored(every.filter("n > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("class_id"))
-                     .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+    every = stored(src.mapInArrow(partial(_prints, n=n), "doc_id long, n int, fp1 long, fp2 long, bits binary"), "jaccard-sets")
+    classes = stored(every.filter("n > 0").groupBy("fp1", "fp2").agg(
+        F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+        .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     keyed = src.mapInArrow(partial(_keys, n=n, num=num, den=den), "key long, fp1 long, fp2 long")
     shared = stored(keyed.groupBy("key").agg(F.min("fp1").alias("low"), F.max("fp1").alias("high"))
                     .filter(F.col("low") != F.col("high")).select("key"), "jaccard-buckets")
-    member = stored(keyed.join(shared, "key").distinct().join(classes, ["fp1", "fp2"])
+    release(spark)
+    member = stored(keyed.join(shared, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
                     .select("key", F.col("node").alias("id")), "jaccard-members")
+    release(spark)
     hub = stored(member.groupBy("key").agg(F.min("id").alias("hub")), "jaccard-hubs")
-    star = stored(member.join(hub, "key").filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-                  .distinct(), "jaccard-star")
-    wanted = classes.join(star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
-    sets = (src.join(wanted.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-            .mapInArrow(partial(_sets, n=n), "fp1 long, fp2 long, members binary").join(wanted, ["fp1", "fp2"]))
-    sets = stored(sets.select("node", "members"), "jaccard-members-of")
-    near = stored(links(star, sets, num, den), "jaccard-links")
+    star = member.join(hub, "key").filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    x = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    y = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    open_star = stored(star.join(x, "a").join(y, "b").select("a", "b", "na", "xa", "nb", "xb")
+                       .mapInArrow(partial(_open, num=num, den=den), "a long, b long"), "jaccard-star")
+    near = links(open_star, src, classes, n, num, den)
     label = graph.components(near, "jaccard-first")
-    more = stored(links(across(member, label, sets, num, den), sets, num, den), "jaccard-more")
-    if not more.isEmpty():
-        label = graph.components(near.union(more), "jaccard-all")
-    joined = stored(label.join(classes, "node").select("label", "class_id", "fp1", "fp2"), "jaccard-joined")
+    rest = across(member, label, classes, num, den)
+    release(spark)
+    if not rest.isEmpty():
+        more = links(rest, src, classes, n, num, den)
+        if not more.isEmpty():
+            label = graph.components(near.union(more), "jaccard-all")
+    joined = stored(label.join(classes.select("node", "class_id", "fp1", "fp2"), "node")
+                    .select("label", "class_id", "fp1", "fp2"), "jaccard-joined")
     lowest = joined.groupBy("label").agg(F.min("class_id").alias("component_id"))
     linked = classes.select("fp1", "fp2", "class_id").join(
         joined.join(lowest, "label").select("fp1", "fp2", "component_id"), ["fp1", "fp2"], "left")
-    told = every.join(stored(linked, "jaccard-linked"), ["fp1", "fp2"], "left")
+    told = every.select("doc_id", "n", "fp1", "fp2").join(stored(linked, "jaccard-linked"), ["fp1", "fp2"], "left")
     known = lambda c: F.when(c != NO_ID, c)
     return told.select(known(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                        known(F.coalesce("class_id", "doc_id")).alias("class_id"),
