@@ -198,6 +198,54 @@ def _keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iter
             names=["key", "fp1", "fp2"])
 
 
+PAIR = np.dtype([("key", "<i8"), ("fp", "<i8")])
+
+
+def ends_of_keys(pairs: np.ndarray) -> np.ndarray:
+    """Sorted, and of each key only the smallest and the largest fingerprint."""
+    pairs = np.sort(pairs, order=["key", "fp"])
+    first = np.flatnonzero(np.diff(pairs["key"], prepend=pairs["key"][:1] - 1)) if len(pairs) else np.zeros(0, int)
+    last = np.append(first[1:], len(pairs)) - 1 if len(pairs) else first
+    return pairs[np.unique(np.concatenate([first, last[pairs["fp"][last] != pairs["fp"][first]]]))]
+
+
+def _dealt_keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Keys and fingerprints packed by ranges of keys, one row for each range
+    and batch; a key has at most two entries in it."""
+    for b in batches:
+        held = [np.zeros(0, PAIR)]
+        for k in _keys(iter([b]), n, num, den):
+            pairs = np.empty(k.num_rows, PAIR)
+            pairs["key"], pairs["fp"] = k.column(0).to_numpy(), k.column(1).to_numpy()
+            held.append(pairs)
+        pairs = ends_of_keys(np.concatenate(held))
+        # sorted keys fall into ``parts`` ranges of equal width
+        edges = np.array([(1 << 64) * k // parts - (1 << 63) for k in range(1, parts)], np.int64)
+        rows = np.split(pairs, np.searchsorted(pairs["key"], edges))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                                         names=["part", "pairs"]).filter(pa.array([len(r) > 0 for r in rows], pa.bool_()))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that sets with different fingerprints have, from all rows of a range."""
+    held = [np.zeros(0, PAIR)]
+    for b in batches:
+        held += [np.frombuffer(p.as_buffer(), PAIR) for p in b.column(1)]
+        if sum(map(len, held[1:])) > 4 * len(held[0]) + (1 << 20):
+            held = [ends_of_keys(np.concatenate(held))]
+    pairs = ends_of_keys(np.concatenate(held))
+    yield pa.RecordBatch.from_arrays([pa.array(pairs["key"][1:][pairs["key"][1:] == pairs["key"][:-1]])], names=["key"])
+
+
+def shared_keys(src: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Keys of more than one set. A key that very many sets have comes as two
+    entries from each batch of rows, and a task packs its keys before the
+    shuffle, so tens of millions of keys need neither hash tables nor rows."""
+    parts = max(1, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = src.mapInArrow(partial(_dealt_keys, n=n, num=num, den=den, parts=parts), "part int, pairs binary")
+    return dealt.repartition(parts, "part").mapInArrow(_shared, "key long")
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for ids, sets in _each(batches, n):
         fp = [fingerprint(h) for h in sets]
@@ -324,8 +372,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
         F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     keyed = src.mapInArrow(partial(_keys, n=n, num=num, den=den), "key long, fp1 long, fp2 long")
-    shared = stored(keyed.groupBy("key").agg(F.min("fp1").alias("low"), F.max("fp1").alias("high"))
-                    .filter(F.col("low") != F.col("high")).select("key"), "jaccard-buckets")
+    shared = stored(shared_keys(src, n, num, den), "jaccard-buckets")
     release(spark)
     member = stored(keyed.join(shared, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
                     .select("key", F.col("node").alias("id")), "jaccard-members")

@@ -128,3 +128,18 @@ def test_components_of_a_long_chain(spark):
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     linked = {x for link in links for x in link}
     assert got == {n: want[n] for n in linked}
+
+
+def test_shared_keys_by_counting():
+    """Packed ranges find the keys of several sets, however the batches fall."""
+    rnd = np.random.default_rng(8)
+    pairs = np.empty(5000, jaccard.PAIR)
+    pairs["key"], pairs["fp"] = rnd.integers(-900, 900, 5000) * (1 << 52), rnd.integers(-3, 3, 5000)
+    want = sorted(k for k in set(pairs["key"].tolist()) if len(set(pairs["fp"][pairs["key"] == k].tolist())) > 1)
+    import pyarrow as pa
+    for step in (7, 1000, 5000):
+        parts = [jaccard.ends_of_keys(pairs[i:i + step]).tobytes() for i in range(0, 5000, step)]
+        batch = pa.RecordBatch.from_pydict({"part": pa.array([0] * len(parts), pa.int32()), "pairs": pa.array(parts, pa.binary())})
+        got = [k for b in jaccard._shared(iter([batch])) for k in b.column(0).to_pylist()]
+        assert got == want
+    assert [b.num_rows for b in jaccard._shared(iter([]))] == [0]
