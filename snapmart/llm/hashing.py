@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20  # bytes of rows hashed together
+SLICE = 1 << 19  # bytes of rows hashed together
 U = np.uint64
 
 

@@ -98,8 +98,8 @@ def fit(examples: list[tuple[int, np.ndarray]], epochs: int = 4, alpha: float =
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    examples = [(y, np.frombuffer(p, "<u4")) for b in batches
-                for y, p in zip(b.column("toxic").to_pylist(), b.column("places").to_pylist(), strict=True)]
+    examples = [(y, np.frombuffer(p.as_buffer(), "<u4")) for b in batches  # views of the batches, no copies
+                for y, p in zip(b.column("toxic").to_pylist(), b.column("places"), strict=True)]
     if examples:
         bias, places, w = fit(examples)
         yield pa.RecordBatch.from_pydict({"place": pa.array(np.append(places, -1), pa.int64()), "weight": pa.array(np.append(w, bias))})
