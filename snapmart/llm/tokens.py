@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-CACHED = 400_000  # pieces remembered per worker, then forgotten and learned anew
+CACHED = 200_000  # pieces remembered per worker, then forgotten and learned anew
 SLICE = 1 << 21  # characters cut at a time, so a batch's pieces need little memory
 
 #: Before a single space or line feed that stands between two other characters.
