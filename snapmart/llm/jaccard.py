@@ -198,12 +198,13 @@ def _keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iter
             names=["key", "fp1", "fp2"])
 
 
+PACKED = 1 << 19
 PAIR = np.dtype([("key", "<i8"), ("fp", "<i8")])
 
 
 def ends_of_keys(pairs: np.ndarray) -> np.ndarray:
     """Sorted, and of each key only the smallest and the largest fingerprint."""
-    pairs = np.sort(pairs, order=["key", "fp"])
+    pairs = pairs[np.lexsort((pairs["fp"], pairs["key"]))]
     first = np.flatnonzero(np.diff(pairs["key"], prepend=pairs["key"][:1] - 1)) if len(pairs) else np.zeros(0, int)
     last = np.append(first[1:], len(pairs)) - 1 if len(pairs) else first
     return pairs[np.unique(np.concatenate([first, last[pairs["fp"][last] != pairs["fp"][first]]]))]
@@ -211,19 +212,26 @@ def ends_of_keys(pairs: np.ndarray) -> np.ndarray:
 
 def _dealt_keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Keys and fingerprints packed by ranges of keys, one row for each range
-    and batch; a key has at most two entries in it."""
-    for b in batches:
-        held = [np.zeros(0, PAIR)]
-        for k in _keys(iter([b]), n, num, den):
-            pairs = np.empty(k.num_rows, PAIR)
-            pairs["key"], pairs["fp"] = k.column(0).to_numpy(), k.column(1).to_numpy()
-            held.append(pairs)
+    and PACKED keys; a key has at most two entries in it."""
+    # sorted keys fall into ``parts`` ranges of equal width
+    edges = np.array([(1 << 64) * k // parts - (1 << 63) for k in range(1, parts)], np.int64)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
         pairs = ends_of_keys(np.concatenate(held))
-        # sorted keys fall into ``parts`` ranges of equal width
-        edges = np.array([(1 << 64) * k // parts - (1 << 63) for k in range(1, parts)], np.int64)
         rows = np.split(pairs, np.searchsorted(pairs["key"], edges))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
-                                         names=["part", "pairs"]).filter(pa.array([len(r) > 0 for r in rows], pa.bool_()))
+        return pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                                          names=["part", "pairs"]).filter(pa.array([len(r) > 0 for r in rows], pa.bool_()))
+
+    held, size = [np.zeros(0, PAIR)], 0
+    for k in _keys(batches, n, num, den):
+        pairs = np.empty(k.num_rows, PAIR)
+        pairs["key"], pairs["fp"] = k.column(0).to_numpy(), k.column(1).to_numpy()
+        held.append(pairs)
+        size += len(pairs)
+        if size >= PACKED:
+            yield packed(held)
+            held, size = [np.zeros(0, PAIR)], 0
+    yield packed(held)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
