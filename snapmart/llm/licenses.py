@@ -1,13 +1,15 @@
 """License scan by patience alignment of whole texts with license templates.
 
 Seeds are three words in a row that a template has too, found for all texts at
-once by their hashes; a text without a seed needs no more work. Seeds that go
-forward in the template form a region, one for each copy in the text. A region,
-widened by the template's length, is aligned: anchors are the words that occur
-exactly once in both sides; the longest increasing run of anchors stays; common
-words at either end of a gap are matched, and the gaps between anchors are
-aligned in the same way until no anchor is left. Coverage is the share of the
-template's words that are matched; of overlapping hits the best stays.
+once by their hashes; a text without a seed needs no more work. Runs of seeds
+that go forward in the template form a chain, one for each copy in the text.
+Its words are matched as they stand; what lies between its runs, and beside it
+up to the template's length or the next copy, is aligned: anchors are the words
+that occur exactly once in both sides; the longest increasing run of anchors
+stays; common words at either end of a gap are matched, and the gaps between
+anchors are aligned in the same way until no anchor is left. Coverage is the
+share of the template's words that are matched; of overlapping hits the best
+stays.
 
 Cases: null and empty texts have no hits; words are runs of letters and digits,
 case and punctuation do not count; ties go to the earlier template; repeated
@@ -62,6 +64,7 @@ SEED = 3
 COVERAGE = 0.8
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
+Run = tuple[int, int, int]  # first word in the text and in the template, words
 Hit = tuple[str, int, int, int, int]  # license, first byte, byte after the last, matched words, template words
 
 
@@ -114,6 +117,51 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def chained(runs: list[list[int]], size: int) -> list[list[Run]]:
+    """Chains of runs (sorted by the text), best first by matched words less half
+    of what they shift along the text, so that a chain keeps to its copy."""
+    score: list[float] = []
+    back: list[int] = []
+    trim: list[int] = []
+    for j, (i, k, n) in enumerate(runs):
+        best, before, cut = float(n), -1, 0
+        for p in range(j - 1, -1, -1):
+            pi, pk, pn = runs[p]
+            if pi < i - 2 * size:
+                break
+            shift = max(0, pk + pn - k, pi + pn - i)
+            if shift < n and pk < k and i + shift - pi - pn <= size:
+                value = score[p] + n - shift - abs(i - k - pi + pk) / 2
+                if value > best:
+                    best, before, cut = value, p, shift
+        score.append(best), back.append(before), trim.append(cut)
+    taken: list[tuple[int, int]] = []
+    out = []
+    for j in sorted(range(len(runs)), key=lambda j: (-score[j], runs[j][0])):
+        end, chain = runs[j][0] + runs[j][2], []
+        at = bisect.bisect_left(taken, (end, 0))
+        floor = taken[at - 1][1] if at else 0
+        while j >= 0 and runs[j][0] >= floor:
+            i, k, n = runs[j]
+            cut = trim[j] if back[j] >= 0 and runs[back[j]][0] >= floor else 0
+            chain.append((i + cut, k + cut, n - cut))
+            j = back[j]
+        if chain:
+            taken.insert(at, (chain[-1][0], end))
+            out.append(chain[::-1])
+    return sorted(out)
+
+
+def widened(text: list[bytes], template: list[bytes], chain: list[Run], lo: int, hi: int) -> list[tuple[int, int]]:
+    """Matched pairs of a chain: its runs, and what aligns between and beside them in text[lo:hi]."""
+    found, j = [], 0
+    for i, k, n in [*chain, (hi, len(template), 0)]:
+        found += ((lo + x, j + y) for x, y in align(text[lo:i], template[j:k]))
+        found += ((i + x, k + x) for x in range(n))
+        lo, j = i + n, k + n
+    return found
+
+
 class Templates:
     """Templates as words, and where their seeds stand in each."""
 
@@ -126,33 +174,58 @@ class Templates:
         joined = [" ".join(s.decode() for s in seed) for seed in self.seeds]
         self.hashes = np.unique(np.concatenate([seed_hashes(*next(hashing.slices(pa.array([j])))[2:])[0] for j in joined]))
 
-    def regions(self, text: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        """(template, first, last word) of what may be one copy each."""
-        last: dict[int, list[int]] = {}  # template -> first and last text position, template position
+    def chains(self, text: list[bytes]) -> dict[int, list[list[Run]]]:
+        """For each template, in the text's order, runs that go forward in both
+        and may be one copy each; chains of one template never overlap."""
+        runs: dict[int, list[list[int]]] = {}
+        live: dict[tuple[int, int], list[int]] = {}  # template, diagonal -> newest run
         for i in range(len(text) - SEED + 1):
             for n, k in self.seeds.get(tuple(text[i:i + SEED]), ()):
-                size = len(self.words[n][1])
-                held = last.get(n)
-                if held and k > held[2] and i - held[1] <= size:
-                    held[1:] = [i, k]
-                    continue
-                if held and k <= held[2] and i - held[1] <= SEED and k != 0:
-                    continue  # a seed that the template repeats
-                if held:
-                    yield n, held[0], held[1]
-                last[n] = [i, i, k]
-        yield from ((n, h[0], h[1]) for n, h in last.items())
+                run = live.get((n, i - k))
+                if run and run[0] + run[2] == i + SEED - 1:
+                    run[2] += 1
+                else:
+                    run = live[n, i - k] = [i, k, SEED]
+                    runs.setdefault(n, []).append(run)
+        return {n: chained(found, len(self.words[n][1])) for n, found in runs.items()}
+
+    def copies(self, plain: list[bytes], n: int, chains: list[list[Run]], coverage: float) -> Iterator[list[tuple[int, int]]]:
+        """Matched pairs of each copy of template ``n``. Chains are widened up to
+        the chains beside them first, which finds copies however close they
+        stand, then up to the copies found, which joins what strays parted."""
+        template = self.words[n][1]
+        size, need = len(template), coverage * len(template)
+        span = [(c[0][0], c[-1][0] + c[-1][2]) for c in chains]
+        found: list[list[tuple[int, int]]] = []
+        floor = 0
+        for c, (first, end) in enumerate(span):
+            ahead = span[c + 1][0] if c + 1 < len(span) else len(plain)
+            pairs = widened(plain, template, chains[c], max(floor, first - size), min(ahead, end + size))
+            found.append(pairs if len(pairs) >= need else [])
+            floor = found[-1][-1][0] + 1 if found[-1] else end
+        tops, ahead = [], len(plain)  # where the next copy starts
+        for pairs in reversed(found):
+            tops.append(ahead)
+            ahead = pairs[0][0] if pairs else ahead
+        floor = 0
+        for (first, end), chain, pairs, ahead in zip(span, chains, found, reversed(tops), strict=True):
+            if len(pairs) < size and floor <= first:
+                lo, hi = max(floor, first - size), min(ahead, end + size)
+                whole = [(lo + x, y) for x, y in align(plain[lo:hi], template)]
+                pairs = max(pairs, widened(plain, template, chain, lo, hi), whole,
+                            key=lambda p: (len(p), p[0][0] - p[-1][0] if p else 0))
+            if pairs and len(pairs) >= need:
+                floor = pairs[-1][0] + 1
+                yield pairs
 
     def scan(self, raw: bytes, coverage: float) -> list[Hit]:
         text = words(raw)
         plain = [w for w, _, _ in text]
         hits = []
-        for n, lo, hi in self.regions(plain):
+        for n, chains in self.chains(plain).items():
             name, template = self.words[n]
-            lo = max(0, lo - len(template))
-            pairs = align(plain[lo:hi + SEED + len(template)], template)
-            if len(pairs) >= coverage * len(template):
-                hits.append((-len(pairs) / len(template), -len(pairs), n, text[lo + pairs[0][0]][1], text[lo + pairs[-1][0]][2], name, len(template)))
+            for pairs in self.copies(plain, n, chains, coverage):
+                hits.append((-len(pairs) / len(template), -len(pairs), n, text[pairs[0][0]][1], text[pairs[-1][0]][2], name, len(template)))
         kept: list[Hit] = []
         for _, matched, _, start, end, name, size in sorted(hits, key=lambda h: (h[1], h[0], h[2], h[3])):
             if all(end <= k[1] or k[2] <= start for k in kept):

@@ -63,3 +63,39 @@ def test_copies_changes_and_edges(spark):
     cover = sorted(r.coverage for r in rows if r.doc_id == 10)
     assert 0.9 < cover[0] < 1 == cover[1]
     assert licenses.scan(no_docs(spark)).collect() == []
+
+
+def test_copies_that_repeat_close_together():
+    """N copies with gaps of 0, 1, T/2 and T words, against a plain search."""
+    known = licenses.Templates(licenses.TEMPLATES)
+    for name, ws in known.words:
+        copy = b" ".join(ws)
+        for n in (2, 3, 10):
+            for gap in (0, 1, len(ws) // 2, len(ws)):
+                for filler in ([b"w%d" % k for k in range(gap)], ws[::-1][:gap]):  # strange words; the template's own
+                    raw = b" ".join([b" ".join([copy, *filler])] * n)
+                    want, at = [], raw.find(copy)
+                    while at >= 0:
+                        want.append((name, at, at + len(copy), len(ws), len(ws)))
+                        at = raw.find(copy, at + len(copy))
+                    assert len(want) == n
+                    assert [h for h in known.scan(raw, licenses.COVERAGE) if h[0] == name] == want, (name, n, gap)
+
+
+def test_changed_copies_that_repeat_close_together():
+    """Every copy differs in words that stand anywhere in it, or holds a seed too many."""
+    rnd = random.Random(3)
+    known = licenses.Templates(licenses.TEMPLATES)
+    for name, ws in known.words[4:]:
+        for change in ("replace", "drop", "stray"):
+            raws, want, at = [], [], 0
+            for _ in range(6):
+                some = list(ws)
+                k = rnd.randrange(4, len(ws) - 4)
+                some[k:k + 1] = {"replace": [b"other"], "drop": [], "stray": [ws[k], *ws[2:5]]}[change]
+                raws.append(b" ".join(some))
+                want.append((at, at + len(raws[-1])))
+                at += len(raws[-1]) + len(b" and ")
+            got = [h for h in known.scan(b" and ".join(raws), licenses.COVERAGE) if h[0] == name]
+            assert [h[1:3] for h in got] == want, (name, change)
+            assert all(h[3] >= len(ws) - 1 for h in got)
