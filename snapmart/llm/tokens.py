@@ -9,6 +9,7 @@ corpus costs its distinct words rather than its length.
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -41,9 +42,13 @@ def tokenizer(path: str):
 
 
 def words(text: str) -> list[str]:
-    """Pieces for tokenizers that lower-case, and drop white space before they split."""
-    text = text.replace("\u03a3", "\u03c3").lower()  # a capital sigma's small form never depends on its place
-    return text.replace("\n", " ").split(" ")
+    """Pieces for tokenizers that lower-case, and drop white space before they
+    split. The library looks for special strings before it normalises, so only
+    what can hold none, and is the same lower-cased first, is lower-cased here."""
+    cut = text.replace("\n", " ")
+    if text.isascii() and "<|" not in text:
+        return cut.lower().split(" ")
+    return [p.lower() if p.isascii() and "<|" not in p else p for p in cut.split(" ")]
 
 
 def pieces(text: str) -> list[str]:
@@ -76,15 +81,20 @@ def _plain_ids(path: str, plain: list[str], space: str) -> list[bytes]:
     return out
 
 
+def letters(word: str) -> bool:
+    """Letters only, also after a tokenizer's normalisation."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 def _learn(path: str, new: set[str], cut: Callable) -> None:
     """Remember the ids of ``new`` pieces. A word of letters with one sign
     behind it is the word's ids and the sign's."""
     known, lead = tokenizer(path)[1], "" if cut is words else " "
     plain, other, pairs = set(), [], []
     for p in new:
-        if p[:len(lead)] == lead and p[len(lead):].isalpha():
+        if p[:len(lead)] == lead and letters(p[len(lead):]):
             plain.add(p)
-        elif p and p[-1] in ".,;:!?" and p[:len(lead)] == lead and p[len(lead):-1].isalpha():
+        elif p and p[-1] in ".,;:!?" and p[:len(lead)] == lead and letters(p[len(lead):-1]):
             pairs.append(p)
             if p[:-1] not in known:
                 plain.add(p[:-1])

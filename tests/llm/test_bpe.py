@@ -54,6 +54,15 @@ def test_pieces_equal_the_library(name, cut):
     assert list(tokens.encode(path, texts, cut)) == tokens.library_ids(path, texts)
 
 
+@pytest.mark.parametrize("name, cut", [("word_bpe_49k.json", tokens.words), ("byte_bpe_50k.json", tokens.pieces)])
+def test_capitals_stay_until_special_strings_are_found(name, cut):
+    """Special strings in capitals are none; some capitals compose with a mark only in lower case."""
+    texts = ["a <|EndOfText|> b", "a <|ENDOFTEXT|>, <|StartOfText|>x", "<|startoftext|>A<|EndOfText|>B<|endoftext|>\nC"]
+    texts += [a + c + b for c in ("T\u0308", "J\u030c", "\u0391\u0342", "\u03ab\u0301", "\u0130", "\u0958", "\ufb1d", "\u03a3")
+              for a in ("", "x ", "X") for b in ("", "Y.", ".", " <|EndOfText|>")]
+    assert list(tokens.encode(P.path(name), texts, cut)) == tokens.library_ids(P.path(name), texts)
+
+
 def check(rows, texts):
     tok = tokens.tokenizer(PATH)[0]
     for r in rows:
