@@ -21,6 +21,8 @@ SLICE = 1 << 21  # characters cut at a time, so a batch's pieces need little mem
 #: Before a single space or line feed that stands between two other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
+LATIN = re.compile(r"[\x00-\xff]*").fullmatch
+
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 
 _loaded: dict[str, tuple] = {}
@@ -44,11 +46,12 @@ def tokenizer(path: str):
 def words(text: str) -> list[str]:
     """Pieces for tokenizers that lower-case, and drop white space before they
     split. The library looks for special strings before it normalises, so only
-    what can hold none, and is the same lower-cased first, is lower-cased here."""
+    what can hold none, and is the same lower-cased first, is lower-cased here:
+    Latin-1 has no marks to compose and lower-cases within itself."""
     cut = text.replace("\n", " ")
-    if text.isascii() and "<|" not in text:
+    if "<|" not in text and LATIN(text):
         return cut.lower().split(" ")
-    return [p.lower() if p.isascii() and "<|" not in p else p for p in cut.split(" ")]
+    return [p.lower() if LATIN(p) and "<|" not in p else p for p in cut.split(" ")]
 
 
 def pieces(text: str) -> list[str]:
@@ -83,7 +86,7 @@ def _plain_ids(path: str, plain: list[str], space: str) -> list[bytes]:
 
 def letters(word: str) -> bool:
     """Letters only, also after a tokenizer's normalisation."""
-    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+    return word.isalpha() and (LATIN(word) is not None or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
 def _learn(path: str, new: set[str], cut: Callable) -> None:
