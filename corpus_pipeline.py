@@ -3,7 +3,8 @@ passages and live secrets, packed into training sequences.
 
 Every stage takes all rows its predecessor kept; its rows are written as Parquet
 and read again as the next one's documents. All stages but the last return the
-columns of ``documents``; the last returns the packed pieces.
+columns of ``documents``; the last returns the packed pieces with
+their token ids.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and their places in the sequences."""
-    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=[F.crc32("ids").alias("ids_crc32")])
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"),
+                          keep=[F.col("ids"), F.crc32("ids").alias("ids_crc32")])
+    return packed.select("doc_id", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES = [

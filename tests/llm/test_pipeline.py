@@ -1,13 +1,15 @@
+import zlib
+
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 import __spark_entry__ as E  # noqa: E402
-from snapmart.llm import queries, secrets, toxicity  # noqa: E402
+from snapmart.llm import queries, secrets, tokens, toxicity  # noqa: E402
 from snapmart.llm.common import table  # noqa: E402
 from tests.conftest import SF0001  # noqa: E402
 from tests.llm.test_jaccard import brute as groups  # noqa: E402
-from tests.llm.test_packing import check_rows  # noqa: E402
+from tests.llm.test_packing import PATH, check_rows  # noqa: E402
 from tests.llm.test_suffixes import brute as repeats  # noqa: E402
 from tests.llm.util import edge_docs  # noqa: E402
 
@@ -63,3 +65,14 @@ def test_stages_take_edges_and_empty_tables(spark):
         for _, stage in corpus_pipeline.STAGES[1:]:
             out = stage(spark, rows, SF0001)
             assert (out.count() == 0) == (rows.count() == 0)
+
+
+def test_the_result_holds_the_training_sequences(spark):
+    """The last stage's ids are those of the texts it was given, not their digest only."""
+    docs = edge_docs(spark)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = dict(corpus_pipeline.STAGES)["best-fit packing"](spark, docs, SF0001).collect()
+    for r in rows:
+        whole = tokens.library_ids(PATH, [texts[r.doc_id]])[0] + b"\0\0\0\0"
+        assert bytes(r.ids) == whole[4 * r.start:4 * (r.start + r.length)] and r.ids_crc32 == zlib.crc32(r.ids)
+    assert {r.doc_id for r in rows} == set(texts)
