@@ -1,8 +1,9 @@
-"""Exact removal of repeated byte passages by a depth-limited radix sort of suffixes.
+"""Exact removal of repeated byte passages by grouping windows, in place of a radix sort of suffixes.
 
 Only the first ``length`` bytes of a suffix matter: two suffixes that agree so
-far start a repeated window. The sort runs most significant digit first, and a
-group that falls to one suffix is settled and goes no further.
+far start a repeated window. No pass orders suffixes by their leading bytes:
+windows are grouped in three steps, called digits here, and a group that falls
+to one is settled and goes no further.
 
 * First digit: of the ``ANCHOR``-byte strings inside a suffix's window the one
   with the smallest hash (the last of equals). It depends on the window alone,
