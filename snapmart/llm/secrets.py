@@ -3,7 +3,8 @@
 One pass finds candidate spans in every whole text. A candidate's value is
 then known only by its SHA-256; the hashes are aggregated over the corpus by
 distinct repository and owner. A value held by many owners is an example
-copied around; one held by few looks live. Fixed-format spans (``assign``,
+copied around; one held by few looks live. Owners whose words around the value
+are the same hold copies of one text and count once. Fixed-format spans (``assign``,
 ``access``, ``hex``) are always reported; opaque mixed-case runs are added
 (kind ``opaque``) only where the ownership count says that they look live.
 
@@ -53,14 +54,26 @@ def find_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-SPANS = "array<struct<start:int,kind:int,end:int,hash:string>>"
+SPANS = "array<struct<start:int,kind:int,end:int,hash:string,before:long,after:long>>"
+AROUND = 20  # words on either side by which copies of one text are known
+WORD = re.compile(r"\w+")
+
+
+def around(text: str, start: int, end: int) -> tuple[int, int]:
+    """Hashes of the words before and after a span."""
+    sides = WORD.findall(text[max(0, start - 400):start])[-AROUND:], WORD.findall(text[end:end + 400])[:AROUND]
+    return tuple(int.from_bytes(hashlib.blake2b(" ".join(w).lower().encode(), digest_size=8).digest(), "little", signed=True)
+                 for w in sides)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("hash", pa.string())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("hash", pa.string()),
+                              ("before", pa.int64()), ("after", pa.int64())]))
     for b in batches:
-        spans = [[{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()}
-                  for s, k, e, v in find_spans(t.as_py() or "")] for t in b.column(n_keys)]
+        spans = []
+        for t in (t.as_py() or "" for t in b.column(n_keys)):
+            spans.append([{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest(),
+                           **dict(zip(("before", "after"), around(t, s, e), strict=True))} for s, k, e, v in find_spans(t)])
         cols = [b.column(i) for i in range(n_keys)] + [pa.array(spans, kind)]
         yield pa.RecordBatch.from_arrays(cols, names=[b.schema.field(i).name for i in range(n_keys)] + ["spans"])
 
@@ -76,22 +89,25 @@ def candidates(docs: DataFrame, repo: Column, owner: Column) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per candidate hash: distinct repositories and owners, and documents.
+    """Per candidate hash: distinct repositories and owners, contexts, and documents.
+    A repository's context is its smallest; one that a copy shares on either side is the same.
     A value that a third of all rows hold shrinks before the shuffle to one
     row for each (repository, owner) and task."""
     seen = (found.select(F.explode("spans").alias("s"), "repo", "owner", "row")
-            .groupBy(F.col("s.hash").alias("hash"), "repo", "owner").agg(F.count("*").alias("n")))
+            .groupBy(F.col("s.hash").alias("hash"), "repo", "owner").agg(
+                F.count("*").alias("n"), F.min("s.before").alias("before"), F.min("s.after").alias("after")))
     name = lambda c: F.coalesce(F.col(c), F.lit(""))
     return (seen.groupBy("hash").agg(
         F.countDistinct(name("repo")).alias("n_repos"), F.countDistinct(name("owner")).alias("n_owners"),
+        F.least(F.countDistinct("before"), F.countDistinct("after")).alias("n_contexts"),
         F.sum("n").alias("n_spans")))
 
 
 def scan(docs: DataFrame, repo: Column | None = None, owner: Column | None = None,
-         max_owners: int = 1, max_repos: int = 2) -> DataFrame:
+         max_owners: int = 3, max_repos: int = 6) -> DataFrame:
     """One row per input row: doc_id and ``spans`` (start, kind, end, hash,
     n_owners, n_repos, live), by start then kind. ``live``: held by at most
-    ``max_owners`` owners and ``max_repos`` repositories."""
+    ``max_owners`` owners and ``max_repos`` repositories in contexts of their own."""
     repo = F.concat_ws("/", "source", "lang") if repo is None else repo
     owner = F.col("source") if owner is None else owner
     found = candidates(docs, repo, owner)
@@ -99,7 +115,8 @@ def scan(docs: DataFrame, repo: Column | None = None, owner: Column | None = Non
     one = found.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*")
     told = (one.join(owned, "hash").groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
         "start", "kind", "end", "hash", "n_owners", "n_repos",
-        ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live")))).alias("spans")))
+        ((F.least("n_owners", "n_contexts") <= max_owners)
+         & (F.least("n_repos", "n_contexts") <= max_repos)).alias("live")))).alias("spans")))
     return found.select("row", "doc_id").join(told, "row", "left").drop("row")
 
 

@@ -61,3 +61,13 @@ def test_edges_and_redaction(spark):
     assert TOKEN not in texts[20][0] and "hunter22" not in texts[20][0] and texts[20][1] == len(texts[20][0])
     assert KEY in texts[10][0] and "x0yz123" not in texts[10][0]
     assert texts[2][0] is None and texts[5][0] == "Ünï çødé 漢字 \t\n x" and clean.count() == docs.count()
+
+
+def test_copies_of_one_document_do_not_make_an_example(spark):
+    """A mirror in other sources is no owner of its own, nor are two that agree by chance."""
+    mirrored = [(30 + i, f"see {TOKEN} here", "en", f"s{i}", 1) for i in range(5)]
+    few = [(40 + i, f"doc {i} holds {KEY} for {i}", "en", f"s{i}", 1) for i in range(2)]
+    for more in (mirrored, few):
+        rows = {r.doc_id: r.spans for r in secrets.scan(edge_docs(spark, more)).collect()}
+        assert all(s.n_owners == len(more) and s.live for d, *_ in more for s in rows[d])
+        assert all(rows[d] for d, *_ in more)
