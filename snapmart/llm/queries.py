@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, secrets, suffixes, toxicity, warc
+from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, prefixes, secrets, suffixes, toxicity, warc
 from snapmart.llm.common import table
 
 
@@ -78,6 +78,11 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_token_counts(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return prefixes.digests(prefixes.count_prefixes(table(spark, sf_dir, "documents"), path), limit=512)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_impact_topk": op2_impact_topk,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_patience_licenses": op8_patience_licenses,
     "op9_projection_forest": op9_projection_forest,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_token_counts": op11_prefix_token_counts,
 }
 
 ORACLE: dict[str, str] = {
