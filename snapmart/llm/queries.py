@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, prefixes, secrets, suffixes, toxicity, warc
+from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, periods, prefixes, secrets, suffixes, toxicity, warc
 from snapmart.llm.common import table
 
 
@@ -83,6 +83,11 @@ def op11_prefix_token_counts(spark, sf_dir):
     return prefixes.digests(prefixes.count_prefixes(table(spark, sf_dir, "documents"), path), limit=512)
 
 
+def op12_periodic_runs(spark, sf_dir):
+    docs = periods.with_stutter(table(spark, sf_dir, "documents"))
+    return periods.digests(periods.collapse(periods.find_runs(docs)))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_impact_topk": op2_impact_topk,
@@ -95,6 +100,7 @@ QUERIES = {
     "op9_projection_forest": op9_projection_forest,
     "op10_secret_scan": op10_secret_scan,
     "op11_prefix_token_counts": op11_prefix_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
