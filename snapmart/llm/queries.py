@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from snapmart.llm import bpe, forest, impact, jaccard, licenses, packing, periods, prefixes, secrets, suffixes, toxicity, warc
+from snapmart.llm import (
+    bpe, forest, impact, jaccard, licenses, packing, periods, phrases, prefixes, secrets, suffixes, toxicity, warc,
+)
 from snapmart.llm.common import table
 
 
@@ -88,6 +90,41 @@ def op12_periodic_runs(spark, sf_dir):
     return periods.digests(periods.collapse(periods.find_runs(docs)))
 
 
+def op13_phrase_mining(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most=2000)
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL)),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+found AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, 2000000 * c.a // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM found) AS c
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_of AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM found))
+  GROUP BY 1, 2),
+kept AS (
+  SELECT c.* FROM lowest AS c LEFT JOIN inner_of AS o ON o.lang = c.lang AND o.phrase = c.phrase
+  WHERE o.longer IS NULL OR 100 * o.longer < 80 * c.a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_impact_topk": op2_impact_topk,
@@ -101,9 +138,11 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_prefix_token_counts": op11_prefix_token_counts,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 ORACLE: dict[str, str] = {
     "op2_impact_topk": OP2_SQL,
     "op6_chunked_warc": OP6_SQL,
+    "op13_phrase_mining": OP13_SQL,
 }
