@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from snapmart.functions import datekey
 from snapmart.schemas import CHANNEL_FACT_COLUMNS, VIDEO_FACT_COLUMNS
-from snapmart.sources.tables import partition_values, read_partition, write_day, write_days
+from snapmart.sources.tables import (
+    day_folder, partition_values, published, read_partition, read_table, write_day, write_days,
+)
 
 SNAPSHOT = "snapshot_date"
 
@@ -44,21 +46,33 @@ def write_snapshot(df: DataFrame, path: str, rebalance: bool = False) -> None:
 
 
 def write_snapshot_day(df: DataFrame, path: str, as_of: dt.date) -> None:
-    """Replace the snapshot of one day, also by nothing."""
+    """Replace the snapshot of one day, also by nothing, once the job has committed."""
     write_day(df, path, SNAPSHOT, as_of.strftime("%Y%m%d"))
 
 
 def read_snapshots(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return read_table(spark, path, schema)
 
 
-def read_latest_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The newest stored snapshot day. The day is picked from the partition
-    folder names on the driver, so with years of daily partitions (and many
-    files each) no job scans every file to find the max; only that day's
-    files are read. ``yyyyMMdd`` keys order as text."""
+def latest_day(spark: SparkSession, path: str) -> str:
+    """The newest stored snapshot day that has rows, from folder and marker
+    names on the driver. ``yyyyMMdd`` keys order as text. A day published
+    without rows is passed over, as the maximum over the rows passes it over."""
     # a null key is stored as a default-partition folder: never the newest day
     days = [d for d in partition_values(spark, path, SNAPSHOT) if d.isdigit() and len(d) == 8]
-    if not days:
-        raise FileNotFoundError(f"no snapshot under {path}")
-    return read_partition(spark, path, schema, SNAPSHOT, max(days))
+    seen = False
+    for day in reversed(days):
+        folder, rows = published(spark, day_folder(path, SNAPSHOT, day))
+        if rows:
+            return day
+        seen = seen or folder is not None
+    if seen:
+        return max(days)  # no day has rows
+    raise FileNotFoundError(f"no snapshot under {path}")
+
+
+def read_latest_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest stored snapshot day that has rows (none of them: no rows).
+    With years of daily partitions (and many files each) no job scans every
+    file to find the max; only that day's files are read."""
+    return read_partition(spark, path, schema, SNAPSHOT, latest_day(spark, path))

@@ -2,7 +2,10 @@
 
 * Curated and fact tables are partitioned by a day column; a write replaces
   its day, also by nothing, so a rerun of the same day gives the same table
-  instead of doubling it.
+  instead of doubling it. Each run writes its own folder inside the day's; a
+  marker beside it, made by the driver once the job has committed, names the
+  run that readers take. A job that fails, or a driver that is lost, before
+  that leaves the day as it was.
 * A dimension is rewritten by a merge; each result is stored in its own
   ``version=<n>`` folder and readers take the highest committed version.
   The merge never overwrites the folder it reads from.
@@ -11,6 +14,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,18 +32,123 @@ def _fs(spark: SparkSession, path: str):
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet with an explicit schema, partition columns included; a
-    ``yyyyMMdd`` partition value then stays a string."""
-    return spark.read.schema(schema).parquet(path)
+    ``yyyyMMdd`` partition value then stays a string. Of days that were
+    published run by run, the published runs are read."""
+    folders = current_folders(spark, path)
+    if folders is None:
+        return spark.read.schema(schema).parquet(path)
+    return _read_folders(spark, path, schema, folders)
+
+
+def _read_folders(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def day_filter(column: str, as_of) -> Column:
     return F.col(column) == F.lit(as_of)
 
 
+def day_folder(path: str, column: str, day) -> str:
+    return f"{path.rstrip('/')}/{column}={day}"
+
+
 def read_day(spark: SparkSession, path: str, schema: T.StructType, as_of,
              column: str = "updated_date") -> DataFrame:
-    """One day of a day-partitioned table; the filter prunes partitions."""
-    return read_table(spark, path, schema).filter(day_filter(column, as_of))
+    """One day of a day-partitioned table: its published run, or, of a day
+    without runs, its files (the filter prunes partitions)."""
+    folder, _ = published(spark, day_folder(path, column, as_of))
+    if folder is None and current_folders(spark, path) is None:
+        return spark.read.schema(schema).parquet(path).filter(day_filter(column, as_of))
+    return _read_folders(spark, path, schema, [folder] if folder else [])
+
+
+# ---- published days ---------------------------------------------------------
+
+PUBLISHED, RUN = "_current-", "run-"
+
+
+def _marker(name: str) -> tuple[int, str, bool]:
+    """(sequence number, run, whether it has rows) of a marker's file name."""
+    seq, run, rows = name[len(PUBLISHED):].split("-")
+    return int(seq), run, rows == "rows"
+
+
+def _newest(folder: str, names: list[str]) -> tuple[str | None, bool]:
+    markers = [_marker(n) for n in names if n.startswith(PUBLISHED)]
+    if markers:
+        _, run, rows = max(markers)
+        return f"{folder}/{RUN}{run}", rows
+    if any(n[0] not in "_." and not n.startswith(RUN) for n in names):
+        return folder, True  # written by ``write_days``
+    return None, False
+
+
+def published(spark: SparkSession, folder: str) -> tuple[str | None, bool]:
+    """The folder that readers of a day take, None before its first run is
+    published, and whether it holds rows. One listing on the driver."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return None, False
+    return _newest(folder, [st.getPath().getName() for st in fs.listStatus(p)])
+
+
+def current_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """The folders that readers of all days take; None for a table without runs
+    (plain Parquet). Listings on the driver, no data read."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    inside = fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "*=*/*"))
+    days: dict[str, list[str]] = {}
+    for st in inside or []:
+        days.setdefault(st.getPath().getParent().getName(), []).append(st.getPath().getName())
+    if not any(n.startswith((PUBLISHED, RUN)) for names in days.values() for n in names):
+        return None
+    found = (_newest(f"{path.rstrip('/')}/{day}", names)[0] for day, names in sorted(days.items()))
+    return [f for f in found if f]
+
+
+def publish(spark: SparkSession, folder: str, run: str, rows: bool) -> None:
+    """Make a written run of a day the one that readers take: one file is
+    created, the rest of the day stays as it is."""
+    fs, p = _fs(spark, folder)
+    seqs = [_marker(st.getPath().getName())[0] for st in fs.listStatus(p) if st.getPath().getName().startswith(PUBLISHED)]
+    name = f"{PUBLISHED}{max(seqs, default=0) + 1:09d}-{run}-{'rows' if rows else 'none'}"
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name), False).close()
+
+
+def write_day(df: DataFrame, path: str, column: str, day) -> str:
+    """Replace one known day, also by nothing, and return the folder written.
+
+    The rows go to a folder of their own, which readers ignore until it is
+    published; a failed job changes nothing they see. Runs published before stay for readers that
+    have planned with them until ``expire_runs``. ``column`` is implied by the
+    folder."""
+    folder, run = day_folder(path, column, day), uuid.uuid4().hex[:12]
+    target, rows = f"{folder}/{RUN}{run}", df.drop(column)
+    rows.write.parquet(target)
+    spark = df.sparkSession
+    publish(spark, folder, run, not spark.read.schema(rows.schema).parquet(target).isEmpty())
+    return target
+
+
+def expire_runs(spark: SparkSession, path: str, column: str, day) -> list[str]:
+    """Delete a day's runs other than the published one, with their markers
+    (and files that an earlier ``write_days`` left), and return what went.
+    Not called by the daily run: a reader may still hold a run."""
+    folder = day_folder(path, column, day)
+    fs, p = _fs(spark, folder)
+    keep = (published(spark, folder)[0] or "").rsplit(RUN, 1)
+    if len(keep) < 2:
+        return []
+    gone = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if keep[1] not in name:
+            fs.delete(st.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
 
 
 def write_days(df: DataFrame, path: str, partition_cols, rebalance: bool = False) -> None:
@@ -58,13 +167,6 @@ def write_days(df: DataFrame, path: str, partition_cols, rebalance: bool = False
        .partitionBy(*cols).parquet(path))
 
 
-def write_day(df: DataFrame, path: str, column: str, day) -> None:
-    """Replace one known day, also by nothing: the day's own folder is
-    overwritten, so a rerun without rows leaves the day empty rather than
-    keeping what an earlier run wrote. ``column`` is implied by the folder."""
-    df.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
-
-
 def version_key(as_of: dt.date | str) -> int:
     return int(str(as_of).replace("-", ""))
 
@@ -126,8 +228,8 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 7) -> list[int]:
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a top-level partition column, from the folder names only
-    (``column=value``); no file is opened. Dynamic partition writes move a
-    partition folder into place only when their job commits."""
+    (``column=value``); no file is opened. A value may have no published run
+    yet (see ``published``)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -138,6 +240,6 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, column: str,
                    value: str) -> DataFrame:
-    """One partition folder, keeping the partition column (``basePath``)."""
-    return (spark.read.schema(schema).option("basePath", path)
-            .parquet(f"{path.rstrip('/')}/{column}={value}"))
+    """One partition's published folder, keeping the partition column (``basePath``)."""
+    folder, _ = published(spark, day_folder(path, column, value))
+    return _read_folders(spark, path, schema, [folder] if folder else [])
