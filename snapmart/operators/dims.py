@@ -29,7 +29,7 @@ from snapmart.functions import datekey, month_name
 from snapmart.schemas import comparable_columns
 from snapmart.session import scratch_path
 from snapmart.sources.tables import (
-    read_latest_version, read_table, stored_versions, version_key, version_path, write_version,
+    Buckets, bucket_of, read_folders, read_latest_version, stored_versions, version_buckets, version_key, write_buckets,
 )
 
 
@@ -82,6 +82,8 @@ def write_date_dim(df: DataFrame, path: str) -> None:
 
 # ---- type-1 merge ----------------------------------------------------------
 
+BUCKETS = 16  # of a dimension; about its bytes / 128 MB where it is larger
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with their row count (partial counts
     per task first, so a hot key costs one row per task in the shuffle)."""
@@ -181,7 +183,7 @@ def _stored(df: DataFrame) -> DataFrame:
 
 def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType,
                    keys: list[str], update: list[str], insert: list[str] | None,
-                   as_of: dt.date, on_duplicate: str = "error") -> DataFrame:
+                   as_of: dt.date, on_duplicate: str = "error", buckets: int = BUCKETS) -> DataFrame:
     """Merge ``source`` into the dimension stored at ``path`` as of a day and
     return the version written.
 
@@ -191,20 +193,32 @@ def load_dimension(spark: SparkSession, path: str, source: DataFrame, schema: T.
     merge into an empty target, so ``on_duplicate`` applies to it too.
     Versions are snapshots: backfilling a day older than the newest version
     means running the later days again, in order.
+
+    Rows are stored in ``buckets`` buckets by a hash of the keys (the number is
+    fixed by the first load). A key can only meet rows of its own bucket, so
+    the merge reads and writes the buckets that hold a key of the source; the
+    new version names the other buckets' files as they are. The bucket numbers
+    (at most ``buckets``) are all that comes to the driver.
     """
     v = version_key(as_of)
     columns = [f.name for f in schema.fields]
     src = source.select(*[F.col(c).cast(f.dataType) for c, f in zip(columns, schema.fields)])
-    if any(x < v for x in stored_versions(spark, path)):
+    below = [x for x in stored_versions(spark, path) if x < v]
+    older = version_buckets(spark, path, below[-1]) if below else None
+    if below and older is None:  # a version of whole files: all its rows go into buckets
+        older = Buckets(buckets, {})
         target = read_latest_version(spark, path, schema, below=v)
+    else:
+        older = older or Buckets(buckets, {})
+        touched = [r[0] for r in src.select(bucket_of(keys, older.count)).distinct().collect()]
+        paths = Buckets(older.count, {b: older.folders[b] for b in touched if b in older.folders}).paths(path)
+        target = read_folders(spark, schema, paths)
+    if below or on_duplicate == "latest":
         result = scd1_merge(target, src, keys, update, insert, on_duplicate)
-    elif on_duplicate == "latest":
-        result = scd1_merge(spark.createDataFrame([], schema), src, keys, update, insert, on_duplicate)
     else:
         # into an empty dimension nothing matches, so nothing can fail: every
         # row is inserted with the insert columns (a plain projection)
         keep = set(insert or columns)
         result = src.select(*[F.col(c) if c in keep else F.lit(None).cast(f.dataType).alias(c)
                               for c, f in zip(columns, schema.fields)])
-    write_version(result, path, v)
-    return read_table(spark, version_path(path, v), schema)
+    return read_folders(spark, schema, write_buckets(result, path, v, keys, older).paths(path))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from snapmart import schemas
 from snapmart.operators import clean, dims, facts, quality
 from snapmart.sources import read_csv, read_day, write_day
-from snapmart.sources.tables import stored_versions, version_path
+from snapmart.sources.tables import stored_versions, version_folders
 
 
 TABLES = ("curated_channel", "curated_video", "channel_dim", "video_dim",
@@ -110,7 +110,7 @@ def run_day(spark: SparkSession, raw_channel_path: str, raw_video_path: str, roo
 def newest_versions(spark: SparkSession, out: Layout) -> list[str]:
     """Folders of the dimensions' newest committed versions."""
     found = ((p, stored_versions(spark, p)) for p in (out.video_dim, out.channel_dim))
-    return [version_path(p, v[-1]) for p, v in found if v]
+    return [f for p, v in found if v for f in version_folders(spark, p, v[-1])]
 
 
 def main(argv=None) -> None:

@@ -6,15 +6,18 @@
   marker beside it, made by the driver once the job has committed, names the
   run that readers take. A job that fails, or a driver that is lost, before
   that leaves the day as it was.
-* A dimension is rewritten by a merge; each result is stored in its own
-  ``version=<n>`` folder and readers take the highest committed version.
-  The merge never overwrites the folder it reads from.
+* A dimension's versions are ``version=<n>`` folders; readers take the highest
+  committed one. A version either holds its files, or is a list of bucket
+  folders: rows lie in buckets by a hash of their key, a version writes the
+  buckets it changes and names the others where an older version left them.
+  No version overwrites what another one names.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -188,6 +191,81 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
     fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMITTED), True).close()
 
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """The bucket of a row; rows with a null in a key have one, too."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+LISTED = "_buckets-"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """A version's buckets: how many there may be, and the folder (below the
+    table's) of each one that holds rows."""
+    count: int
+    folders: dict[int, str]
+
+    def paths(self, path: str) -> list[str]:
+        return [f"{path.rstrip('/')}/{f}" for _, f in sorted(self.folders.items())]
+
+
+def version_buckets(spark: SparkSession, path: str, version: int) -> Buckets | None:
+    """The newest complete bucket list of a version, if it has one: a few bytes
+    read on the driver for each bucket."""
+    fs, p = _fs(spark, version_path(path, version))
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    for name in sorted((st.getPath().getName() for st in fs.listStatus(p) if st.getPath().getName().startswith(LISTED)), reverse=True):
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(p, name))
+        try:
+            lines = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+        finally:
+            stream.close()
+        if lines[-1] == "end":  # otherwise the driver was lost while it wrote the list
+            pairs = (line.split(" ", 1) for line in lines[1:-1])
+            return Buckets(int(lines[0]), {int(b): f for b, f in pairs})
+    return None
+
+
+def write_buckets(df: DataFrame, path: str, version: int, keys: list[str], older: Buckets) -> Buckets:
+    """Store a version whose rows in ``df`` replace the buckets they fall in,
+    while all other buckets stay the files of ``older``. The rows of a bucket
+    are gathered, and a large bucket is cut by Spark, so files follow bytes.
+    The list is written by the driver after the job has committed."""
+    spark = df.sparkSession
+    run = f"{VERSION}={int(version)}/{RUN}{uuid.uuid4().hex[:12]}"
+    target = f"{path.rstrip('/')}/{run}"
+    (df.withColumn("bucket", bucket_of(keys, older.count)).hint("rebalance", "bucket")
+       .write.partitionBy("bucket").parquet(target))
+    written = {int(b): f"{run}/bucket={b}" for b in partition_values(spark, target, "bucket")}
+    merged = Buckets(older.count, {**older.folders, **written})
+    fs, p = _fs(spark, version_path(path, version))
+    seqs = [int(st.getPath().getName()[len(LISTED):]) for st in fs.listStatus(p) if st.getPath().getName().startswith(LISTED)]
+    text = "\n".join([str(merged.count), *(f"{b} {f}" for b, f in sorted(merged.folders.items())), "end"])
+    out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{LISTED}{max(seqs, default=0) + 1:09d}"), False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return merged
+
+
+def read_folders(spark: SparkSession, schema: T.StructType, folders: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def version_folders(spark: SparkSession, path: str, version: int) -> list[str]:
+    """The folders that hold a committed version's files."""
+    listed = version_buckets(spark, path, version)
+    return listed.paths(path) if listed else [version_path(path, version)]
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType, version: int) -> DataFrame:
+    return read_folders(spark, schema, version_folders(spark, path, version))
+
+
 def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
                         below: int | None = None) -> DataFrame:
     """The newest committed version (older than ``below`` when given, so that
@@ -197,12 +275,12 @@ def read_latest_version(spark: SparkSession, path: str, schema: T.StructType,
     versions = [v for v in stored_versions(spark, path) if below is None or v < int(below)]
     if not versions:
         raise FileNotFoundError(f"no committed version under {path}")
-    return read_table(spark, version_path(path, max(versions)), schema)
+    return read_version(spark, path, schema, max(versions))
 
 
 def stored_versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions under ``path`` (folders with the commit marker;
-    a listing on the driver, no data read)."""
+    """Committed versions under ``path`` (folders with the commit marker or a
+    complete bucket list; listings on the driver, no data read)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -210,19 +288,35 @@ def stored_versions(spark: SparkSession, path: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if (st.isDirectory() and name.startswith(VERSION + "=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMITTED))):
-            out.append(int(name.split("=", 1)[1]))
+        if st.isDirectory() and name.startswith(VERSION + "="):
+            v = int(name.split("=", 1)[1])
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMITTED)) or version_buckets(spark, path, v):
+                out.append(v)
     return sorted(out)
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 7) -> list[int]:
     """Delete all but the newest ``keep`` committed versions and return those
-    deleted. Not called by the daily run: a reader may still hold a version."""
-    old = stored_versions(spark, path)[:-keep] if keep > 0 else []
+    deleted. Bucket folders that a kept version names stay. Not called by the
+    daily run: a reader may still hold a version."""
+    versions = stored_versions(spark, path)
+    old = versions[:-keep] if keep > 0 else []
+    lists = (version_buckets(spark, path, v) for v in versions[len(old):])
+    named = {f for listed in lists if listed for f in listed.folders.values()}
+    jvm = spark.sparkContext._jvm
     for v in old:
         fs, p = _fs(spark, version_path(path, v))
-        fs.delete(p, True)
+        if not any(n.startswith(f"{VERSION}={v}/") for n in named):
+            fs.delete(p, True)
+            continue
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if not name.startswith(RUN):  # first of all the marker or list: from here on it is no version
+                fs.delete(st.getPath(), True)
+        for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, f"{RUN}*/*")):
+            at = st.getPath()
+            if f"{VERSION}={v}/{at.getParent().getName()}/{at.getName()}" not in named:
+                fs.delete(at, True)
     return old
 
 
