@@ -39,7 +39,9 @@ def _parsed(json_col: str, schema: T.StructType) -> Column:
 
 
 def _parse(df: DataFrame, json_col: str, schema) -> DataFrame:
-    return (df.select(_parsed(json_col, schema).alias("r"))
+    """Readable records as ``r``. The optimizer moves no filter below an explode,
+    so the text is parsed once and the filter looks at what that gave."""
+    return (df.select(F.explode(F.array(_parsed(json_col, schema))).alias("r"))
             .filter(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()))
 
 

@@ -16,12 +16,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The rows of a fact's newest day. The scalar subquery reads the day column
+# alone, and its value prunes the partitions of a stored fact.
+_NEWEST = """WITH newest AS (
+  SELECT * FROM {fact} WHERE snapshot_date = (SELECT max(f.snapshot_date) FROM {fact} AS f))"""
+
 # Tied rows never meet in one window task: the n largest distinct counts (at
 # most n rows, the only broadcast) select the rows.
-TOP_VIEWED = """
-WITH newest AS (
-  FROM video_data_fact |> WHERE snapshot_date = (SELECT max(f.snapshot_date) FROM video_data_fact AS f)
-  |> SELECT video_id, views_count),
+TOP_VIEWED = _NEWEST.format(fact="video_data_fact") + """,
 heights AS (
   SELECT views_count AS height FROM newest GROUP BY views_count ORDER BY height DESC NULLS LAST LIMIT {n})
 SELECT /*+ BROADCAST(heights) */ d.title, d.video_id, d.channel_id, newest.views_count
@@ -30,22 +32,17 @@ LEFT SEMI JOIN heights ON newest.views_count <=> heights.height
 JOIN video_data_dim AS d USING (video_id)
 ORDER BY views_count DESC NULLS LAST, video_id NULLS LAST"""
 
-LIKES_TO_VIEW_RATIO = """
-WITH counts AS (
-  SELECT *, nullif(views_count, 0) AS seen FROM video_data_fact
-  WHERE snapshot_date IN (SELECT max(f.snapshot_date) FROM video_data_fact AS f))
-SELECT counts.video_id, d.title, d.channel_id, d.published_date,
-       views_count, likes_count, dislikes_count,
-       try_divide(CAST(likes_count AS DOUBLE), seen) AS like_to_view_ratio,
-       try_divide(CAST(comments_count AS DOUBLE), seen) AS comment_to_view_ratio
-FROM counts INNER JOIN video_data_dim AS d ON d.video_id = counts.video_id
+LIKES_TO_VIEW_RATIO = _NEWEST.format(fact="video_data_fact") + """
+SELECT d.video_id, d.title, d.channel_id, d.published_date,
+       newest.views_count, newest.likes_count, newest.dislikes_count,
+       try_divide(CAST(newest.likes_count AS DOUBLE), newest.views_count) AS like_to_view_ratio,
+       try_divide(CAST(newest.comments_count AS DOUBLE), newest.views_count) AS comment_to_view_ratio
+FROM newest JOIN video_data_dim AS d ON d.video_id = newest.video_id
 ORDER BY like_to_view_ratio DESC NULLS LAST, video_id NULLS LAST"""
 
-CHANNEL_METRIC = """
-WITH day AS (SELECT max(snapshot_date) AS snapshot_date FROM channel_data_fact),
-counts AS (SELECT channel_id, {metric} FROM channel_data_fact LEFT SEMI JOIN day USING (snapshot_date))
-SELECT channel_id, channel_data_dim.title, counts.{metric}
-FROM counts JOIN channel_data_dim USING (channel_id)"""
+CHANNEL_METRIC = _NEWEST.format(fact="channel_data_fact") + """
+SELECT d.channel_id, d.title, newest.{metric}
+FROM newest JOIN channel_data_dim AS d ON d.channel_id = newest.channel_id"""
 
 # Uploads of the window, counted by channel and a part of the date.
 _UPLOADS = """
