@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from snapmart import schemas
 from snapmart.functions import iso_duration, split_list, url_tail
-from snapmart.operators import clean, dims, facts, flatten, quality, reports
+from snapmart.operators import clean, dims, facts, flatten, quality, reports, rule_text
 from snapmart.plans import sql_reports
 from snapmart.session import scratch_path
 from snapmart.sources import (
@@ -741,6 +741,13 @@ def q_dq_video(spark, sf):
     return quality.evaluate(today, quality.VIDEO_RULES, AS_OF)
 
 
+@register("dq_channel_from_text", ORACLE["dq_channel"])
+def q_dq_channel_from_text(spark, sf):
+    """The channel rules as they are written in a job, parsed and evaluated."""
+    raw = td.raw_channel(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"))
+    return quality.evaluate(clean.curate_channel(raw, AS_OF), rule_text.parse(rule_text.CHANNEL_RULES_TEXT), AS_OF)
+
+
 def _stored_outcomes(spark, name, outcomes):
     path = scratch_path(spark, name)
     quality.write_outcomes(outcomes, path)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from snapmart import schemas
-from snapmart.operators import clean, dims, facts, quality
+from snapmart.operators import clean, dims, facts, quality, rule_text
 from snapmart.sources import read_csv, read_day, write_day
 from snapmart.sources.tables import stored_versions, version_folders
 
@@ -66,11 +66,13 @@ def consume_day(spark: SparkSession, out: Layout, as_of: dt.date,
     facts.write_snapshot_day(facts.video_snapshot(vid, as_of), out.video_fact, as_of)
 
 
-def check_day(spark: SparkSession, out: Layout, as_of: dt.date) -> None:
-    """Quality jobs: both rule sets on the run day's curated rows."""
+def check_day(spark: SparkSession, out: Layout, as_of: dt.date,
+              channel_rules: str | list = quality.CHANNEL_RULES, video_rules: str | list = quality.VIDEO_RULES) -> None:
+    """Quality jobs: both rule sets (``Rule`` objects or rule text) on the run day's curated rows."""
     for table, schema, rules, dest in (
-            (out.curated_channel, schemas.CURATED_CHANNEL, quality.CHANNEL_RULES, out.dq_channel),
-            (out.curated_video, schemas.CURATED_VIDEO, quality.VIDEO_RULES, out.dq_video)):
+            (out.curated_channel, schemas.CURATED_CHANNEL, channel_rules, out.dq_channel),
+            (out.curated_video, schemas.CURATED_VIDEO, video_rules, out.dq_video)):
+        rules = rule_text.parse(rules) if isinstance(rules, str) else rules
         outcomes = quality.evaluate(read_day(spark, table, schema, as_of), rules, as_of)
         quality.write_outcomes(outcomes, dest)
 
