@@ -260,15 +260,22 @@ def digests(collapsed: DataFrame) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def _stutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        for n, h in enumerate(b.column("h").to_pylist()):
+            if h is not None and h % 10 == 0 and (words := (texts[n] or "").encode().split()):
+                g = h // 10
+                a = g % len(words)
+                p = 1 + (len(words) - a) // (3 + g % 8)
+                said = words[:a] + [words[a + i % p] for i in range(len(words) - a)]
+                texts[n] = b" ".join(said).decode()
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+
 def with_stutter(docs: DataFrame) -> DataFrame:
     """The documents of the query: a tenth of them, by a hash of the id, repeat
     the words from some word on with a period. Words of those are joined by one space."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
-    made = docs.select("doc_id", "text", (F.floor(h / 10)).cast("long").alias("g"),
-                       F.when(h % 10 == 0, words).alias("words"))
-    made = made.withColumn("n", F.size("words").cast("long"))
-    made = made.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
-    made = made.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
-    said = F.expr("array_join(transform(sequence(0, n - 1), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
-    return made.select("doc_id", F.when(F.col("n") > 0, said).otherwise(F.col("text")).alias("text"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", h.alias("h")).mapInArrow(_stutter, f"doc_id {id_type}, text string")
