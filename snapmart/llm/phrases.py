@@ -19,7 +19,9 @@ active.
   before. A false hit costs needless counting of a phrase that cannot reach
   the threshold or has reached it already, and changes no result.
 * Counts are added up in each slice of text, then by Spark before and after the
-  shuffle, under the phrase itself.
+  shuffle, under the phrase itself, once a step. A phrase that reaches the
+  threshold has its share of it in one shard, so only such phrases are summed
+  over the cycle's tables.
 
 Text: A-Z in lower case, split at ``.,;:!?`` and line ends into pieces, pieces
 into words at spaces and tabs. Cases: null text is the empty one and gives
@@ -40,12 +42,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import stored
+from snapmart.llm.common import release, stored
 from snapmart.llm.hashing import LOWER, WORDS, U, mix
 from snapmart.session import scratch_path
 
 LONGEST = 4  # words of a phrase
-BITS = 26  # a bit table holds 2**BITS bits, 8 MB
+BITS = 25  # a bit table holds 2**BITS bits, 4 MB
 SLICE = 1 << 21  # bytes of texts of one language that are counted together
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
@@ -235,28 +237,31 @@ def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS
     words of each language (lang, n)."""
     spark = docs.sparkSession
     dealt = _dealt(docs, shards)
-    tables, frequent, news = [], [], []
+    tables, likely, frequent, news = [], [], [], []
     older = np.zeros(1 << (bits - 3), np.uint8)
+    share = -(-least // shards)  # what reaches the threshold has as much in one shard
     while True:
         step = len(tables)
-        recent = np.bitwise_or.reduce(news[-shards:]) if news else None
+        recent = np.bitwise_or.reduce(news) if news else None
         if step >= shards and not recent.any():
             break
         active = spark.sparkContext.broadcast((recent, older)) if news else None
         scan = dealt.filter(F.col("shard") == step % shards).select("lang", "text")
         counts = scan.mapInArrow(partial(_count, all_words=step < shards, active=active, most=slice_bytes), "lang string, phrase string, n long")
-        tables.append(stored(counts, "phrase-counts"))
-        so_far = _union(tables[-shards:]).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-        sums = stored(so_far.filter(F.col("f") >= least), "phrase-sums")
+        tables.append(stored(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts"))
+        likely.append(stored(tables[-1].filter(F.col("n") >= share).select("lang", "phrase"), "phrase-likely"))
+        so_far = _union(tables[-shards:]).join(_union(likely[-shards:]), ["lang", "phrase"], "left_semi")
+        sums = stored(so_far.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-sums")
         reached = sums.filter(F.size(F.split("phrase", " ")) < LONGEST).select("lang", "phrase")
         if frequent:
             reached = reached.join(_union(frequent), ["lang", "phrase"], "left_anti")
         frequent.append(sums)
         news.append(_bits(reached, bits))
-        if step >= shards:
-            older |= news[step - shards]
+        if len(news) > shards:
+            older |= news.pop(0)
         if active:
-            active.unpersist()
+            active.destroy()
+        release(spark)
     counted = _union(frequent).groupBy("lang", "phrase").agg(F.max("f").alias("f"))
     words = _union(tables[:shards]).filter(F.instr("phrase", " ") == 0).groupBy("lang").agg(F.sum("n").alias("n"))
     return stored(counted.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("length"), "f"), "phrases"), words
