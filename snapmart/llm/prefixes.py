@@ -40,15 +40,14 @@ from snapmart.llm import tokens
 from snapmart.llm.bpe import id_bytes
 from snapmart.llm.common import texts
 
-REMEMBERED = 250_000  # pieces in each of two generations: those met again outlive the others
+REMEMBERED = 400_000  # pieces, and words, in each of two generations: those met again outlive the others
 SHORT = 64  # characters; longer pieces and words are counted each time
 PAIRS = 1 << 20  # pairs of tokens whose verdict is remembered
 SLICE = 1 << 20  # characters whose counts go out together
 SHARE = 4096  # characters whose counts fit two bytes beside the count before them; SHORT at least
-EDGES = re.compile(r"\s\s|\A\s|\s\Z")
+OTHER = re.compile(r"[^\S \n]")
 BLANK = regex.compile(r"\p{White_Space}+")
 NEVER = 1 << 62
-STATES = 250_000  # words whose tokens, and words whose counts are remembered
 
 # Contractions of three characters, which no prefix of them is; how the
 # tokenizer splits text into words, with the letters, digits and white space of Latin-1.
@@ -81,8 +80,8 @@ class Merges:
             if both not in self.parts:
                 self.parts[both], self.made[both] = (left, right), n
         self.verdicts: dict[int, bool] = {}
-        self.states: dict[bytes, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older_words: dict[str, tuple[int, ...]] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.before = tokens.tokenizer(path)[0].pre_tokenizer
@@ -123,50 +122,56 @@ class Merges:
             self.verdicts[key] = verdict
         return verdict
 
-    def word(self, data: bytes) -> tuple[int, ...]:
-        """Counts after each byte of one word. Words share their beginnings, so
-        the last tokens of a beginning are remembered. Just one token fits, so
-        the likely ones are tried first: one that grows the last token, then
-        short ones."""
-        ids, verdict, apart, size, states = self.ids.get, self.verdicts.get, self.apart, self.size, self.states
-        if len(states) > STATES:
-            states.clear()
-        last, n = [], len(data)
-        for i in range(min(n, SHORT), 0, -1):  # the longest beginning that is known
-            if (known := states.get(data[:i])) is not None:
-                last = list(known)
-                break
-        for i in range(len(last) + 1, n + 1):
+    def _extend(self, data: bytes, last: list[int], counts: list[int]) -> None:
+        """Go on to the end of a word, some bytes of which are done: the last
+        token and the count at each. Just one token fits, so the likely ones
+        are tried first: one that grows the last token, then short ones."""
+        ids, verdict, apart, size = self.ids.get, self.verdicts.get, self.apart, self.size
+        for i in range(len(last) + 1, len(data) + 1):
             grown = i - 1 - size[last[-1]] if last else 0
             for j in chain((grown,), range(i - 1, max(-1, i - 1 - self.longest), -1)):
                 token = ids(data[j:i])
                 if token is not None:
                     if not j:
+                        counts.append(1)
                         break
                     fits = verdict(last[j - 1] << 32 | token)
                     if fits or fits is None and apart(last[j - 1], token):
+                        counts.append(counts[j - 1] + 1)
                         break
             last.append(token)
-        if n <= SHORT:
-            states[data] = tuple(last)
-        counts = [0]
-        for i, token in enumerate(last, 1):
-            counts.append(counts[i - size[token]] + 1)
-        return tuple(counts[1:])
+
+    def word(self, data: bytes) -> list[int]:
+        """Counts after each byte of one word."""
+        counts: list[int] = []
+        self._extend(data, [], counts)
+        return counts
 
     def _characters(self, word: str) -> Sequence[int]:
         counts = self.words.get(word)
         if counts is None:
             data = word.encode()
-            counts = self.word(data)
-            if len(data) != len(word):
-                counts = tuple(c for c, after in zip(counts, chain(data[1:], b"\0"), strict=True) if not 0x80 <= after < 0xC0)
-            if len(word) <= SHORT:
-                if len(self.words) > STATES:
-                    self.words.clear()
-                self.words[word] = counts
+            counts = _whole_characters(data, word, self.word(data))
         return counts
 
+    def learn_words(self, new: set[str]) -> None:
+        """Remember the counts of words. In order, they share their beginnings,
+        which are counted once. Two generations are kept, as of pieces."""
+        if len(self.words) > REMEMBERED:
+            self.words, self.older_words = {}, self.words
+        before, last, counts = b"", [], []
+        for data, word in sorted((w.encode(), w) for w in new.difference(self.words)):
+            if (known := self.older_words.get(word)) is None:
+                same = 0
+                for x, y in zip(before, data, strict=False):
+                    if x != y:
+                        break
+                    same += 1
+                del last[same:], counts[same:]
+                self._extend(data, last, counts)
+                before, known = data, _whole_characters(data, word, counts)
+            self.words[word] = known
+
     def plain(self, text: str) -> list[int]:
         """Counts after each character of a text without special strings."""
         out, base, done = [], 0, 0
@@ -201,62 +206,91 @@ class Merges:
         total = (out[found.start() - 1] if found.start() else 0) + 1
         return [*out, total, *(total + c for c in self.piece(text[found.end():]))]
 
-    def simple(self, text: str) -> Sequence[int] | None:
-        """The same for a piece of Latin-1 with white space at most in front, as a single character."""
-        if not tokens.LATIN(text) or "<" in text or BLANK.search(text, 1):
-            return None
-        words = LATIN_WORD.findall(text)
-        if len(words) == 1:
-            return self._characters(text) if text not in ENDINGS else None
-        if not ENDINGS.isdisjoint(words):
-            return None
-        out, base = [], 0
-        for w in words:
-            counts = self._characters(w)
-            out += [base + c for c in counts] if base else counts
-            base += counts[-1]
-        return out
-
-    def _learn(self, part: str, lead: str) -> list[bytes]:
+    def _shares(self, piece: str, words: list[str] | None) -> list[bytes]:
         """The counts of a piece in shares of at most SHARE characters, each from the end of the share before."""
-        piece = part if part[:1] == "\n" else lead + part
-        counts = self.simple(piece) or self.piece(piece)
+        if words is None:
+            counts = self.piece(piece)
+        else:
+            counts = []
+            for w in words:
+                base = counts[-1] if counts else 0
+                counts += [base + c for c in self._characters(w)]
         shares, base = [], 0
         for lo in range(0, len(counts), SHARE):
-            shares.append(array("h", (c - base for c in counts[lo:lo + SHARE])).tobytes())
+            shares.append(array("h", [c - base for c in counts[lo:lo + SHARE]]).tobytes())
             base = counts[min(lo + SHARE, len(counts)) - 1]
         return shares
 
-    def counted(self, text: str) -> list[bytes]:
-        """A text's counts in shares (little-endian, two bytes a character).
-        Pieces behind a space are remembered in two generations: once the
-        younger is full it becomes the older one, and what is met again comes
-        back from there."""
-        if not text:
-            return []
-        if EDGES.search(text):  # white space that is not a single character within the text
-            first, *rest = tokens.pieces(text)
-            rest = [p[1:] if p[0] == " " else p for p in rest]
-        else:
-            first, *rest = text.replace("\n", " \n").split(" ")
-        out = self._learn(first, "")
-        found = list(map(self.known.get, rest))
-        if None not in found:
-            return out + found
-        for part, share in zip(rest, found, strict=True):
-            if share is not None:
-                out.append(share)
+    def learn(self, parts: set[str]) -> dict[str, list[bytes]]:
+        """Remember the counts of pieces behind a space (or a line feed, which
+        they then begin with) and return those of pieces too long for that.
+        Two generations are kept: once the younger is full it becomes the
+        older one, and what is met again comes back from there."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        new, long, words = {}, {}, set()
+        for part in parts:
+            if (share := self.older.get(part)) is not None:
+                self.known[part] = share
                 continue
-            share = self.known.get(part) or self.older.get(part)
-            shares = [share] if share else self._learn(part, " ")
-            out += shares
+            piece = part if part[:1] == "\n" else " " + part
+            new[part] = piece, _simple(piece)
+            words.update(w for w in new[part][1] or () if len(w) <= SHORT)
+        self.learn_words(words)
+        for part, (piece, own) in new.items():
+            shares = self._shares(piece, own)
             if len(part) < SHORT:
                 self.known[part] = shares[0]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
+            else:
+                long[part] = shares
+        return long
+
+    def counted(self, group: list[str]) -> list[list[bytes]]:
+        """Texts' counts in shares (little-endian, two bytes a character)."""
+        cut, missing = [], set()
+        for text in group:
+            first, *rest = text.replace("\n", " \n").split(" ")
+            if OTHER.search(text) or not (first or not rest) or first == "\n" or "" in rest or "\n" in rest:
+                first, *rest = tokens.pieces(text)  # white space that is not a single character within the text
+                rest = [p[1:] if p[0] == " " else p for p in rest]
+            found = list(map(self.known.get, rest))
+            new = None in found
+            if new:
+                missing.update(p for p, share in zip(rest, found, strict=True) if share is None)
+            cut.append((first, rest, found, new))
+        long = self.learn(missing) if missing else {}
+        out = []
+        for first, rest, found, new in cut:
+            shares = self._shares(first, None)
+            if not new:
+                out.append(shares + found)
+                continue
+            for part, share in zip(rest, found, strict=True):
+                if share is not None:
+                    shares.append(share)
+                elif part in long:
+                    shares += long[part]
+                else:
+                    shares.append(self.known[part])
+            out.append(shares)
         return out
 
 
+def _whole_characters(data: bytes, word: str, counts: list[int]) -> tuple[int, ...]:
+    if len(data) == len(word):
+        return tuple(counts)
+    return tuple(c for c, after in zip(counts, chain(data[1:], b"\0"), strict=True) if not 0x80 <= after < 0xC0)
+
+
+def _simple(piece: str) -> list[str] | None:
+    """The words of a piece of Latin-1 with white space at most in front, as a
+    single character, if its counts are those of its words one after the other."""
+    if not tokens.LATIN(piece) or "<" in piece or BLANK.search(piece, 1):
+        return None
+    words = LATIN_WORD.findall(piece)
+    return words if ENDINGS.isdisjoint(words) else None
+
+
 _loaded: dict[str, Merges] = {}
 
 
@@ -269,7 +303,7 @@ def merges(path: str) -> Merges:
 def prefix_counts(path: str, group: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Counts of all prefixes of some texts, one after the other, and where each text's counts end."""
     own = merges(path)
-    shares = [own.counted(t) for t in group]
+    shares = own.counted(group)
     flat = list(chain.from_iterable(shares))
     counts = np.frombuffer(b"".join(flat), "<i2").astype(np.int32)
     ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)))

@@ -42,7 +42,6 @@ def test_each_token_is_the_encoding_of_its_bytes():
 
 def test_forgotten_pieces_are_learned_again(monkeypatch):
     monkeypatch.setattr(prefixes, "REMEMBERED", 5)
-    monkeypatch.setattr(prefixes, "STATES", 5)
     monkeypatch.setattr(prefixes, "SHARE", prefixes.SHORT)
     monkeypatch.setattr(prefixes, "_loaded", {})
     text = " ".join(random_texts(60, 8)) + " " + "long" * 90 + " end"
