@@ -213,9 +213,15 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, chunk: int, with_bytes
         yield full()
 
 
+MOST_READERS = 20_000
+
+
 def read(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_bytes: bool = True) -> DataFrame:
-    """The chunked record table of the listed archives."""
-    return manifest.select("archive").repartition("archive").mapInArrow(
+    """The chunked record table of the listed archives. The list is a few bytes
+    an archive, so Spark would read all of them in one task: the number of
+    tasks is given, one for each archive, MOST_READERS at most."""
+    readers = min(max(manifest.count(), 1), MOST_READERS)
+    return manifest.select("archive").repartition(readers, "archive").mapInArrow(
         partial(_read, folder=folder, chunk=chunk, with_bytes=with_bytes), TABLE)
 
 

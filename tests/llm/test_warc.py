@@ -59,3 +59,17 @@ def test_archives_are_valid_gzip_members(spark):
 def test_no_pages(spark):
     pages = spark.read.parquet(f"{SF0001}/pages.parquet").limit(0)
     assert warc.roundtrip(pages).collect() == []
+
+
+def test_readers_grow_with_archives(spark, monkeypatch):
+    """Adaptive execution leaves the readers apart."""
+    monkeypatch.setattr(warc, "ARCHIVE", 10)
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "sha2(string(id), 256) AS html").repartition(8)
+    folder = scratch_path(spark, "warc-test")
+    manifest = warc.write(warc.records(pages), folder)
+    archives = manifest.count()
+    assert archives >= 8
+    back = warc.read(manifest, folder)
+    assert back.rdd.getNumPartitions() == archives
+    tasks = back.selectExpr("spark_partition_id() AS t").distinct().count()
+    assert tasks > archives / 3
