@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-CACHED = 200_000  # pieces remembered per worker, then forgotten and learned anew
+CACHED = 100_000  # pieces in each of two generations per worker: those met again outlive the others
 SLICE = 1 << 21  # characters cut at a time, so a batch's pieces need little memory
 
 #: Before a single space or line feed that stands between two other characters.
@@ -26,6 +26,7 @@ LATIN = re.compile(r"[\x00-\xff]*").fullmatch
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 
 _loaded: dict[str, tuple] = {}
+_older: dict[str, dict[str, bytes]] = {}
 
 
 def tokenizer(path: str):
@@ -40,6 +41,7 @@ def tokenizer(path: str):
         for token, i in tok.get_vocab().items():  # ends a word, or starts one behind a space
             marks[i] = token.endswith("</w>") or token.startswith(SPACE)
         _loaded[path] = tok, {}, marks
+        _older[path] = {}
     return _loaded[path]
 
 
@@ -116,10 +118,15 @@ def encode(path: str, texts: list[str], cut: Callable[[str], list[str]]) -> Iter
     known = tokenizer(path)[1]
     for group in _slices(texts):
         parts = [cut(t) for t in group]
+        older = _older[path]
         if len(known) > CACHED:
+            older.clear()
+            older.update(known)
             known.clear()
         if new := set().union(*parts).difference(known):
-            _learn(path, new, cut)
+            again = new.intersection(older)
+            known.update((p, older[p]) for p in again)
+            _learn(path, new - again, cut)
         for p in parts:
             yield b"".join(map(known.__getitem__, p))
 
