@@ -3,8 +3,10 @@
 One pass finds candidate spans in every whole text. A candidate's value is
 then known only by its SHA-256; the hashes are aggregated over the corpus by
 distinct repository and owner. A value held by many owners is an example
-copied around; one held by few looks live. Owners whose words around the value
-are the same hold copies of one text and count once. Fixed-format spans (``assign``,
+copied around; one held by few looks live. Owners count over distinct documents: a
+value that all its many owners hold in near copies of a few documents is still
+one of those few. Documents are told apart by sketches of their five-word
+shingles (see ``distinct_documents``). Fixed-format spans (``assign``,
 ``access``, ``hex``) are always reported; opaque mixed-case runs are added
 (kind ``opaque``) only where the ownership count says that they look live.
 
@@ -21,10 +23,12 @@ import re
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.llm import jaccard
 from snapmart.llm.common import recounted, stored
 
 # Span kinds in order of listing and their patterns.
@@ -54,69 +58,105 @@ def find_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-SPANS = "array<struct<start:int,kind:int,end:int,hash:string,before:long,after:long>>"
-AROUND = 20  # words on either side by which copies of one text are known
-WORD = re.compile(r"\w+")
+SPANS = "array<struct<start:int,kind:int,end:int,hash:string>>"
+BINS = 64  # a sketch is the smallest shingle hash of each bin, by 32 bits
+ALIKE = 0.7  # estimated similarity of near copies; copies of 0.8 and more lie above it but for rare chance
+PARTS = 64  # a value's documents are told apart in so many parts first
 
 
-def around(text: str, start: int, end: int) -> tuple[int, int]:
-    """Hashes of the words before and after a span."""
-    sides = WORD.findall(text[max(0, start - 400):start])[-AROUND:], WORD.findall(text[end:end + 400])[:AROUND]
-    return tuple(int.from_bytes(hashlib.blake2b(" ".join(w).lower().encode(), digest_size=8).digest(), "little", signed=True)
-                 for w in sides)
+def sketch(text: str) -> bytes:
+    """The smallest five-word shingle hash in each of ``BINS`` ranges, 0 where there is none."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    grams = next(jaccard.shingle_sets(data, np.array([0, len(data)]), 5))
+    bins, first = np.unique((grams >> np.uint64(58)).astype(np.int64), return_index=True)
+    out = np.zeros(BINS, "<u4")
+    out[bins] = (grams[first] >> np.uint64(26)).astype("<u4")
+    return out.tobytes()
 
 
 def _scan(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("hash", pa.string()),
-                              ("before", pa.int64()), ("after", pa.int64())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("hash", pa.string())]))
     for b in batches:
-        spans = []
+        spans, sketches = [], []
         for t in (t.as_py() or "" for t in b.column(n_keys)):
-            spans.append([{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest(),
-                           **dict(zip(("before", "after"), around(t, s, e), strict=True))} for s, k, e, v in find_spans(t)])
-        cols = [b.column(i) for i in range(n_keys)] + [pa.array(spans, kind)]
-        yield pa.RecordBatch.from_arrays(cols, names=[b.schema.field(i).name for i in range(n_keys)] + ["spans"])
+            found = find_spans(t)
+            spans.append([{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()} for s, k, e, v in found])
+            sketches.append(sketch(t) if found else None)
+        cols = [b.column(i) for i in range(n_keys)] + [pa.array(spans, kind), pa.array(sketches, pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=[b.schema.field(i).name for i in range(n_keys)] + ["spans", "sketch"])
 
 
 def candidates(docs: DataFrame, repo: Column, owner: Column) -> DataFrame:
-    """Per row: row number, doc_id, repository, owner and candidate spans,
-    stored once, so texts are scanned once and never shuffled."""
+    """Per row: row number, doc_id, repository, owner, candidate spans and, with
+    any, the text's sketch, stored once, so texts are scanned once and never shuffled."""
     src = docs.select("doc_id", repo.cast("string").alias("repo"), owner.cast("string").alias("owner"),
                       F.col("text"))
     id_type = src.schema["doc_id"].dataType.simpleString()
-    found = src.mapInArrow(partial(_scan, n_keys=3), f"doc_id {id_type}, repo string, owner string, spans {SPANS}")
+    found = src.mapInArrow(partial(_scan, n_keys=3), f"doc_id {id_type}, repo string, owner string, spans {SPANS}, sketch binary")
     return stored(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per candidate hash: distinct repositories and owners, contexts, and documents.
-    A repository's context is its smallest; one that a copy shares on either side is the same.
+    """Per candidate hash: distinct repositories and owners, and spans.
     A value that a third of all rows hold shrinks before the shuffle to one
     row for each (repository, owner) and task."""
-    seen = (found.select(F.explode("spans").alias("s"), "repo", "owner", "row")
-            .groupBy(F.col("s.hash").alias("hash"), "repo", "owner").agg(
-                F.count("*").alias("n"), F.min("s.before").alias("before"), F.min("s.after").alias("after")))
+    seen = (found.select(F.explode("spans.hash").alias("hash"), "repo", "owner")
+            .groupBy("hash", "repo", "owner").agg(F.count("*").alias("n")))
     name = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return (seen.groupBy("hash").agg(
+    return seen.groupBy("hash").agg(
         F.countDistinct(name("repo")).alias("n_repos"), F.countDistinct(name("owner")).alias("n_owners"),
-        F.least(F.countDistinct("before"), F.countDistinct("after")).alias("n_contexts"),
-        F.sum("n").alias("n_spans")))
+        F.sum("n").alias("n_spans"))
+
+
+def _unlike(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Of each key's sketches (sorted by key) those unlike all kept before, ``most`` at most."""
+    key, kept = None, np.zeros((0, BINS), "<u4")
+    for b in batches:
+        rows = []
+        for i, k in enumerate(b.column("key").to_pylist()):
+            if k != key:
+                key, kept = k, kept[:0]
+            if len(kept) == most:
+                continue
+            mine = np.frombuffer(b.column("sketch")[i].as_buffer(), "<u4")
+            same = ((kept == mine) & (mine > 0)).sum(axis=1)
+            if not (same >= ALIKE * ((kept > 0) | (mine > 0)).sum(axis=1)).any():
+                kept = np.vstack([kept, mine])
+                rows.append(i)
+        yield b.select(["hash", "sketch"]).take(pa.array(rows, pa.int64()))
+
+
+def distinct_documents(found: DataFrame, hashes: DataFrame, most: int) -> DataFrame:
+    """(hash, n_docs) of each of ``hashes``: documents holding it that are no
+    near copies of one another, counted up to ``most``, which is all that a
+    limit under ``most`` asks. Equal sketches are one row before the shuffle. The
+    rest is sifted in ``PARTS`` parts for each value, then the at most ``most`` survivors of
+    each part together: a task holds ``most`` sketches, whatever a value's share of the rows."""
+    rows = (found.filter(F.size("spans") > 0).select(F.explode(F.array_distinct("spans.hash")).alias("hash"), "sketch")
+            .join(hashes.select("hash"), "hash", "left_semi").distinct())
+    for key in (F.concat("hash", F.pmod(F.xxhash64("sketch"), F.lit(PARTS)).cast("string")), F.col("hash")):
+        rows = (rows.withColumn("key", key).repartition("key").sortWithinPartitions("key", "sketch")
+                .mapInArrow(partial(_unlike, most=most), "hash string, sketch binary"))
+    return rows.groupBy("hash").agg(F.count("*").alias("n_docs"))
 
 
 def scan(docs: DataFrame, repo: Column | None = None, owner: Column | None = None,
          max_owners: int = 3, max_repos: int = 6) -> DataFrame:
     """One row per input row: doc_id and ``spans`` (start, kind, end, hash,
     n_owners, n_repos, live), by start then kind. ``live``: held by at most
-    ``max_owners`` owners and ``max_repos`` repositories in contexts of their own."""
+    ``max_owners`` owners and ``max_repos`` repositories with documents of their own."""
     repo = F.concat_ws("/", "source", "lang") if repo is None else repo
     owner = F.col("source") if owner is None else owner
     found = candidates(docs, repo, owner)
     owned = stored(ownership(found), "secret-owners")
+    wide = owned.filter((F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos))
+    n_docs = distinct_documents(found, wide, max(max_owners, max_repos) + 1)
+    owned = stored(owned.join(n_docs, "hash", "left"), "secret-documents")
     one = found.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*")
     told = (one.join(owned, "hash").groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
         "start", "kind", "end", "hash", "n_owners", "n_repos",
-        ((F.least("n_owners", "n_contexts") <= max_owners)
-         & (F.least("n_repos", "n_contexts") <= max_repos)).alias("live")))).alias("spans")))
+        ((F.least("n_owners", "n_docs") <= max_owners)  # null n_docs: not asked, held by few
+         & (F.least("n_repos", "n_docs") <= max_repos)).alias("live")))).alias("spans")))
     return found.select("row", "doc_id").join(told, "row", "left").drop("row")
 
 

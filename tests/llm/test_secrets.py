@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
 
+import numpy as np
+
 from snapmart.llm import queries, secrets
 from tests.conftest import SF001
 from tests.llm.util import edge_docs, no_docs, texts_of
@@ -71,3 +74,32 @@ def test_copies_of_one_document_do_not_make_an_example(spark):
         rows = {r.doc_id: r.spans for r in secrets.scan(edge_docs(spark, more)).collect()}
         assert all(s.n_owners == len(more) and s.live for d, *_ in more for s in rows[d])
         assert all(rows[d] for d, *_ in more)
+
+
+def prose(seed, n=120):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+
+def test_owners_count_over_distinct_documents(spark):
+    """One key in one sentence under 40 owners is an example; a key in 40 near copies of one document is live."""
+    sentence = f"set the key in your settings file like this {KEY} and then start the client again as before"
+    example = [(100 + i, " ".join([*prose(i), sentence, *prose(-i - 1)]), "en", f"s{i}", 1) for i in range(40)]
+    near = []
+    for i in range(40):
+        words = prose(999)
+        words[3 + 2 * i] = f"edit{i}"
+        near.append((200 + i, " ".join([*words[:60], TOKEN, *words[60:]]), "en", f"s{i}", 1))
+    rows = {r.doc_id: r.spans for r in secrets.scan(edge_docs(spark, example + near)).collect()}
+    for d, *_ in example:
+        assert [(s.n_owners, s.n_repos, s.live) for s in rows[d] if s.kind == 1] == [(40, 40, False)]
+    for d, *_ in near:
+        assert [(s.n_owners, s.live) for s in rows[d] if s.kind == 3] == [(40, True)]
+
+
+def test_sketches_estimate_similarity():
+    words = prose(5, 400)
+    other = [*words[:200], "new", *words[201:]]
+    a, b, c = (np.frombuffer(secrets.sketch(" ".join(w)), "<u4") for w in (words, other, prose(6, 400)))
+    assert ((a == b) & (a > 0)).sum() >= secrets.ALIKE * secrets.BINS and ((a == c) & (a > 0)).sum() == 0
+    assert len(secrets.sketch("one")) == 4 * secrets.BINS
