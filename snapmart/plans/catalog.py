@@ -8,6 +8,7 @@ one for one. Arrays are compared as joined strings.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,11 +18,13 @@ from snapmart import schemas
 from snapmart.functions import iso_duration, split_list, url_tail
 from snapmart.operators import clean, dims, facts, flatten, quality, reports, rule_text
 from snapmart.plans import sql_reports
+from snapmart.plans.daily import Layout
 from snapmart.session import scratch_path
 from snapmart.sources import (
     read_csv, read_day, read_json_lines, read_latest_version, read_table, write_csv, write_day, write_days, write_json_lines,
 )
 from snapmart.sources import testdata as td
+from snapmart.sources.tables import write_clustered
 
 # The run date of the test data: the last order date.
 AS_OF = dt.date(2001, 8, 1)
@@ -843,3 +846,48 @@ def q_stored_top_viewed(spark, sf):
     vdim = read_latest_version(spark, f"{root}/video_dim", schemas.VIDEO_DIM)
     vfact = facts.read_latest_snapshot(spark, f"{root}/video_fact", schemas.VIDEO_FACT)
     return reports.top_viewed(vdim, vfact, 10)
+
+
+def _named(spark, sf):
+    """Dimensions, and one snapshot of each fact a day, stored and named."""
+    out = Layout(scratch_path(spark, "named"))
+    vdim, vfact = _video(spark, sf)
+    orders = td.load(spark, sf, "orders")
+    cdim = td.channel_dim(td.load(spark, sf, "customer"), td.load(spark, sf, "nation"), AS_OF)
+    for dim, path, schema, key, update in (
+            (vdim, out.video_dim, schemas.VIDEO_DIM, "video_id", schemas.VIDEO_DIM_UPDATE),
+            (cdim, out.channel_dim, schemas.CHANNEL_DIM, "channel_id", schemas.CHANNEL_DIM_UPDATE)):
+        dims.load_dimension(spark, path, dim, schema, [key], update, schema.names, AS_OF)
+    facts.write_snapshot(vfact.select(*schemas.VIDEO_FACT_COLUMNS), out.video_fact, rebalance=True)
+    facts.write_snapshot(td.channel_fact(orders).select(*schemas.CHANNEL_FACT_COLUMNS), out.channel_fact, rebalance=True)
+    database = f"named_{uuid.uuid4().hex[:12]}"
+    sql_reports.name_tables(spark, out, database)
+    return database
+
+
+@register("named_likes_to_view_ratio", ORACLE["sql_likes_to_view_ratio"])
+def q_named_ratio(spark, sf):
+    """The SQL report over ``database.table`` names of the session catalog; the
+    newest day is pruned from the catalog's partitions."""
+    return sql_reports.run(spark, "likes_to_view_ratio", database=_named(spark, sf))
+
+
+@register("named_channel_video_counts", ORACLE["sql_channel_video_counts"])
+def q_named_counts(spark, sf):
+    return sql_reports.run(spark, "channel_video_counts", database=_named(spark, sf))
+
+
+# ---- a dimension laid out by channel ---------------------------------------
+
+@register("dim_by_channel", f"""
+WITH {VIDEO_DIM_SQL.replace("@AS_OF", AS_OF_SQL)}
+SELECT channel_id, count(*) AS n_videos, min(video_id) AS first_id, max(video_id) AS last_id,
+       min(published_date) AS first_date FROM video_dim GROUP BY channel_id""")
+def q_dim_by_channel(spark, sf):
+    """The video dimension's first load laid out by channel, read back."""
+    path = scratch_path(spark, "by_channel")
+    dim = td.video_dim(td.load(spark, sf, "orders"), AS_OF).select(*schemas.VIDEO_DIM_COLUMNS)
+    write_clustered(dim, path, 20010801, ["channel_id"], "video_id")
+    return read_latest_version(spark, path, schemas.VIDEO_DIM).groupBy("channel_id").agg(
+        F.count(F.lit(1)).alias("n_videos"), F.min("video_id").alias("first_id"), F.max("video_id").alias("last_id"),
+        F.min("published_date").alias("first_date"))

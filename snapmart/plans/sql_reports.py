@@ -1,8 +1,8 @@
 """The report scripts as Spark SQL over named tables.
 
-For users who run the reports as SQL text against catalog tables: register
-the dimension and fact tables as views (``register_tables``), then run
-``REPORTS[name]``. Catalyst plans these exactly like the DataFrame reports;
+For users who run the reports as SQL text: name the stored tables in the
+session catalog (``name_tables``) and run with that ``database``, or register
+frames as views (``register_tables``) and run without one. Catalyst plans these exactly like the DataFrame reports;
 the differences from the original scripts are deliberate: the trend
 window is ``:months`` months back from ``:as_of`` (the original subtracted
 365 years), month names are spelled from the calendar, sorts name their
@@ -16,37 +16,43 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The rows of a fact's newest day. The scalar subquery reads the day column
-# alone, and its value prunes the partitions of a stored fact.
+from snapmart import schemas
+from snapmart.plans.daily import Layout
+from snapmart.sources import named
+
+# The rows of a fact's newest day. Over views the day is a scalar subquery that
+# reads the day column alone; over named tables the catalog knows it. Either
+# prunes the partitions of a stored fact.
 _NEWEST = """WITH newest AS (
-  SELECT * FROM {fact} WHERE snapshot_date = (SELECT max(f.snapshot_date) FROM {fact} AS f))"""
+  SELECT * FROM {db}FACT WHERE snapshot_date = {day})"""
+_MAX_DAY = "(SELECT max(f.snapshot_date) FROM {fact} AS f)"
 
 # Tied rows never meet in one window task: the n largest distinct counts (at
 # most n rows, the only broadcast) select the rows.
-TOP_VIEWED = _NEWEST.format(fact="video_data_fact") + """,
+TOP_VIEWED = _NEWEST.replace("FACT", "video_data_fact") + """,
 heights AS (
   SELECT views_count AS height FROM newest GROUP BY views_count ORDER BY height DESC NULLS LAST LIMIT {n})
 SELECT /*+ BROADCAST(heights) */ d.title, d.video_id, d.channel_id, newest.views_count
 FROM newest
 LEFT SEMI JOIN heights ON newest.views_count <=> heights.height
-JOIN video_data_dim AS d USING (video_id)
+JOIN {db}video_data_dim AS d USING (video_id)
 ORDER BY views_count DESC NULLS LAST, video_id NULLS LAST"""
 
-LIKES_TO_VIEW_RATIO = _NEWEST.format(fact="video_data_fact") + """
+LIKES_TO_VIEW_RATIO = _NEWEST.replace("FACT", "video_data_fact") + """
 SELECT d.video_id, d.title, d.channel_id, d.published_date,
        newest.views_count, newest.likes_count, newest.dislikes_count,
        try_divide(CAST(newest.likes_count AS DOUBLE), newest.views_count) AS like_to_view_ratio,
        try_divide(CAST(newest.comments_count AS DOUBLE), newest.views_count) AS comment_to_view_ratio
-FROM newest JOIN video_data_dim AS d ON d.video_id = newest.video_id
+FROM newest JOIN {db}video_data_dim AS d ON d.video_id = newest.video_id
 ORDER BY like_to_view_ratio DESC NULLS LAST, video_id NULLS LAST"""
 
-CHANNEL_METRIC = _NEWEST.format(fact="channel_data_fact") + """
+CHANNEL_METRIC = _NEWEST.replace("FACT", "channel_data_fact") + """
 SELECT d.channel_id, d.title, newest.{metric}
-FROM newest JOIN channel_data_dim AS d ON d.channel_id = newest.channel_id"""
+FROM newest JOIN {db}channel_data_dim AS d ON d.channel_id = newest.channel_id"""
 
 # Uploads of the window, counted by channel and a part of the date.
 _UPLOADS = """
-FROM video_data_dim
+FROM {db}video_data_dim
 |> WHERE published_date >= add_months(DATE '{as_of}', -{months}) AND published_date <= DATE '{as_of}'
 """
 
@@ -77,19 +83,37 @@ def register_tables(video_dim: DataFrame | None = None, video_fact: DataFrame |
             df.createOrReplaceTempView(name)
 
 
+def name_tables(spark: SparkSession, out: Layout, database: str) -> None:
+    """Name the stored dimensions (newest version) and facts (days with rows)
+    of a layout; call again after a day is published."""
+    named.create_database(spark, database, out.root)
+    named.name_dimension(spark, f"{database}.video_data_dim", out.video_dim, schemas.VIDEO_DIM)
+    named.name_dimension(spark, f"{database}.channel_data_dim", out.channel_dim, schemas.CHANNEL_DIM)
+    named.name_days(spark, f"{database}.video_data_fact", out.video_fact, schemas.VIDEO_FACT, "snapshot_date")
+    named.name_days(spark, f"{database}.channel_data_fact", out.channel_fact, schemas.CHANNEL_FACT, "snapshot_date")
+
+
+REPORTS = {
+    "top_viewed": TOP_VIEWED,
+    "likes_to_view_ratio": LIKES_TO_VIEW_RATIO,
+    "channel_video_counts": CHANNEL_METRIC.replace("{metric}", "videos_count"),
+    "channel_subscriber_counts": CHANNEL_METRIC.replace("{metric}", "subscribers_count"),
+    "uploads_per_channel": UPLOADS_PER_CHANNEL,
+    "uploads_per_quarter": UPLOADS_PER_QUARTER,
+    "uploads_per_month": UPLOADS_PER_MONTH,
+}
+
+
 def run(spark: SparkSession, name: str, as_of: dt.date | None = None, months: int = 12,
-        n: int = 10) -> DataFrame:
-    text = {
-        "top_viewed": TOP_VIEWED.format(n=int(n)),
-        "likes_to_view_ratio": LIKES_TO_VIEW_RATIO,
-        "channel_video_counts": CHANNEL_METRIC.format(metric="videos_count"),
-        "channel_subscriber_counts": CHANNEL_METRIC.format(metric="subscribers_count"),
-        "uploads_per_channel": UPLOADS_PER_CHANNEL,
-        "uploads_per_quarter": UPLOADS_PER_QUARTER,
-        "uploads_per_month": UPLOADS_PER_MONTH,
-    }[name]
+        n: int = 10, database: str | None = None) -> DataFrame:
+    """One report; over the named tables of ``database`` when given, else over views."""
+    text, values = REPORTS[name], {"n": int(n), "months": int(months), "db": f"{database}." if database else ""}
     if name.startswith("uploads_"):
         if as_of is None:
             raise ValueError(f"{name} needs as_of")
-        text = text.format(as_of=as_of.isoformat(), months=int(months))
-    return spark.sql(text)
+        values["as_of"] = as_of.isoformat()
+    else:
+        fact = "channel_data_fact" if name.startswith("channel_") else "video_data_fact"
+        day = named.newest_day(spark, f"{database}.{fact}") if database else None
+        values["day"] = f"'{day}'" if day else "CAST(null AS STRING)" if database else _MAX_DAY.format(fact=fact)
+    return spark.sql(text.format(**values))

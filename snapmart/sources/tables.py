@@ -100,18 +100,28 @@ def published(spark: SparkSession, folder: str) -> tuple[str | None, bool]:
 def current_folders(spark: SparkSession, path: str) -> list[str] | None:
     """The folders that readers of all days take; None for a table without runs
     (plain Parquet). Listings on the driver, no data read."""
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    inside = fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "*=*/*"))
-    days: dict[str, list[str]] = {}
-    for st in inside or []:
-        days.setdefault(st.getPath().getParent().getName(), []).append(st.getPath().getName())
+    days = _names_by_day(spark, path, "*")
     if not any(n.startswith((PUBLISHED, RUN)) for names in days.values() for n in names):
         return None
     found = (_newest(f"{path.rstrip('/')}/{day}", names)[0] for day, names in sorted(days.items()))
     return [f for f in found if f]
 
 
+def _names_by_day(spark: SparkSession, path: str, column: str) -> dict[str, list[str]]:
+    fs, p = _fs(spark, path)
+    days: dict[str, list[str]] = {}
+    for st in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{column}=*/*")) or []:
+        days.setdefault(st.getPath().getParent().getName(), []).append(st.getPath().getName())
+    return days
+
+
+def published_days(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """The folder that readers take of each day that has rows."""
+    found = {day.split("=", 1)[1]: _newest(day_folder(path, *day.split("=", 1)), names)
+             for day, names in _names_by_day(spark, path, column).items()}
+    return {day: folder for day, (folder, rows) in sorted(found.items()) if rows}
+
+
 def publish(spark: SparkSession, folder: str, run: str, rows: bool) -> None:
     """Make a written run of a day the one that readers take: one file is
     created, the rest of the day stays as it is."""
@@ -178,7 +188,7 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/{VERSION}={int(version)}"
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
+def write_version(df: DataFrame, path: str, version: int, **options) -> None:
     """Store a whole new version of a table in its own folder beside the
     older ones, then mark it committed. The marker is written by the driver
     after the write job has committed, so a write cut short (lost executor
@@ -186,11 +196,25 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
     version. (Spark's own ``_SUCCESS`` file can be switched off on a
     cluster, so it is not relied on.)"""
     target = version_path(path, version)
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").options(**options).parquet(target)
     fs, p = _fs(df.sparkSession, target)
     fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMITTED), True).close()
 
 
+def write_clustered(df: DataFrame, path: str, version: int, by: list[str], key: str,
+                    row_group: int = 32 << 20) -> None:
+    """Store a version laid out by ``by``: rows are dealt by ranges of (by, key)
+    and sorted inside, so the files and row groups of one value of ``by`` are few and
+    neighbours, and the minima and maxima in the footers rule the others out.
+    The key is part of the range, so a value that holds a third of all rows is dealt to many tasks;
+    files follow bytes, not the number of values. A bloom filter on ``key``
+    rules out row groups for a lookup by key, which the layout does not order."""
+    laid = df.repartitionByRange(*by, key).sortWithinPartitions(*by, key)
+    write_version(laid, path, version, **{
+        f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.block.size": str(row_group)})
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """The bucket of a row; rows with a null in a key have one, too."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
