@@ -13,17 +13,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.functions import iso_duration, split_list, url_tail
-from snapmart.operators import clean, dims, facts, flatten, quality, reports, rule_text
+from snapmart.operators import clean, dims, facts, flatten, page_chains, quality, reports, rule_text
 from snapmart.plans import sql_reports
 from snapmart.plans.daily import Layout
 from snapmart.session import scratch_path
 from snapmart.sources import (
     read_csv, read_day, read_json_lines, read_latest_version, read_table, write_csv, write_day, write_days, write_json_lines,
 )
+from snapmart.sources import named
 from snapmart.sources import testdata as td
+from snapmart.sources.intake import take_day
 from snapmart.sources.tables import write_clustered
 
 # The run date of the test data: the last order date.
@@ -877,6 +880,18 @@ def q_named_counts(spark, sf):
     return sql_reports.run(spark, "channel_video_counts", database=_named(spark, sf))
 
 
+@register("bucketed_ratio", ORACLE["sql_likes_to_view_ratio"])
+def q_bucketed_ratio(spark, sf):
+    """The ratio report over a dimension and a fact stored in the same buckets
+    of the video id: the join needs no shuffle, and the newest day's partition is all it reads of the fact."""
+    root, database = scratch_path(spark, "bucketed"), f"bucketed_{uuid.uuid4().hex[:12]}"
+    dim, fact = _video(spark, sf)
+    named.create_database(spark, database, root)
+    named.write_bucketed(dim, f"{database}.video_data_dim", f"{root}/dim", "video_id", 16)
+    named.write_bucketed(fact.select(*schemas.VIDEO_FACT_COLUMNS), f"{database}.video_data_fact", f"{root}/fact", "video_id", 16, "snapshot_date")
+    return sql_reports.run(spark, "likes_to_view_ratio", database=database)
+
+
 # ---- a dimension laid out by channel ---------------------------------------
 
 @register("dim_by_channel", f"""
@@ -891,3 +906,53 @@ def q_dim_by_channel(spark, sf):
     return read_latest_version(spark, path, schemas.VIDEO_DIM).groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("n_videos"), F.min("video_id").alias("first_id"), F.max("video_id").alias("last_id"),
         F.min("published_date").alias("first_date"))
+
+
+# ---- chains of stored pages --------------------------------------------------
+
+@register("page_chains", """
+WITH stored AS (
+  SELECT p_partkey AS k, p_partkey // 200 AS listing, p_size % 13 = 0 AS twice FROM part WHERE p_size % 17 <> 0),
+marked AS (
+  SELECT *, k - row_number() OVER (PARTITION BY listing ORDER BY k) AS run FROM stored)
+SELECT cast(listing AS VARCHAR) AS listing, cast(min(k) AS VARCHAR) AS head, count(*) AS n_pages,
+       cast(sum(CASE WHEN twice THEN 1 ELSE 0 END) AS BIGINT) AS n_repeated,
+       CASE WHEN max(k) % 200 <> 199 THEN cast(max(k) + 1 AS VARCHAR) END AS missing, false AS loops
+FROM marked GROUP BY listing, run""")
+def q_page_chains(spark, sf):
+    """Pages built from ``part``: 200 to a listing, each naming the next; some
+    were never stored, some twice. Read back from JSON lines and followed."""
+    part, k = td.load(spark, sf, "part").filter(F.col("p_size") % 17 != 0), F.col("p_partkey")
+    page = F.to_json(F.struct(
+        F.floor(k / 200).cast("string").alias("listing"), k.cast("string").alias("pageToken"),
+        F.when(k % 200 != 199, (k + 1).cast("string")).alias("nextPageToken")))
+    twice = F.explode(F.when(F.col("p_size") % 13 == 0, F.array(page, page)).otherwise(F.array(page)))
+    path = scratch_path(spark, "chain_pages")
+    write_json_lines(part.select(twice.alias("value")), path)
+    r = F.from_json("value", "listing string, pageToken string, nextPageToken string")
+    pages = read_json_lines(spark, path).select(r.alias("r")).select(
+        "r.listing", F.col("r.pageToken").alias("token"), F.col("r.nextPageToken").alias("next_token"))
+    return page_chains.chains(pages)
+
+
+# ---- intake of landed files ----------------------------------------------------
+
+@register("intake_twice", """
+SELECT cast(o_orderkey AS VARCHAR) AS video_id, 'order-' || cast(o_orderkey AS VARCHAR) AS title,
+       CASE WHEN o_orderstatus = 'F' THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END AS updated_date
+FROM orders""")
+def q_intake_twice(spark, sf):
+    """Listings land in two drops; the second day and a rerun of the first are
+    offered files that have been taken: every row counts once, on its first day."""
+    root, orders = scratch_path(spark, "intake"), td.load(spark, sf, "orders")
+    drops = {"d1": F.col("o_orderstatus") == "F", "d2": F.coalesce(F.col("o_orderstatus") != "F", F.lit(True))}
+    column, days = "updated_date", (AS_OF, AS_OF + dt.timedelta(days=1))
+
+    def rows(paths):
+        raw = read_csv(spark, paths, schemas.RAW_VIDEO) if paths else spark.createDataFrame([], schemas.RAW_VIDEO)
+        return raw.select("video_id", "title")
+    for drop, day in (("d1", days[0]), ("d2", days[1]), (None, days[0])):
+        if drop:
+            write_csv(td.raw_video(orders.filter(drops[drop])), f"{root}/landing/{drop}")
+        take_day(spark, [f"{root}/landing"], f"{root}/table", f"{root}/ledger", column, day, rows)
+    return read_table(spark, f"{root}/table", T.StructType.fromDDL(f"video_id string, title string, {column} date"))

@@ -20,10 +20,13 @@ def read_csv(spark: SparkSession, path, schema: StructType, multiline: bool = Tr
             .csv(path))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
     """Header + rows; text kept byte for byte (no whitespace trimming).
     Null and '' both read back as null (an empty field), as in the
-    listing files, where the extractor writes both the same way."""
+    listing files, where the extractor writes both the same way. ``bom``
+    starts every file with a byte-order mark, as spreadsheets expect."""
+    if bom:
+        df = df.toDF("\ufeff" + df.columns[0], *df.columns[1:])
     (df.write.mode(mode)
        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
                 **_QUOTING)

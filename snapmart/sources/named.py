@@ -9,7 +9,7 @@ a day or a version moves partitions; the files stay where they are.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from snapmart.sources.tables import published_days, stored_versions, version_buckets, version_path
@@ -78,6 +78,17 @@ def name_dimension(spark: SparkSession, name: str, path: str, schema: T.StructTy
     place(spark, name, BUCKET.name, folders)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, column: str | None = None) -> None:
+    """Replace a named table stored in ``buckets`` buckets by ``key``, sorted inside, one file a bucket
+    (and day, with ``column``). Tables of one key and number of buckets join
+    on it without a shuffle, whatever their size. Meant for keys with few rows each, such as
+    a dimension's: a bucket holds all rows of its keys."""
+    out = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+    if column:
+        out = out.partitionBy(column)
+    out.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def newest_day(spark: SparkSession, name: str) -> str | None:
     """The newest ``yyyyMMdd`` day of a named table, from the catalog alone."""
     return max((d for d in partitions(spark, name) if d.isdigit()), default=None)

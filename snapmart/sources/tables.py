@@ -131,14 +131,18 @@ def publish(spark: SparkSession, folder: str, run: str, rows: bool) -> None:
     fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name), False).close()
 
 
-def write_day(df: DataFrame, path: str, column: str, day) -> str:
+def new_run() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def write_day(df: DataFrame, path: str, column: str, day, run: str | None = None) -> str:
     """Replace one known day, also by nothing, and return the folder written.
 
     The rows go to a folder of their own, which readers ignore until it is
     published; a failed job changes nothing they see. Runs published before stay for readers that
     have planned with them until ``expire_runs``. ``column`` is implied by the
     folder."""
-    folder, run = day_folder(path, column, day), uuid.uuid4().hex[:12]
+    folder, run = day_folder(path, column, day), run or new_run()
     target, rows = f"{folder}/{RUN}{run}", df.drop(column)
     rows.write.parquet(target)
     spark = df.sparkSession

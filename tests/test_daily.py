@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapmart import schemas
 from snapmart.operators import reports
+from snapmart.plans import daily
 from snapmart.plans.daily import Layout, run_day
 from snapmart.sources import read_latest_version, read_table, write_csv
 from snapmart.sources import testdata as td
@@ -106,3 +108,25 @@ def test_broken_lines_never_reach_a_dimension(spark, tmp_path):
     assert [r.channel_id for r in flatten.flatten_channels(lines).collect()] == ["a"]
     good, bad = flatten.split_readable(lines, "value", schemas.CHANNEL_API)
     assert (good.count(), bad.count()) == (1, 3)
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    """``main`` parses its parameters and runs the day; the partitions are sized for the run."""
+    tmp = str(tmp_path)
+    ch, v = _raw(spark, tmp, "d1", "")
+    allow = [r[0] for r in td.load(spark, SF0001, "orders").select(F.col("o_custkey").cast("string")).distinct().limit(3).collect()]
+    monkeypatch.setattr("snapmart.session.build_session", lambda: spark)
+    monkeypatch.setattr(spark, "stop", lambda: None, raising=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        daily.main(["--raw-channel", ch, "--raw-video", v, "--out", f"{tmp}/out", "--as-of", "2024-01-01", "--allow", ",".join(allow)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    out = Layout(f"{tmp}/out")
+    dim = read_latest_version(spark, out.video_dim, schemas.VIDEO_DIM)
+    want = td.load(spark, SF0001, "orders").filter(F.col("o_custkey").cast("string").isin(allow)).count()
+    assert dim.count() == want and {r[0] for r in dim.select("channel_id").distinct().collect()} == set(allow)
+    assert read_table(spark, out.dq_video, schemas.RULE_OUTCOME).count() > 0
+    assert "corrupt_records" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        daily.main(["--raw-channel", ch])

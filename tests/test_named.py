@@ -105,3 +105,25 @@ def test_a_channel_is_read_from_few_row_groups(spark, tmp_path):
     assert after.filter(one).count() == before.filter(one).count() > 0
     by_id = after.filter(F.col("video_id") == "4242")  # ids lie in every file; the bloom filters rule files out
     assert scanned(spark, by_id) <= n / 2 and by_id.count() == 1
+
+
+def test_equal_buckets_join_without_a_shuffle(spark, tmp_path):
+    named.create_database(spark, "named_buckets", str(tmp_path / "db"))
+    dim = rows_for(spark, schemas.VIDEO_DIM, 500, title=F.lit("t"))
+    fact = rows_for(spark, schemas.VIDEO_FACT, 400, views_count=F.lit(4), likes_count=F.lit(1), snapshot_date=F.lit("20240101"))
+    fact = fact.union(fact.withColumns({"snapshot_date": F.lit("20240102"), "likes_count": F.lit(2).cast("long")}))
+    named.write_bucketed(dim, "named_buckets.video_data_dim", str(tmp_path / "dim"), "video_id", 4)
+    named.write_bucketed(fact, "named_buckets.video_data_fact", str(tmp_path / "fact"), "video_id", 4, "snapshot_date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = sql_reports.run(spark, "likes_to_view_ratio", database="named_buckets")
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        rows = report.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan[plan.index("SortMergeJoin"):]
+    assert "Exchange" not in join.split("== Initial Plan")[0] and "snapshot_date" in join
+    assert len(rows) == 400 and {r.like_to_view_ratio for r in rows} == {0.5}
+    files = glob.glob(f"{tmp_path}/fact/snapshot_date=20240102/*.parquet")
+    assert len(files) == 4

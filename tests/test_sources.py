@@ -1,5 +1,6 @@
 """CSV quoting, BOM, blank lines, 64-bit counts, partitioned day writes."""
 
+import glob
 import datetime as dt
 
 from pyspark.sql import types as T
@@ -95,3 +96,12 @@ def test_size_shuffle_partitions(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_byte_order_mark(spark, tmp_path):
+    path = str(tmp_path / "bom")
+    df = spark.createDataFrame([("a", "ü"), ("b", None)], "id string, name string")
+    write_csv(df, path, bom=True)
+    files = glob.glob(f"{path}/*.csv")
+    assert files and all(open(f, "rb").read().startswith(b"\xef\xbb\xbfid,name\n") for f in files)
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == [("a", "ü"), ("b", None)]
