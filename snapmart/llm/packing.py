@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from snapmart.llm import tokens
 from snapmart.llm.common import stored, texts
 
+REMEMBERED = 250_000  # pieces in each of two generations per worker: a word is few bytes, learning one is dear
 #: One fill: pieces of ``size`` ranked from ``rank`` on, ``n`` of them, ``each`` per
 #: sequence, into the sequences from ``first`` on, from position ``at`` on.
 Fill = tuple[int, int, int, int, int, int]
@@ -158,7 +159,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: by
         for lo in range(0, b.num_rows, 512):
             rows = b.slice(lo, 512)
             at, piece, start, length, ids, rank = [], [], [], [], [], []
-            for i, got in enumerate(tokens.encode(path, rows.column(1).to_pylist(), tokens.words)):
+            for i, got in enumerate(tokens.encode(path, rows.column(1).to_pylist(), tokens.words, REMEMBERED)):
                 got += end
                 for k, s in enumerate(range(0, len(got), 4 * capacity)):
                     cut = got[s:s + 4 * capacity]

@@ -113,13 +113,13 @@ def _learn(path: str, new: set[str], cut: Callable) -> None:
     known.update((p, known[p[:-1]] + known[p[-1]]) for p in pairs)
 
 
-def encode(path: str, texts: list[str], cut: Callable[[str], list[str]]) -> Iterator[bytes]:
-    """The ids of each text, in order."""
+def encode(path: str, texts: list[str], cut: Callable[[str], list[str]], cached: int = CACHED) -> Iterator[bytes]:
+    """The ids of each text, in order; two generations of about ``cached`` pieces are remembered."""
     known = tokenizer(path)[1]
     for group in _slices(texts):
         parts = [cut(t) for t in group]
         older = _older[path]
-        if len(known) > CACHED:
+        if len(known) > cached:
             older.clear()
             older.update(known)
             known.clear()
