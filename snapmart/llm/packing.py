@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from snapmart.llm import tokens
 from snapmart.llm.common import stored, texts
 
-REMEMBERED = 250_000  # pieces in each of two generations per worker: a word is few bytes, learning one is dear
+REMEMBERED = 400_000  # pieces in each of two generations per worker: a word is few bytes, learning one is dear
 #: One fill: pieces of ``size`` ranked from ``rank`` on, ``n`` of them, ``each`` per
 #: sequence, into the sequences from ``first`` on, from position ``at`` on.
 Fill = tuple[int, int, int, int, int, int]
