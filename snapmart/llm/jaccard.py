@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import graph, hashing
 from snapmart.llm.common import release, stored, texts
+from snapmart.llm.workers import lean
 
 TURNS = 8
 CHUNK = 1024  # members of a large bucket compared at a time
@@ -250,8 +251,8 @@ def shared_keys(src: DataFrame, n: int, num: int, den: int) -> DataFrame:
     entries from each batch of rows, and a task packs its keys before the
     shuffle, so tens of millions of keys need neither hash tables nor rows."""
     parts = max(1, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = src.mapInArrow(partial(_dealt_keys, n=n, num=num, den=den, parts=parts), "part int, pairs binary")
-    return dealt.repartition(parts, "part").mapInArrow(_shared, "key long")
+    dealt = src.mapInArrow(lean(partial(_dealt_keys, n=n, num=num, den=den, parts=parts)), "part int, pairs binary")
+    return dealt.repartition(parts, "part").mapInArrow(lean(_shared), "key long")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -297,13 +298,13 @@ def links(pairs: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int
     wanted = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
                     .select("node", "class_id", "fp1", "fp2"), "jaccard-wanted")
     sets = (src.join(wanted.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-            .mapInArrow(partial(_sets, n=n), "fp1 long, fp2 long, members binary").join(wanted, ["fp1", "fp2"]))
+            .mapInArrow(lean(partial(_sets, n=n)), "fp1 long, fp2 long, members binary").join(wanted, ["fp1", "fp2"]))
     sets = stored(sets.select("node", "members"), "jaccard-members-of")
     release(src.sparkSession)
     x = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     full = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return stored(full.mapInArrow(partial(_verified, num=num, den=den), "a long, b long").distinct(), "jaccard-links")
+    return stored(full.mapInArrow(lean(partial(_verified, num=num, den=den)), "a long, b long").distinct(), "jaccard-links")
 
 
 def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -375,11 +376,11 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
         raise ValueError("the similarity must be from 0.8 to 1")
     spark = docs.sparkSession
     src = texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    every = stored(src.mapInArrow(partial(_prints, n=n), "doc_id long, n int, fp1 long, fp2 long, bits binary"), "jaccard-sets")
+    every = stored(src.mapInArrow(lean(partial(_prints, n=n)), "doc_id long, n int, fp1 long, fp2 long, bits binary"), "jaccard-sets")
     classes = stored(every.filter("n > 0").groupBy("fp1", "fp2").agg(
         F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
-    keyed = src.mapInArrow(partial(_keys, n=n, num=num, den=den), "key long, fp1 long, fp2 long")
+    keyed = src.mapInArrow(lean(partial(_keys, n=n, num=num, den=den)), "key long, fp1 long, fp2 long")
     shared = stored(shared_keys(src, n, num, den), "jaccard-buckets")
     release(spark)
     member = stored(keyed.join(shared, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import jaccard
 from snapmart.llm.common import recounted, stored
+from snapmart.llm.workers import lean
 
 # Span kinds in order of listing and their patterns.
 KINDS = ("assign", "access", "hex", "opaque")
@@ -92,7 +93,7 @@ def candidates(docs: DataFrame, repo: Column, owner: Column) -> DataFrame:
     src = docs.select("doc_id", repo.cast("string").alias("repo"), owner.cast("string").alias("owner"),
                       F.col("text"))
     id_type = src.schema["doc_id"].dataType.simpleString()
-    found = src.mapInArrow(partial(_scan, n_keys=3), f"doc_id {id_type}, repo string, owner string, spans {SPANS}, sketch binary")
+    found = src.mapInArrow(lean(partial(_scan, n_keys=3)), f"doc_id {id_type}, repo string, owner string, spans {SPANS}, sketch binary")
     return stored(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
 
 
@@ -210,4 +211,4 @@ def redact(docs: DataFrame, **options) -> DataFrame:
         F.first("hit").alias("hit")).select("hit_id", "hit_hash", merged.alias("hit"))
     joined = docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]) & (F.xxhash64(docs["text"]) == hits["hit_hash"]),
                        "left").select(*[docs[c] for c in docs.columns], hits["hit"])
-    return recounted(joined.mapInArrow(partial(_redact, at=docs.columns.index("text")), docs.schema))
+    return recounted(joined.mapInArrow(lean(partial(_redact, at=docs.columns.index("text"))), docs.schema))

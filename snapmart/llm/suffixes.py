@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import hashing
 from snapmart.llm.common import recounted, release, stored, texts
+from snapmart.llm.workers import lean
 
 ANCHOR = 50
 GROUP = 4096
@@ -216,10 +217,10 @@ def repeated_spans(src: DataFrame, length: int) -> DataFrame:
     """(doc_id, text_hash, lo, hi): byte ranges covered by repeated windows;
     they may overlap. ``src``: doc_id, text, text_hash."""
     spark, id_type = src.sparkSession, src.schema["doc_id"].dataType.simpleString()
-    anchors = src.mapInArrow(partial(_anchors, length=length), "anchor long")
+    anchors = src.mapInArrow(lean(partial(_anchors, length=length)), "anchor long")
     shared = stored(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "suffix-anchors")
     release(spark)
-    found = stored(src.mapInArrow(partial(_runs, length=length), f"doc_id {id_type}, {RUNS}").join(shared, "anchor"), "suffix-runs")
+    found = stored(src.mapInArrow(lean(partial(_runs, length=length)), f"doc_id {id_type}, {RUNS}").join(shared, "anchor"), "suffix-runs")
     release(spark)
     run = ["anchor", "behind", "ahead", "content"]
     classes = stored(found.groupBy(*run).agg(F.count("*").alias("many"), F.min(F.struct("doc_id", "text_hash", "at")).alias("one")),
@@ -234,13 +235,13 @@ def repeated_spans(src: DataFrame, length: int) -> DataFrame:
     b = by_text.select(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_hash"), "runs")
     with_text = src.join(b, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("text_hash") == F.col("b_hash"))).select(
         "doc_id", "text_hash", "text", "runs")
-    cut = stored(with_text.mapInArrow(partial(_cut_out, length=length), f"doc_id {id_type}, {CUT}")
+    cut = stored(with_text.mapInArrow(lean(partial(_cut_out, length=length)), f"doc_id {id_type}, {CUT}")
                  .dropDuplicates(["doc_id", "text_hash", "anchor", "behind", "ahead", "at"]), "suffix-open", compression="zstd")
     release(spark)
     part = f"doc_id {id_type}, text_hash int, lo long, hi long"
     some = (cut.filter("not big").repartition("anchor").sortWithinPartitions("anchor")
-            .mapInArrow(partial(_repeated, length=length), part))
-    each = stored(cut.filter("big").mapInArrow(partial(_listed, length=length), f"doc_id {id_type}, text_hash int, lo long, key long"),
+            .mapInArrow(lean(partial(_repeated, length=length)), part))
+    each = stored(cut.filter("big").mapInArrow(lean(partial(_listed, length=length)), f"doc_id {id_type}, text_hash int, lo long, key long"),
                   "suffix-windows")
     twice = stored(each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "suffix-twice")
     many = each.join(twice, "key", "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + length).alias("hi"))
@@ -283,7 +284,7 @@ def remove(docs: DataFrame, length: int = 200, whole_row: bool = False) -> DataF
     joined = row.join(hits, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.hash(F.coalesce("text", F.lit(""))) == F.col("b_hash")),
                       "left").select(*row.columns, "found")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row.schema)
-    return joined.mapInArrow(partial(_kept, at=1), f"{schema}, {KEPT}")
+    return joined.mapInArrow(lean(partial(_kept, at=1)), f"{schema}, {KEPT}")
 
 
 def digests(removed: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
+from snapmart.llm import workers
+
 CACHED = 100_000  # pieces in each of two generations per worker: those met again outlive the others
 SLICE = 1 << 21  # characters cut at a time, so a batch's pieces need little memory
 
@@ -42,9 +44,17 @@ def tokenizer(path: str):
             marks[i] = token.endswith("</w>") or token.startswith(SPACE)
         _loaded[path] = tok, {}, marks
         _older[path] = {}
+        workers.remembered(forget)
     return _loaded[path]
 
 
+def forget() -> None:
+    """Drop all remembered pieces."""
+    for path, (_, known, _) in _loaded.items():
+        known.clear()
+        _older[path].clear()
+
+
 def words(text: str) -> list[str]:
     """Pieces for tokenizers that lower-case, and drop white space before they
     split. The library looks for special strings before it normalises, so only

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import hashing
 from snapmart.llm.common import stored, texts
+from snapmart.llm.workers import give_back, lean
 
 BITS = 20
 DIMENSIONS = 1 << BITS
@@ -113,10 +114,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
               .withColumn("turn", F.xxhash64("label_id")).orderBy("turn", "label_id").limit(max_rows))
     chosen = stored(chosen, "toxicity-chosen")
     read = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "turn", "toxic")
-    examples = stored(read.mapInArrow(_examples, "turn long, toxic int, places binary"), "toxicity-examples")
+    examples = stored(read.mapInArrow(lean(_examples), "turn long, toxic int, places binary"), "toxicity-examples")
     # a bounded sample in one task; a repeated row teaches once
     one = examples.dropDuplicates(["turn"]).repartitionByRange(1, "turn").sortWithinPartitions("turn")
-    rows = one.mapInArrow(_fit, "place long, weight double").collect()  # at most DIMENSIONS + 1 numbers
+    rows = one.mapInArrow(lean(_fit), "place long, weight double").collect()  # at most DIMENSIONS + 1 numbers
     found = sorted((r["place"], r["weight"]) for r in rows)
     bias = found.pop(0)[1] if found else 0.0
     return bias, np.array([p for p, _ in found], np.int64), np.array([w for _, w in found], np.float64)
@@ -142,7 +143,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: more likely toxic), predicted."""
     src = texts(docs)
     id_type = src.schema["doc_id"].dataType.simpleString()
-    scored = src.mapInArrow(partial(_score_ids, model=model), f"doc_id {id_type}, score double")
+    scored = src.mapInArrow(lean(partial(_score_ids, model=model)), f"doc_id {id_type}, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -152,14 +153,14 @@ def _score_ids(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
 
 
 def keep_clean(docs: DataFrame, model: Model, at_most: float = 0.5) -> DataFrame:
-    """The rows whose score is under ``at_most``, columns as they were."""
-    at = docs.columns.index("text")
-    return docs.mapInArrow(partial(_clean, model=model, at=at, at_most=at_most), docs.schema)
+    """The rows whose score is under ``at_most``, columns as they were. Only
+    texts go to Python and only scores come back; rows wait in the JVM, which can
+    spill them."""
 
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in batches:
+            plain = pa.RecordBatch.from_arrays([text.fill_null("")], names=["text"])
+            yield from (b.column(1) for b in _score(iter([plain]), model, 0))
+        give_back()
 
-def _clean(batches: Iterator[pa.RecordBatch], model: Model, at: int, at_most: float) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        text = b.column(at).fill_null("")
-        plain = pa.RecordBatch.from_arrays([text], names=["text"])
-        for s in _score(iter([plain]), model, 0):
-            yield b.filter(pa.array(s.column("score").to_numpy() < at_most))
+    return docs.filter(F.arrow_udf(scores, "double")("text") < at_most)

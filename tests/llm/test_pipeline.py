@@ -17,7 +17,7 @@ from tests.llm.util import edge_docs  # noqa: E402
 def test_stages_and_queries_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "n-gram Jaccard join", "suffix-array dedup", "secret scans", "best-fit packing"]
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
