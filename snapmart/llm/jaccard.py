@@ -309,7 +309,8 @@ def links(pairs: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int
 
 def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Open pairs across components in each (key, chunk, chunk) group of sorted
-    rows; a pair that meets under several keys is told under the smallest."""
+    rows. A pair that meets under several keys is told under each, once a batch:
+    few pairs are left open, so they cost less than every row's keys would."""
     def told(group: list[dict]) -> list[tuple[int, int]]:
         left = [r for r in group if r["own"] == r["lo"]]
         right = left if group[0]["lo"] == group[0]["hi"] else [r for r in group if r["own"] == r["hi"]]
@@ -317,20 +318,19 @@ def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
         for r in right:
             by_length.setdefault(len(r["bits"]) // 8, []).append(r)
         tables = [(words, np.stack([np.frombuffer(r["bits"], np.uint64) for r in rs]),
-                   *(np.array([r[c] for r in rs]) for c in ("id", "comp", "n")), [set(r["keys"]) for r in rs])
+                   *(np.array([r[c] for r in rs]) for c in ("id", "comp", "n")))
                   for words, rs in by_length.items()]
         found = []
         for r in left:
             mine = np.frombuffer(r["bits"], np.uint64)
-            for words, bits, ids, comp, size, keys in tables:
+            for words, bits, ids, comp, size in tables:
                 near = np.flatnonzero((comp != r["comp"]) & (np.minimum(size, r["n"]) * den >= np.maximum(size, r["n"]) * num)
                                       & ((ids > r["id"]) | (left is not right)))
                 if len(near):
                     least = min(words, len(mine))
                     far = np.bitwise_count(folded(bits[near], least) ^ folded(mine, least)).sum(axis=1)
                     near = near[far <= (size[near] + r["n"]) * (den - num) // (den + num)]
-                    found += [(min(r["id"], i), max(r["id"], i)) for i, theirs in zip(ids[near].tolist(), (keys[j] for j in near), strict=True)
-                              if r["key"] == min(theirs.intersection(r["keys"]))]
+                    found += [(min(r["id"], i), max(r["id"], i)) for i in ids[near].tolist()]
         return found
 
     group, at = [], None
@@ -347,6 +347,7 @@ def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    found = list(dict.fromkeys(found))
     return pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
 
 
@@ -358,11 +359,10 @@ def across(member: DataFrame, label: DataFrame, classes: DataFrame, num: int, de
                    .filter((F.col("many") > 2) & (F.col("c0") != F.col("c1")))
                    .select("key", F.ceil(F.col("many") / CHUNK).cast("int").alias("chunks")), "jaccard-mixed")
     at = stored(placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")), "jaccard-at")
-    keys = at.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most a set's own keys
-    dealt = (at.join(keys, "id").join(classes.select(F.col("node").alias("id"), "n", "bits"), "id")
+    dealt = (at.join(classes.select(F.col("node").alias("id"), "n", "bits"), "id")
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("key", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"),
-                     "own", "id", "comp", "n", "bits", "keys"))
+                     "own", "id", "comp", "n", "bits"))
     return stored(dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
                   .mapInArrow(partial(_across, num=num, den=den), "a long, b long").distinct(), "jaccard-across")
 
