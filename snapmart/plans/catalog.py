@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.functions import iso_duration, split_list, url_tail
-from snapmart.operators import clean, dims, facts, flatten, page_chains, quality, reports, rule_text
+from snapmart.operators import clean, dims, drift, facts, flatten, page_chains, quality, reports, rule_text
 from snapmart.plans import sql_reports
 from snapmart.plans.daily import Layout
 from snapmart.session import scratch_path
@@ -935,6 +935,52 @@ def q_page_chains(spark, sf):
     return page_chains.chains(pages)
 
 
+# ---- drift of records ----------------------------------------------------------
+
+@register("record_drift", """
+WITH r AS (SELECT *, p_size % 5 <> 0 AS titled, p_size % 11 <> 0 AS counted FROM part WHERE p_size % 13 <> 0),
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE titled) AS title, count(*) FILTER (WHERE p_size > 10) AS country,
+             count(*) FILTER (WHERE p_size % 3 = 0) AS region, count(*) FILTER (WHERE counted) AS stats,
+             count(*) FILTER (WHERE counted AND p_size % 4 = 0) AS videos FROM r),
+k AS (
+  SELECT '' AS path, true AS declared, true AS required, (SELECT count(*) FROM part) AS n_parents, n AS n_present, 0 AS n_retyped FROM t
+  UNION ALL SELECT 'id', true, false, n, n, 0 FROM t
+  UNION ALL SELECT 'etag', false, false, n, n, 0 FROM t
+  UNION ALL SELECT 'snippet', true, true, n, n, 0 FROM t
+  UNION ALL SELECT 'snippet.title', true, true, n, title, 0 FROM t
+  UNION ALL SELECT 'snippet.description', true, true, n, n, 0 FROM t
+  UNION ALL SELECT 'snippet.publishedAt', true, true, n, n, 0 FROM t
+  UNION ALL SELECT 'snippet.defaultLanguage', true, false, n, 0, 0 FROM t
+  UNION ALL SELECT 'snippet.country', true, false, n, country, country FROM t
+  UNION ALL SELECT 'snippet.region', false, false, n, region, 0 FROM t
+  UNION ALL SELECT 'statistics', true, true, n, stats, 0 FROM t
+  UNION ALL SELECT 'statistics.viewCount', true, true, stats, stats, 0 FROM t
+  UNION ALL SELECT 'statistics.subscriberCount', true, true, stats, stats, 0 FROM t
+  UNION ALL SELECT 'statistics.videoCount', true, true, stats, videos, 0 FROM t)
+SELECT path, declared, required, n_parents, n_present, cast(0 AS BIGINT) AS n_null, n_parents - n_present AS n_missing,
+       cast(n_retyped AS BIGINT) AS n_retyped,
+       CASE WHEN NOT declared THEN 'unknown' WHEN required AND n_present < n_parents THEN 'missing'
+            WHEN n_retyped > 0 THEN 'retyped' WHEN n_present = 0 THEN 'absent' ELSE 'ok' END AS status
+FROM k""")
+def q_record_drift(spark, sf):
+    """Channel records built from ``part`` that lack keys, hold unknown ones, hold a
+    country as a list, or are cut short, against the declared schema."""
+    size = F.col("p_size")
+    has = lambda when, c, name: F.when(when, c).alias(name)
+    record = F.to_json(F.struct(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_brand").alias("etag"),
+        F.struct(has(size % 5 != 0, F.col("p_name"), "title"), F.col("p_type").alias("description"),
+                 F.lit("2001-08-01T00:00:00Z").alias("publishedAt"),
+                 has(size > 10, F.array("p_type"), "country"), has(size % 3 == 0, F.lit("EU"), "region")).alias("snippet"),
+        has(size % 11 != 0, F.struct(
+            F.floor("p_retailprice").cast("string").alias("viewCount"), size.cast("string").alias("subscriberCount"),
+            has(size % 4 == 0, F.lit("1"), "videoCount")), "statistics")))
+    path = scratch_path(spark, "drift_records")
+    write_json_lines(td.load(spark, sf, "part").select(
+        F.when(size % 13 == 0, F.substring(record, 1, 10)).otherwise(record).alias("value")), path)
+    return drift.drift(read_json_lines(spark, path), schemas.CHANNEL_API, drift.CHANNEL_OPTIONAL)
+
+
 # ---- intake of landed files ----------------------------------------------------
 
 @register("intake_twice", """
