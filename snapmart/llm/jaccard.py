@@ -200,6 +200,7 @@ def _keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iter
 
 
 PACKED = 1 << 19
+RANGE = 1 << 19  # members of sets, each with about a key, for a range of keys
 PAIR = np.dtype([("key", "<i8"), ("fp", "<i8")])
 
 
@@ -246,11 +247,17 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(pairs["key"][1:][pairs["key"][1:] == pairs["key"][:-1]])], names=["key"])
 
 
-def shared_keys(src: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def key_ranges(members: int, least: int) -> int:
+    """Ranges of keys for sets of so many members in all: more members, more
+    ranges, so that a task never holds much more than RANGE entries at a time."""
+    return max(1, least, -(-members // RANGE))
+
+
+def shared_keys(src: DataFrame, n: int, num: int, den: int, members: int) -> DataFrame:
     """Keys of more than one set. A key that very many sets have comes as two
     entries from each batch of rows, and a task packs its keys before the
     shuffle, so tens of millions of keys need neither hash tables nor rows."""
-    parts = max(1, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = key_ranges(members, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = src.mapInArrow(lean(partial(_dealt_keys, n=n, num=num, den=den, parts=parts)), "part int, pairs binary")
     return dealt.repartition(parts, "part").mapInArrow(lean(_shared), "key long")
 
@@ -381,7 +388,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
         F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     keyed = src.mapInArrow(lean(partial(_keys, n=n, num=num, den=den)), "key long, fp1 long, fp2 long")
-    shared = stored(shared_keys(src, n, num, den), "jaccard-buckets")
+    members = every.agg(F.sum("n").alias("n")).first()["n"] or 0
+    shared = stored(shared_keys(src, n, num, den, members), "jaccard-buckets")
     release(spark)
     member = stored(keyed.join(shared, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
                     .select("key", F.col("node").alias("id")), "jaccard-members")

@@ -143,3 +143,12 @@ def test_shared_keys_by_counting():
         got = [k for b in jaccard._shared(iter([batch])) for k in b.column(0).to_pylist()]
         assert got == want
     assert [b.num_rows for b in jaccard._shared(iter([]))] == [0]
+
+
+def test_more_members_get_more_ranges_of_keys(spark, monkeypatch):
+    """A task held all keys of a range, however many there were."""
+    assert jaccard.key_ranges(0, 8) == jaccard.key_ranges(jaccard.RANGE * 8, 8) == 8
+    assert jaccard.key_ranges(jaccard.RANGE * 30 + 1, 8) == 31
+    monkeypatch.setattr(jaccard, "RANGE", 1000)
+    rows = [(i, f"{' '.join(f'w{i % 50}x{k}' for k in range(60))} {i}") for i in range(100)]
+    assert found(jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10)) == brute(rows, 3, 9, 10)
