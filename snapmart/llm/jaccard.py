@@ -14,7 +14,10 @@ below and sorts out candidates. What is left is verified on the sets.
 Buckets never give all their pairs: first each member is held against the
 bucket's smallest id only; components follow; only buckets that still hold
 several components are compared again, in chunks of bounded size and across
-components, and give the pairs that their sketches leave open.
+components. They give the closest pairs that would join up all components which
+open pairs could join, fewer than there are members. Members that are then still
+in open pairs meet once more, with their whole sets: those pairs are verified
+where they meet, and only links that join components leave the task.
 
 Blocks without content say nothing, so a slack of blocks is added: two similar
 sets agree on more blocks than the slack. If one of the sets leaves no more
@@ -31,13 +34,13 @@ gets its component's smallest id; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm import graph, hashing
@@ -46,6 +49,8 @@ from snapmart.llm.workers import lean
 
 TURNS = 8
 CHUNK = 1024  # members of a large bucket compared at a time
+MEMBERS = 1 << 20  # n-grams of the whole sets that are compared at a time
+REFUSED = 1 << 18  # pairs found not similar that a task remembers
 GROWTH = 1.5  # width of a band of sizes
 U = np.uint64
 
@@ -287,91 +292,192 @@ def _open(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    same = int(np.count_nonzero(both[1:] == both[:-1]))
+    return den * same >= num * (len(x) + len(y) - same)
+
+
 def _verified(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Keep the rows (a, b, members of a, members of b) that are similar."""
     for b in batches:
-        keep = []
-        for x, y in zip(b.column(2), b.column(3), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            same = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(den * same >= num * (len(x) + len(y) - same))
+        keep = [similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), num, den)
+                for x, y in zip(b.column(2), b.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def links(pairs: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The similar ones among candidate pairs (a, b) of nodes, by their whole sets."""
-    wanted = stored(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
-                    .select("node", "class_id", "fp1", "fp2"), "jaccard-wanted")
+def sets_of(nodes: DataFrame, src: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """The whole sets (node, members) of some nodes."""
+    wanted = stored(classes.join(nodes.select("node").distinct(), "node").select("node", "class_id", "fp1", "fp2"), "jaccard-wanted")
     sets = (src.join(wanted.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
             .mapInArrow(lean(partial(_sets, n=n)), "fp1 long, fp2 long, members binary").join(wanted, ["fp1", "fp2"]))
     sets = stored(sets.select("node", "members"), "jaccard-members-of")
     release(src.sparkSession)
+    return sets
+
+
+def links(pairs: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The similar ones among candidate pairs (a, b) of nodes, by their whole sets."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), src, classes, n)
     x = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     full = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return stored(full.mapInArrow(lean(partial(_verified, num=num, den=den)), "a long, b long").distinct(), "jaccard-links")
 
 
-def _across(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Open pairs across components in each (key, chunk, chunk) group of sorted
-    rows. A pair that meets under several keys is told under each, once a batch:
-    few pairs are left open, so they cost less than every row's keys would."""
-    def told(group: list[dict]) -> list[tuple[int, int]]:
-        left = [r for r in group if r["own"] == r["lo"]]
-        right = left if group[0]["lo"] == group[0]["hi"] else [r for r in group if r["own"] == r["hi"]]
-        by_length: dict[int, list[dict]] = {}
-        for r in right:
-            by_length.setdefault(len(r["bits"]) // 8, []).append(r)
-        tables = [(words, np.stack([np.frombuffer(r["bits"], np.uint64) for r in rs]),
-                   *(np.array([r[c] for r in rs]) for c in ("id", "comp", "n")))
-                  for words, rs in by_length.items()]
-        found = []
-        for r in left:
-            mine = np.frombuffer(r["bits"], np.uint64)
-            for words, bits, ids, comp, size in tables:
-                near = np.flatnonzero((comp != r["comp"]) & (np.minimum(size, r["n"]) * den >= np.maximum(size, r["n"]) * num)
-                                      & ((ids > r["id"]) | (left is not right)))
-                if len(near):
-                    least = min(words, len(mine))
-                    far = np.bitwise_count(folded(bits[near], least) ^ folded(mine, least)).sum(axis=1)
-                    near = near[far <= (size[near] + r["n"]) * (den - num) // (den + num)]
-                    found += [(min(r["id"], i), max(r["id"], i)) for i in ids[near].tolist()]
-        return found
-
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each (key, lo, hi) of sorted rows."""
     group, at = [], None
     for batch in batches:
-        out = []
         for r in batch.to_pylist():
             if (now := (r["key"], r["lo"], r["hi"])) != at:
                 if group:
-                    out += told(group)
+                    yield group
                 group, at = [], now
             group.append(r)
-        yield _pairs(out)
-    yield _pairs(told(group) if group else [])
+    if group:
+        yield group
+
+
+def open_across(group: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of a group (places in it, two columns) in different
+    components that sizes and sketches leave open, the closest first; and the
+    rows' components."""
+    left = [i for i, r in enumerate(group) if r["own"] == r["lo"]]
+    right = left if group[0]["lo"] == group[0]["hi"] else [i for i, r in enumerate(group) if r["own"] == r["hi"]]
+    bits = [np.frombuffer(r["bits"], np.uint64) for r in group]
+    by_length: dict[int, list[int]] = {}
+    for i in right:
+        by_length.setdefault(len(bits[i]), []).append(i)
+    ids, comp, size = (np.array([r[c] for r in group]) for c in ("id", "comp", "n"))
+    tables = [(words, np.array(at), np.stack([bits[i] for i in at])) for words, at in by_length.items()]
+    found, gaps = [np.zeros((0, 2), np.int32)], [np.zeros(0)]
+    for i in left:
+        for words, at, table in tables:
+            most = (size[at] + size[i]) * (den - num) // (den + num)
+            near = np.flatnonzero((comp[at] != comp[i]) & (np.minimum(size[at], size[i]) * den >= np.maximum(size[at], size[i]) * num)
+                                  & ((ids[at] > ids[i]) | (left is not right)))
+            if len(near):
+                least = min(words, len(bits[i]))
+                far = np.bitwise_count(folded(table[near], least) ^ folded(bits[i], least)).sum(axis=1)
+                stay = far <= most[near]
+                near, far = near[stay], far[stay]
+                found.append(np.column_stack([np.full(len(near), i), at[near]]).astype(np.int32))
+                gaps.append(far / (most[near] + 1))
+    pairs = np.concatenate(found)
+    return pairs[np.argsort(np.concatenate(gaps), kind="stable")], comp
+
+
+def forest(pairs: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Those of the pairs, the first ones preferred, that join up the components
+    which they all together join: fewer than there are components."""
+    top, comp = np.unique(comp, return_inverse=True)
+    top, taken = np.arange(len(top)), [np.zeros((0, 2), pairs.dtype)]
+    while True:
+        ends = top[comp[pairs]]
+        apart = ends[:, 0] != ends[:, 1]
+        pairs, ends = pairs[apart], ends[apart]
+        if not len(pairs):
+            return np.concatenate(taken)
+        first = np.unique(np.unique(ends, return_index=True)[1] // 2)  # of each component; by a total order, so without cycles
+        taken.append(pairs[first])
+        up = top.copy()
+        for a, b in ends[first].tolist():
+            a, b = _root(up, a), _root(up, b)
+            up[max(a, b)] = min(a, b)
+        top = np.array([_root(up, c) for c in top.tolist()])
+
+
+def _root(up, node):
+    while up[node] != node:
+        node = up[node]
+    return node
+
+
+def _likeliest(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b), fewer than the components of each group: the closest open
+    ones that would join up what any open ones could."""
+    for group in _groups(batches):
+        ids = np.array([r["id"] for r in group])
+        pairs = ids[forest(*open_across(group, num, den))]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
+
+
+def _undecided(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The rows (key, id) of each group that are in an open pair."""
+    for group in _groups(batches):
+        rows = np.unique(open_across(group, num, den)[0]).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([group[i][c] for i in rows], pa.int64()) for c in ("key", "id")], names=["key", "id"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Similar pairs (a, b) across components in each group of rows with whole
+    sets: fewer than there are components, and all that any pairs would join."""
+    refused: set[tuple[int, int]] = set()  # pairs meet under several keys
+    for group in _groups(batches):
+        sets = [np.frombuffer(r["members"], np.uint64) for r in group]
+        for r, h in zip(group, sets, strict=True):
+            r["n"], r["bits"] = len(h), parity(h).tobytes()
+        pairs, comp = open_across(group, num, den)
+        top, comp = np.unique(comp, return_inverse=True)
+        up, comp, taken = list(range(len(top))), comp.tolist(), []
+        for i, j in pairs.tolist():
+            a, b = _root(up, comp[i]), _root(up, comp[j])
+            pair = min(group[i]["id"], group[j]["id"]), max(group[i]["id"], group[j]["id"])
+            if a == b or pair in refused:
+                continue
+            if similar(sets[i], sets[j], num, den):
+                up[max(a, b)] = min(a, b)
+                taken.append(pair)
+            else:
+                refused.add(pair)
+        if len(refused) > REFUSED:
+            refused.clear()
+        yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in taken], pa.int64()) for k, c in enumerate("ab")})
+
+
+def mixed_buckets(member: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows (key, id, comp) of buckets that hold several components. Two
+    rows alone have been held against each other."""
+    placed = stored(member.join(label.select(F.col("node").alias("id"), "label"), "id", "left").select(
+        "key", "id", F.coalesce("label", "id").alias("comp")), "jaccard-placed")
+    mixed = stored(placed.groupBy("key").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                   .filter((F.col("many") > 2) & (F.col("c0") != F.col("c1"))).select("key"), "jaccard-mixed")
+    return stored(placed.join(mixed, "key"), "jaccard-at")
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    found = list(dict.fromkeys(found))
-    return pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
+def grouped(rows: DataFrame, load: Column, most: int) -> DataFrame:
+    """Rows of buckets in groups (key, lo, hi) that hold every pair of a
+    bucket's rows: a bucket's chunks, by two, of about ``most`` of ``load``."""
+    chunks = stored(rows.groupBy("key").agg(F.ceil(F.sum(load) / most).cast("int").alias("chunks")), "jaccard-chunks")
+    return (rows.join(chunks, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .withColumns({"lo": F.least("own", "with"), "hi": F.greatest("own", "with")}).drop("chunks", "with"))
 
 
-def across(member: DataFrame, label: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Open pairs among members of buckets (key, id) that hold several components."""
-    placed = stored(member.join(label.select(F.col("node").alias("id"), "label"), "id", "left").select(
-        "key", "id", F.coalesce("label", "id").alias("comp")), "jaccard-placed")
-    mixed = stored(placed.groupBy("key").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                   .filter((F.col("many") > 2) & (F.col("c0") != F.col("c1")))
-                   .select("key", F.ceil(F.col("many") / CHUNK).cast("int").alias("chunks")), "jaccard-mixed")
-    at = stored(placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")), "jaccard-at")
-    dealt = (at.join(classes.select(F.col("node").alias("id"), "n", "bits"), "id")
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("key", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"),
-                     "own", "id", "comp", "n", "bits"))
-    return stored(dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
-                  .mapInArrow(partial(_across, num=num, den=den), "a long, b long").distinct(), "jaccard-across")
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
+
+
+def across(member: DataFrame, label: DataFrame, classes: DataFrame, num: int, den: int, work: Callable, schema: str) -> DataFrame:
+    """What ``work`` tells of members of buckets (key, id) that hold several
+    components, in groups with sketches."""
+    dealt = grouped(mixed_buckets(member, label), F.lit(1), CHUNK).join(classes.select(F.col("node").alias("id"), "n", "bits"), "id")
+    told = _sorted(dealt.select("key", "lo", "hi", "own", "id", "comp", "n", "bits")).mapInArrow(partial(work, num=num, den=den), schema)
+    return stored(told.distinct(), "jaccard-across")
+
+
+def settled(left: DataFrame, label: DataFrame, src: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Similar pairs across components among rows (key, id), compared by their
+    whole sets within groups, so that however many pairs the sketches leave
+    open, only links that join components are ever written."""
+    sets = sets_of(left.select(F.col("id").alias("node")), src, classes, n).withColumnRenamed("node", "id")
+    sized = stored(left.join(classes.select(F.col("node").alias("id"), "n"), "id").join(
+        label.select(F.col("node").alias("id"), "label"), "id", "left").select(
+        "key", "id", "n", F.coalesce("label", "id").alias("comp")), "jaccard-undecided")
+    rows = grouped(sized, F.col("n"), MEMBERS).join(sets, "id").select("key", "lo", "hi", "own", "id", "comp", "members")
+    return stored(_sorted(rows).mapInArrow(lean(partial(_joined, num=num, den=den)), "a long, b long").distinct(), "jaccard-settled")
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -402,12 +508,17 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
                        .mapInArrow(partial(_open, num=num, den=den), "a long, b long"), "jaccard-star")
     near = links(open_star, src, classes, n, num, den)
     label = graph.components(near, "jaccard-first")
-    rest = across(member, label, classes, num, den)
+    more = across(member, label, classes, num, den, _likeliest, "a long, b long")
     release(spark)
-    if not rest.isEmpty():
-        more = links(rest, src, classes, n, num, den)
-        if not more.isEmpty():
-            label = graph.components(near.union(more), "jaccard-all")
+    if not more.isEmpty():
+        near = near.union(links(more, src, classes, n, num, den))
+        label = graph.components(near, "jaccard-second")
+        left = across(member, label, classes, num, den, _undecided, "key long, id long")
+        release(spark)
+        if not left.isEmpty():
+            last = settled(left, label, src, classes, n, num, den)
+            if not last.isEmpty():
+                label = graph.components(near.union(last), "jaccard-all")
     joined = stored(label.join(classes.select("node", "class_id", "fp1", "fp2"), "node")
                     .select("label", "class_id", "fp1", "fp2"), "jaccard-joined")
     lowest = joined.groupBy("label").agg(F.min("class_id").alias("component_id"))

@@ -145,6 +145,50 @@ def test_shared_keys_by_counting():
     assert [b.num_rows for b in jaccard._shared(iter([]))] == [0]
 
 
+def _near_group(size, apart):
+    """Rows of one bucket, all components their own: every pair differs in 2 * ``apart`` members."""
+    rnd = np.random.default_rng(5)
+    base = rnd.integers(1, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base, rnd.integers(1, 1 << 63, apart, dtype=np.uint64)])) for _ in range(size)]
+    return sets, [{"key": 1, "lo": 0, "hi": 0, "own": 0, "id": i, "comp": i, "n": len(h), "bits": jaccard.parity(h).tobytes(),
+                   "members": h.tobytes()} for i, h in enumerate(sets)]
+
+
+def _told(work, rows):
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pylist(rows[i:i + 17]) for i in range(0, len(rows), 17)]
+    return [p for b in work(iter(batches), num=9, den=10) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+
+@pytest.mark.parametrize("apart,linked", [(10, True), (17, False)])
+def test_a_group_of_near_copies_gives_no_more_pairs_than_members(apart, linked):
+    """A group of m near copies whose sketches leave pairs open told m * (m - 1) / 2 pairs before."""
+    sets, rows = _near_group(80, apart)
+    pairs = jaccard.open_across(rows, 9, 10)[0]
+    assert len(pairs) > 800
+    assert len({tuple(p) for p in pairs.tolist()}) == len(pairs)
+    told = _told(jaccard._likeliest, rows)
+    assert 0 < len(told) < 80
+    assert set(_told(jaccard._undecided, rows)) == {(1, int(i)) for i in np.unique(pairs)}
+    joined = _told(jaccard._joined, rows)
+    assert len(joined) == (79 if linked else 0)
+    assert all(jaccard.similar(sets[a], sets[b], 9, 10) for a, b in joined)
+    assert graph_of(told) == graph_of([tuple(p) for p in pairs.tolist()])
+
+
+def graph_of(links):
+    low = {}
+
+    def top(x):
+        while low.setdefault(x, x) != x:
+            x = low[x]
+        return x
+    for a, b in links:
+        a, b = top(a), top(b)
+        low[max(a, b)] = min(a, b)
+    return {x: top(x) for x in low}
+
+
 def test_more_members_get_more_ranges_of_keys(spark, monkeypatch):
     """A task held all keys of a range, however many there were."""
     assert jaccard.key_ranges(0, 8) == jaccard.key_ranges(jaccard.RANGE * 8, 8) == 8
