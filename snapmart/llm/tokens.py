@@ -14,17 +14,22 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from snapmart.llm import workers
 
 CACHED = 100_000  # pieces in each of two generations per worker: those met again outlive the others
 SLICE = 1 << 21  # characters cut at a time, so a batch's pieces need little memory
+STEP = 1 << 18  # pieces whose ids are put in place at a time
 
 #: Before a single space or line feed that stands between two other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 LATIN = re.compile(r"[\x00-\xff]*").fullmatch
 
+SIGNS = ".,;:!?"
+
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 
 _loaded: dict[str, tuple] = {}
@@ -55,15 +60,20 @@ def forget() -> None:
         _older[path].clear()
 
 
-def words(text: str) -> list[str]:
-    """Pieces for tokenizers that lower-case, and drop white space before they
-    split. The library looks for special strings before it normalises, so only
-    what can hold none, and is the same lower-cased first, is lower-cased here:
-    Latin-1 has no marks to compose and lower-cases within itself."""
+def spaced(text: str) -> str:
+    """Pieces with one space between them, for tokenizers that lower-case, and
+    drop white space before they split. The library looks for special strings
+    before it normalises, so only what can hold none, and is the same
+    lower-cased first, is lower-cased here: Latin-1 has no marks to compose and
+    lower-cases within itself."""
     cut = text.replace("\n", " ")
-    if "<|" not in text and LATIN(text):
-        return cut.lower().split(" ")
-    return [p.lower() if LATIN(p) and "<|" not in p else p for p in cut.split(" ")]
+    if "<|" not in text and (text.isascii() or LATIN(text)):
+        return cut.lower()
+    return " ".join([p.lower() if LATIN(p) and "<|" not in p else p for p in cut.split(" ")])
+
+
+def words(text: str) -> list[str]:
+    return spaced(text).split(" ")
 
 
 def pieces(text: str) -> list[str]:
@@ -98,18 +108,22 @@ def _plain_ids(path: str, plain: list[str], space: str) -> list[bytes]:
 
 def letters(word: str) -> bool:
     """Letters only, also after a tokenizer's normalisation."""
-    return word.isalpha() and (LATIN(word) is not None or unicodedata.normalize("NFC", word).lower().isalpha())
+    return word.isalpha() and (word.isascii() or LATIN(word) is not None or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
 def _learn(path: str, new: set[str], cut: Callable) -> None:
     """Remember the ids of ``new`` pieces. A word of letters with one sign
     behind it is the word's ids and the sign's."""
     known, lead = tokenizer(path)[1], "" if cut is words else " "
-    plain, other, pairs = set(), [], []
+    plain, other, pairs, at = set(), [], [], len(lead)
     for p in new:
-        if p[:len(lead)] == lead and letters(p[len(lead):]):
-            plain.add(p)
-        elif p and p[-1] in ".,;:!?" and p[:len(lead)] == lead and letters(p[len(lead):-1]):
+        word = p[at:] if p[:at] == lead else ""
+        if word.isalpha():
+            if word.isascii() or letters(word):
+                plain.add(p)
+            else:
+                other.append(p)
+        elif word and word[-1] in SIGNS and letters(word[:-1]):
             pairs.append(p)
             if p[:-1] not in known:
                 plain.add(p[:-1])
@@ -127,18 +141,52 @@ def encode(path: str, texts: list[str], cut: Callable[[str], list[str]], cached:
     """The ids of each text, in order; two generations of about ``cached`` pieces are remembered."""
     known = tokenizer(path)[1]
     for group in _slices(texts):
-        parts = [cut(t) for t in group]
-        older = _older[path]
-        if len(known) > cached:
-            older.clear()
-            older.update(known)
-            known.clear()
-        if new := set().union(*parts).difference(known):
-            again = new.intersection(older)
-            known.update((p, older[p]) for p in again)
-            _learn(path, new - again, cut)
-        for p in parts:
-            yield b"".join(map(known.__getitem__, p))
+        if cut is words:  # Arrow numbers the pieces, so only distinct ones are looked up
+            parts = pc.split_pattern(pa.array([spaced(t) for t in group], pa.large_string()), " ")
+            coded = parts.values.dictionary_encode()
+            learnt = _learnt(path, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), cut, cached)
+            yield from _joined(learnt, np.asarray(coded.indices), np.diff(parts.offsets))
+        else:
+            parts = [cut(t) for t in group]
+            _learnt(path, list(set().union(*parts)), cut, cached)
+            for p in parts:
+                yield b"".join(map(known.__getitem__, p))
+
+
+def _learnt(path: str, spelled: list[str], cut: Callable, cached: int) -> list[bytes]:
+    """The ids of some pieces, which are remembered from here on."""
+    known, older = tokenizer(path)[1], _older[path]
+    if len(known) > cached:
+        older.clear()
+        older.update(known)
+        known.clear()
+    learnt = list(map(known.get, spelled))
+    if missing := [i for i, ids in enumerate(learnt) if ids is None]:
+        new = {spelled[i] for i in missing}
+        again = older.keys() & new  # looks up the fewer in the more; a set's intersection walks all of a dict
+        known.update((p, older[p]) for p in again)
+        _learn(path, new - again, cut)
+        for i in missing:
+            learnt[i] = known[spelled[i]]
+    return learnt
+
+
+def _joined(learnt: list[bytes], number: np.ndarray, lengths: np.ndarray) -> Iterator[bytes]:
+    """The ids of each text from those of its pieces: ``learnt``, by number."""
+    size = np.fromiter(map(len, learnt), np.int64, len(learnt)) // 4
+    ids, first = np.frombuffer(b"".join(learnt), "<u4"), np.cumsum(size) - size
+    blobs, ends = [], []
+    for lo in range(0, len(number), STEP):
+        some = number[lo:lo + STEP]
+        n = size[some]
+        end = np.cumsum(n)
+        blobs.append(ids[np.repeat(first[some] - end + n, n) + np.arange(n.sum())].tobytes())
+        ends.append(end + (ends[-1][-1] if ends else 0))
+    blob, lo = b"".join(blobs), 0
+    end = np.concatenate([np.zeros(1, np.int64), *ends])
+    for hi in (4 * end[np.cumsum(lengths)]).tolist():
+        yield blob[lo:hi]
+        lo = hi
 
 
 def _slices(texts: list[str]) -> Iterator[list[str]]:

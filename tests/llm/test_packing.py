@@ -125,3 +125,17 @@ def test_edges(spark):
     assert packing.pack(no_docs(spark), PATH).collect() == []
     whole = packing.pack(docs, PATH).filter("doc_id = 4").first()
     assert bytes(whole.ids) == tokens.library_ids(PATH, ["one two"])[0] + b"\0\0\0\0"
+
+
+@pytest.mark.parametrize("step,cached", [(3, 5), (1 << 18, 5), (1 << 18, 100_000)])
+def test_only_distinct_words_are_looked_up(monkeypatch, step, cached):
+    """A word was looked up each time it came up; ids are the library's, however pieces are put in place."""
+    monkeypatch.setattr(tokens, "STEP", step)
+    asked = []
+    learnt = tokens._learnt
+    monkeypatch.setattr(tokens, "_learnt", lambda path, spelled, *a: asked.append(spelled) or learnt(path, spelled, *a))
+    texts = ["", " ", "\n", "The the, THE cat", "Ünï çødé 漢字 <|endoftext|> É é", "a  b\t\nc!!", "the cat sat. " * 50]
+    for _ in range(2):
+        assert list(tokens.encode(PATH, texts, tokens.words, cached)) == tokens.library_ids(PATH, texts)
+    assert all(len(set(a)) == len(a) < 25 for a in asked) and len(asked) == 2
+    assert list(tokens.encode(PATH, [], tokens.words, cached)) == []
