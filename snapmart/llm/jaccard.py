@@ -51,6 +51,7 @@ TURNS = 8
 CHUNK = 1024  # members of a large bucket compared at a time
 MEMBERS = 1 << 20  # n-grams of the whole sets that are compared at a time
 REFUSED = 1 << 18  # pairs found not similar that a task remembers
+FEW = 64  # sets of a key that are told with it
 GROWTH = 1.5  # width of a band of sizes
 U = np.uint64
 
@@ -209,22 +210,35 @@ RANGE = 1 << 19  # members of sets, each with about a key, for a range of keys
 PAIR = np.dtype([("key", "<i8"), ("fp", "<i8")])
 
 
-def ends_of_keys(pairs: np.ndarray) -> np.ndarray:
-    """Sorted, and of each key only the smallest and the largest fingerprint."""
+def few_of_keys(pairs: np.ndarray, few: int) -> np.ndarray:
+    """Sorted and distinct, and of each key only the ``few`` smallest fingerprints.
+    The few of several parts' few are the few of the whole."""
     pairs = pairs[np.lexsort((pairs["fp"], pairs["key"]))]
-    first = np.flatnonzero(np.diff(pairs["key"], prepend=pairs["key"][:1] - 1)) if len(pairs) else np.zeros(0, int)
-    last = np.append(first[1:], len(pairs)) - 1 if len(pairs) else first
-    return pairs[np.unique(np.concatenate([first, last[pairs["fp"][last] != pairs["fp"][first]]]))]
+    if len(pairs):
+        pairs = pairs[np.append(True, (pairs["key"][1:] != pairs["key"][:-1]) | (pairs["fp"][1:] != pairs["fp"][:-1]))]
+    first, many = _spread(pairs)
+    return pairs[np.arange(len(pairs)) - np.repeat(first, many) < few]
+
+
+def _spread(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key of sorted pairs begins, and how many pairs it has."""
+    first = np.flatnonzero(np.append(True, pairs["key"][1:] != pairs["key"][:-1])) if len(pairs) else np.zeros(0, int)
+    return first, np.diff(np.append(first, len(pairs)))
+
+
+def ends_of_keys(pairs: np.ndarray) -> np.ndarray:
+    """As many of each key's fingerprints as tell whether sets share it."""
+    return few_of_keys(pairs, 2)
 
 
 def _dealt_keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Keys and fingerprints packed by ranges of keys, one row for each range
-    and PACKED keys; a key has at most two entries in it."""
+    and PACKED keys; a key has at most FEW + 1 entries in it."""
     # sorted keys fall into ``parts`` ranges of equal width
     edges = np.array([(1 << 64) * k // parts - (1 << 63) for k in range(1, parts)], np.int64)
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = ends_of_keys(np.concatenate(held))
+        pairs = few_of_keys(np.concatenate(held), FEW + 1)
         rows = np.split(pairs, np.searchsorted(pairs["key"], edges))
         return pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
                                           names=["part", "pairs"]).filter(pa.array([len(r) > 0 for r in rows], pa.bool_()))
@@ -241,17 +255,34 @@ def _dealt_keys(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, p
     yield packed(held)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys that sets with different fingerprints have, from all rows of a range."""
+def _range(batches: Iterator[pa.RecordBatch], few: int) -> np.ndarray:
+    """The few of each key of a range, from all its rows."""
     held = [np.zeros(0, PAIR)]
     for b in batches:
         held += [np.frombuffer(p.as_buffer(), PAIR) for p in b.column(1)]
         if sum(map(len, held[1:])) > 4 * len(held[0]) + (1 << 20):
-            held = [ends_of_keys(np.concatenate(held))]
-    pairs = ends_of_keys(np.concatenate(held))
+            held = [few_of_keys(np.concatenate(held), few)]
+    return few_of_keys(np.concatenate(held), few)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that sets with different fingerprints have, from all rows of a range."""
+    pairs = _range(batches, 2)
     yield pa.RecordBatch.from_arrays([pa.array(pairs["key"][1:][pairs["key"][1:] == pairs["key"][:-1]])], names=["key"])
 
 
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Such keys with the fingerprints of all their sets, or once with none if
+    they have more than FEW."""
+    pairs = _range(batches, FEW + 1)
+    first, many = _spread(pairs)
+    of = np.repeat(many, many)
+    common = of > FEW
+    stay = (of > 1) & ~common
+    stay[first[many > FEW]] = True
+    yield pa.RecordBatch.from_arrays([pa.array(pairs["key"][stay]), pa.array(pairs["fp"][stay], mask=common[stay])], names=["key", "fp"])
+
+
 def key_ranges(members: int, least: int) -> int:
     """Ranges of keys for sets of so many members in all: more members, more
     ranges, so that a task never holds much more than RANGE entries at a time."""
@@ -259,12 +290,30 @@ def key_ranges(members: int, least: int) -> int:
 
 
 def shared_keys(src: DataFrame, n: int, num: int, den: int, members: int) -> DataFrame:
-    """Keys of more than one set. A key that very many sets have comes as two
-    entries from each batch of rows, and a task packs its keys before the
-    shuffle, so tens of millions of keys need neither hash tables nor rows."""
+    """Keys of more than one set, each with the fingerprints (fp) of its sets; a
+    key of more than FEW sets comes once, with a null. A key that very many sets
+    have is at most FEW + 1 entries from each batch of rows, and a task packs its
+    keys before the shuffle, so tens of millions of keys need neither hash tables
+    nor rows."""
     parts = key_ranges(members, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = src.mapInArrow(lean(partial(_dealt_keys, n=n, num=num, den=den, parts=parts)), "part int, pairs binary")
-    return dealt.repartition(parts, "part").mapInArrow(lean(_shared), "key long")
+    return dealt.repartition(parts, "part").mapInArrow(lean(_sharing), "key long, fp long")
+
+
+def members_of_keys(src: DataFrame, classes: DataFrame, n: int, num: int, den: int, members: int) -> DataFrame:
+    """The rows (key, id) of shared keys. Texts give all their keys again only
+    where some keys have more than FEW sets, and then for these keys alone."""
+    shared = stored(shared_keys(src, n, num, den, members), "jaccard-buckets")
+    release(src.sparkSession)
+    node = F.col("node").alias("id")
+    member = shared.filter(F.col("fp").isNotNull()).join(classes.select(F.col("fp1").alias("fp"), "node"), "fp").select("key", node)
+    common = stored(shared.filter(F.col("fp").isNull()).select("key").repartition("key"), "jaccard-common")
+    if not common.isEmpty():
+        keyed = src.mapInArrow(lean(partial(_keys, n=n, num=num, den=den)), "key long, fp1 long, fp2 long")
+        member = member.union(keyed.join(common, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"]).select("key", node))
+    member = stored(member, "jaccard-members")
+    release(src.sparkSession)
+    return member
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -493,13 +542,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     classes = stored(every.filter("n > 0").groupBy("fp1", "fp2").agg(
         F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
-    keyed = src.mapInArrow(lean(partial(_keys, n=n, num=num, den=den)), "key long, fp1 long, fp2 long")
     members = every.agg(F.sum("n").alias("n")).first()["n"] or 0
-    shared = stored(shared_keys(src, n, num, den, members), "jaccard-buckets")
-    release(spark)
-    member = stored(keyed.join(shared, "key").distinct().join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
-                    .select("key", F.col("node").alias("id")), "jaccard-members")
-    release(spark)
+    member = members_of_keys(src, classes, n, num, den, members)
     hub = stored(member.groupBy("key").agg(F.min("id").alias("hub")), "jaccard-hubs")
     star = member.join(hub, "key").filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     x = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))

@@ -229,6 +229,7 @@ def repeated_spans(src: DataFrame, length: int) -> DataFrame:
         "doc_id", "text_hash", F.col("at").alias("lo"), (F.col("at") + F.col("behind") - F.col("ahead") + length).alias("hi"))
     mixed = stored(classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("many").alias("least"))
                    .filter("kinds > 1 and least = 1").select("anchor", (F.col("kinds") > GROUP).alias("big")), "suffix-mixed")
+    release(spark)
     open_ = classes.join(mixed, "anchor").select("one.doc_id", "one.text_hash", F.struct(
         "anchor", "behind", "ahead", "many", "big", F.col("one.at").alias("at")).alias("run"))
     by_text = open_.groupBy("doc_id", "text_hash").agg(F.collect_list("run").alias("runs"))  # at most a text's own runs
@@ -245,7 +246,9 @@ def repeated_spans(src: DataFrame, length: int) -> DataFrame:
                   "suffix-windows")
     twice = stored(each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "suffix-twice")
     many = each.join(twice, "key", "left_semi").select("doc_id", "text_hash", "lo", (F.col("lo") + length).alias("hi"))
-    return stored(whole.union(some).union(many), "suffix-spans")
+    spans = stored(whole.union(some).union(many), "suffix-spans")
+    release(spark)
+    return spans
 
 
 KEPT = "kept binary, n_bytes long, n_removed long, n_spans long, removed array<struct<lo:bigint,hi:bigint>>"
@@ -273,13 +276,13 @@ def _kept(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch
 
 def remove(docs: DataFrame, length: int = 200, whole_row: bool = False) -> DataFrame:
     """One row per input row: doc_id, text, if asked for ``row`` (all of the
-    input's columns), kept (the remaining bytes), n_bytes, n_removed, n_spans,
+    input's columns but the text), kept (the remaining bytes), n_bytes, n_removed, n_spans,
     removed (the merged byte ranges)."""
     src = texts(docs).withColumn("text_hash", F.hash("text"))
     spans = repeated_spans(src, length)
     hits = spans.groupBy(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_hash")).agg(
         F.collect_set(F.struct("lo", "hi")).alias("found"))
-    more = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole_row else []
+    more = [F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")] if whole_row else []
     row = docs.select("doc_id", "text", *more)
     joined = row.join(hits, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.hash(F.coalesce("text", F.lit(""))) == F.col("b_hash")),
                       "left").select(*row.columns, "found")

@@ -196,3 +196,32 @@ def test_more_members_get_more_ranges_of_keys(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "RANGE", 1000)
     rows = [(i, f"{' '.join(f'w{i % 50}x{k}' for k in range(60))} {i}") for i in range(100)]
     assert found(jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10)) == brute(rows, 3, 9, 10)
+
+
+def test_shared_keys_come_with_their_sets():
+    """Members of shared keys took a second scan and shuffle of every key of every text."""
+    rnd = np.random.default_rng(9)
+    few = jaccard.FEW
+    sizes = dict(enumerate([1, 2, 3, few - 1, few, few + 1, 5 * few] * 4, -14))
+    fps = {k: rnd.choice(1 << 40, many, replace=False).tolist() for k, many in sizes.items()}
+    rows = [(k << 50, fp) for k, own in fps.items() for fp in own] * 2  # equal sets repeat
+    rnd.shuffle(rows)
+    pairs = np.array([tuple(r) for r in rows], jaccard.PAIR)
+    import pyarrow as pa
+    for step in (50, 1000, len(pairs)):
+        parts = [jaccard.few_of_keys(pairs[i:i + step], few + 1).tobytes() for i in range(0, len(pairs), step)]
+        batch = pa.RecordBatch.from_pydict({"part": pa.array([0] * len(parts), pa.int32()), "pairs": pa.array(parts, pa.binary())})
+        got = [r for b in jaccard._sharing(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        want = [(k << 50, fp) for k, own in fps.items() for fp in (sorted(own) if len(own) <= few else [None]) if len(own) > 1]
+        assert got == want
+    assert [b.num_rows for b in jaccard._sharing(iter([]))] == [0]
+
+
+def test_keys_of_many_and_of_few_sets_find_their_members(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(2 * jaccard.FEW)]
+    rows += [(1000 + i, f"{' '.join(f'v{i % 20}x{k}' for k in range(60))} {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    shared = jaccard.shared_keys(df, 3, 9, 10, 10000).collect()
+    assert {r.fp is None for r in shared} == {True, False}
+    assert found(jaccard.join(df, 3, 9, 10)) == brute(rows, 3, 9, 10)

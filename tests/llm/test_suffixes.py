@@ -60,3 +60,13 @@ def test_edges(spark):
     cleaned = suffixes.clean(docs)
     assert cleaned.columns == docs.columns and cleaned.count() == docs.count()
     assert cleaned.filter("doc_id = 2").first().text is None and cleaned.filter("doc_id = 3").first().n_chars < 9000
+
+
+def test_a_text_travels_once(spark):
+    """The row that goes with the text held the text again."""
+    docs = edge_docs(spark, [(8, "q" * 700, "en", "a", 700), (None, "q" * 700, "en", "a", 700)])
+    assert suffixes.remove(docs, 200, whole_row=True).schema["row"].dataType.names == [c for c in docs.columns if c != "text"]
+    got = suffixes.clean(docs, 200)
+    assert got.schema.names == docs.schema.names and got.count() == docs.count()
+    assert {(r.doc_id, r.text, r.lang, r.n_chars) for r in got.collect() if r.source == "a" and r.doc_id in (None, 4, 8)} == {
+        (4, "one two", "en", 7), (8, "", "en", 0), (None, "", "en", 0)}
