@@ -231,6 +231,12 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, tables)
 
 
+def _so_far(tables: list[DataFrame], likely: list[DataFrame]) -> DataFrame:
+    """The rows of phrases that one of the tables makes likely. These few are
+    hashed, not sorted: a merge would sort all rows of all tables by their phrases."""
+    return _union(tables).join(_union(likely).hint("shuffle_hash"), ["lang", "phrase"], "left_semi")
+
+
 def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS, slice_bytes: int = SLICE) -> tuple[DataFrame, DataFrame]:
     """Counts of all phrases of up to LONGEST words that come up ``least``
     times or more in their language (lang, phrase, length, f), and the number of
@@ -250,7 +256,7 @@ def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS
         counts = scan.mapInArrow(partial(_count, all_words=step < shards, active=active, most=slice_bytes), "lang string, phrase string, n long")
         tables.append(stored(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts"))
         likely.append(stored(tables[-1].filter(F.col("n") >= share).select("lang", "phrase"), "phrase-likely"))
-        so_far = _union(tables[-shards:]).join(_union(likely[-shards:]), ["lang", "phrase"], "left_semi")
+        so_far = _so_far(tables[-shards:], likely[-shards:])
         sums = stored(so_far.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-sums")
         reached = sums.filter(F.size(F.split("phrase", " ")) < LONGEST).select("lang", "phrase")
         if frequent:

@@ -88,3 +88,18 @@ def test_edges(spark):
     got = phrases.collocations(docs, 2, 50).collect()
     assert sorted(map(tuple, got)) == plainly(rows, 2, 50)
     assert phrases.collocations(no_docs(spark), 2, 50).collect() == []
+
+
+def test_tables_are_not_sorted_for_the_likely_phrases(spark):
+    """Every step sorted all rows of a cycle's tables by their phrases."""
+    table = spark.createDataFrame([("en", "a b", 2), ("fr", "a b", 3), ("en", "c", 1)], "lang string, phrase string, n long")
+    likely = spark.createDataFrame([("en", "a b"), ("en", "a b")], "lang string, phrase string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = phrases._so_far([table, table], [likely, likely.limit(0)])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, got.collect())) == [("en", "a b", 2)] * 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
