@@ -31,6 +31,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Executors collect their garbage and give the heap they no longer need
+    back to the system, one task a core. A heap that an earlier step has filled
+    otherwise keeps its size beside the Python workers of the next."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.expr("reflect('java.lang.System', 'gc')")).collect()
+
+
 def texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id`` and whole text, null text as the empty one. Every other
     column is left behind, so no extra column can clash."""

@@ -31,8 +31,11 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import tokens
 from snapmart.llm.common import stored, texts
+from snapmart.llm.workers import give_back
 
 REMEMBERED = 400_000  # pieces in each of two generations per worker: a word is few bytes, learning one is dear
+GROUP = 512  # rows encoded together
+TIDY = 4  # groups after which a task gives freed memory back
 #: One fill: pieces of ``size`` ranked from ``rank`` on, ``n`` of them, ``each`` per
 #: sequence, into the sequences from ``first`` on, from position ``at`` on.
 Fill = tuple[int, int, int, int, int, int]
@@ -153,13 +156,13 @@ def plan(counts: dict[int, int], capacity: int) -> Plan:
 PIECE = ("piece int, start long, length long, ids binary, part int, rank long")
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: bytes) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: bytes, remembered: int) -> Iterator[pa.RecordBatch]:
     part, ranks = TaskContext.get().partitionId(), Counter()
     for b in batches:
-        for lo in range(0, b.num_rows, 512):
-            rows = b.slice(lo, 512)
+        for lo in range(0, b.num_rows, GROUP):
+            rows = b.slice(lo, GROUP)
             at, piece, start, length, ids, rank = [], [], [], [], [], []
-            for i, got in enumerate(tokens.encode(path, rows.column(1).to_pylist(), tokens.words, REMEMBERED)):
+            for i, got in enumerate(tokens.encode(path, rows.column(1).to_pylist(), tokens.words, remembered)):
                 got += end
                 for k, s in enumerate(range(0, len(got), 4 * capacity)):
                     cut = got[s:s + 4 * capacity]
@@ -171,6 +174,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: by
                  pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array([part] * len(at), pa.int32()),
                  pa.array(rank, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids", "part", "rank"])
+            if lo // GROUP % TIDY == TIDY - 1:
+                give_back()
+    give_back()
 
 
 def _place(batches: Iterator[pa.RecordBatch], fills: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -187,13 +193,15 @@ def _place(batches: Iterator[pa.RecordBatch], fills: np.ndarray) -> Iterator[pa.
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
-         keep: list[Column] | None = None) -> DataFrame:
+         keep: list[Column] | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ``keep`` (columns made
-    from ``ids``; the ids themselves by default), sequence_id, offset."""
+    from ``ids``; the ids themselves by default), sequence_id, offset. A worker
+    remembers two generations of ``remembered`` words: fewer take less memory and
+    more time, and change no row."""
     src = texts(docs)
     id_type = src.schema["doc_id"].dataType.simpleString()
     cut = src.mapInArrow(partial(_pieces, path=tokenizer_path, capacity=capacity,
-                                 end=int(end_id).to_bytes(4, "little")), f"doc_id {id_type}, {PIECE}")
+                                 end=int(end_id).to_bytes(4, "little"), remembered=remembered), f"doc_id {id_type}, {PIECE}")
     kept = [F.col("ids")] if keep is None else keep
     cut = stored(cut.select("doc_id", "piece", "start", "length", *kept, "part", "rank"), "pieces")
     by_task = stored(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")

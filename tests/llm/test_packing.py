@@ -139,3 +139,23 @@ def test_only_distinct_words_are_looked_up(monkeypatch, step, cached):
         assert list(tokens.encode(PATH, texts, tokens.words, cached)) == tokens.library_ids(PATH, texts)
     assert all(len(set(a)) == len(a) < 25 for a in asked) and len(asked) == 2
     assert list(tokens.encode(PATH, [], tokens.words, cached)) == []
+
+
+def test_tasks_bound_what_they_remember_and_give_memory_back(monkeypatch):
+    """Freed memory was held for good, and every caller's workers remembered 400,000 words twice."""
+    import pyarrow as pa
+    task = type("Task", (), {"partitionId": lambda self: 0})
+    monkeypatch.setattr(packing.TaskContext, "get", task)
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    texts = [f"the cat{i} sat" for i in range(5000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(5000), "text": texts})
+    rows = {}
+    for remembered in (50, 100_000):
+        tokens.forget()
+        out = list(packing._pieces(iter([batch]), PATH, 2048, b"\0\0\0\0", remembered))
+        rows[remembered] = [i for b in out for i in b.column("ids").to_pylist()]
+        if remembered == 50:
+            assert len(tokens.tokenizer(PATH)[1]) + len(tokens._older[PATH]) < 2500
+    assert rows[50] == rows[100_000] == [i + b"\0\0\0\0" for i in tokens.library_ids(PATH, texts)]
+    assert len(given) == 2 * 3
