@@ -18,10 +18,12 @@ active.
   one of those that reached the threshold within the last cycle, one of those
   before. A false hit costs needless counting of a phrase that cannot reach
   the threshold or has reached it already, and changes no result.
-* Counts are added up in each slice of text, then by Spark before and after the
-  shuffle, under the phrase itself, once a step. A phrase that reaches the
-  threshold has its share of it in one shard, so only such phrases are summed
-  over the cycle's tables.
+* Counts are added up in each slice of text. Phrases travel and are kept many to
+  a row, dealt into parts by their hashes: lines of phrases and as many counts.
+  A part meets in one task with what it holds of the cycle's other tables, so
+  one shuffle a step gives the shard's table and the sums over the cycle, and
+  phrases below the threshold never become rows. The number of parts grows with
+  the texts. Phrases are told apart by themselves; hashes only deal them.
 
 Text: A-Z in lower case, split at ``.,;:!?`` and line ends into pieces, pieces
 into words at spaces and tabs. Cases: null text is the empty one and gives
@@ -38,18 +40,24 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import release, stored
 from snapmart.llm.hashing import LOWER, WORDS, U, mix
-from snapmart.session import scratch_path
+from snapmart.llm.workers import lean
+from snapmart.session import input_bytes, scratch_path
 
 LONGEST = 4  # words of a phrase
 BITS = 25  # a bit table holds 2**BITS bits, 4 MB
 SLICE = 1 << 21  # bytes of texts of one language that are counted together
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+PART = 1 << 22  # bytes of stored texts for each part that phrases are dealt into
+#: Phrases of one part, language and length: a line each, their counts, and the counts' sum.
+LINES = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("length", pa.int32()), ("phrases", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
+LINES_DDL = "part int, lang string, length int, phrases binary, counts binary, n long"
+PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("length", pa.int32()), ("f", pa.int64())])
 
 # What ends a piece, what separates words.
 BREAK, BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -93,13 +101,15 @@ class Words:
         letters = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)[:own[-1]]
         self.hashes = WORDS.ranges(WORDS.prefix(letters), own[:-1], own[1:])[self.number]
 
-    def phrases(self, first: np.ndarray, length: int) -> pa.Array:
-        """The phrases that begin with the given words."""
+    def lines(self, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The phrases that begin with the given words, a line each, and where the lines start and the last ends."""
         begin = self.at[first]
-        size = self.at[first + length - 1] + self.size[first + length - 1] - begin
+        size = self.at[first + length - 1] + self.size[first + length - 1] + 1 - begin
         offsets = np.append(0, np.cumsum(size))
         take = np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])
-        return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(self.spaced[take]))
+        data = self.spaced[take]
+        data[offsets[1:] - 1] = 10
+        return data, offsets
 
 
 def _hit(bits: Bits, hashes: np.ndarray) -> np.ndarray:
@@ -117,18 +127,35 @@ def _lang(hashes: np.ndarray, lang: str) -> np.ndarray:
     return mix(hashes ^ mix(np.array([seed + U(1)], np.uint64)))
 
 
-def count_slice(texts: list[bytes], lang: str, all_words: bool, recent: Bits | None, older: Bits | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of one length each: words, if asked for, and the active phrases."""
+def _lines(part: np.ndarray, lang: str, length: int, data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Lines of phrases and their counts, ordered by part, as one row a part."""
+    parts, begin = np.unique(part, return_index=True)
+    ends = np.append(begin, len(part))
+    counts = counts.astype("<i8")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(parts, pa.int32()), pa.repeat(lang, len(parts)).cast(pa.string()), pa.repeat(pa.scalar(length, pa.int32()), len(parts)),
+         pa.BinaryArray.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets[ends].astype(np.int32)), pa.py_buffer(data)]),
+         pa.BinaryArray.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(counts)]),
+         pa.array(np.add.reduceat(counts, begin), pa.int64())], schema=LINES)
+
+
+def count_slice(texts: list[bytes], lang: str, all_words: bool, recent: Bits | None, older: Bits | None, parts: int) -> Iterator[pa.RecordBatch]:
+    """Phrases of one length each with their counts: words, if asked for, and the active phrases."""
     words = Words(texts)
     if not words.n:
         return
+
+    def dealt(first, length, hashes, many):
+        part = (hashes % U(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        return _lines(part[order], lang, length, *words.lines(first[order], length), many[order])
+    here = np.arange(words.n)
+    hashes = of_word = _lang(words.hashes, lang)
     if all_words:
         first, many = np.unique(words.number, return_index=True, return_counts=True)[1:]
-        yield words.phrases(first, 1), many
+        yield dealt(first, 1, hashes[first], many)
     if recent is None:
         return
-    here = np.arange(words.n)
-    hashes = of_word = _lang(words.hashes, lang)
     for length in range(2, LONGEST + 1):
         # which of the phrases one word shorter (those at ``here``) have reached the threshold, and when
         now = _hit(recent, hashes)
@@ -140,9 +167,10 @@ def count_slice(texts: list[bytes], lang: str, all_words: bool, recent: Bits | N
         both = (left & 1 & right).astype(bool) & (words.room[here] >= length - 1)
         if not both.any():
             return
-        active = here[both & ((left | right) >= 2)]
+        chosen = ((left | right) >= 2)[both]
         here = here[both]
         hashes = _longer(all_hashes[here], of_word[here + length - 1])
+        active = here[chosen]
         if not len(active):
             continue
         key = words.number[active] << 32 | words.number[active + 1]
@@ -153,7 +181,7 @@ def count_slice(texts: list[bytes], lang: str, all_words: bool, recent: Bits | N
             numbers = np.unique(np.concatenate([key, more]), return_inverse=True)[1]
             key = numbers[:len(active)] << 32 | numbers[len(active):]
         first, many = np.unique(key, return_index=True, return_counts=True)[1:]
-        yield words.phrases(active[first], length), many
+        yield dealt(active[first], length, hashes[chosen][first], many)
 
 
 def _parts(text: bytes, most: int) -> Iterator[bytes]:
@@ -165,18 +193,17 @@ def _parts(text: bytes, most: int) -> Iterator[bytes]:
     yield text[lo:] if lo else text
 
 
-def _count(batches: Iterator[pa.RecordBatch], all_words: bool, active: Broadcast | None, most: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], all_words: bool, active: Broadcast | None, most: int, parts: int) -> Iterator[pa.RecordBatch]:
     recent, older = active.value if active else (None, None)
 
     def counted(texts, lang):
-        for phrases, many in count_slice(texts, lang, all_words, recent, older):
-            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(phrases)).cast(pa.string()), phrases, pa.array(many, pa.int64())], schema=COUNTS)
+        return count_slice(texts, lang, all_words, recent, older, parts)
     waiting: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            *parts, text = _parts(text, most)
-            for part in parts:
+            *whole, text = _parts(text, most)
+            for part in whole:
                 yield from counted([part], lang)
             waiting.setdefault(lang, []).append(text)
             sizes[lang] = sizes.get(lang, 0) + len(text) + 1
@@ -191,40 +218,88 @@ def _count(batches: Iterator[pa.RecordBatch], all_words: bool, active: Broadcast
         yield from counted(texts, lang)
 
 
+def _read(lines: list[pa.Scalar]) -> pa.Array:
+    """The phrases of some rows, each with its line end."""
+    data = np.frombuffer(b"".join(p.as_buffer() for p in lines), np.uint8)
+    offsets = np.append(0, np.flatnonzero(data == 10) + 1)
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def _written(phrases: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The lines of phrases that end in line ends, and where they start and the last ends."""
+    off = np.frombuffer(phrases.buffers()[1], np.int64)[phrases.offset:phrases.offset + len(phrases) + 1]
+    return np.frombuffer(phrases.buffers()[2] or b"", np.uint8)[off[0]:off[-1]], off - off[0]
+
+
+def _summed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Of whole parts: the new rows added up, and the sums of new and older
+    ones that reach ``least``. The last column says which rows are new, and then
+    which are sums."""
+    held: dict[tuple[int, str, int], list[tuple[pa.Scalar, pa.Scalar, bool]]] = {}
+    for b in batches:
+        keys = zip(*(b.column(c).to_pylist() for c in ("part", "lang", "length")), strict=True)
+        for key, *row in zip(keys, b.column("phrases"), b.column("counts"), b.column("new").to_pylist(), strict=True):
+            held.setdefault(key, []).append(row)
+    while held:
+        (part, lang, length), rows = held.popitem()
+        coded = _read([p for p, _, _ in rows]).dictionary_encode()
+        number, spelled = np.asarray(coded.indices), coded.dictionary
+        counts = np.frombuffer(b"".join(c.as_buffer() for _, c, _ in rows), "<i8")
+        new = np.repeat([n for _, _, n in rows], [len(c.as_buffer()) // 8 for _, c, _ in rows])
+        # as doubles, whole numbers are exact up to 2**53
+        own = np.bincount(number[new], counts[new], len(spelled)).astype(np.int64)
+        every = own + np.bincount(number[~new], counts[~new], len(spelled)).astype(np.int64)
+        for sums, n, chosen in ((False, own, own > 0), (True, every, every >= least)):
+            if chosen.any():
+                out = _lines(np.full(chosen.sum(), part), lang, length, *_written(spelled.filter(pa.array(chosen))), n[chosen])
+                yield out.append_column("sums", pa.array([sums]))
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each phrase."""
+    for b in batches:
+        for lang, length, phrases, counts in zip(b.column("lang").to_pylist(), b.column("length").to_pylist(), b.column("phrases"), b.column("counts"), strict=True):
+            spelled = pc.utf8_slice_codeunits(_read([phrases]), 0, -1).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(spelled)).cast(pa.string()), spelled, pa.repeat(pa.scalar(length, pa.int32()), len(spelled)),
+                 pa.array(np.frombuffer(counts.as_buffer(), "<i8"), pa.int64())], schema=PHRASES)
+
+
 def _places(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The bits of phrases: which 64 of them, and which of those."""
     for b in batches:
-        places = []
-        for lang, phrase in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist(), strict=True):
-            parts = [p.encode() for p in phrase.split(" ")]
-            end = np.cumsum([len(p) for p in parts])
-            data = np.frombuffer(b"".join(parts), np.uint8)
-            one = _lang(WORDS.ranges(WORDS.prefix(data), end - [len(p) for p in parts], end), lang)
-            h = one[:1]
-            for n in range(1, len(parts)):
-                h = _longer(h, one[n:n + 1])
-            places.append(int(h[0]) >> (64 - size))
-        place = np.array(places, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array((U(1) << (place & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
+        of = b.column("lang").dictionary_encode()
+        for k, lang in enumerate(of.dictionary.to_pylist()):
+            words = Words([p.encode() for p in b.column("phrase").filter(pc.equal(of.indices, k)).to_pylist()])
+            one = _lang(words.hashes, lang)
+            at = np.append(0, np.flatnonzero(words.room == 0)[:-1] + 1)  # the first word of each phrase
+            h = one[at]
+            for n in range(1, LONGEST):
+                more = words.room[at] >= n
+                h[more] = _longer(h[more], one[at[more] + n])
+            place = (h >> U(64 - size)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array((U(1) << (place & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
 
 
 def _bits(reached: DataFrame, size: int) -> Bits:
     """The bit table of some phrases: at most 2**(size - 6) rows come to the driver, however many phrases there are."""
-    rows = (reached.select("lang", "phrase").mapInArrow(partial(_places, size=size), "word long, bits long")
+    rows = (reached.select("lang", "phrase").mapInArrow(lean(partial(_places, size=size)), "word long, bits long")
             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
     out = np.zeros(1 << (size - 6), np.int64)
     out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return out.view(np.uint8)
 
 
-def _dealt(docs: DataFrame, shards: int) -> DataFrame:
-    """Documents in a table of their own with a shard number each, evenly whatever they hold."""
+def _dealt(docs: DataFrame, shards: int) -> tuple[DataFrame, int]:
+    """Documents in a table of their own with a shard number each, evenly
+    whatever they hold; and into how many parts their phrases are dealt."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
                        (F.monotonically_increasing_id() % shards).cast("int").alias("shard"))
     path = scratch_path(spark, "phrase-shards")
     rows.write.partitionBy("shard").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(spark, path) // PART)
+    return spark.read.schema(rows.schema).parquet(path), parts
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -237,15 +312,25 @@ def _so_far(tables: list[DataFrame], likely: list[DataFrame]) -> DataFrame:
     return _union(tables).join(_union(likely).hint("shuffle_hash"), ["lang", "phrase"], "left_semi")
 
 
+def _step(new: DataFrame, tables: list[DataFrame], least: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """A step's table and the sums that reach ``least`` in it and the cycle's other tables."""
+    rows = _union([new.withColumn("new", F.lit(True)), *(t.withColumn("new", F.lit(False)) for t in tables)])
+    summed = rows.repartition(parts, "part").mapInArrow(lean(partial(_summed, least=least)), f"{LINES_DDL}, sums boolean")
+    path = scratch_path(new.sparkSession, "phrase-counts")
+    summed.write.partitionBy("sums").parquet(path)
+    both = new.sparkSession.read.schema(summed.schema).parquet(path)
+    table, sums = (both.filter(F.col("sums") == kind).drop("sums") for kind in (False, True))
+    return table, stored(sums.mapInArrow(lean(_spread), "lang string, phrase string, length int, f long"), "phrase-sums")
+
+
 def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS, slice_bytes: int = SLICE) -> tuple[DataFrame, DataFrame]:
     """Counts of all phrases of up to LONGEST words that come up ``least``
     times or more in their language (lang, phrase, length, f), and the number of
     words of each language (lang, n)."""
     spark = docs.sparkSession
-    dealt = _dealt(docs, shards)
-    tables, likely, frequent, news = [], [], [], []
+    dealt, parts = _dealt(docs, shards)
+    tables, frequent, news = [], [], []
     older = np.zeros(1 << (bits - 3), np.uint8)
-    share = -(-least // shards)  # what reaches the threshold has as much in one shard
     while True:
         step = len(tables)
         recent = np.bitwise_or.reduce(news) if news else None
@@ -253,12 +338,10 @@ def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS
             break
         active = spark.sparkContext.broadcast((recent, older)) if news else None
         scan = dealt.filter(F.col("shard") == step % shards).select("lang", "text")
-        counts = scan.mapInArrow(partial(_count, all_words=step < shards, active=active, most=slice_bytes), "lang string, phrase string, n long")
-        tables.append(stored(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts"))
-        likely.append(stored(tables[-1].filter(F.col("n") >= share).select("lang", "phrase"), "phrase-likely"))
-        so_far = _so_far(tables[-shards:], likely[-shards:])
-        sums = stored(so_far.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-sums")
-        reached = sums.filter(F.size(F.split("phrase", " ")) < LONGEST).select("lang", "phrase")
+        counts = scan.mapInArrow(lean(partial(_count, all_words=step < shards, active=active, most=slice_bytes, parts=parts)), LINES_DDL)
+        table, sums = _step(counts, tables[max(0, step - shards + 1):], least, parts)
+        tables.append(table)
+        reached = sums.filter(F.col("length") < LONGEST).select("lang", "phrase")
         if frequent:
             reached = reached.join(_union(frequent), ["lang", "phrase"], "left_anti")
         frequent.append(sums)
@@ -268,9 +351,9 @@ def count_phrases(docs: DataFrame, least: int, shards: int = 3, bits: int = BITS
         if active:
             active.destroy()
         release(spark)
-    counted = _union(frequent).groupBy("lang", "phrase").agg(F.max("f").alias("f"))
-    words = _union(tables[:shards]).filter(F.instr("phrase", " ") == 0).groupBy("lang").agg(F.sum("n").alias("n"))
-    return stored(counted.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("length"), "f"), "phrases"), words
+    counted = _union(frequent).groupBy("lang", "phrase", "length").agg(F.max("f").alias("f"))
+    words = _union(tables[:shards]).filter(F.col("length") == 1).groupBy("lang").agg(F.sum("n").alias("n"))
+    return stored(counted, "phrases"), words
 
 
 def _exact(column: str) -> Column:

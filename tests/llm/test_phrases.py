@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -103,3 +104,35 @@ def test_tables_are_not_sorted_for_the_likely_phrases(spark):
         assert sorted(map(tuple, got.collect())) == [("en", "a b", 2)] * 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_phrases_travel_many_to_a_row(spark):
+    """Each phrase was a row of its own in every shuffle and table, however seldom it came up."""
+    import pyarrow as pa
+    rows = [(f"w{i} common pair, once{i} more", "en") for i in range(200)] + [("common pair", None)] * 3
+    docs = pa.RecordBatch.from_pydict({"lang": [r[1] or "und" for r in rows], "text": [r[0].encode() for r in rows]})
+    everything = (np.full(1 << 20, 255, np.uint8),) * 2
+    active = type("Active", (), {"value": everything})
+    new = pa.Table.from_batches(list(phrases._count(iter([docs]), True, active, 300, 4)), phrases.LINES)
+    table, sums = phrases._step(spark.createDataFrame(new), [], 100, 4)
+    assert table.count() <= 4 * 2 * 4 < table.agg({"n": "sum"}).first()[0]
+    assert {(r.lang, r.phrase, r.length, r.f) for r in sums.collect()} == {
+        ("en", "common", 1, 200), ("en", "pair", 1, 200), ("en", "more", 1, 200), ("en", "common pair", 2, 200)}
+    again, more = phrases._step(spark.createDataFrame(new), [table, table], 600, 4)
+    assert {(r.phrase, r.f) for r in more.collect()} == {("common", 600), ("pair", 600), ("more", 600), ("common pair", 600)}
+    assert again.groupBy("lang", "length").sum("n").orderBy("lang", "length").collect() == table.groupBy("lang", "length").sum("n").orderBy("lang", "length").collect()
+
+
+def test_bits_of_many_phrases_are_those_that_texts_look_up():
+    import pyarrow as pa
+    spelled = [("en", "a"), ("fr", "a"), ("en", "b a"), ("en", "a b c"), ("fr", "漢 é")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*spelled, strict=True)], names=["lang", "phrase"])
+    bits = np.zeros(1 << 19, np.int64)
+    for b in phrases._places(iter([batch]), 25):
+        np.bitwise_or.at(bits, b.column(0).to_numpy(), b.column(1).to_numpy())
+    for lang, phrase in [*spelled, ("fr", "b a")]:
+        one = phrases._lang(phrases.Words([phrase.encode()]).hashes, lang)
+        h = one[:1]
+        for w in one[1:]:
+            h = phrases._longer(h, w)
+        assert phrases._hit(bits.view(np.uint8), h)[0] == ((lang, phrase) in spelled)
